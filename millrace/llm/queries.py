@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.simhash import op10
 from millrace.llm.substring_dedup import op8
 from millrace.llm.suffix_array_dedup import op1
 
@@ -14,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1,
         "op8_substring_dedup": op8,
+        "op10_simhash": op10,
     }
 
 
