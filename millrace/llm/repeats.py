@@ -34,7 +34,9 @@ NULL_ID = np.iinfo(np.int64).max
 #: log2 of the number of bits that mark ambiguous anchors; more anchors only mean more chance hits.
 FILTER_BITS = 27
 #: Units that a scan task holds before it sends them on.
-FLUSH_UNITS = 1_000_000
+FLUSH_UNITS = 300_000
+#: Anchors with more different units are hot: their windows are compared one by one, dealt out by window hash.
+HOT_UNITS = 20_000
 COLUMNS = ("anchor", "unit", "doc", "tag", "lo", "span", "aoff")
 
 
@@ -162,28 +164,43 @@ def batches(rows: list[tuple[int, str, bytes]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], ROWS.types[j]) for j in range(3)], schema=ROWS)
 
 
-def scan(rules: Rules, parts: int, bitmap=None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def hot_windows(u: dict[str, np.ndarray], values: np.ndarray, row: np.ndarray, window: int) -> dict[str, np.ndarray]:
+    """Each window of some units as a unit of its own."""
+    count = u["span"] + 1
+    at = T.ragged(u["at"], count)
+    hashes = T.span_hash(T.prefix(values), at, at + window)
+    lo = np.repeat(u["lo"] - u["at"], count) + at
+    none = np.zeros(len(at), np.int64)
+    return {"anchor": hashes, "unit": hashes, "row": np.repeat(row, count), "lo": lo, "span": none, "aoff": none}
+
+
+def scan(rules: Rules, parts: int, bitmap=None, hot=None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Documents to packed units by anchor and, without a bitmap, covers of what repeats within the task."""
 
-    def flush(found: list[dict[str, np.ndarray]], contents: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def flush(found: list[dict[str, np.ndarray]], kind: str, contents: list[np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
         c = {k: np.concatenate([f[k] for f in found]) for k in COLUMNS}
         keep, dup = settle(c, rules.within_document)
         rows = []
         part = part_of(c["anchor"], parts)
-        if bitmap is None:
+        if contents is None:
             if dup.any():
                 rows += cover_rows(c["doc"][dup], c["tag"][dup], c["lo"][dup], c["lo"][dup] + c["span"][dup] + rules.window, parts)
-            rows += [(p, "unit", T.pack(*x)) for p, x in by_part(part[keep], [c[k][keep] for k in COLUMNS], parts)]
-        else:
+            rows += [(p, kind, T.pack(*x)) for p, x in by_part(part[keep], [c[k][keep] for k in COLUMNS], parts)]
+        else:  # what settle() drops here has been covered before
             content = np.concatenate(contents)
             lens = c["span"].astype(np.int64) + rules.window
             at = np.cumsum(lens) - lens
             for p, (i,) in by_part(part[keep], [np.flatnonzero(keep)], parts):
-                rows.append((p, "text", T.pack(*[c[k][i] for k in COLUMNS], content[T.ragged(at[i], lens[i])])))
+                rows.append((p, kind, T.pack(*[c[k][i] for k in COLUMNS], content[T.ragged(at[i], lens[i])])))
         yield from batches(rows)
 
+    def placed(u: dict[str, np.ndarray], doc: np.ndarray, tag: np.ndarray, base: int) -> dict[str, np.ndarray]:
+        row = u["row"] + base
+        out = {"anchor": u["anchor"], "unit": u["unit"], "doc": doc[row], "tag": tag[row], "lo": u["lo"].astype(np.int64)}
+        return out | {"span": u["span"].astype(np.uint16), "aoff": u["aoff"].astype(np.uint16)}
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, contents, held = [], [], 0
+        found, contents, windows, held, n_windows = [], [], [], 0, 0
         marks = bitmap.value if bitmap is not None else None
         for batch in it:
             doc, tag = T.longs(batch.column(0)), T.longs(batch.column(1))
@@ -193,18 +210,31 @@ def scan(rules: Rules, parts: int, bitmap=None) -> Callable[[Iterator[pa.RecordB
                 if marks is not None:
                     bit = u["anchor"] >> U(64 - FILTER_BITS)
                     hit = (marks[(bit >> U(3)).astype(np.int64)] >> (bit & U(7)).astype(np.uint8)) & 1 > 0
+                    if hot is not None:
+                        is_hot = hit & np.isin(u["anchor"], hot.value)
+                        if is_hot.any():
+                            some = {k: v[is_hot] for k, v in u.items()}
+                            windows.append(placed(hot_windows(some, values, some["row"], rules.window), doc, tag, lo))
+                            n_windows += len(windows[-1]["lo"])
+                        hit &= ~is_hot
                     u = {k: v[hit] for k, v in u.items()}
                     raw = values if rules.words else buf
                     contents.append(raw[T.ragged(u["at"], u["span"] + rules.window)])
-                row = u.pop("row") + lo
-                del u["at"]
-                found.append(u | {"doc": doc[row], "tag": tag[row], "lo": u["lo"].astype(np.int64), "span": u["span"].astype(np.uint16), "aoff": u["aoff"].astype(np.uint16)})
-                held += len(row)
-                if held >= (FLUSH_UNITS if marks is None else FLUSH_UNITS // 8):
-                    yield from flush(found, contents)
+                found.append(placed(u, doc, tag, lo))
+                held += len(u["lo"])
+                if marks is None and held >= FLUSH_UNITS:
+                    yield from flush(found, "unit")
+                    found, held = [], 0
+                elif marks is not None and held >= FLUSH_UNITS // 8:
+                    yield from flush(found, "text", contents)
                     found, contents, held = [], [], 0
+                if n_windows >= FLUSH_UNITS:
+                    yield from flush(windows, "window")
+                    windows, n_windows = [], 0
         if held:
-            yield from flush(found, contents)
+            yield from flush(found, "unit") if marks is None else flush(found, "text", contents)
+        if n_windows:
+            yield from flush(windows, "window")
 
     return run
 
@@ -237,6 +267,9 @@ def settle_parts(rules: Rules, parts: int):
             mixed = np.flatnonzero((a[1:] == a[:-1]) & (u[1:] != u[:-1]))
             if len(mixed):
                 rows.append((part, "bits", T.pack(np.unique(a[mixed] >> U(64 - FILTER_BITS)).astype(np.uint32))))
+                many, count = np.unique(a[mixed], return_counts=True)
+                if (count > HOT_UNITS).any():
+                    rows.append((part, "hot", T.pack(many[count > HOT_UNITS])))
             yield from batches(rows)
 
     return run
@@ -264,16 +297,32 @@ def resolve_parts(rules: Rules, parts: int, resolve: Callable):
     """Contents by anchor to covers; resolve(columns, contents, starts of contents) gives (doc, tag, start, end)."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for kinds in gathered(it).values():
-            *cols, content = T.unpack_all(kinds["text"])
+        for part, kinds in gathered(it).items():
+            yield from batches([(part, "cover", x) for x in kinds.pop("cover", [])])
+            if "window" in kinds:
+                c = dict(zip(COLUMNS, T.unpack_all(kinds.pop("window")), strict=True))
+                _, dup = settle(c, rules.within_document)
+                if dup.any():
+                    yield from batches(cover_rows(c["doc"][dup], c["tag"][dup], c["lo"][dup], c["lo"][dup] + rules.window, parts))
+            if "text" not in kinds:
+                continue
+            *cols, content = T.unpack_all(kinds.pop("text"))
             c = dict(zip(COLUMNS, cols, strict=True))
             keep, _ = settle(c, rules.within_document)  # the other places have been covered in settle_parts
             lens = c["span"].astype(np.int64) + rules.window
             at = (np.cumsum(lens) - lens)[keep]
             c = {k: v[keep] for k, v in c.items()}
-            doc, tag, start, end = resolve(c, content, at)
-            if len(doc):
-                yield from batches(cover_rows(doc, tag, start, end, parts))
+            order = np.argsort(c["anchor"], kind="stable")
+            heads = np.flatnonzero(np.append(True, np.diff(c["anchor"][order]) != 0))
+            cuts = [0]
+            for h in heads.tolist():  # whole anchors, some thousand units at a time
+                if h - cuts[-1] >= 8192:
+                    cuts.append(h)
+            for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
+                i = order[lo:hi]
+                doc, tag, start, end = resolve({k: v[i] for k, v in c.items()}, content, at[i])
+                if len(doc):
+                    yield from batches(cover_rows(doc, tag, start, end, parts))
 
     return run
 
@@ -306,9 +355,10 @@ def repeated_spans(docs: DataFrame, rules: Rules, resolve: Callable, part_bytes:
     covers = settled.where("kind = 'cover'")
     if marks.any():
         shared = spark.sparkContext.broadcast(marks)
-        texts = source.mapInArrow(scan(rules, parts, shared), ROWS_DDL).repartitionById(parts, F.col("part"))
+        hot = [T.unpack(r[0])[0] for r in settled.where("kind = 'hot'").select("data").toLocalIterator()]
+        hot = spark.sparkContext.broadcast(np.concatenate(hot)) if hot else None
+        texts = source.mapInArrow(scan(rules, parts, shared, hot), ROWS_DDL).repartitionById(parts, F.col("part"))
         covers = covers.unionByName(scratch.save(texts.mapInArrow(resolve_parts(rules, parts, resolve), ROWS_DDL)))
-        shared.unpersist()
     spans = scratch.save(covers.repartitionById(parts, F.col("part")).mapInArrow(join_covers, "doc long, tag long, spans binary"))
     scratch.drop(settled)
     return docs.join(spans.hint("shuffle_hash"), ["doc", "tag"], "left").select("doc_id", "text", "spans")

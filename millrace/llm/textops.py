@@ -83,7 +83,7 @@ def longs(column: pa.Array, null: int = np.iinfo(np.int64).max) -> np.ndarray:
     return np.asarray(column.cast(pa.int64()).fill_null(null))
 
 
-def slices(offs: np.ndarray, limit: int = 1 << 20):
+def slices(offs: np.ndarray, limit: int = 1 << 18):
     """Row ranges (lo, hi) of at most `limit` bytes each, or of one row that is longer."""
     lo, rows = 0, len(offs) - 1
     while lo < rows:
@@ -92,7 +92,7 @@ def slices(offs: np.ndarray, limit: int = 1 << 20):
         lo = min(hi, rows)
 
 
-def text_slices(column: pa.Array, limit: int = 1 << 20):
+def text_slices(column: pa.Array, limit: int = 1 << 18):
     """(lo, hi, bytes, offsets from 0) for the slices of a text column."""
     offs, data = strings(column)
     for lo, hi in slices(offs, limit):
