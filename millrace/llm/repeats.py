@@ -50,12 +50,13 @@ class Rules:
     within_document: bool
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"),
         F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag"),
-        "doc_id",
+        F.col("doc_id").cast("long").alias("doc_id"),
         "text",
+        F.struct(*(carry or ["doc_id"])).alias("row"),
     )
 
 
@@ -341,11 +342,11 @@ def join_covers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(doc[h]), pa.array(tag[h]), pa.array(cuts, pa.binary())], schema=schema)
 
 
-def repeated_spans(docs: DataFrame, rules: Rules, resolve: Callable, part_bytes: int, name: str) -> DataFrame:
-    """Documents with their repeated ranges: doc_id, text, spans (int64 starts and ends in turn; null if none)."""
+def repeated_spans(docs: DataFrame, rules: Rules, resolve: Callable, part_bytes: int, name: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Documents with their repeated ranges: doc_id, text, spans (int64 starts and ends in turn; null if none), row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, name)
-    docs = keyed(docs)
+    docs = keyed(docs, carry)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
     source = docs.select("doc", "tag", "text")
@@ -361,4 +362,4 @@ def repeated_spans(docs: DataFrame, rules: Rules, resolve: Callable, part_bytes:
         covers = covers.unionByName(scratch.save(texts.mapInArrow(resolve_parts(rules, parts, resolve), ROWS_DDL)))
     spans = scratch.save(covers.repartitionById(parts, F.col("part")).mapInArrow(join_covers, "doc long, tag long, spans binary"))
     scratch.drop(settled)
-    return docs.join(spans.hint("shuffle_hash"), ["doc", "tag"], "left").select("doc_id", "text", "spans")
+    return docs.join(spans.hint("shuffle_hash"), ["doc", "tag"], "left").select("doc_id", "text", "spans", "row")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textops as T
 from millrace.llm.graph import components
+from millrace.llm.joins import lookup
 from millrace.llm.scratch import Scratch
 from millrace.llm.xxh64 import xxh64
 
@@ -229,10 +230,6 @@ def hamming_links(values: DataFrame, nodes: int, bits: int, budget: int, per_par
     return rows.mapInArrow(link_parts(plan, bits, budget), "u long, v long")
 
 
-#: A fingerprint that more than one in so many documents share is looked up by broadcast; there are fewer than so many.
-HOT = 1000
-
-
 def simhash_classes(docs: DataFrame, size: int = 3, budget: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fingerprint (long) and component_id (the smallest doc_id reachable over links) of each row.
 
@@ -254,11 +251,7 @@ def simhash_classes(docs: DataFrame, size: int = 3, budget: int = 3, seed: int =
     named = scratch.save(named.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least", "n"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = scratch.save(named.join(least, "root").select("fingerprint", "component_id", "n"))
-    hot = named.where(F.col("n") > total // HOT).select("fingerprint", F.col("component_id").alias("hot_id"), F.lit(True).alias("hot"))
-    rest = named.where(F.col("n") <= total // HOT).select("fingerprint", "component_id")
-    marked = rows.join(F.broadcast(hot), "fingerprint", "left")
-    done = marked.where("hot").select("doc_id", "fingerprint", F.col("hot_id").alias("component_id"))
-    return done.unionByName(marked.where("hot is null").select("doc_id", "fingerprint").join(rest, "fingerprint").select("doc_id", "fingerprint", "component_id"))
+    return lookup(rows, named, "fingerprint", "n", total).select("doc_id", "fingerprint", "component_id")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from millrace.llm import repeats
 from millrace.llm import textops as T
@@ -136,7 +137,7 @@ def resolver(window: int, gram: int):
 
 
 def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("kept", pa.string()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+    pair = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in it:
         offs, data = T.strings(batch.column(1))
         held = batch.column(2).to_pylist()
@@ -151,10 +152,11 @@ def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     del words[s:e]
                 kept.append(b" ".join(words))
             text = pa.array(kept, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), text, pa.array(sizes, pa.int64()), pa.array(spans, schema.types[3])], schema=schema)
+            columns = [batch.column(0).slice(lo, hi - lo), text, pa.array(sizes, pa.int64()), pa.array(spans, pair), batch.column(3).slice(lo, hi - lo)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "n_words", "spans", "row"])
 
 
-def substring_dedup(docs: DataFrame, min_words: int = 50, gram: int = 8, part_bytes: int = 16 << 20) -> DataFrame:
+def substring_dedup(docs: DataFrame, min_words: int = 50, gram: int = 8, part_bytes: int = 16 << 20, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove every word that a run of `min_words` words covers which also starts in a document with a smaller doc_id.
 
     Words are runs of anything but space and \\t to \\r, unchanged; runs are judged on the input. Returns per row of docs:
@@ -163,12 +165,16 @@ def substring_dedup(docs: DataFrame, min_words: int = 50, gram: int = 8, part_by
     Null and empty texts have no words. Texts of fewer words stay whole. A null doc_id counts as the largest. Rows that
     repeat doc_id and text are one document and get equal results; rows with one doc_id and different texts are of equal
     rank, so neither removes words of the other. Other columns are ignored. An empty table gives no rows.
-    part_bytes: text whose candidates one task resolves; raise it with executor memory.
+    part_bytes: text whose candidates one task resolves; raise it with executor memory. carry: columns of docs to hand on, as
+    the struct `row`.
     """
     gram = min(gram, min_words)
     rules = repeats.Rules(words=True, window=min_words, gram=gram, within_document=False)
-    spans = repeats.repeated_spans(docs, rules, resolver(min_words, gram), part_bytes, "substring_dedup")
-    return spans.mapInArrow(cut, "doc_id long, kept string, n_words long, spans array<struct<start:long,end:long>>")
+    spans = repeats.repeated_spans(docs, rules, resolver(min_words, gram), part_bytes, "substring_dedup", carry)
+    pair = StructType().add("start", "long").add("end", "long")
+    schema = StructType().add("doc_id", "long").add("kept", "string").add("n_words", "long").add("spans", ArrayType(pair)).add("row", spans.schema["row"].dataType)
+    out = spans.mapInArrow(cut, schema)
+    return out if carry else out.drop("row")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -89,15 +89,25 @@ def resolver(window: int):
         right = [raw[s + x : e] for s, x, e in zip(at.tolist(), a.tolist(), ends.tolist(), strict=True)]
         rank = np.empty(len(at), np.int64)
         rank[np.lexsort((c["lo"], c["tag"], c["doc"]))] = np.arange(len(at))
-        lows, highs, place = first.tolist(), last.tolist(), (c["lo"] + a).tolist()
-        who, start, end = [], [], []
+        lows, highs = first.tolist(), last.tolist()
+        marks = [0] * len(at)  # bit x: the window that starts x bytes before the anchor has occurred earlier
         for before, after, members in maximal_repeats(c["anchor"], rank, left, right, window):
+            near = max(window - after, 0)
+            bits = (1 << (before + 1)) - (1 << near)
             for m in members[1:]:
-                near, far = max(window - after, lows[m]), min(before, highs[m])
-                if near <= far:
-                    who.append(m)
-                    start.append(place[m] - far)
-                    end.append(place[m] - near + window)
+                marks[m] |= bits
+        who, start, end = [], [], []
+        place = (c["lo"] + a).tolist()
+        for m in np.flatnonzero([x > 0 for x in marks]).tolist():
+            bits = marks[m] >> lows[m] << lows[m] & ((1 << (highs[m] + 1)) - 1)
+            while bits:
+                near = (bits & -bits).bit_length() - 1
+                run = bits >> near
+                far = near + (~run & (run + 1)).bit_length() - 2
+                who.append(m)
+                start.append(place[m] - far)
+                end.append(place[m] - near + window)
+                bits = bits >> (far + 1) << (far + 1)
         who = np.array(who, np.int64)
         return c["doc"][who], c["tag"][who], np.array(start, np.int64), np.array(end, np.int64)
 
