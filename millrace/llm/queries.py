@@ -6,18 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.decontamination import op2
+from millrace.llm.language_id import op3
+from millrace.llm.packing import op6
+from millrace.llm.pitman_yor import op4
+from millrace.llm.quality_rules import op9
+from millrace.llm.sharding import op7
 from millrace.llm.simhash import op10
 from millrace.llm.substring_dedup import op8
 from millrace.llm.suffix_array_dedup import op1
+from millrace.llm.toxicity import op5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1,
+        "op2_decontamination": op2,
+        "op3_language_id": op3,
+        "op4_lm_scoring": op4,
+        "op5_toxicity": op5,
+        "op6_packing": op6,
+        "op7_sharding": op7,
         "op8_substring_dedup": op8,
+        "op9_quality_rules": op9,
         "op10_simhash": op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """None yet: each of these is tested against a brute-force version instead."""
     return {}
