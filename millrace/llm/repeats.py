@@ -103,7 +103,8 @@ def find_units(values: np.ndarray, offs: np.ndarray, rules: Rules) -> dict[str,
     span, aoff = hi - lo, a - lo
     unit = T.mix((sums[hi + rules.window] - sums[lo]) * inverse[lo]) + T.mix((span * 65536 + aoff).astype(np.uint64))
     row = np.searchsorted(offs, lo, "right") - 1
-    return {"anchor": h[a], "unit": unit, "row": row, "at": lo, "lo": lo - offs[row], "span": span, "aoff": aoff}
+    # the hashes of anchors are small, being minima; mixed again they are spread evenly
+    return {"anchor": T.mix(h[a]), "unit": unit, "row": row, "at": lo, "lo": lo - offs[row], "span": span, "aoff": aoff}
 
 
 def settle(c: dict[str, np.ndarray], within_document: bool) -> tuple[np.ndarray, np.ndarray]:
