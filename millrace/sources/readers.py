@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EPISODES_JSONL = T.StructType().add("episode_index", "int").add("length", "int").add("tasks", T.ArrayType(T.StringType()))
-TASKS_JSONL = T.StructType().add("task_index", "int").add("task", "string")
-TRAJECTORY = T.StructType().add("observation.state", T.ArrayType(T.FloatType())).add("action", T.ArrayType(T.FloatType())).add("timestamp", "double").add("episode_index", "int")
-MANIFEST = T.StructType().add("root", "string").add("data_list", T.ArrayType(T.StringType())).add("total_key_count", "long").add("chunk_size", "int")
+EPISODES_JSONL = T.StructType().add("episode_index", "integer").add("length", "integer").add("tasks", T.ArrayType(T.StringType()))
+TASKS_JSONL = T.StructType().add("task_index", "integer").add("task", "string")
+TRAJECTORY = T.StructType().add("observation.state", T.ArrayType(T.FloatType())).add("action", T.ArrayType(T.FloatType())).add("timestamp", "double").add("episode_index", "integer")
+MANIFEST = T.StructType().add("root", "string").add("data_list", T.ArrayType(T.StringType())).add("total_key_count", "long").add("chunk_size", "integer")
 REVIEW = T.StructType().add("verdict", "string").add("trim_start", "double").add("trim_end", "double").add("notes", "string")
 ANNOTATION_META = T.StructType().add("is_eval", "boolean").add("episode_id", "string").add("segment_id", "string")
 FORMATS = {"csv": "csv", "json": "json", "jsonl": "json", "parquet": "parquet", "orc": "orc", "txt": "text", "gz": "text", "byte": "binaryFile", "bin": "binaryFile"}
