@@ -112,11 +112,34 @@ def reorder(x: np.ndarray, order: tuple[int, ...], bits: int) -> np.ndarray:
     return out
 
 
-def trie_pairs(x: np.ndarray, top: int, bits: int, budget: int, leaf: int = 48, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class Links:
+    """Components of places 0 to n - 1 of a sorted array, as links are found."""
+
+    def __init__(self, n: int, settled: int):
+        self.label = np.arange(n)
+        self.settled = settled  # within a component of more places no further links are sought
+        self._refresh()
+
+    def _refresh(self) -> None:
+        self.changes = np.append(0, np.cumsum(self.label[1:] != self.label[:-1])) if len(self.label) else self.label
+        self.size = np.bincount(self.label, minlength=len(self.label))
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        self.label = forest(self.label, i, j)
+        self._refresh()
+
+    def done(self, alo: np.ndarray, ahi: np.ndarray, blo: np.ndarray, bhi: np.ndarray) -> np.ndarray:
+        """Node pairs whose places are all in one settled component."""
+        one = (self.changes[ahi - 1] == self.changes[alo]) & (self.changes[bhi - 1] == self.changes[blo])
+        return one & (self.label[alo] == self.label[blo]) & (self.size[self.label[alo]] > self.settled)
+
+
+def trie_pairs(x: np.ndarray, top: int, bits: int, budget: int, links: Links | None = None, leaf: int = 48, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places in x (sorted, distinct) that agree on the `top` highest bits and differ in at most `budget` bits.
 
     A node is a range of x; a frontier holds node pairs of one depth and the bits in which they differ so far. Pairs of
-    small nodes are compared leaf by leaf.
+    small nodes are compared leaf by leaf. With `links`, to which the caller adds what it gets, pairs within settled
+    components are passed over, so a dense cluster of m places does not cost m * m / 2 comparisons.
     """
     n = len(x)
     key = x >> U(bits - top) if top else np.zeros(n, np.uint64)
@@ -124,18 +147,25 @@ def trie_pairs(x: np.ndarray, top: int, bits: int, budget: int, leaf: int = 48,
     tail = np.append(head[1:], n)
     some = tail - head > 1
     lo, hi = head[some], tail[some]
+    if links is not None and n > 1:  # neighbours first: they connect most of a cluster
+        near = np.flatnonzero((key[1:] == key[:-1]) & (np.bitwise_count(x[1:] ^ x[:-1]) <= budget))
+        yield near, near + 1
     ones: dict[int, np.ndarray] = {}
     work = [(top, lo, hi, lo, hi, np.zeros(len(lo), np.int8))]
     while work:
-        depth, alo, ahi, blo, bhi, diff = work.pop()
-        if len(alo) > most:
-            half = len(alo) // 2
-            work += [(depth, *(v[i] for v in (alo, ahi, blo, bhi, diff))) for i in (slice(half, None), slice(None, half))]
+        depth, *nodes = work.pop()
+        if len(nodes[0]) > most // 8:
+            half = len(nodes[0]) // 2
+            work += [(depth, *(v[i] for v in nodes)) for i in (slice(half, None), slice(None, half))]
             continue
+        if links is not None:
+            open_ = ~links.done(*nodes[:4])
+            nodes = [v[open_] for v in nodes]
+        alo, ahi, blo, bhi, diff = nodes
         small = ((ahi - alo) * (bhi - blo) <= leaf) | (depth == bits)
         if small.any():
-            yield from _leaves(x, alo[small], ahi[small], blo[small], bhi[small], budget, most)
-            alo, ahi, blo, bhi, diff = (v[~small] for v in (alo, ahi, blo, bhi, diff))
+            yield from _leaves(x, alo[small], ahi[small], blo[small], bhi[small], budget, links, most)
+            alo, ahi, blo, bhi, diff = (v[~small] for v in nodes)
         if not len(alo):
             continue
         if depth not in ones:
@@ -144,10 +174,10 @@ def trie_pairs(x: np.ndarray, top: int, bits: int, budget: int, leaf: int = 48,
         amid, bmid = ahi - (c[ahi] - c[alo]), bhi - (c[bhi] - c[blo])
         same = alo == blo  # a node with itself: its halves meet once
         children = [
-            (alo, amid, blo, bmid, diff, None),
-            (amid, ahi, bmid, bhi, diff, None),
             (alo, amid, bmid, bhi, diff + 1, None),
             (amid, ahi, blo, bmid, diff + 1, ~same),
+            (amid, ahi, bmid, bhi, diff, None),
+            (alo, amid, blo, bmid, diff, None),
         ]
         out = []
         for p, q, r, s, d, which in children:
@@ -158,21 +188,25 @@ def trie_pairs(x: np.ndarray, top: int, bits: int, budget: int, leaf: int = 48,
         work.append((depth + 1, *(np.concatenate(v) for v in zip(*out, strict=True))))
 
 
-def _leaves(x, alo, ahi, blo, bhi, budget, most):
-    size = (ahi - alo) * (bhi - blo)
-    cuts = np.append(0, np.cumsum(size))
+def _leaves(x, alo, ahi, blo, bhi, budget, links, most):
     at = 0
-    while at < len(size):  # whole node pairs, about `most` comparisons at a time
-        to = max(at + 1, int(np.searchsorted(cuts, cuts[at] + most, "right")) - 1)
-        s = size[at:to]
-        k = np.arange(int(s.sum())) - np.repeat(cuts[at:to] - cuts[at], s)
-        width = np.repeat((bhi - blo)[at:to], s)
-        i, j = np.repeat(alo[at:to], s) + k // width, np.repeat(blo[at:to], s) + k % width
+    while at < len(alo):  # whole node pairs, about `most` comparisons at a time
+        size = (ahi[at:] - alo[at:]) * (bhi[at:] - blo[at:])
+        to = at + max(1, int(np.searchsorted(np.cumsum(size[: most + 1]), most, "right")))
+        pick = np.arange(at, min(to, len(alo)))
+        at = to
+        if links is not None:
+            pick = pick[~links.done(alo[pick], ahi[pick], blo[pick], bhi[pick])]
+        if not len(pick):
+            continue
+        s = (ahi[pick] - alo[pick]) * (bhi[pick] - blo[pick])
+        k = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s)
+        width = np.repeat(bhi[pick] - blo[pick], s)
+        i, j = np.repeat(alo[pick], s) + k // width, np.repeat(blo[pick], s) + k % width
         ok = i < j
         i, j = i[ok], j[ok]
         ok = np.bitwise_count(x[i] ^ x[j]) <= budget
         yield i[ok], j[ok]
-        at = to
 
 
 def forest(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -205,9 +239,10 @@ def link_parts(plan: list[tuple[int, ...]], bits: int, budget: int):
             x = reorder(own, tuple(order), bits)
             o = np.argsort(x)
             x, own = x[o], own[o]
-            label = np.arange(len(x))
-            for i, j in trie_pairs(x, top, bits, budget):
-                label = forest(label, i, j)
+            links = Links(len(x), settled=1)
+            for i, j in trie_pairs(x, top, bits, budget, links):
+                links.add(i, j)
+            label = links.label
             k = np.flatnonzero(label != np.arange(len(x)))
             if len(k):
                 yield pa.RecordBatch.from_arrays([pa.array(own[k].view(np.int64)), pa.array(own[label[k]].view(np.int64))], names=["u", "v"])

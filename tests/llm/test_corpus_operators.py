@@ -20,7 +20,7 @@ from millrace.llm.pitman_yor import score_texts
 from millrace.llm.quality_rules import NAMES, quality_rules
 from millrace.llm.scratch import Scratch
 from millrace.llm.sharding import balanced_shards
-from millrace.llm.simhash import block_plan, forest, reorder, simhash_classes, trie_pairs
+from millrace.llm.simhash import Links, block_plan, forest, reorder, simhash_classes, trie_pairs
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.suffix_array_dedup import lcp_intervals, maximal_repeats, suffix_array_dedup
 from millrace.llm.toxicity import score_toxicity
@@ -99,6 +99,11 @@ def test_trie_join_is_every_pair():
             for i, j in trie_pairs(y[o], top, 64, 3, leaf=4, most=64):
                 got |= {(min(a, b), max(a, b)) for a, b in zip(x[o][i].tolist(), x[o][j].tolist())}
         assert got == want
+        x = np.sort(x)
+        links = Links(len(x), settled=1)
+        for i, j in trie_pairs(x, 0, 64, 3, links):
+            links.add(i, j)
+        assert len(set(links.label)) == len(set(brute.components(x.tolist(), lambda a, b: (a ^ b).bit_count() <= 3).values()))
     assert forest(np.arange(5), np.array([4, 3]), np.array([3, 1])).tolist() == [0, 1, 2, 1, 1]
 
 
