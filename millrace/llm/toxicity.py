@@ -158,7 +158,7 @@ def scorer(model, threshold: float):
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = 8000, sample_bytes: int = 24 << 20, threshold: float = 0.7, least: float = 16.0, features: int = 4096, steps: int = 400, decay: float = 0.05, carry: tuple[str, ...] = ()) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, sample_rows: int = 8000, sample_bytes: int = 24 << 20, threshold: float = 0.7, least: float = 16.0, features: int = 4096, steps: int = 400, decay: float = 0.02, carry: tuple[str, ...] = ()) -> DataFrame:
     """Score each row of docs from 0 to 1 for toxicity, as labels (doc_id, toxic 0 or 1) mark it.
 
     held_out is a Column over docs; labels of rows for which it is true are not learned from, and labels, lang, source and
@@ -176,11 +176,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, sample_rows: in
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"), F.struct(*(carry or ["doc_id"])).alias("row"))
     known = labels.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
-    learn = docs.where("not coalesce(held_out, false) and text is not null").select("doc_id", "text").join(known, "doc_id")
-    rows, size = learn.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    learn = docs.where("not coalesce(held_out, false) and text is not null")
+    rows, size = learn.select("doc_id", F.octet_length("text").alias("n")).join(known, "doc_id").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     share = min(1.0, sample_rows / max(rows, 1), sample_bytes / max(size, 1))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
-    sample = learn.select("text", "label", draw.alias("draw")).where(F.col("draw") <= share * (1 << 40))
+    sample = learn.select("doc_id", "text", draw.alias("draw")).where(F.col("draw") <= share * (1 << 40))  # before the join, which so moves little text
+    sample = sample.join(known, "doc_id").select("text", "label", "draw")
     sample = Scratch(spark, "toxicity").save(sample)
     pos, neg = (sample.where(F.col("label") == k).count() for k in (1, 0))
     found = sample.where("label = 1").mapInArrow(features_of(), "data binary, label int, draw long").toLocalIterator()
