@@ -33,6 +33,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+LETTERS = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: All windows of the items, joined with all runs of as many words in the documents.
+DECONTAMINATION = r"""WITH d AS (SELECT doc_id, regexp_extract_all({LETTERS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM documents),
+  b AS (SELECT item_id, regexp_extract_all({LETTERS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS a FROM benchmark),
+  bw AS (SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(a) - n + 2), lambda i: array_to_string(a[i:i + n - 1], ' '))) AS k FROM (SELECT item_id, a, least(13, len(a)) AS n FROM b WHERE len(a) > 0)),
+  dw AS (SELECT doc_id, n, unnest(list_transform(range(1, len(a) - n + 2), lambda i: array_to_string(a[i:i + n - 1], ' '))) AS k, unnest(range(1, len(a) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM bw) WHERE len(a) >= n),
+  m AS (SELECT doc_id, n, i, item_id FROM dw JOIN bw USING (n, k)),
+  h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM m) GROUP BY doc_id),
+  s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m WHERE item_id IS NOT NULL) GROUP BY doc_id)
+  SELECT d.doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(a) AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)""".replace("{LETTERS}", LETTERS)
+#: All windows of 50 words by hash, and the first document of each.
+SUBSTRING_DEDUP = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents),
+  k AS (SELECT doc_id, unnest(list_transform(range(1, len(a) - 48), lambda i: md5(array_to_string(a[i:i + 49], ' ')))) AS h, unnest(range(1, len(a) - 48)) AS i FROM w),
+  f AS (SELECT h, min(doc_id) AS first FROM k GROUP BY h HAVING count(*) > 1),
+  hit AS (SELECT DISTINCT doc_id, i + j AS pos FROM k JOIN f USING (h) CROSS JOIN (SELECT unnest(range(0, 50)) AS j) WHERE first < doc_id),
+  t AS (SELECT doc_id, unnest(a) AS word, unnest(range(1, len(a) + 1)) AS pos FROM w),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS x, count(*) AS n FROM t ANTI JOIN hit USING (doc_id, pos) GROUP BY doc_id)
+  SELECT w.doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(len(a) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """None yet: each of these is tested against a brute-force version instead."""
-    return {}
+    """SQL has no suffix arrays, XXH64, zstandard, or training: those operators are tested against plain versions."""
+    return {"op2_decontamination": DECONTAMINATION, "op8_substring_dedup": SUBSTRING_DEDUP}
