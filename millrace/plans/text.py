@@ -77,8 +77,8 @@ def label_extract(t):
 
 @query("SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'long' WHEN 1 THEN 'short' ELSE 'medium' END AS style FROM orders")
 def caption_style(t):
-    key = F.element_at(F.array(F.lit("qwen_caption"), F.lit("qwen_caption_short"), F.lit("qwen_caption_medium")), (F.col("o_orderkey") % 3 + 1).cast("int"))
-    return t.orders.select("o_orderkey", text.caption_style(key, "qwen_caption").alias("style"))
+    key = F.element_at(F.array(F.lit("model_caption"), F.lit("model_caption_short"), F.lit("model_caption_medium")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    return t.orders.select("o_orderkey", text.caption_style(key, "model_caption").alias("style"))
 
 
 @query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false ELSE NULL END AS flag FROM orders")
@@ -106,7 +106,7 @@ def caption_fallback(t):
 
 @query("SELECT p_partkey, replace(lower(p_type), '_', ' ') AS command FROM part")
 def command_from_name(t):
-    name = F.concat(F.lit("a/b/KITCHEN_SCENE"), F.col("p_size"), F.lit("_"), F.replace(F.lower("p_type"), F.lit(" "), F.lit("_")), F.lit(".hdf5"))
+    name = F.concat(F.lit("a/b/ROOM_SCENE"), F.col("p_size"), F.lit("_"), F.replace(F.lower("p_type"), F.lit(" "), F.lit("_")), F.lit(".hdf5"))
     return t.part.select("p_partkey", text.command_from_name(name).alias("command"))
 
 
