@@ -33,6 +33,26 @@ def epoch_structure(demos: int, success: int, failure: int, p: float, q: float)
     return (more_d, s, f) if demos < more_d else (demos, int(more_r * q), int(more_r * (1 - q)))
 
 
+def epoch_structures(demos: Column, success: Column, failure: Column, p: float, q: float) -> Column:
+    """epoch_structure() of columns, as a struct of demo, success and failure; 0 < p < 1 and 0 < q < 1."""
+    if not (0 < p < 1 and 0 < q < 1):
+        raise ValueError("shares must be between 0 and 1")
+    whole = lambda c: F.floor(c).cast("long")
+    more_s, more_f = whole(failure * q / (1 - q)), whole(success * (1 - q) / q)
+    both = (success > 0) & (failure > 0)
+    s = F.when(both & (success < more_s), more_s).otherwise(success)
+    f = F.when(both & (success >= more_s), more_f).otherwise(failure)
+    share = F.when(both, F.lit(q)).otherwise((success > 0).cast("double"))
+    more_d, more_r = whole((s + f) * p / (1 - p)), whole(demos * (1 - p) / p)
+    few = (demos == 0) | (demos < more_d)
+    none = success + failure == 0
+    return F.struct(
+        F.when(none | ~few, demos).when(demos == 0, 0).otherwise(more_d).cast("long").alias("demo"),
+        F.when(none, 0).when(few, s).otherwise(whole(more_r * share)).cast("long").alias("success"),
+        F.when(none, 0).when(few, f).otherwise(whole(more_r * (1 - share))).cast("long").alias("failure"),
+    )
+
+
 def sample_type(idx: Column, demos: int, success: int) -> Column:
     return F.when(idx < demos, "demo").when(idx < demos + success, "success").otherwise("failure")
 

@@ -42,10 +42,18 @@ def strided_concat(t):
     return rows.groupBy((F.col("n") % 5).alias("batch")).agg(F.count("*").alias("rows"), F.min("n").alias("first"))
 
 
-@query("SELECT d, s, f, demo, success, failure FROM (VALUES (100, 30, 10, 10, 10, 0.5)) v(d, s, f, a, b, p) CROSS JOIN (SELECT 100 AS demo, 50 AS success, 50 AS failure)")
+@query("""WITH n AS (SELECT n_nationkey AS grp, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS d, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000) AS s,
+  (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal <= 5000) AS f FROM nation),
+  r AS (SELECT *, CASE WHEN s = 0 THEN 0 WHEN f = 0 THEN s WHEN s < floor(f * 0.25 / 0.75) THEN floor(f * 0.25 / 0.75) ELSE s END AS s2,
+  CASE WHEN s = 0 THEN f WHEN f = 0 THEN 0 WHEN s < floor(f * 0.25 / 0.75) THEN f ELSE floor(s * 0.75 / 0.25) END AS f2, CASE WHEN s = 0 THEN 0 WHEN f = 0 THEN 1 ELSE 0.25 END AS q FROM n)
+  SELECT grp, CAST(CASE WHEN s + f = 0 THEN d WHEN d = 0 THEN 0 WHEN d < s2 + f2 THEN s2 + f2 ELSE d END AS BIGINT) AS demo, CAST(CASE WHEN s + f = 0 THEN 0 WHEN d = 0 OR d < s2 + f2 THEN s2 ELSE floor(d * q) END AS BIGINT) AS success,
+  CAST(CASE WHEN s + f = 0 THEN 0 WHEN d = 0 OR d < s2 + f2 THEN f2 ELSE floor(d * (1 - q)) END AS BIGINT) AS failure FROM r""")
 def epoch_structure(t):
-    out = mixture.epoch_structure(100, 30, 10, 0.5, 0.5)
-    return t.spark.createDataFrame([(100, 30, 10, *out)], "d int, s int, f int, demo int, success int, failure int")
+    d = t.customer.groupBy(F.col("c_nationkey").alias("grp")).agg(F.count("*").alias("d"))
+    good = F.col("s_acctbal") > 5000
+    s = t.supplier.groupBy(F.col("s_nationkey").alias("grp")).agg(F.sum(good.cast("long")).alias("s"), F.sum((~good).cast("long")).alias("f"))
+    rows = t.nation.select(F.col("n_nationkey").alias("grp")).join(d, "grp", "left").join(s, "grp", "left").na.fill(0)
+    return rows.select("grp", mixture.epoch_structures(F.col("d"), F.col("s"), F.col("f"), 0.5, 0.25).alias("e")).select("grp", "e.*")
 
 
 @query("SELECT i AS idx, CASE WHEN i < 100 THEN 'demo' WHEN i < 150 THEN 'success' ELSE 'failure' END AS kind FROM (SELECT unnest(range(0, 200)) AS i)")

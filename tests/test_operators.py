@@ -196,3 +196,10 @@ def test_stream_equals_batch(spark, tmp_path):
     q.stop()
     want = events.groupBy("event_type").count()
     assert sorted(map(tuple, spark.sql("SELECT event_type, sum(n) FROM rollup GROUP BY event_type").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_epoch_structures_are_the_loop(spark):
+    cases = [(d, s, f) for d in (0, 3, 10, 100) for s in (0, 1, 7, 30) for f in (0, 2, 10, 60)]
+    rows = spark.createDataFrame(cases, "d long, s long, f long")
+    out = rows.select("*", mixture.epoch_structures(F.col("d"), F.col("s"), F.col("f"), 0.5, 0.25).alias("e")).collect()
+    assert all(tuple(r.e) == mixture.epoch_structure(r.d, r.s, r.f, 0.5, 0.25) for r in out)
