@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import difflib
+import functools
+import operator
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,11 +46,12 @@ def fuzzy_matcher(words: list[str], slack: float = 0.4, least: int = 6):
     characters are left to exact matching. Null text does not match.
     """
     phrases = [(w, len(w.split()), (len(w) - slack) / len(w)) for w in words if len(w) >= least]
+    matchers: dict[str, difflib.SequenceMatcher] = {}
 
     def near(text: str | None) -> bool:
         parts = (text or "").split()
         for phrase, n, need in phrases:
-            m = difflib.SequenceMatcher(None, "", phrase)
+            m = matchers.setdefault(phrase, difflib.SequenceMatcher(None, "", phrase))
             for i in range(len(parts) - n + 1):
                 m.set_seq1(" ".join(parts[i : i + n]))
                 if m.real_quick_ratio() >= need and m.quick_ratio() >= need and m.ratio() >= need:
@@ -63,6 +66,25 @@ def fuzzy_matcher(words: list[str], slack: float = 0.4, least: int = 6):
     return udf
 
 
+def fuzzy_hits(rows: DataFrame, key: str, column: str, words: list[str], slack: float = 0.4, least: int = 6) -> DataFrame:
+    """Keys of rows of which a run of words nearly equals a blocked phrase; see fuzzy_matcher().
+
+    Each distinct run is matched once, and only if its length can reach the similarity; both are native expressions.
+    """
+    phrases = [w for w in words if len(w) >= least]
+    parts, out = F.split(column, " "), None
+    for n in sorted({len(w.split()) for w in phrases}):
+        own = [w for w in phrases if len(w.split()) == n]
+        starts = F.when(F.size(parts) >= n, F.sequence(F.lit(1), F.size(parts) - n + 1)).otherwise(F.array().cast("array<int>"))
+        runs = rows.select(key, F.explode(F.transform(starts, lambda i: F.array_join(F.slice(parts, i, n), " "))).alias("_run"))  # noqa: B023
+        fits = [2 * F.least(F.length("_run"), F.lit(len(w))) / (F.length("_run") + len(w)) >= (len(w) - slack) / len(w) for w in own]
+        runs = runs.where(functools.reduce(operator.or_, fits))
+        near = runs.select("_run").distinct().where(fuzzy_matcher(own, slack, least)("_run"))
+        hit = runs.join(near, "_run").select(key)
+        out = hit if out is None else out.unionByName(hit)
+    return rows.select(key).limit(0) if out is None else out.distinct()
+
+
 def restore_allowed(censored: Column, original: Column, allowed: list[str]) -> Column:
     """Words of the original, in place of censored ones, where they are allowed once punctuation is dropped."""
     bare = lambda w: F.lower(F.regexp_replace(w, r"[^A-Za-z0-9 ]", ""))

@@ -8,17 +8,17 @@ from millrace.functions import text
 from millrace.operators import stats
 from millrace.plans.registry import query, r
 
-KEYWORDS = ["the", "de"]
+KEYWORDS = ["pathetic", "keit"]
 
 
 def _captions(t):
-    """Documents' first 200 characters as captions, some blank or missing."""
-    c = F.when(F.col("doc_id") % 17 == 0, F.lit("  ")).when(F.col("doc_id") % 19 == 0, F.lit(None)).otherwise(F.substring("text", 1, 200))
+    """Documents as captions, some blank or missing."""
+    c = F.when(F.col("doc_id") % 17 == 0, F.lit("  ")).when(F.col("doc_id") % 19 == 0, F.lit(None)).otherwise(F.col("text"))
     return t.documents.select("doc_id", c.alias("caption"), "source", "lang")
 
 
-CAPTIONS_SQL = "c AS (SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN '  ' WHEN doc_id % 19 = 0 THEN NULL ELSE substring(text, 1, 200) END AS caption, source, lang FROM documents)"
-HIT_SQL = "(contains(lower(caption), 'the') OR contains(lower(caption), 'de'))"
+CAPTIONS_SQL = "c AS (SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN '  ' WHEN doc_id % 19 = 0 THEN NULL ELSE text END AS caption, source, lang FROM documents)"
+HIT_SQL = "(contains(lower(caption), 'pathetic') OR contains(lower(caption), 'keit'))"
 PASS_SQL = f"(caption IS NULL OR trim(caption) = '' OR NOT {HIT_SQL})"
 
 
@@ -35,14 +35,17 @@ def caption_filter_stats(t):
     return rows.agg(F.count("*").alias("total"), n.alias("filtered"), (F.count("*") - n).alias("passed"), r(100 * stats.rate(~F.col("ok")), 9).alias("rate"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(lower(substring(text, 1, 120)), '[^\\x00-\\x7F]+', ' ', 'g'), '\\s+', ' ', 'g')) AS clean FROM documents")
+CLEAN_SQL = r"trim(regexp_replace(regexp_replace(lower(text), '[^\x00-\x7F]+', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, {CLEAN_SQL} AS clean FROM documents")
 def normalize_text(t):
-    return t.documents.select("doc_id", text.normalize(F.substring("text", 1, 120)).alias("clean"))
+    return t.documents.select("doc_id", text.normalize(F.col("text")).alias("clean"))
 
 
-@query("SELECT DISTINCT trim(regexp_replace(regexp_replace(lower(substring(text, 1, 4)), '[^\\x00-\\x7F]+', ' ', 'g'), '\\s+', ' ', 'g')) AS word FROM documents")
+@query(f"SELECT DISTINCT word FROM (SELECT unnest(string_split({CLEAN_SQL}, ' ')) AS word FROM documents)")
 def dedupe_normalized(t):
-    return t.documents.select(text.normalize(F.substring("text", 1, 4)).alias("word")).distinct()
+    return t.documents.select(F.explode(F.split(text.normalize(F.col("text")), " ")).alias("word")).distinct()
 
 
 BLOCKED = ["idiot", "clown", "moron"]
@@ -55,17 +58,16 @@ def blocklist_exact(t):
 
 @query()
 def blocklist_fuzzy(t):
-    near = text.fuzzy_matcher(["pathetic", "worthless", "disgusting"], slack=1.0)
-    rows = t.documents.where(F.length("text") < 400).select("doc_id", text.normalize(F.col("text")).alias("clean"))  # short captions
-    return rows.where(near("clean")).select("doc_id")
+    rows = t.documents.select("doc_id", text.normalize(F.col("text")).alias("clean"))
+    return text.fuzzy_hits(rows, "doc_id", "clean", ["pathetic", "worthless", "disgusting"], slack=1.0)
 
 
-@query("SELECT doc_id, w AS word FROM (SELECT doc_id, CASE WHEN lower(regexp_replace(a, '[^A-Za-z0-9 ]', '', 'g')) IN ('the', 'of') THEN a ELSE '***' END AS w FROM (SELECT doc_id, split_part(regexp_replace(text, '\\s+', ' ', 'g'), ' ', 2) AS a FROM documents) WHERE a <> '')")
+@query(r"""SELECT doc_id, array_to_string(list_transform(string_split(regexp_replace(text, '\s+', ' ', 'g'), ' '),
+  lambda w: CASE WHEN lower(regexp_replace(w, '[^A-Za-z0-9 ]', '', 'g')) IN ('the', 'of') THEN w ELSE '***' END), ' ') AS restored FROM documents""")
 def whitelist_restore(t):
-    rows = t.documents.select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("x")).where(F.size(F.split("x", " ")) > 1)
-    second = F.get(F.split("x", " "), F.lit(1))
-    rows = rows.where(second != "").select("doc_id", second.alias("o"))
-    return rows.select("doc_id", text.restore_allowed(F.lit("***"), F.col("o"), ["the", "of"]).alias("word"))
+    rows = t.documents.select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("x"))
+    censored = F.array_join(F.transform(F.split("x", " "), lambda _: F.lit("***")), " ")
+    return rows.select("doc_id", text.restore_allowed(censored, F.col("x"), ["the", "of"]).alias("restored"))
 
 
 @query("SELECT doc_id, CASE WHEN toxic = 1 THEN 'Unsafe' ELSE 'Safe' END AS label, CASE WHEN toxic = 1 THEN 'Insult' ELSE 'None' END AS category FROM labels")
