@@ -66,6 +66,15 @@ def fuzzy_matcher(words: list[str], slack: float = 0.4, least: int = 6):
     return udf
 
 
+def word_runs(words: Column, n: int) -> Column:
+    """All runs of n words, joined by blanks. The words are evaluated n times, not once for each run."""
+    width = F.greatest(F.size(words) - n + 1, F.lit(0))
+    out = F.slice(words, 1, width)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(words, k + 1, width), lambda a, b: F.concat_ws(" ", a, b))
+    return out
+
+
 def fuzzy_hits(rows: DataFrame, key: str, column: str, words: list[str], slack: float = 0.4, least: int = 6) -> DataFrame:
     """Keys of rows of which a run of words nearly equals a blocked phrase; see fuzzy_matcher().
 
@@ -75,8 +84,7 @@ def fuzzy_hits(rows: DataFrame, key: str, column: str, words: list[str], slack:
     parts, out = F.split(column, " "), None
     for n in sorted({len(w.split()) for w in phrases}):
         own = [w for w in phrases if len(w.split()) == n]
-        starts = F.when(F.size(parts) >= n, F.sequence(F.lit(1), F.size(parts) - n + 1)).otherwise(F.array().cast("array<int>"))
-        runs = rows.select(key, F.explode(F.transform(starts, lambda i: F.array_join(F.slice(parts, i, n), " "))).alias("_run"))  # noqa: B023
+        runs = rows.select(key, F.explode(word_runs(parts, n)).alias("_run"))
         fits = [2 * F.least(F.length("_run"), F.lit(len(w))) / (F.length("_run") + len(w)) >= (len(w) - slack) / len(w) for w in own]
         runs = runs.where(functools.reduce(operator.or_, fits))
         near = runs.select("_run").distinct().where(fuzzy_matcher(own, slack, least)("_run"))

@@ -133,6 +133,13 @@ def test_fuzzy_thresholds(spark):
     assert hits(1.0) == [True, False, False] and hits(0.5) == [False, False, False]
 
 
+def test_fuzzy_hits_are_the_matcher(spark):
+    rows = spark.createDataFrame([(1, "so badw0rd"), (2, "two wrrd phrase"), (3, "badly"), (4, None), (5, "")], "k int, x string")
+    words = ["badword", "word phrase"]
+    want = {r.k for r in rows.where(text.fuzzy_matcher(words, 1.0)("x")).collect()}
+    assert {r.k for r in text.fuzzy_hits(rows, "k", "x", words, 1.0).collect()} == want == {1, 2}
+
+
 def test_captions(spark):
     rows = spark.createDataFrame([("A panel",), (" ",), (None,), ("dog",)], "c string")
     keep = lambda inc: [r[0] for r in rows.select(text.caption_passes(F.col("c"), ["pan"], inc)).collect()]
