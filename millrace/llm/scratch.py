@@ -1,7 +1,7 @@
 """Written intermediate tables in the folder that all executors share.
 
 Stages hand their rows on as Parquet in spark.checkpoint.dir, so a lost executor costs only the tasks that ran on
-it, and no stage recomputes another. Where the session names no folder (tests), one is made for it.
+it, and no stage recomputes another. Where a local session names no folder (tests), one is made for it.
 """
 
 from __future__ import annotations
@@ -13,11 +13,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _own.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="millrace-")
+        _own[context.applicationId] = base
     return base.rstrip("/")
 
 
