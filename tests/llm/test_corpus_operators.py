@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from millrace.llm import near_duplicates as near_module
 from millrace.llm import repeats
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.graph import components
@@ -205,7 +206,9 @@ def test_sharding(docs, pairs):
     assert all(len(v) == 1 for v in home.values())
 
 
-def test_near_duplicates(spark, docs, pairs):
+@pytest.mark.parametrize("many", [1_000_000, 5])
+def test_near_duplicates(spark, docs, pairs, monkeypatch, many):
+    monkeypatch.setattr(near_module, "MANY", many)
     words = lambda t: brute.data(t).translate(brute.LOWER).split()
     shingles = lambda t: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w := words(t)) >= 5 else {tuple(w)}
     group = {r.key: r.group_id for r in near_duplicate_groups(docs).collect()}
