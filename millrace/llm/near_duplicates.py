@@ -1,9 +1,9 @@
-"""Near-duplicate groups by wide SimHash sketches, with the trie self-join of simhash.py for candidates.
+"""Near-duplicate groups by an exact join of shingle sets.
 
-One 64-bit fingerprint cannot tell a shingle similarity of 0.8: such texts differ in ten of its bits on average. So a sketch of
-768 bits is taken of a text's distinct shingles. Its 24 words of 32 bits (of very many texts, 16 words of
-48) are each joined in tries at two (four) differing bits, which at a similarity of 0.8 finds 97 pairs in a hundred, and at 0.85 nearly all; the similarity of a candidate pair is then
-estimated from all 768 bits. Estimates near the limit are replaced by exact similarities.
+Every text's distinct shingles are put in one order, rare ones first. Two texts of a Jaccard similarity of `similarity` or more
+share one of the first n - ceil(similarity * n) + 1 of either, so texts meet by those, in a list for each such shingle; sizes and
+places rule out most chance meetings, and every other pair is decided by its two shingle sets. In a list of many texts all are
+first compared with one; then every pair of texts that are not in one group yet is compared too.
 """
 
 from __future__ import annotations
@@ -19,48 +19,49 @@ from millrace.llm import textops as T
 from millrace.llm.graph import components
 from millrace.llm.joins import lookup
 from millrace.llm.scratch import Scratch
-from millrace.llm.simhash import Links, block_plan, majority_bits, reorder, trie_pairs
 
 U = np.uint64
-#: An estimate's standard error is 0.02: further below the limit a pair is no link, further above it is one.
-MARGIN = 0.06
 #: log2 of the bits that mark the texts whose shingles are compared; more texts only mean more chance hits.
 MARK_BITS = 24
-WORDS = 12  # of 64 bits
-#: In one trie, a component of more values is handed on as pairs with its smallest key, not as all pairs.
-STAR = 6
-#: Texts up to which words of 32 bits and two errors are selective enough; more get words of 48 bits and four errors, which
-#: as many similar pairs share and far fewer others.
-MANY = 1_000_000
+#: Lists of more texts are first compared with one of them.
+STAR = 16
+#: Counters of shingles. They only order the shingles: with fewer, more pairs are compared, and the same are found.
+MANY = 1 << 23
+#: Against rounding: 0.8 * 15 may be a little over 12.
+TINY = 1e-9
 
 
-def word_shape(nodes: int) -> tuple[int, int]:
-    """Bits of a word, and the errors that it may have."""
-    return (32, 2) if nodes <= MANY else (48, 4)
+def counter(h: np.ndarray, many: int) -> np.ndarray:
+    return ((h >> U(32)) * U(many) >> U(32)).astype(np.int64)
 
 
-def table_values(words: list[np.ndarray], bits: int) -> Iterator[np.ndarray]:
-    """The sketch's words of `bits` bits, one after another."""
-    for at in range(0, 64 * len(words) - bits + 1, bits):
-        i, shift = divmod(at, 64)
-        value = words[i] >> U(shift)
-        if shift + bits > 64:
-            value = value | (words[i + 1] << U(64 - shift))
-        yield value & U((1 << bits) - 1)
+def fresh(key: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Places of the keys that are not in `seen`, each once; they are added to it."""
+    some, at = np.unique(key, return_index=True)
+    new = np.array([k not in seen for k in some.tolist()], bool)
+    seen.update(some[new].tolist())
+    return np.sort(at[new])
 
 
-def sketcher(size: int):
+def counted(size: int, many: int):
+    """Rows (doc, key, text) to (doc, key, number of shingles), and rows of the task's counters."""
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times, seen = np.zeros(many, np.uint16), set()
         for batch in it:
-            words = np.zeros((WORDS, batch.num_rows), np.uint64)
-            count = np.zeros(batch.num_rows, np.int64)
+            key, n = T.longs(batch.column(1)), np.zeros(batch.num_rows, np.int64)
+            new = np.zeros(batch.num_rows, bool)
+            new[fresh(key, seen)] = True
             for lo, hi, buf, offs in T.text_slices(batch.column(2)):
-                h, heads = shingle_hashes(buf, offs, size)
-                count[lo:hi] = np.diff(heads)
-                for k in range(WORDS):
-                    words[k, lo:hi] = majority_bits(T.mix(h + U((k + 1) * 0xA24BAED4963EE407 % (1 << 64))), heads)
-            columns = [batch.column(0), batch.column(1), pa.array(count), *(pa.array(w.view(np.int64)) for w in words)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "key", "n", *(f"s{k}" for k in range(WORDS))])
+                h, first = shingle_hashes(buf, offs, size)
+                n[lo:hi] = np.diff(first)
+                at, more = np.unique(counter(h, many)[np.repeat(new[lo:hi], n[lo:hi])], return_counts=True)
+                times[at] = np.minimum(times[at] + more, 65535)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.nulls(len(n), pa.binary())], names=["doc", "key", "n", "data"])
+        some = np.flatnonzero(times)
+        for i in range(0, len(some), 1 << 20):
+            at = some[i : i + (1 << 20)]
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([0]), pa.array([T.pack(at.astype(np.uint32), times[at])], pa.binary())], names=["doc", "key", "n", "data"])
 
     return run
 
@@ -104,13 +105,16 @@ def shingle_sets(size: int, marks):
     """Rows (key, text) of marked keys to their shingle sets."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        bits = np.unpackbits(marks.value).astype(bool)
         for batch in it:
             key = T.longs(batch.column(0))
-            pick = np.flatnonzero(marks.value[mark(key)])
+            pick = np.flatnonzero(bits[mark(key)])
+            pick = pick[fresh(key[pick], seen)]
             texts = batch.column(1).take(pa.array(pick))
             for lo, hi, buf, offs in T.text_slices(texts):
                 h, first = shingle_hashes(buf, offs, size)
-                sets = [T.pack((h[a:b] >> U(32)).astype(np.uint32)) for a, b in zip(first[:-1], first[1:], strict=True)]
+                sets = [T.pack(h[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(key[pick[lo:hi]]), pa.array(sets, pa.binary())], names=["key", "shingles"])
 
     return run
@@ -122,117 +126,160 @@ def alike(similarity: float):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ok = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                (x,), (y,) = T.unpack(a), T.unpack(b)
-                both = len(np.intersect1d(x, y))
-                ok.append(both >= similarity * (len(x) + len(y) - both))
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                (x,), (y,) = T.unpack(a.as_py()), T.unpack(b.as_py())
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similarity * (len(x) + len(y) - both) - TINY)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok, pa.bool_())), batch.column(1).filter(pa.array(ok, pa.bool_()))], names=["u", "v"])
 
     return run
 
 
-def deal(plan: list[tuple[int, ...]], bits: int, parts: int):
-    """Classes to packed (key, value) by trie."""
+def deal(size: int, similarity: float, times, parts: int):
+    """Rows (key, text) to packed (shingle, key, size of the set, place in its order) of the first shingles, by shingle."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in it:
             key = T.longs(batch.column(0))
+            pick = fresh(key, seen)
             out: list[tuple[np.ndarray, ...]] = []
-            for t, value in enumerate(table_values([np.asarray(batch.column(1 + k)).view(np.uint64) for k in range(WORDS)], bits)):
-                for c, (top, *order) in enumerate(plan):
-                    mask = sum(1 << (bits - 1 - b) for b in order[:top])
-                    tag = t * len(plan) + c
-                    h = T.mix(T.mix(value & U(mask)) + U(tag + 1))
-                    out.append(((h >> U(32)) * U(parts) >> U(32), np.full(len(key), tag, np.uint16), value.astype(np.uint32) if bits <= 32 else value, key))
-            part, tag, value, key = (np.concatenate(x) for x in zip(*out, strict=True))
+            for lo, hi, buf, offs in T.text_slices(batch.column(1).take(pa.array(pick))):
+                h, first = shingle_hashes(buf, offs, size)
+                n = np.diff(first)
+                doc = np.repeat(np.arange(hi - lo), n)
+                count = times.value[counter(h, len(times.value))]
+                o = np.lexsort((h, count, doc))
+                place = np.arange(len(h)) - first[doc]
+                most = n - np.ceil(similarity * n - TINY).astype(np.int64) + 1
+                some = np.flatnonzero((place < most[doc]) & (count[o] > 1))  # a shingle of one text meets none
+                out.append((h[o[some]], key[pick[lo:hi]][doc[some]], n[doc[some]].astype(np.int32), place[some].astype(np.int32)))
+            if not out:
+                continue
+            columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+            part = (T.mix(columns[0]) >> U(32)) * U(parts) >> U(32)
             o = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[o], np.arange(parts + 1, dtype=np.uint64))
             for p in np.flatnonzero(np.diff(cuts)).tolist():
                 i = o[cuts[p] : cuts[p + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([T.pack(tag[i], value[i], key[i])], pa.binary())], names=["part", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([T.pack(*(c[i] for c in columns))], pa.binary())], names=["part", "data"])
 
     return run
 
 
-def hubs(label: np.ndarray, key: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of the keys at some places with the smallest key of their component."""
-    by = np.lexsort((key, label))
-    head = by[np.append(True, np.diff(label[by]) != 0)] if len(by) else by
-    hub = np.empty(len(label), np.int64)
-    hub[label[head]] = key[head]
-    return hub[label[places]], key[places]
+def may_be_alike(i: np.ndarray, j: np.ndarray, n: np.ndarray, place: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the sets at places i and j can be similar if the list's shingle is the first that they share."""
+    both = np.minimum(n[i] - place[i], n[j] - place[j])
+    return both >= similarity / (1 + similarity) * (n[i].astype(np.int64) + n[j]) - TINY
+
 
+def pair_batch(us: list[np.ndarray], vs: list[np.ndarray]) -> pa.RecordBatch:
+    """Pairs, each once, the smaller key first."""
+    u, v = np.concatenate(us), np.concatenate(vs)
+    u, v = np.minimum(u, v), np.maximum(u, v)
+    o = np.lexsort((v, u))
+    u, v = u[o], v[o]
+    some = (u != v) & np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]))[: len(u)]
+    return pa.RecordBatch.from_arrays([pa.array(u[some]), pa.array(v[some]), pa.nulls(int(some.sum()), pa.binary())], names=["u", "v", "data"])
 
-def candidates(plan: list[tuple[int, ...]], bits: int, budget: int):
-    """Packed (key, value) of tries to candidate pairs (u, v), each once."""
+
+def candidates(similarity: float, star: int):
+    """Packed lists to pairs (u, v) of short lists, and of long ones with their smallest key; packed rows of the long lists."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [x for batch in it for x in batch.column(1).to_pylist()]
         if not blobs:
             return
-        tag, value, key = T.unpack_all(blobs)
-        by_tag = np.argsort(tag, kind="stable")
-        cuts = np.flatnonzero(np.append(True, np.diff(tag[by_tag]) != 0))
+        h, key, n, place = T.unpack_all(blobs)
+        blobs.clear()
+        o = np.lexsort((key, h))
+        o = o[np.append(True, (h[o[1:]] != h[o[:-1]]) | (key[o[1:]] != key[o[:-1]]))] if len(o) else o
+        h, key, n, place = h[o], key[o], n[o], place[o]
+        head = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+        long = np.diff(np.append(head, len(h)))
+        first, long = np.repeat(head, long), np.repeat(long, long)
         us, vs = [], []
-        for lo, hi in zip(cuts, np.append(cuts[1:], len(tag)), strict=True):
-            own = by_tag[lo:hi]
-            top, *order = plan[int(tag[own[0]]) % len(plan)]
-            x = reorder(value[own].astype(np.uint64), tuple(order), bits)
-            o = np.lexsort((key[own], x))
-            x, k = x[o], key[own][o]
-            head = np.flatnonzero(np.append(True, x[1:] != x[:-1]))  # equal values: each with the first
-            first = np.repeat(head, np.diff(np.append(head, len(x))))
-            rest = np.flatnonzero(first != np.arange(len(x)))
-            us.append(k[first[rest]])
-            vs.append(k[rest])
-            x, k = x[head], k[head]
-            links, found = Links(len(x), settled=STAR), []
-            for i, j in trie_pairs(x, top, bits, budget, links):
-                links.add(i, j)
-                small = links.size[links.label[i]] <= STAR
-                found.append((i[small], j[small]))
-            size = links.size[links.label]
-            if found:
-                i, j = (np.concatenate(y) for y in zip(*found, strict=True))
-                small = size[i] <= STAR
-                us.append(k[i[small]])
-                vs.append(k[j[small]])
-            a, b = hubs(links.label, k, np.flatnonzero(size > STAR))
-            us.append(a)
-            vs.append(b)
-        u, v = np.concatenate(us), np.concatenate(vs)
-        some = u != v
-        pairs = np.unique(np.column_stack((np.minimum(u, v), np.maximum(u, v)))[some], axis=0)
-        if len(pairs):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
+        for gap in range(1, star):
+            i = np.flatnonzero((h[gap:] == h[:-gap]) & (long[gap:] <= star)) if gap < len(h) else np.zeros(0, np.int64)
+            i = i[may_be_alike(i, i + gap, n, place, similarity)]
+            us.append(key[i])
+            vs.append(key[i + gap])
+        big = np.flatnonzero(long > star)
+        some = big[may_be_alike(first[big], big, n, place, similarity)]
+        us.append(key[first[some]])
+        vs.append(key[some])
+        yield pair_batch(us, vs)
+        for at in range(0, len(big), 1 << 20):
+            i = big[at : at + (1 << 20)]
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([T.pack(h[i], key[i], n[i], place[i])], pa.binary())], names=["u", "v", "data"])
+
+    return run
+
+
+def long_lists(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        for data in batch.column(0).to_pylist():
+            h, key, n, place = T.unpack(data)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key), pa.array(n), pa.array(place)], names=["h", "key", "n", "place"])
+
+
+def pairs_between(similarity: float, step: int = 1 << 20):
+    """Rows (h, key, n, place, root), whole lists, to every pair of a list whose roots differ."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in it if b.num_rows]
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        h, key, n, place, root = (t[c].to_numpy() for c in ("h", "key", "n", "place", "root"))
+        o = np.lexsort((key, root, h))
+        h, key, n, place, root = h[o], key[o], n[o], place[o], root[o]
+        new = np.append(True, h[1:] != h[:-1])
+        end = np.append(np.flatnonzero(new)[1:], len(h))[np.cumsum(new) - 1]  # of each row's list
+        new |= np.append(True, root[1:] != root[:-1])
+        after = np.append(np.flatnonzero(new)[1:], len(h))[np.cumsum(new) - 1]  # of its rows of one root
+        many = end - after
+        sums = np.append(0, np.cumsum(many))
+        lo = 0
+        while lo < len(h):
+            hi = max(lo + 1, int(np.searchsorted(sums, sums[lo] + step, "right")) - 1)
+            i = np.repeat(np.arange(lo, hi), many[lo:hi])
+            j = T.ragged(after[lo:hi], many[lo:hi])
+            ok = may_be_alike(i, j, n, place, similarity)
+            yield pair_batch([key[i[ok]]], [key[j[ok]]])
+            lo = hi
 
     return run
 
 
-def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, per_part: int = 2_000_000) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, per_part: int = 400_000) -> DataFrame:
     """Groups of texts whose sets of `size`-word shingles are similar, with their classes of equal texts.
 
     Returns doc_id, key (xxhash64 of the text), group_id (the smallest doc_id of the group) and first (whether the row is the
     one that stays: that doc_id, and the smallest key of it). Words are runs of anything but space and \\t to \\r, A-Z
     lower-cased; a shorter text's whole sequence is its shingle. Two texts are linked at a Jaccard similarity of
-    `similarity` or more; groups are connected by links.
+    `similarity` or more; groups are connected by links. Shingles are told apart by 64-bit hashes; nothing else is approximate.
 
-    Null, empty and wordless texts have the zero sketch and form one group. A null doc_id counts as the largest. Repeated rows
+    Null, empty and wordless texts have no shingles and form one group. A null doc_id counts as the largest. Repeated rows
     (equal doc_id and text) are all `first` or none; dedup_near() keeps one of them. Other columns are ignored. An empty table gives no rows.
+    per_part: shingles that one task joins, about.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near_duplicates")
-    names = [f"s{k}" for k in range(WORDS)]
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(np.iinfo(np.int64).max))
-    rows = docs.select(doc.alias("doc"), F.xxhash64("text").alias("key"), "text")
-    rows = scratch.save(rows.mapInArrow(sketcher(size), f"doc long, key long, n long, {', '.join(f'{k} long' for k in names)}"))
-    classes = scratch.save(rows.groupBy("key").agg(F.min("doc").alias("doc"), F.count("*").alias("times"), F.first("n").alias("n"), *(F.first(k).alias(k) for k in names)))
-    nodes = classes.count()
-    bits, budget = word_shape(nodes)
-    plan = block_plan(nodes, bits, budget)
-    parts = max(1, -(-nodes * len(plan) * (64 * WORDS // bits) // per_part))
-    dealt = classes.where("n > 0").select("key", *names).mapInArrow(deal(plan, bits, parts), "part int, data binary").repartitionById(parts, F.col("part"))
-    pairs = scratch.save(dealt.mapInArrow(candidates(plan, bits, budget), "u long, v long").distinct())
+    texts = docs.select(F.xxhash64("text").alias("key"), "text")
+    both = scratch.save(docs.select(doc.alias("doc"), F.xxhash64("text").alias("key"), "text").mapInArrow(counted(size, MANY), "doc long, key long, n long, data binary"))
+    rows = both.where("data is null").select("doc", "key", "n")
+    classes = scratch.save(rows.groupBy("key").agg(F.min("doc").alias("doc"), F.count("*").alias("times"), F.first("n").alias("n")))
+    times = np.zeros(MANY, np.uint16)
+    for r in both.where("data is not null").select("data").toLocalIterator():
+        at, more = T.unpack(r.data)
+        times[at] = np.minimum(times[at].astype(np.int64) + more, 65535)
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-int(total * (1 - similarity)) // per_part))
+    shared = spark.sparkContext.broadcast(times)
+    dealt = texts.mapInArrow(deal(size, similarity, shared, parts), "part int, data binary").repartitionById(parts, F.col("part"))
+    met = scratch.save(dealt.mapInArrow(candidates(similarity, STAR), "u long, v long, data binary"))
 
     def with_ends(rows: DataFrame, table: DataFrame) -> DataFrame:
         """Pairs with the columns that table has for the keys of either end."""
@@ -243,22 +290,29 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
             rows = lookup(rows, side, end, "times", total)
         return rows
 
-    out = with_ends(pairs, classes.select("key", "n", *names))
-    differ = sum((F.bit_count(F.col(f"u_{k}").bitwiseXOR(F.col(f"v_{k}"))) for k in names), F.lit(0))
-    shared = F.cos(differ * (np.pi / (64 * WORDS))) * F.sqrt(F.col("u_n") * F.col("v_n"))
-    judged = scratch.save(out.select("u", "v", (shared / (F.col("u_n") + F.col("v_n") - shared)).alias("s")).where(F.col("s") >= similarity - MARGIN))
-    links = judged.where(F.col("s") > similarity + MARGIN).select("u", "v")
-    doubt = judged.where(F.col("s") <= similarity + MARGIN).select("u", "v")
-    marks = marked(doubt.select("u").unionByName(doubt.select(F.col("v").alias("u"))))
-    if marks.any():
-        texts = docs.select(F.xxhash64("text").alias("key"), "text")
-        sets = texts.mapInArrow(shingle_sets(size, spark.sparkContext.broadcast(marks)), "key long, shingles binary").dropDuplicates(["key"])
-        checked = with_ends(doubt, scratch.save(sets)).select("u", "v", "u_shingles", "v_shingles")
-        links = links.unionByName(checked.mapInArrow(alike(similarity), "u long, v long"))
+    def judged(pairs: DataFrame) -> DataFrame:
+        """The pairs that are similar, by their shingle sets."""
+        pairs = scratch.save(pairs.select("u", "v").distinct())
+        marks = marked(pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))))
+        if not marks.any():
+            return pairs
+        sets = texts.mapInArrow(shingle_sets(size, spark.sparkContext.broadcast(np.packbits(marks))), "key long, shingles binary").dropDuplicates(["key"])
+        ends = with_ends(pairs, scratch.save(sets)).select("u", "v", "u_shingles", "v_shingles")
+        return scratch.save(ends.mapInArrow(alike(similarity), "u long, v long"))
+
+    links = judged(met.where("data is null"))
     blank = classes.where("n = 0").select("key")
     hub = blank.agg(F.min("key").alias("u"))
     links = links.unionByName(blank.join(F.broadcast(hub)).select("u", F.col("key").alias("v")))
-    roots = components(links, scratch).withColumnRenamed("node", "key")
+    roots = scratch.save(components(links, scratch).withColumnRenamed("node", "key"))
+    lists = met.where("data is not null").select("data").mapInArrow(long_lists, "h long, key long, n int, place int")
+    lists = scratch.save(lists.join(roots, "key", "left").select("h", "key", "n", "place", F.coalesce("root", "key").alias("root")))
+    mixed = lists.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("h")
+    mixed = scratch.save(lists.join(mixed, "h"))
+    if not mixed.isEmpty():
+        more = judged(mixed.repartition(F.col("h")).mapInArrow(pairs_between(similarity), "u long, v long, data binary"))
+        tied = roots.select(F.col("key").alias("u"), F.col("root").alias("v"))
+        roots = scratch.save(components(tied.unionByName(more), scratch).withColumnRenamed("node", "key"))
     named = classes.join(roots, "key", "left").select("key", "doc", "times", F.coalesce("root", "key").alias("root"))
     named = scratch.save(named)
     best = named.groupBy("root").agg(F.min(F.struct("doc", "key")).alias("best"))

@@ -228,6 +228,25 @@ def test_near_duplicates(spark, docs, pairs, monkeypatch, many):
     assert len(ids) == len(set(ids)) == len({g for g in group.values()})
 
 
+def near_groups(spark, texts):
+    """Number of groups that near_duplicate_groups() makes of texts."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return len({r.group_id for r in near_duplicate_groups(df).collect()})
+
+
+def test_near_duplicates_far_from_the_first(spark):
+    """Variants at 0.87 to the original and 0.76 to each other: two words of 150 are changed, at other places in each."""
+    rng = np.random.default_rng(3)
+    original = [f"w{i}" for i in rng.integers(0, 10**6, 150)]
+    texts = []
+    for v in range(150):
+        words = list(original)
+        for at in (5 + rng.integers(0, 60), 75 + rng.integers(0, 60)):
+            words[at] = f"v{v}"
+        texts.append(" ".join(words))
+    assert near_groups(spark, [*texts, " ".join(original)]) == 1
+
+
 OPERATORS = {
     "suffix_array_dedup": suffix_array_dedup,
     "substring_dedup": substring_dedup,
