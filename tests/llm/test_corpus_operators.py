@@ -247,6 +247,20 @@ def test_near_duplicates_far_from_the_first(spark):
     assert near_groups(spark, [*texts, " ".join(original)]) == 1
 
 
+@pytest.mark.parametrize("many", [1 << 24, 5])
+def test_near_duplicates_at_the_limit(spark, monkeypatch, many):
+    """Pairs of a similarity of exactly 0.8, and just below it: 80 and 79 shingles shared of 100."""
+    monkeypatch.setattr(near_module, "MANY", many)
+    rng = np.random.default_rng(4)
+    texts, below = [], []
+    for _ in range(150):
+        w = [f"w{i}" for i in rng.integers(0, 10**6, 104)]
+        texts += [" ".join(w), " ".join(w[:84])]
+        below += [" ".join(w), " ".join(w[:83])]
+    assert near_groups(spark, texts) == 150
+    assert near_groups(spark, below) == 300
+
+
 OPERATORS = {
     "suffix_array_dedup": suffix_array_dedup,
     "substring_dedup": substring_dedup,
