@@ -261,6 +261,16 @@ def test_near_duplicates_at_the_limit(spark, monkeypatch, many):
     assert near_groups(spark, below) == 300
 
 
+def test_near_duplicates_of_few_shingles(spark):
+    """A text of eight words and the same with one word more: four of five shingles."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(100):
+        w = [f"w{i}" for i in rng.integers(0, 10**6, 9)]
+        texts += [" ".join(w[:8]), " ".join(w)]
+    assert near_groups(spark, texts) == 100
+
+
 OPERATORS = {
     "suffix_array_dedup": suffix_array_dedup,
     "substring_dedup": substring_dedup,
