@@ -133,7 +133,7 @@ def best_fit_packing(docs: DataFrame, capacity: int = 2048, source_limit: int =
     Tokens are words (runs of anything but space and \\t to \\r) and one end for each document. Returns a row per piece:
     doc_id, piece (from 0; all but a document's last have `capacity` tokens), n_tokens, bin_id, bin_offset (tokens before it
     in the bin) and bin_tokens (of all its pieces). No bin has over source_limit pieces of one source, or two whole
-    documents with equal texts.
+    documents with equal texts, or the same piece of two longer ones.
 
     Null and empty texts are one token, the end. A null source is a source of its own; null texts equal each other. Equal
     sizes go by doc_id (null last), then by text hash. Repeated rows are packed each, in different bins. Other columns are
@@ -149,8 +149,8 @@ def best_fit_packing(docs: DataFrame, capacity: int = 2048, source_limit: int =
         F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(groups)).cast("int").alias("part"),
         "doc_id",
         "source",
-        # parts of a longer text conflict with nothing: each stands for itself
-        F.when(F.col("n") > capacity, F.xxhash64("cluster", "piece", "doc_id")).otherwise(F.col("cluster")).alias("cluster"),
+        # equal pieces of copies conflict, as whole copies do; the pieces of one text do not
+        F.when(F.col("n") > capacity, F.xxhash64("cluster", "piece")).otherwise(F.col("cluster")).alias("cluster"),
         "piece",
         F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("piece") * capacity).alias("n_tokens"),
     )

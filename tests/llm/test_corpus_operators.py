@@ -191,6 +191,13 @@ def test_packing(docs, pairs):
         assert len(whole) == len(set(whole))
 
 
+def test_packing_copies_over_capacity(spark):
+    """Equal pieces of equal long texts never share a bin."""
+    texts = [(i, " ".join(f"w{k % 977}" for k in range(3000)), f"s{i}") for i in range(3)]
+    out = best_fit_packing(spark.createDataFrame(texts, "doc_id long, text string, source string")).collect()
+    assert len(out) == 6 and len({(r.bin_id, r.piece) for r in out}) == 6
+
+
 def test_sharding(docs, pairs):
     out = balanced_shards(docs, shards=5).collect()
     assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in out) == collections.Counter((d, len(brute.data(t)) + 1, zlib.crc32(brute.data(t))) for d, t in pairs)
