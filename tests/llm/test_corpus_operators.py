@@ -17,7 +17,7 @@ from millrace.llm.graph import components
 from millrace.llm.language_id import identify_languages
 from millrace.llm.near_duplicates import dedup_near, near_duplicate_groups
 from millrace.llm.packing import best_fit_packing
-from millrace.llm.pitman_yor import score_texts
+from millrace.llm.pitman_yor import DISCOUNT, STRENGTH, Level, score_texts
 from millrace.llm.quality_rules import NAMES, quality_rules
 from millrace.llm.scratch import Scratch
 from millrace.llm.sharding import balanced_shards
@@ -153,6 +153,25 @@ def test_language_model(docs, pairs):
     assert sum(r.score for r in own) > sum(r.base_score for r in own)
 
 
+@pytest.mark.parametrize("customers", [100, 1000, 3000])
+@pytest.mark.parametrize("p", [0.02, 0.5])
+def test_tables_of_many_customers(customers, p):
+    """Restaurants of one dish: the mean number of tables after some sweeps is that of the exact law."""
+    d, theta, most = DISCOUNT[2], STRENGTH[2], 100
+    log_s = np.append(0.0, np.full(most, -np.inf))
+    for c in range(customers):
+        stay = log_s + np.log(np.maximum(c - d * np.arange(most + 1), 1e-300))
+        log_s = np.logaddexp(stay, np.append(-np.inf, log_s[:-1]))
+    weight = log_s[1:] + np.cumsum(np.log((theta + d * np.arange(most)) * p))
+    weight = np.exp(weight - weight.max())
+    want = (weight * np.arange(1, most + 1)).sum() / weight.sum()
+    level = Level(2, np.arange(4000), np.zeros(4000, np.int64), np.full(4000, customers))
+    rng = np.random.default_rng(1)
+    for _ in range(8):
+        level.move(np.full(4000, p), rng)
+    assert abs(level.t.mean() - want) < 0.05 * want
+
+
 def test_toxicity(spark):
     rows, labels = [], []
     for i in range(120):
