@@ -101,19 +101,25 @@ def predictor(model):
 
 
 def sample_texts(labelled: DataFrame, rows: int, symbols_each: int) -> dict[str, list[np.ndarray]]:
-    """Some whole texts of each language in the order of a hash of doc_id, `symbols_each` symbols or the first text's worth.
+    """Some texts of each language in the order of a hash of doc_id, `symbols_each` symbols or the first text's worth.
 
-    At most about `rows` texts of a language are brought to the driver, each of at most symbols_each bytes.
+    At most about `rows` texts of a language are brought to the driver, each of at most symbols_each bytes: of a longer text
+    an excerpt, of a fourth as many characters at a place by the hash.
     """
-    fit = labelled.where(F.octet_length("text").between(1, symbols_each))
-    counts = {r[0]: r[1] for r in fit.groupBy("lang").count().toLocalIterator()}
+    some = labelled.where(F.octet_length("text") > 0)
+    long = F.octet_length("text") > symbols_each
+    most = symbols_each // 4  # characters, of up to four bytes
+    at = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.char_length("text") - most, F.lit(0)) + 1).cast("int") + 1
+    counts = {r[0]: r[1] for r in some.groupBy("lang").count().toLocalIterator()}
     if not counts:
         return {}
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, rows / n))]), F.col("lang"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     texts: dict[str, list[np.ndarray]] = {}
     held: dict[str, int] = {}
-    for r in sorted(fit.select("lang", "text", draw.alias("draw")).where(F.col("draw") < share * (1 << 30)).collect(), key=lambda r: (r.lang, r.draw, r.text)):
+    drawn = some.withColumn("draw", draw).where(F.col("draw") < share * (1 << 30))
+    drawn = drawn.select("lang", F.when(long, F.substring(F.col("text"), at, F.lit(most))).otherwise(F.col("text")).alias("text"), "draw")
+    for r in sorted(drawn.collect(), key=lambda r: (r.lang, r.draw, r.text)):
         raw = np.frombuffer(r.text.encode(), np.uint8)
         sym, _ = symbols(raw, np.array([0, len(raw)]))
         if held.get(r.lang, 0) == 0 or held[r.lang] + len(sym) <= symbols_each:
@@ -129,7 +135,7 @@ def identify_languages(docs: DataFrame, held_out, rows: int = 60, symbols_each:
     null or has no letter, or nothing was learned) and score (the winner's share of the languages' likelihoods under their
     code lengths, tempered; 0 for `und`). Ties go to the language that sorts first.
 
-    The sample is bounded: about `rows` texts, together symbols_each symbols, for each language, drawn by a hash, so it is the
+    The sample is bounded: about `rows` texts or excerpts of texts over symbols_each bytes, together symbols_each symbols, for each language, drawn by a hash, so it is the
     same whatever the partitions. The whole of every text is parsed. Rows with a null language are not learned from. Rows
     are judged one by one, so repeated rows get equal results. Other columns are ignored. An empty table gives no rows.
     """

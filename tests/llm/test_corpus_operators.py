@@ -140,6 +140,14 @@ def test_language(spark):
     assert all(got[i].held_out == (brute.crc(i) % 4 == 2) for i in got)
 
 
+def test_language_of_long_texts(spark):
+    """A language whose labelled texts are all longer than the sample is learned."""
+    words = {"a": "uvu vuvv uu ", "b": "xyx yyx xx "}
+    rows = [(i, words["ab"[i % 2]] * (20 if i % 2 else 4000), "ab"[i % 2]) for i in range(24)]
+    out = identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), held()).collect()
+    assert all(r.lang_pred == "ab"[r.doc_id % 2] for r in out) and len(out) == 24
+
+
 def test_language_model(docs, pairs):
     is_held = lambda d: d is not None and brute.crc(d) % 4 == 2
     want = brute.base_scores(pairs, is_held)
