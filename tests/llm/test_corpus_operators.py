@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import collections
 import zlib
 
@@ -74,6 +75,19 @@ def test_quality_counts(docs, pairs):
     assert {d for d, t in pairs if t and (t.startswith("na na") or t.startswith("abab"))} <= bad
 
 
+def test_quality_of_any_chunk(spark):
+    """Base64 of random bytes, and one bad chunk or tail in a text of good ones, are rejected; prose is not."""
+    rng = np.random.default_rng(6)
+    vocabulary = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 10))) for _ in range(900)]
+    prose = lambda n: " ".join(vocabulary[i] for i in rng.zipf(1.3, n) % 900)
+    code = lambda n: "\n".join(base64.b64encode(rng.bytes(57)).decode() for _ in range(n // 77 + 1))[:n]
+    phrase = ("the same old words " * 300)[:4096]
+    bad = [code(6_000), code(20_000), prose(3000)[:8192] + phrase + prose(3000)[:8192], prose(3000)[:8192] + code(4_000)]
+    rows = list(enumerate([*bad, prose(3000), prose(800)]))
+    got = {r.doc_id: r.reason for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] for i in range(4)) and got[4] == got[5] == ""
+
+
 def test_simhash(docs, pairs):
     print_of = {(d, t): brute.fingerprint(t) for d, t in pairs}
     ids = [p for p in dict.fromkeys(pairs)]
