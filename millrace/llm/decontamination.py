@@ -255,8 +255,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, share
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         block = spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
-        out = out.mapInArrow(matching(block, window), found)
-    out = out.mapInArrow(cut, final)
+        out = out.mapInArrow(T.lean(matching(block, window)), found)
+    out = out.mapInArrow(T.lean(cut), final)
     if not carry:
         out = out.drop("row")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))

@@ -149,7 +149,7 @@ def identify_languages(docs: DataFrame, held_out, rows: int = 60, symbols_each:
     bits = np.array([np.log2(max(2, sum(map(len, texts[k])))) for k in langs])
     model = spark.sparkContext.broadcast((langs, stacked, roots, bits))
     rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_held").alias("held_out"))
-    return rows_in.mapInArrow(predictor(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows_in.mapInArrow(T.lean(predictor(model)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

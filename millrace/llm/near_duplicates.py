@@ -1,9 +1,12 @@
-"""Near-duplicate groups by an exact join of shingle sets.
-
-Every text's distinct shingles are put in one order, rare ones first. Two texts of a Jaccard similarity of `similarity` or more
-share one of the first n - ceil(similarity * n) + 1 of either, so texts meet by those, in a list for each such shingle; sizes and
-places rule out most chance meetings, and every other pair is decided by its two shingle sets. In a list of many texts all are
-first compared with one; then every pair of texts that are not in one group yet is compared too.
+"""Near-duplicate groups by SimHash tries, completed by an exact join of shingle sets.
+
+Texts of equal SimHash fingerprints, and of fingerprints that the self-join of binary tries (simhash.py) links, are compared
+by their shingle sets and linked if those are similar. A fingerprint of 64 bits cannot reach every pair: at a Jaccard similarity
+of 0.8 two texts differ in ten bits on average. So the rest is found by a prefix filter. Every text's distinct shingles are put in one
+order, rare ones first. Two texts of a similarity of `similarity` or more share one of the first n - ceil(similarity * n) + 1 of
+either, so texts meet by those, in a list for each such shingle; sizes and places rule out most chance meetings, and every other
+pair is decided by its two shingle sets. In a list of many texts all are first compared with one; then every pair of texts that
+are not in one group yet is compared too.
 """
 
 from __future__ import annotations
@@ -17,14 +20,19 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textops as T
 from millrace.llm.graph import components
-from millrace.llm.joins import lookup
+from millrace.llm.joins import bitmap, in_bitmap, lookup
 from millrace.llm.scratch import Scratch
+from millrace.llm.simhash import hamming_links, majority_bits
 
 U = np.uint64
 #: log2 of the bits that mark the texts whose shingles are compared; more texts only mean more chance hits.
 MARK_BITS = 24
+#: Differing bits up to which the tries link fingerprints.
+BUDGET = 3
 #: Lists of more texts are first compared with one of them.
 STAR = 16
+#: Rows of a list that one task holds; longer lists are cut into blocks that meet two by two.
+BLOCK = 50_000
 #: Counters of shingles. They only order the shingles: with fewer, more pairs are compared, and the same are found.
 MANY = 1 << 23
 #: Against rounding: 0.8 * 15 may be a little over 12.
@@ -44,24 +52,25 @@ def fresh(key: np.ndarray, seen: set[int]) -> np.ndarray:
 
 
 def counted(size: int, many: int):
-    """Rows (doc, key, text) to (doc, key, number of shingles), and rows of the task's counters."""
+    """Rows (doc, key, text) to (doc, key, number of shingles, fingerprint), and rows of the task's counters."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times, seen = np.zeros(many, np.uint16), set()
         for batch in it:
-            key, n = T.longs(batch.column(1)), np.zeros(batch.num_rows, np.int64)
+            key, n, prints = T.longs(batch.column(1)), np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64)
             new = np.zeros(batch.num_rows, bool)
             new[fresh(key, seen)] = True
             for lo, hi, buf, offs in T.text_slices(batch.column(2)):
                 h, first = shingle_hashes(buf, offs, size)
                 n[lo:hi] = np.diff(first)
+                prints[lo:hi] = majority_bits(h, first)
                 at, more = np.unique(counter(h, many)[np.repeat(new[lo:hi], n[lo:hi])], return_counts=True)
                 times[at] = np.minimum(times[at] + more, 65535)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.nulls(len(n), pa.binary())], names=["doc", "key", "n", "data"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(prints.view(np.int64)), pa.nulls(len(n), pa.binary())], names=["doc", "key", "n", "fingerprint", "data"])
         some = np.flatnonzero(times)
         for i in range(0, len(some), 1 << 20):
             at = some[i : i + (1 << 20)]
-            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([0]), pa.array([T.pack(at.astype(np.uint32), times[at])], pa.binary())], names=["doc", "key", "n", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([0]), pa.array([0]), pa.array([T.pack(at.astype(np.uint32), times[at])], pa.binary())], names=["doc", "key", "n", "fingerprint", "data"])
 
     return run
 
@@ -81,35 +90,14 @@ def shingle_hashes(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.nda
     return h[new], np.append(0, np.cumsum(np.bincount(doc[new], minlength=len(offs) - 1)))
 
 
-def mark(keys: np.ndarray) -> np.ndarray:
-    return (T.mix(keys.view(np.uint64)) >> U(64 - MARK_BITS)).astype(np.int64)
-
-
-def marked(keys: DataFrame) -> np.ndarray:
-    """A bitmap of 2 ** MARK_BITS bits, as booleans, of a column of keys."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << MARK_BITS, bool)
-        for batch in it:
-            bits[mark(T.longs(batch.column(0)))] = True
-        if bits.any():
-            yield pa.RecordBatch.from_arrays([pa.array([T.pack(np.packbits(bits))], pa.binary())], names=["data"])
-
-    out = np.zeros(1 << MARK_BITS, bool)
-    for r in keys.mapInArrow(run, "data binary").toLocalIterator():
-        out |= np.unpackbits(T.unpack(r.data)[0]).astype(bool)
-    return out
-
-
 def shingle_sets(size: int, marks):
     """Rows (key, text) of marked keys to their shingle sets."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        bits = np.unpackbits(marks.value).astype(bool)
         for batch in it:
             key = T.longs(batch.column(0))
-            pick = np.flatnonzero(bits[mark(key)])
+            pick = np.flatnonzero(in_bitmap(marks.value, MARK_BITS, T.mix(key.view(np.uint64))))
             pick = pick[fresh(key[pick], seen)]
             texts = batch.column(1).take(pa.array(pick))
             for lo, hi, buf, offs in T.text_slices(texts):
@@ -120,6 +108,11 @@ def shingle_sets(size: int, marks):
     return run
 
 
+def mixed_keys(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        yield pa.RecordBatch.from_arrays([pa.array(T.mix(T.longs(batch.column(0)).view(np.uint64)).view(np.int64))], names=["k"])
+
+
 def alike(similarity: float):
     """Pairs (u, v, sets of both) to those of a similarity."""
 
@@ -224,16 +217,19 @@ def long_lists(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pairs_between(similarity: float, step: int = 1 << 20):
-    """Rows (h, key, n, place, root), whole lists, to every pair of a list whose roots differ."""
+    """Rows (h, key, n, place, root, side), whole lists, to every pair of a list whose roots differ.
+
+    A list in which both sides occur is a meeting of two blocks of a longer one, and only pairs of either are made.
+    """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in it if b.num_rows]
         if not held:
             return
         t = pa.Table.from_batches(held)
-        h, key, n, place, root = (t[c].to_numpy() for c in ("h", "key", "n", "place", "root"))
+        h, key, n, place, root, side = (t[c].to_numpy() for c in ("h", "key", "n", "place", "root", "side"))
         o = np.lexsort((key, root, h))
-        h, key, n, place, root = h[o], key[o], n[o], place[o], root[o]
+        h, key, n, place, root, side = h[o], key[o], n[o], place[o], root[o], side[o]
         new = np.append(True, h[1:] != h[:-1])
         end = np.append(np.flatnonzero(new)[1:], len(h))[np.cumsum(new) - 1]  # of each row's list
         new |= np.append(True, root[1:] != root[:-1])
@@ -245,13 +241,27 @@ def pairs_between(similarity: float, step: int = 1 << 20):
             hi = max(lo + 1, int(np.searchsorted(sums, sums[lo] + step, "right")) - 1)
             i = np.repeat(np.arange(lo, hi), many[lo:hi])
             j = T.ragged(after[lo:hi], many[lo:hi])
-            ok = may_be_alike(i, j, n, place, similarity)
+            ok = may_be_alike(i, j, n, place, similarity) & ((side[i] == 0) | (side[i] != side[j]))
             yield pair_batch([key[i[ok]]], [key[j[ok]]])
             lo = hi
 
     return run
 
 
+def in_blocks(lists: DataFrame) -> DataFrame:
+    """Lists (h, key, n, place, root, m rows) as they are, or those of over BLOCK rows as meetings of each two of their blocks.
+
+    A meeting has a name of its own in h, and its blocks are told apart by side: 1 and 2, or 0 for a block that meets itself.
+    """
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    rows = lists.withColumn("block", F.pmod(F.xxhash64("key", "h"), F.greatest(blocks, F.lit(1))).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1)).alias("other")
+    rows = rows.select("h", "key", "n", "place", "root", "m", "block", other)
+    name = F.when(F.col("m") > BLOCK, F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.col("h"))
+    side = F.when(F.col("block") < F.col("other"), 1).when(F.col("block") > F.col("other"), 2).otherwise(0)
+    return rows.select(name.alias("h"), "key", "n", "place", "root", side.alias("side"))
+
+
 def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, per_part: int = 400_000) -> DataFrame:
     """Groups of texts whose sets of `size`-word shingles are similar, with their classes of equal texts.
 
@@ -266,11 +276,12 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near_duplicates")
+    docs = docs.select("doc_id", "text")
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(np.iinfo(np.int64).max))
     texts = docs.select(F.xxhash64("text").alias("key"), "text")
-    both = scratch.save(docs.select(doc.alias("doc"), F.xxhash64("text").alias("key"), "text").mapInArrow(counted(size, MANY), "doc long, key long, n long, data binary"))
-    rows = both.where("data is null").select("doc", "key", "n")
-    classes = scratch.save(rows.groupBy("key").agg(F.min("doc").alias("doc"), F.count("*").alias("times"), F.first("n").alias("n")))
+    both = scratch.save(docs.select(doc.alias("doc"), F.xxhash64("text").alias("key"), "text").mapInArrow(T.lean(counted(size, MANY)), "doc long, key long, n long, fingerprint long, data binary"))
+    rows = both.where("data is null").select("doc", "key", "n", "fingerprint")
+    classes = scratch.save(rows.groupBy("key").agg(F.min("doc").alias("doc"), F.count("*").alias("times"), F.min("n").alias("n"), F.min("fingerprint").alias("fingerprint")))
     times = np.zeros(MANY, np.uint16)
     for r in both.where("data is not null").select("data").toLocalIterator():
         at, more = T.unpack(r.data)
@@ -278,8 +289,8 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     total = classes.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-int(total * (1 - similarity)) // per_part))
     shared = spark.sparkContext.broadcast(times)
-    dealt = texts.mapInArrow(deal(size, similarity, shared, parts), "part int, data binary").repartitionById(parts, F.col("part"))
-    met = scratch.save(dealt.mapInArrow(candidates(similarity, STAR), "u long, v long, data binary"))
+    dealt = texts.mapInArrow(T.lean(deal(size, similarity, shared, parts)), "part int, data binary").repartitionById(parts, F.col("part"))
+    met = scratch.save(dealt.mapInArrow(T.lean(candidates(similarity, STAR)), "u long, v long, data binary"))
 
     def with_ends(rows: DataFrame, table: DataFrame) -> DataFrame:
         """Pairs with the columns that table has for the keys of either end."""
@@ -293,24 +304,36 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     def judged(pairs: DataFrame) -> DataFrame:
         """The pairs that are similar, by their shingle sets."""
         pairs = scratch.save(pairs.select("u", "v").distinct())
-        marks = marked(pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))))
+        hashed = pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct().mapInArrow(T.lean(mixed_keys), "k long")
+        marks = bitmap(hashed, MARK_BITS)
         if not marks.any():
             return pairs
-        sets = texts.mapInArrow(shingle_sets(size, spark.sparkContext.broadcast(np.packbits(marks))), "key long, shingles binary").dropDuplicates(["key"])
+        shared = spark.sparkContext.broadcast(marks)
+        sets = texts.mapInArrow(T.lean(shingle_sets(size, shared)), "key long, shingles binary").dropDuplicates(["key"])
         ends = with_ends(pairs, scratch.save(sets)).select("u", "v", "u_shingles", "v_shingles")
-        return scratch.save(ends.mapInArrow(alike(similarity), "u long, v long"))
-
-    links = judged(met.where("data is null"))
+        out = scratch.save(ends.mapInArrow(T.lean(alike(similarity)), "u long, v long"))
+        shared.destroy()
+        return out
+
+    prints = scratch.save(classes.where("n > 0").groupBy("fingerprint").agg(F.min("key").alias("hub"), F.count("*").alias("times")))
+    same = lookup(classes.where("n > 0").select("fingerprint", "key"), prints, "fingerprint", "times", classes.count())
+    tied = hamming_links(prints.select("fingerprint"), prints.count(), 64, BUDGET)
+    for end in ("u", "v"):
+        tied = tied.join(prints.select(F.col("fingerprint").alias(end), F.col("hub").alias(f"{end}_hub")), end)
+    near = same.where("key <> hub").select(F.col("hub").alias("u"), F.col("key").alias("v"))
+    near = near.unionByName(tied.select(F.col("u_hub").alias("u"), F.col("v_hub").alias("v")))
+    links = judged(near).unionByName(judged(met.where("data is null")))
+    shared.destroy()
     blank = classes.where("n = 0").select("key")
     hub = blank.agg(F.min("key").alias("u"))
     links = links.unionByName(blank.join(F.broadcast(hub)).select("u", F.col("key").alias("v")))
     roots = scratch.save(components(links, scratch).withColumnRenamed("node", "key"))
-    lists = met.where("data is not null").select("data").mapInArrow(long_lists, "h long, key long, n int, place int")
+    lists = met.where("data is not null").select("data").mapInArrow(T.lean(long_lists), "h long, key long, n int, place int")
     lists = scratch.save(lists.join(roots, "key", "left").select("h", "key", "n", "place", F.coalesce("root", "key").alias("root")))
-    mixed = lists.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("h")
-    mixed = scratch.save(lists.join(mixed, "h"))
+    mixed = lists.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m")).where("a <> b").select("h", "m")
+    mixed = scratch.save(in_blocks(lists.join(mixed, "h")))
     if not mixed.isEmpty():
-        more = judged(mixed.repartition(F.col("h")).mapInArrow(pairs_between(similarity), "u long, v long, data binary"))
+        more = judged(mixed.repartition(F.col("h")).mapInArrow(T.lean(pairs_between(similarity)), "u long, v long, data binary"))
         tied = roots.select(F.col("key").alias("u"), F.col("root").alias("v"))
         roots = scratch.save(components(tied.unionByName(more), scratch).withColumnRenamed("node", "key"))
     named = classes.join(roots, "key", "left").select("key", "doc", "times", F.coalesce("root", "key").alias("root"))
@@ -323,12 +346,17 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
 
 
 def dedup_near(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of docs, with all their columns, of which near_duplicate_groups() says that they stay; of repeated rows one."""
+    """The rows of docs, with all their columns, of which near_duplicate_groups() says that they stay; of repeated rows one.
+
+    Columns of docs may have any names.
+    """
     scratch = Scratch(docs.sparkSession, "dedup_near")
-    stay = scratch.save(near_duplicate_groups(docs, size, similarity).where("first").select(F.coalesce("doc_id", F.lit(np.iinfo(np.int64).max)).alias("_doc"), F.col("key").alias("_key")))
+    last = F.lit(np.iinfo(np.int64).max)
+    stay = near_duplicate_groups(docs.select("doc_id", "text"), size, similarity).where("first")
+    stay = scratch.save(stay.select(F.coalesce("doc_id", last).alias("doc"), "key", F.lit(1).alias("one")))
     kept = stay.distinct()
-    marked = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(np.iinfo(np.int64).max))).withColumn("_key", F.xxhash64("text"))
-    out = marked.join(kept.hint("shuffle_hash"), ["_doc", "_key"])
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), last).alias("doc"), F.xxhash64("text").alias("key"), F.struct(*docs.columns).alias("row"))
+    out = rows.join(kept.select("doc", "key").hint("shuffle_hash"), ["doc", "key"])
     if stay.count() != kept.count():
-        out = out.dropDuplicates(["_doc", "_key"])
-    return out.select(*docs.columns)
+        out = out.dropDuplicates(["doc", "key"])
+    return out.select("row.*")

@@ -142,7 +142,7 @@ def best_fit_packing(docs: DataFrame, capacity: int = 2048, source_limit: int =
     groups = max(1, -(-docs.count() // group_rows))
     cluster = F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), cluster.alias("cluster"))
-    rows = rows.mapInArrow(measure, "doc_id long, source string, cluster long, n long")
+    rows = rows.mapInArrow(T.lean(measure), "doc_id long, source string, cluster long, n long")
     last = ((F.col("n") - 1) / capacity).cast("long")
     rows = rows.select("doc_id", "source", "cluster", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
     rows = rows.select(
@@ -155,7 +155,7 @@ def best_fit_packing(docs: DataFrame, capacity: int = 2048, source_limit: int =
         F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("piece") * capacity).alias("n_tokens"),
     )
     rows = rows.repartitionById(groups, F.col("part"))
-    return rows.mapInArrow(packer(capacity, source_limit), "doc_id long, piece long, n_tokens long, bin_id long, bin_offset long, bin_tokens long")
+    return rows.mapInArrow(T.lean(packer(capacity, source_limit)), "doc_id long, piece long, n_tokens long, bin_id long, bin_offset long, bin_tokens long")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -48,8 +48,7 @@ def sums_by(first: np.ndarray, values: np.ndarray) -> np.ndarray:
 def counts(buf: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     rows = len(offs) - 1
     starts, ends, first = T.word_bounds(buf, offs, T.IS_WORD)
-    sums = T.prefix(T.BYTE_VALUES[buf])
-    words = T.span_hash(sums, starts, ends)
+    words = T.word_hashes(buf, starts, ends)
     chars = np.append(0, np.cumsum((buf & 0xC0) != 0x80, dtype=np.int64))  # code points before each byte
     row_of_word = np.repeat(np.arange(rows), np.diff(first))
     # words in three-word windows that occur twice
@@ -71,7 +70,7 @@ def counts(buf: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     line_end[last] = offs[line_row[last] + 1]
     line_words = np.searchsorted(starts, line_end) - np.searchsorted(starts, line_start)
     some = line_words > 0
-    key = T.span_hash(sums, line_start[some], line_end[some]) ^ T.mix(line_row[some].astype(np.uint64) * U(0x9E3779B1) + (line_end - line_start)[some].astype(np.uint64))
+    key = T.word_hashes(buf, line_start[some], line_end[some]) ^ T.mix(line_row[some].astype(np.uint64) * U(0x9E3779B1) + (line_end - line_start)[some].astype(np.uint64))
     dup = np.bincount(line_row[some][repeated(key)[0]], minlength=rows)
     return {
         "n_words": np.diff(first),
@@ -136,7 +135,7 @@ def quality_rules(docs: DataFrame, min_words: int = 50, repeat_percent: int = 50
     gives no rows.
     """
     ddl = f"doc_id long, {', '.join(f'{k} long' for k in NAMES)}, ratio double, chunk_ratios array<double>, reason string"
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(judge, ddl)
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(T.lean(judge), ddl)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("reason") == ""))
 

@@ -290,7 +290,7 @@ def ambiguous_bitmap(settled: DataFrame) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array([int(first)], pa.int64()), pa.array([T.pack(own)], pa.binary())], names=["first", "data"])
 
     out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for first, data in settled.where("kind = 'bits'").select("data").mapInArrow(marks, "first long, data binary").toLocalIterator():
+    for first, data in settled.where("kind = 'bits'").select("data").mapInArrow(T.lean(marks), "first long, data binary").toLocalIterator():
         out[first * 8192 : (first + 1) * 8192] |= T.unpack(data)[0]
     return out
 
@@ -351,16 +351,16 @@ def repeated_spans(docs: DataFrame, rules: Rules, resolve: Callable, part_bytes:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
     source = docs.select("doc", "tag", "text")
-    units = source.mapInArrow(scan(rules, parts), ROWS_DDL).repartitionById(parts, F.col("part"))
-    settled = scratch.save(units.mapInArrow(settle_parts(rules, parts), ROWS_DDL))
+    units = source.mapInArrow(T.lean(scan(rules, parts)), ROWS_DDL).repartitionById(parts, F.col("part"))
+    settled = scratch.save(units.mapInArrow(T.lean(settle_parts(rules, parts)), ROWS_DDL))
     marks = ambiguous_bitmap(settled)
     covers = settled.where("kind = 'cover'")
     if marks.any():
         shared = spark.sparkContext.broadcast(marks)
         hot = [T.unpack(r[0])[0] for r in settled.where("kind = 'hot'").select("data").toLocalIterator()]
         hot = spark.sparkContext.broadcast(np.concatenate(hot)) if hot else None
-        texts = source.mapInArrow(scan(rules, parts, shared, hot), ROWS_DDL).repartitionById(parts, F.col("part"))
-        covers = covers.unionByName(scratch.save(texts.mapInArrow(resolve_parts(rules, parts, resolve), ROWS_DDL)))
-    spans = scratch.save(covers.repartitionById(parts, F.col("part")).mapInArrow(join_covers, "doc long, tag long, spans binary"))
+        texts = source.mapInArrow(T.lean(scan(rules, parts, shared, hot)), ROWS_DDL).repartitionById(parts, F.col("part"))
+        covers = covers.unionByName(scratch.save(texts.mapInArrow(T.lean(resolve_parts(rules, parts, resolve)), ROWS_DDL)))
+    spans = scratch.save(covers.repartitionById(parts, F.col("part")).mapInArrow(T.lean(join_covers), "doc long, tag long, spans binary"))
     scratch.drop(settled)
     return docs.join(spans.hint("shuffle_hash"), ["doc", "tag"], "left").select("doc_id", "text", "spans", "row")

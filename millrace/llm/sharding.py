@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import textops as T
 from millrace.llm.joins import lookup
 from millrace.llm.scratch import Scratch
 
@@ -101,7 +102,7 @@ def balanced_shards(docs: DataFrame, shards: int = 16, rounds: int = 4) -> DataF
     parts = max(1, total // 200_000 + 1) if total < 1_600_000 else total // 200_000
     ordered = placed.select("shard", "near", "grp", "doc_id", "size", "crc").repartitionByRange(max(parts, 8), *keys).sortWithinPartitions(*keys)
     ddl = "shard int, near long, grp long, doc_id long, size long, crc long, place long"
-    numbered = scratch.save(ordered.mapInArrow(number_runs, ddl).withColumn("pid", F.spark_partition_id()))
+    numbered = scratch.save(ordered.mapInArrow(T.lean(number_runs), ddl).withColumn("pid", F.spark_partition_id()))
     counts = numbered.groupBy("pid", "shard").agg(F.count("*").alias("n")).collect()  # a row per partition, and per shard border
     held, before = [0] * shards, []
     for pid, s, n in sorted(counts):

@@ -78,7 +78,7 @@ def fingerprinter(size: int, seed: int):
 
 def fingerprints(docs: DataFrame, size: int = 3, seed: int = 42) -> DataFrame:
     """doc_id and the 64-bit SimHash (as a signed long) of each row's shingles; 0 where there are no words."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(fingerprinter(size, seed), "doc_id long, fingerprint long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(T.lean(fingerprinter(size, seed)), "doc_id long, fingerprint long")
 
 
 def block_plan(nodes: int, bits: int, budget: int) -> list[tuple[int, ...]]:
@@ -262,7 +262,7 @@ def hamming_links(values: DataFrame, nodes: int, bits: int, budget: int, per_par
     rows = values.select("fingerprint", F.explode(choices).alias("c"))
     part = F.pmod(F.xxhash64("c.choice", F.col("fingerprint").bitwiseAND(F.col("c.mask"))), F.lit(parts)).cast("int")
     rows = rows.select(part.alias("part"), "c.choice", "fingerprint").repartitionById(parts, F.col("part"))
-    return rows.mapInArrow(link_parts(plan, bits, budget), "u long, v long")
+    return rows.mapInArrow(T.lean(link_parts(plan, bits, budget)), "u long, v long")
 
 
 def simhash_classes(docs: DataFrame, size: int = 3, budget: int = 3, seed: int = 42) -> DataFrame:

@@ -173,7 +173,7 @@ def substring_dedup(docs: DataFrame, min_words: int = 50, gram: int = 8, part_by
     spans = repeats.repeated_spans(docs, rules, resolver(min_words, gram), part_bytes, "substring_dedup", carry)
     pair = StructType().add("start", "long").add("end", "long")
     schema = StructType().add("doc_id", "long").add("kept", "string").add("n_words", "long").add("spans", ArrayType(pair)).add("row", spans.schema["row"].dataType)
-    out = spans.mapInArrow(cut, schema)
+    out = spans.mapInArrow(T.lean(cut), schema)
     return out if carry else out.drop("row")
 
 

@@ -145,7 +145,7 @@ def suffix_array_dedup(docs: DataFrame, min_bytes: int = 100, gram: int = 24, pa
     """
     rules = repeats.Rules(words=False, window=min_bytes, gram=min(gram, min_bytes), within_document=True)
     spans = repeats.repeated_spans(docs, rules, resolver(min_bytes), part_bytes, "suffix_array_dedup")
-    return spans.mapInArrow(cut, "doc_id long, kept binary, n_bytes long, spans array<struct<start:long,end:long>>")
+    return spans.mapInArrow(T.lean(cut), "doc_id long, kept binary, n_bytes long, spans array<struct<start:long,end:long>>")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

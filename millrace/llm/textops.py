@@ -2,20 +2,32 @@
 
 They work on the raw UTF-8 buffers of Arrow string columns: a slice of documents is one byte array and
 an array of offsets, so tokenising and hashing cost a few vector passes and no Python object per word.
-A null text has no bytes. Hashes are polynomial sums modulo 2**64 of mixed element values, which gives
-the hash of any substring or word sequence from one prefix sum.
+A null text has no bytes. Words and lines are told apart by XXH64. Runs of elements (bytes, or words by their hash) have
+polynomial sums modulo 2**64, which give the hash of any run from one prefix sum; two long runs can be made to collide
+there without a search, so such hashes only find candidates of runs of over some hundred elements, whose content is compared.
+
+A slice is at most 256 KiB of texts, or one longer text: a worker needs about 100 bytes of memory for each byte of the
+longest text (a text of 10 MB about 1 GB), and what it needs besides does not depend on the texts.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 
+from millrace.llm.xxh64 import xxh64
+
 U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 _INV = pow(_ODD, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
+#: Powers that a worker keeps: one more than the bytes of a slice.
+KEPT_POWERS = (1 << 18) + 1
 
 #: Whitespace that separates words: space, tab, \n, \v, \f and \r.
 IS_WORD = np.ones(256, bool)
@@ -40,17 +52,42 @@ BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD1342543DE82EF95)) |
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base and of its inverse."""
-    have = _powers.get("up")
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        for name, base in (("up", _ODD), ("down", _INV)):
-            p = np.full(size, U(base))
-            p[0] = 1
-            _powers[name] = np.cumprod(p, dtype=np.uint64)
+    """The first n powers of the hash base and of its inverse; those of slices of the usual size are kept."""
+
+    def made(base: int, size: int) -> np.ndarray:
+        p = np.full(size, U(base))
+        p[0] = 1
+        return np.cumprod(p, dtype=np.uint64)
+
+    if n > KEPT_POWERS:
+        return made(_ODD, n), made(_INV, n)
+    if not _powers:
+        _powers["up"], _powers["down"] = made(_ODD, KEPT_POWERS), made(_INV, KEPT_POWERS)
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same for mapInArrow(), after which the worker hands its memory back; idle workers would keep it."""
+
+    def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(it)
+        finally:
+            hand_back()
+
+    return task
+
+
+def hand_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        return
+
+
 def prefix(values: np.ndarray) -> np.ndarray:
     """Prefix sums from which span_hash() gets the hash of any run of values."""
     out = np.zeros(len(values) + 1, np.uint64)
@@ -116,7 +153,7 @@ def word_bounds(buf: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hash(prefix(BYTE_VALUES[buf]), starts, ends)
+    return xxh64(buf, starts, ends)
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:

@@ -184,24 +184,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, sample_rows: in
     sample = sample.join(known, "doc_id").select("text", "label", "draw")
     sample = Scratch(spark, "toxicity").save(sample)
     pos, neg = (sample.where(F.col("label") == k).count() for k in (1, 0))
-    found = sample.where("label = 1").mapInArrow(features_of(), "data binary, label int, draw long").toLocalIterator()
+    found = sample.where("label = 1").mapInArrow(T.lean(features_of()), "data binary, label int, draw long").toLocalIterator()
     seen = [T.unpack(r.data)[0] for r in found]
     feature, a = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     feature, a = feature[a > 1], a[a > 1]
     b = np.zeros(len(feature), np.int64)
     if len(feature):
         shared = spark.sparkContext.broadcast(feature)
-        for r in sample.where("label = 0").mapInArrow(counts_of(shared), "data binary").toLocalIterator():
+        for r in sample.where("label = 0").mapInArrow(T.lean(counts_of(shared)), "data binary").toLocalIterator():
             b += T.unpack(r.data)[0]
     strength = association(a, b, max(pos, 1), max(neg, 1)) if pos and neg else np.zeros(len(feature))
     chosen = np.sort(feature[[i for i in np.lexsort((feature, -strength))[:features] if strength[i] >= least]])
-    bags = sample.mapInArrow(features_of(spark.sparkContext.broadcast(chosen)), "data binary, label int, draw long").collect()
+    bags = sample.mapInArrow(T.lean(features_of(spark.sparkContext.broadcast(chosen))), "data binary, label int, draw long").collect()
     bags = [(r.label, T.unpack(r.data)) for r in sorted(bags, key=lambda r: (r.draw, r.label, r.data))]
     weights, bias = train([(int(n[0]), s, f) for _, (n, s, f) in bags], np.array([k for k, _ in bags]), len(chosen), steps, decay)
     model = spark.sparkContext.broadcast((chosen, weights, bias))
     sentence = StructType().add("start", "long").add("end", "long").add("score", "double")
     schema = StructType().add("doc_id", "long").add("held_out", "boolean").add("score", "double").add("sentences", ArrayType(sentence)).add("row", docs.schema["row"].dataType)
-    out = docs.mapInArrow(scorer(model, threshold), schema)
+    out = docs.mapInArrow(T.lean(scorer(model, threshold)), schema)
     if not carry:
         out = out.drop("row")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
