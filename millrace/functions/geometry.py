@@ -90,3 +90,86 @@ def parse_camera(text: Column) -> Column:
     """`fx fy cx cy qx qy qz qw tx ty tz` to eleven numbers; null for any other count."""
     parts = F.transform(F.split(F.trim(text), r"\s+"), lambda x: x.cast("double"))
     return F.when(F.size(parts) == 11, parts)
+
+
+def rotation_6d(m: Vec) -> Vec:
+    """The first two rows of a matrix."""
+    return m[:6]
+
+
+def matrix_from_6d(v: Vec) -> Vec:
+    """Gram-Schmidt: the first row normalized, the second without its part along the first, and their cross product."""
+    n = F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+    a = [x / n for x in v[:3]]
+    along = a[0] * v[3] + a[1] * v[4] + a[2] * v[5]
+    b = [y - along * x for x, y in zip(a, v[3:6], strict=True)]
+    n = F.sqrt(b[0] * b[0] + b[1] * b[1] + b[2] * b[2])
+    b = [x / n for x in b]
+    return [*a, *b, a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+
+
+def axis_turn(axis: str, angle: Column) -> Vec:
+    """Matrix of a turn about X, Y or Z."""
+    c, s, one, zero = F.cos(angle), F.sin(angle), F.lit(1.0), F.lit(0.0)
+    return {"X": [one, zero, zero, zero, c, -s, zero, s, c], "Y": [c, zero, s, zero, one, zero, -s, zero, c], "Z": [c, -s, zero, s, c, zero, zero, zero, one]}[axis]
+
+
+def angles_to_matrix(angles: Vec, order: str) -> Vec:
+    """Product of the turns about three different axes, named in order (XYZ, XZY, YXZ, YZX, ZXY or ZYX)."""
+    if sorted(order) != ["X", "Y", "Z"]:
+        raise ValueError(f"no order {order!r}")
+    a, b, c = (axis_turn(x, angle) for x, angle in zip(order, angles, strict=True))
+    return matmul(matmul(a, b), c)
+
+
+def matrix_to_angles(m: Vec, order: str) -> Vec:
+    """Inverse of angles_to_matrix() for a middle angle within a right angle of 0."""
+    if sorted(order) != ["X", "Y", "Z"]:
+        raise ValueError(f"no order {order!r}")
+    i, j, k = ("XYZ".index(x) for x in order)
+    sign = 1.0 if (i, j, k) in ((0, 1, 2), (1, 2, 0), (2, 0, 1)) else -1.0
+    at = lambda r, c: m[3 * r + c]
+    middle = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), at(i, k) * sign)))
+    return [F.atan2(-sign * at(j, k), at(k, k)), middle, F.atan2(-sign * at(i, j), at(i, i))]
+
+
+def matrix_to_quaternion(m: Vec) -> Vec:
+    """The unit quaternion of a rotation, w not negative, from whichever of its squares is largest."""
+    ww, xx, yy, zz = 1 + m[0] + m[4] + m[8], 1 + m[0] - m[4] - m[8], 1 - m[0] + m[4] - m[8], 1 - m[0] - m[4] + m[8]
+    forms = [
+        (ww, [m[7] - m[5], m[2] - m[6], m[3] - m[1], ww]), (xx, [xx, m[1] + m[3], m[2] + m[6], m[7] - m[5]]),
+        (yy, [m[1] + m[3], yy, m[5] + m[7], m[2] - m[6]]), (zz, [m[2] + m[6], m[5] + m[7], zz, m[3] - m[1]]),
+    ]
+    most = F.greatest(ww, xx, yy, zz)
+    raw = [F.coalesce(*[F.when(square >= most, parts[i]) for square, parts in forms]) for i in range(4)]
+    q = quaternion_normalize(raw)
+    return [F.when(q[3] < 0, -x).otherwise(x) for x in q]
+
+
+def quaternion_to_axis_angle(q: Vec) -> Vec:
+    """Rotation vector of a unit quaternion, at most half a turn long."""
+    w = F.abs(q[3])
+    sign = F.when(q[3] < 0, -1.0).otherwise(1.0)
+    s = F.sqrt(q[0] * q[0] + q[1] * q[1] + q[2] * q[2])
+    k = F.when(s > 1e-12, 2 * F.atan2(s, w) / F.greatest(s, F.lit(1e-300))).otherwise(2.0) * sign
+    return [x * k for x in q[:3]]
+
+
+def axis_angle_to_quaternion(v: Vec) -> Vec:
+    angle = F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2])
+    k = F.when(angle > 1e-12, F.sin(angle / 2) / F.greatest(angle, F.lit(1e-300))).otherwise(0.5)
+    return [*(x * k for x in v), F.cos(angle / 2)]
+
+
+def ray(m: Vec, t: Vec, u: Column, v: Column, fx: Column, fy: Column, cx: Column, cy: Column) -> tuple[Vec, Vec]:
+    """Centre of a camera with a world-to-camera pose, and the direction of a pixel at depth 1, in the world."""
+    back, centre = pose_invert(m, t)
+    return centre, apply_matrix(back, backproject(u, v, F.lit(1.0), fx, fy, cx, cy))
+
+
+def pluecker(centre: Vec, direction: Vec) -> Vec:
+    """Unit direction and moment, centre x direction, of a ray."""
+    n = F.sqrt(direction[0] * direction[0] + direction[1] * direction[1] + direction[2] * direction[2])
+    d = [x / n for x in direction]
+    c = centre
+    return [*d, c[1] * d[2] - c[2] * d[1], c[2] * d[0] - c[0] * d[2], c[0] * d[1] - c[1] * d[0]]

@@ -6,7 +6,6 @@ import difflib
 import functools
 import operator
 import re
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,33 +38,6 @@ def has_word(text: Column, words: list[str]) -> Column:
     return text.rlike(r"\b(" + "|".join(re.escape(w) for w in words) + r")\b")
 
 
-def fuzzy_matcher(words: list[str], slack: float = 0.4, least: int = 6):
-    """A pandas UDF: whether a run of words of the text nearly equals a blocked phrase of the same number of words.
-
-    The similarity is difflib's ratio, and must reach (n - slack) / n for a phrase of n characters. Phrases of under `least`
-    characters are left to exact matching. Null text does not match.
-    """
-    phrases = [(w, len(w.split()), (len(w) - slack) / len(w)) for w in words if len(w) >= least]
-    matchers: dict[str, difflib.SequenceMatcher] = {}
-
-    def near(text: str | None) -> bool:
-        parts = (text or "").split()
-        for phrase, n, need in phrases:
-            m = matchers.setdefault(phrase, difflib.SequenceMatcher(None, "", phrase))
-            for i in range(len(parts) - n + 1):
-                m.set_seq1(" ".join(parts[i : i + n]))
-                if m.real_quick_ratio() >= need and m.quick_ratio() >= need and m.ratio() >= need:
-                    return True
-        return False
-
-    @F.pandas_udf("boolean")
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(near, na_action=None).astype(bool)
-
-    return udf
-
-
 def word_runs(words: Column, n: int) -> Column:
     """All runs of n words, joined by blanks. The words are evaluated n times, not once for each run."""
     width = F.greatest(F.size(words) - n + 1, F.lit(0))
@@ -75,22 +47,47 @@ def word_runs(words: Column, n: int) -> Column:
     return out
 
 
+def shared_characters(run: Column, phrase: str) -> Column:
+    """How many characters two strings have in common, in any order: no match of their parts can have more."""
+    counts = [F.least(F.length(run) - F.length(F.replace(run, F.lit(c), F.lit(""))), F.lit(phrase.count(c))) for c in sorted(set(phrase))]
+    return functools.reduce(operator.add, counts)
+
+
+@functools.cache
+def _ratio_udf():
+    @F.pandas_udf("double")
+    def ratio(runs: pd.Series, phrases: pd.Series) -> pd.Series:
+        return pd.Series([difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(runs, phrases, strict=True)], dtype=float)
+
+    return ratio
+
+
 def fuzzy_hits(rows: DataFrame, key: str, column: str, words: list[str], slack: float = 0.4, least: int = 6) -> DataFrame:
-    """Keys of rows of which a run of words nearly equals a blocked phrase; see fuzzy_matcher().
+    """Keys of rows of which a run of words nearly equals a blocked phrase of the same number of words.
+
+    The similarity is difflib's ratio, and must reach (n - slack) / n for a phrase of n characters. Phrases of under `least`
+    characters are left to exact matching. Null text does not match.
 
-    Each distinct run is matched once, and only if its length can reach the similarity; both are native expressions.
+    One character more or less costs at least 1 / (2 n + 1), so with slack * (2 n + 1) < n, as with the default, only an equal
+    run reaches the similarity, and no ratio is computed. Otherwise each distinct pair of a run and a phrase that could be near,
+    by length and by characters in common, is compared once; both bounds are native expressions.
     """
-    phrases = [w for w in words if len(w) >= least]
-    parts, out = F.split(column, " "), None
+    parts, out = F.split(column, " "), []
+    phrases = sorted({w for w in words if len(w) >= least})
     for n in sorted({len(w.split()) for w in phrases}):
         own = [w for w in phrases if len(w.split()) == n]
-        runs = rows.select(key, F.explode(word_runs(parts, n)).alias("_run"))
-        fits = [2 * F.least(F.length("_run"), F.lit(len(w))) / (F.length("_run") + len(w)) >= (len(w) - slack) / len(w) for w in own]
-        runs = runs.where(functools.reduce(operator.or_, fits))
-        near = runs.select("_run").distinct().where(fuzzy_matcher(own, slack, least)("_run"))
-        hit = runs.join(near, "_run").select(key)
-        out = hit if out is None else out.unionByName(hit)
-    return rows.select(key).limit(0) if out is None else out.distinct()
+        exact = [w for w in own if slack * (2 * len(w) + 1) < len(w)]
+        runs = parts if n == 1 else word_runs(parts, n)
+        if exact:
+            out.append(rows.where(F.arrays_overlap(runs, F.array(*map(F.lit, exact)))).select(key))
+        for w in (w for w in own if w not in exact):
+            need = (len(w) - slack) / len(w)
+            run = F.col("_run")
+            near = (2 * F.least(F.length(run), F.lit(len(w))) >= need * (F.length(run) + len(w))) & (2 * shared_characters(run, w) >= need * (F.length(run) + len(w)))
+            found = rows.select(key, F.explode(F.array_distinct(runs)).alias("_run")).where(near)
+            equal = found.select("_run").distinct().where(_ratio_udf()(run, F.lit(w)) >= need)
+            out.append(found.join(equal, "_run", "left_semi").select(key))
+    return functools.reduce(DataFrame.unionByName, out).distinct() if out else rows.select(key).limit(0)
 
 
 def restore_allowed(censored: Column, original: Column, allowed: list[str]) -> Column:
@@ -122,3 +119,29 @@ def command_from_name(name: Column) -> Column:
 def json_first(doc: Column, paths: list[str]) -> Column:
     """The first of several JSON paths that is there."""
     return F.coalesce(*[F.get_json_object(doc, p) for p in paths])
+
+
+def command_from_keywords(name: Column, commands: dict[str, str]) -> Column:
+    """The command of the first keyword, in order, that the name contains; a name with none is an error."""
+    out = F
+    for k, v in commands.items():
+        out = out.when(F.contains(name, F.lit(k)), v)
+    return out.otherwise(F.raise_error(F.concat(F.lit("no command for "), name)))
+
+
+def suite_from_path(path: Column, names: list[str]) -> Column:
+    """The first of the names that is the path's first part, or else that the path contains; null for none."""
+    first = F.split(path, "/")[0]
+    inside = [F.when(F.contains(path, F.lit(n)), F.lit(n)) for n in names]
+    return F.coalesce(F.when(first.isin(*names), first), *inside)
+
+
+def repaired_json(doc: Column) -> Column:
+    """JSON with braces around it where they are missing."""
+    return F.when(F.startswith(F.ltrim(doc), F.lit("{")), doc).otherwise(F.concat(F.lit("{"), doc, F.lit("}")))
+
+
+def merge_maps(left: Column, right: Column) -> Column:
+    """One map; keys of both have the right one's value."""
+    only = F.map_filter(left, lambda k, _: ~F.coalesce(F.map_contains_key(right, k), F.lit(False)))
+    return F.map_concat(only, F.coalesce(right, F.create_map().cast("map<string,string>")))

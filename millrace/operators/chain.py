@@ -68,3 +68,43 @@ def skip_flagged(df: DataFrame, flag: str) -> DataFrame:
 def flatten(df: DataFrame, struct: str, fields: list[str]) -> DataFrame:
     """Some fields of a struct as columns; rows without one of them are dropped."""
     return df.select("*", *[F.col(f"{struct}.{f}").alias(f) for f in fields]).drop(struct).dropna(subset=fields)
+
+
+class Registry(dict):
+    """Things by name; a name is taken once."""
+
+    def register(self, name: str):
+        def add(thing):
+            if name in self:
+                raise ValueError(f"{name!r} is registered")
+            self[name] = thing
+            return thing
+
+        return add
+
+    def find(self, name: str):
+        if name not in self:
+            raise ValueError(f"{name!r} is none of {', '.join(sorted(self))}")
+        return self[name]
+
+
+#: (spark, path) to a DataFrame, bytes to a value, and (spark, path, ...) to a DataFrame of a file format, by name.
+DATASETS, DECODERS, HANDLERS = Registry(), Registry(), Registry()
+
+
+def expand(rows: DataFrame, times: str, name: str = "copy") -> DataFrame:
+    """Each row as often as its column says, with copy from 0; a row with 0, less or null is skipped. A table function row by row."""
+    return rows.where(F.col(times) > 0).select("*", F.explode(F.sequence(F.lit(0), F.col(times).cast("int") - 1)).alias(name))
+
+
+def iterable_step(rows: DataFrame, f, schema: str) -> DataFrame:
+    """Rows through a generator function from an iterator of pandas frames to one: it may skip, change or repeat rows."""
+    return rows.mapInPandas(f, schema)
+
+
+#: Presets: names of registered steps, in order.
+PRESETS: dict[str, list[str]] = {}
+
+
+def preset(df: DataFrame, name: str) -> DataFrame:
+    return run_named(df, PRESETS[name])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -156,22 +157,13 @@ def relative_poses(steps: DataFrame, xyz: list[str], angles: list[str], anchor_e
 
 def pose_vectors(rows: DataFrame, column: str, name: str) -> DataFrame:
     """Two arms of (xyz, xyzw, grip) as two of (xyz, rotation vector): 16 numbers to 12. Null vectors stay null."""
+    from millrace.functions import geometry as g
 
-    def convert(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in it:
-            batch[name] = batch[column].map(_pose_vector, na_action="ignore")
-            yield batch
-
-    return rows.mapInPandas(convert, rows.select("*", F.col(column).alias(name)).schema)
-
-
-def _pose_vector(v: np.ndarray) -> list[float]:
-    out: list[float] = []
-    for arm in (v[:8], v[8:16]):
-        q = np.asarray(arm[3:7], float)
-        q = q / np.linalg.norm(q)
-        q = -q if q[3] < 0 else q
-        s = np.linalg.norm(q[:3])
-        angle = 2 * np.arctan2(s, q[3])
-        out += [*map(float, arm[:3]), *(q[:3] * (angle / s if s > 1e-12 else 2.0)).tolist()]
-    return out
+    at = lambda i: F.get(F.col(column), F.lit(i)).cast("double")
+    length = [F.sqrt(functools.reduce(operator.add, [at(arm + i) * at(arm + i) for i in range(3, 7)])) for arm in (0, 8)]
+    held = rows.withColumns({"_n0": length[0], "_n1": length[1]})
+    for k, arm in enumerate((0, 8)):
+        turn = g.quaternion_to_axis_angle([at(arm + i) / F.col(f"_n{k}") for i in range(3, 7)])
+        held = held.withColumn(f"_t{k}", F.array(*turn))
+    parts = [x for k, arm in enumerate((0, 8)) for x in (F.array(*[at(arm + i) for i in range(3)]), F.col(f"_t{k}"))]
+    return held.withColumn(name, F.when(F.col(column).isNotNull(), F.concat(*parts))).drop("_n0", "_n1", "_t0", "_t1")

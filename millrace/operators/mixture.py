@@ -4,37 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def draw(*key: Column, seed: int = 0) -> Column:
-    """A uniform number in [0, 1) that depends on the key alone."""
-    return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1 << 52)) / float(1 << 52)
-
-
-def epoch_structure(demos: int, success: int, failure: int, p: float, q: float) -> tuple[int, int, int]:
-    """Demonstration, success and failure samples of an epoch, for a share p of demonstrations and q of successes in the rest."""
-    if success + failure == 0:
-        return demos, 0, 0
-    if q == 0 or success == 0:
-        s, f, q = 0, failure, 0.0
-    elif q == 1 or failure == 0:
-        s, f, q = success, 0, 1.0
-    else:
-        more_s, more_f = int(failure * q / (1 - q)), int(success * (1 - q) / q)
-        s, f = (more_s, failure) if success < more_s else (success, more_f)
-    if p == 0 or demos == 0:
-        return 0, s, f
-    if p == 1:
-        return demos, 0, 0
-    rest = s + f
-    more_d, more_r = int(rest * p / (1 - p)), int(demos * (1 - p) / p)
-    return (more_d, s, f) if demos < more_d else (demos, int(more_r * q), int(more_r * (1 - q)))
+    """A uniform number in [0, 1) that depends on the key alone: the first 52 bits of the MD5 of seed and key, joined by bars."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in key]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
 def epoch_structures(demos: Column, success: Column, failure: Column, p: float, q: float) -> Column:
-    """epoch_structure() of columns, as a struct of demo, success and failure; 0 < p < 1 and 0 < q < 1."""
+    """Samples of an epoch as a struct of demo, success and failure, for a share p of demonstrations and q of successes in the rest.
+
+    The scarcer kind is repeated until the share holds, never cut; a kind that is missing has no share. 0 < p < 1 and 0 < q < 1.
+    """
     if not (0 < p < 1 and 0 < q < 1):
         raise ValueError("shares must be between 0 and 1")
     whole = lambda c: F.floor(c).cast("long")
@@ -92,25 +76,40 @@ def interleave_by_ratio(position: Column, ratios: list[int]) -> Column:
     return out
 
 
-def allocate_workers(counts: dict[str, int], workers: int) -> dict[str, int]:
-    """One worker for each group, then each of the rest to the group that lacks most of its share, the first of equals."""
-    if workers < len(counts):
-        raise ValueError("fewer workers than groups")
-    total = sum(counts.values())
-    target = {k: workers * v / total for k, v in counts.items()}
-    out = dict.fromkeys(counts, 1)
-    for _ in range(workers - len(counts)):
-        out[min(out, key=lambda k: out[k] - target[k])] += 1
-    return out
+def allocate_workers(groups: DataFrame, group: str, count: str, workers: int) -> DataFrame:
+    """(group, workers): one for each group, then each of the rest to the group that lacks most of its share, the first of equals.
 
+    A group gets its (k + 1)th worker when k less its share is the least of all, so the extra workers are the least of
+    the numbers k - share: each group offers some, and the first `workers` less groups are taken.
+    """
+    all_rows = Window.partitionBy()
+    n, share = F.count("*").over(all_rows), F.col(count) * workers / F.sum(count).over(all_rows)
+    rows = groups.select(group, n.alias("_n"), share.alias("_share"))
+    rows = rows.withColumn("_n", F.when(F.col("_n") > workers, F.raise_error(F.lit("fewer workers than groups")).cast("long")).otherwise(F.col("_n")))
+    offers = rows.select(group, "_n", F.explode(F.sequence(F.lit(1), F.lit(workers))).alias("_k"), "_share")
+    taken = F.row_number().over(Window.orderBy(F.col("_k") - F.col("_share"), group)) <= workers - F.col("_n")
+    extra = offers.withColumn("_taken", taken).groupBy(group).agg(F.sum(F.col("_taken").cast("int")).alias("_extra"))
+    return extra.select(group, (1 + F.col("_extra")).cast("int").alias("workers"))
+
+
+def equal_shares(groups: DataFrame, group: str, count: str, total: int) -> DataFrame:
+    """(group, share): shares of `total` in proportion to count, rounded up; the largest group takes the difference."""
+    all_rows = Window.partitionBy()
+    n = F.sum(count).over(all_rows)
+    rows = groups.select(group, count, F.ceil(F.col(count) * total / n).cast("long").alias("_share"))
+    largest = F.row_number().over(Window.orderBy(F.col(count).desc(), F.col(group).desc())) == 1
+    rows = rows.withColumn("_over", F.sum("_share").over(all_rows) - total).withColumn("_largest", largest)
+    return rows.select(group, (F.col("_share") - F.when(F.col("_largest"), F.col("_over")).otherwise(0)).alias("share"))
 
-def equalize(counts: dict[str, int], total: int) -> dict[str, int]:
-    """Shares of `total` in proportion, rounded up; the largest group takes the difference."""
-    n = sum(counts.values())
-    out = {k: -(-v * total // n) for k, v in counts.items()}
-    largest = max(counts, key=lambda k: (counts[k], k))
-    out[largest] += total - sum(out.values())
-    return out
+
+def equalize(rows: DataFrame, group: str, order: str, total: int) -> DataFrame:
+    """Each group's rows, repeated in `order` or cut to the group's equal_shares(); copy counts the repetitions from 0."""
+    counts = rows.groupBy(group).agg(F.count("*").alias("_n"))
+    shares = equal_shares(counts, group, "_n", total).join(counts, group)
+    numbered = rows.withColumn("_i", F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1)
+    times = F.floor((F.col("share") - F.col("_i") - 1) / F.col("_n")) + 1  # places i, i + n, ... below the share
+    out = numbered.join(F.broadcast(shares), group).withColumn("_times", times.cast("int")).where("_times > 0")
+    return out.select(*rows.columns, F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias("copy"))
 
 
 def add_noise(rows: DataFrame, column: str, key: list[str], std: float, lo: Column, hi: Column, dropout: float = 0.0, seed: int = 0) -> DataFrame:
@@ -121,26 +120,23 @@ def add_noise(rows: DataFrame, column: str, key: list[str], std: float, lo: Colu
     return rows.withColumn(column, F.when(draw(*map(F.col, key), seed=seed + 2) < dropout, 0.0).otherwise(noisy))
 
 
-def suppress_overlaps(boxes: DataFrame, by: str, limit: float, keep: int) -> DataFrame:
-    """Greedy non-maximum suppression of (by, score, x0, y0, x1, y1): the best `keep` boxes, none of which overlaps a better one
-    by more than `limit` of their union. A group is one task's; give it boxes that have passed a threshold and a top-k."""
-    import pandas as pd
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(["score", "x0", "y0", "x1", "y1"], ascending=[False, True, True, True, True])
-        b = batch[["x0", "y0", "x1", "y1"]].to_numpy()
-        area = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
-        kept: list[int] = []
-        for i in range(len(b)):
-            for j in kept:
-                w, h = min(b[i, 2], b[j, 2]) - max(b[i, 0], b[j, 0]), min(b[i, 3], b[j, 3]) - max(b[i, 1], b[j, 1])
-                shared = max(w, 0) * max(h, 0)
-                if shared / max(area[i] + area[j] - shared, 1e-12) > limit:
-                    break
-            else:
-                kept.append(i)
-            if len(kept) == keep:
-                break
-        return batch.iloc[kept]
-
-    return boxes.groupBy(by).applyInPandas(run, boxes.schema)
+def suppress_overlaps(boxes: DataFrame, by: str, limit: float, top: int, keep: int) -> DataFrame:
+    """Greedy non-maximum suppression of (by, score, x0, y0, x1, y1): of each group's `top` best boxes those that overlap no kept
+    better one by more than `limit` of their union, `keep` at most. Equal scores go by coordinates.
+
+    A group is an array of at most `top` boxes, folded from the best one on.
+    """
+    sides = ["x0", "y0", "x1", "y1"]
+    order = [F.col("score").desc(), *sides]
+    best = boxes.withColumn("_k", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("_k") <= top)
+    groups = best.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("_k", "score", *sides))).alias("_boxes"))
+
+    def overlap(a: Column, b: Column) -> Column:
+        area = lambda c: (c["x1"] - c["x0"]) * (c["y1"] - c["y0"])
+        w = F.greatest(F.least(a["x1"], b["x1"]) - F.greatest(a["x0"], b["x0"]), F.lit(0.0))
+        h = F.greatest(F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"]), F.lit(0.0))
+        return w * h / F.greatest(area(a) + area(b) - w * h, F.lit(1e-12))
+
+    none = F.slice("_boxes", 1, 0)
+    step = lambda kept, x: F.when((F.size(kept) < keep) & ~F.exists(kept, lambda k: overlap(x, k) > limit), F.array_append(kept, x)).otherwise(kept)
+    return groups.select(by, F.explode(F.aggregate("_boxes", none, step)).alias("_b")).select(by, "_b.score", *[f"_b.{c}" for c in sides])

@@ -6,21 +6,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_nearest(targets: DataFrame, sources: DataFrame, by: str, ts: str, value: str, name: str) -> DataFrame:
+def asof_nearest(targets: DataFrame, sources: DataFrame, by: str, ts: str, value: str, name: str, span: float | None = None) -> DataFrame:
     """Targets (by, ts) with the value of the nearest source (by, ts, value): the earlier of two as near, the end ones outside.
 
-    One sort of both sides by (by, ts); no join. Source stamps must be distinct within `by`; null where there is no source.
+    Both sides are sorted by (by, ts) together, once forwards and once backwards, and the last source seen is carried along; no
+    join of targets and sources. Source stamps must be distinct within `by`; null where there is no source. With `span`, a
+    stream is cut into ranges of that length, each sorted by itself; a table of a row per range hands the nearest sources
+    outside it on, so one long stream is not one task's.
     """
     empty = F.lit(None).cast(sources.schema[value].dataType)
-    t = targets.select(by, F.col(ts).alias("_t"), F.lit(0).alias("_k"), empty.alias("_v"), F.struct(*targets.columns).alias("_row"))
-    s = sources.select(by, F.col(ts).alias("_t"), F.lit(1).alias("_k"), F.col(value).alias("_v"), F.lit(None).cast(t.schema["_row"].dataType).alias("_row"))
-    both = s.unionByName(t).withColumn("_s", F.when(F.col("_k") == 1, F.struct("_t", "_v")))
-    w = Window.partitionBy(by).orderBy("_t", "_k")
-    both = both.withColumn("_p", F.last("_s", True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    both = both.withColumn("_q", F.first("_s", True).over(w.rowsBetween(1, Window.unboundedFollowing))).where("_k = 0")
-    near = F.col("_q").isNull() | (F.abs(F.col("_p._t") - F.col("_t")) <= F.abs(F.col("_q._t") - F.col("_t")))
-    picked = F.when(F.col("_p").isNotNull() & near, F.col("_p._v")).otherwise(F.col("_q._v"))
-    return both.select("_row.*", picked.alias(name))
+    part = (lambda c: F.floor(c / F.lit(span))) if span else (lambda c: F.lit(0))
+    t = targets.select(F.col(by).alias("by"), F.col(ts).alias("t"), F.lit(0).alias("k"), empty.alias("v"), F.struct(*targets.columns).alias("row"))
+    s = sources.select(F.col(by).alias("by"), F.col(ts).alias("t"), F.lit(1).alias("k"), F.col(value).alias("v"), F.lit(None).cast(t.schema["row"].dataType).alias("row"))
+    source = F.when(F.col("k") == 1, F.struct("t", "v"))
+    both = s.unionByName(t).withColumn("part", part(F.col("t"))).withColumn("s", source)
+    w = Window.partitionBy("by", "part")
+    so_far = lambda *order: F.last("s", True).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    both = both.withColumns({"p": so_far("t", "k"), "q": so_far(F.col("t").desc(), F.col("k").desc())}).where("k = 0")
+    if span:
+        own = s.withColumn("part", part(F.col("t"))).groupBy("by", "part").agg(F.min(F.struct("t", "v")).alias("first"), F.max(F.struct("t", "v")).alias("last"))
+        ranges = both.select("by", "part").distinct().join(own, ["by", "part"], "full")
+        r = Window.partitionBy("by")
+        ranges = ranges.select("by", "part", F.last("last", True).over(r.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("p0"), F.last("first", True).over(r.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)).alias("q0"))
+        both = both.join(ranges, ["by", "part"]).withColumns({"p": F.coalesce("p", "p0"), "q": F.coalesce("q", "q0")})
+    near = F.col("q").isNull() | (F.abs(F.col("p.t") - F.col("t")) <= F.abs(F.col("q.t") - F.col("t")))
+    picked = F.when(F.col("p").isNotNull() & near, F.col("p.v")).otherwise(F.col("q.v"))
+    return both.select("row.*", picked.alias(name))
 
 
 def sync_streams(grid: DataFrame, streams: dict[str, list[DataFrame]], by: str, ts: str, value: str) -> DataFrame:

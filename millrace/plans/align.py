@@ -23,15 +23,11 @@ def _nearest_sql(kinds: dict[str, str]) -> str:
     )
 
 
-def _kinds(t):
-    return sorted(r[0] for r in t.events.select("event_type").distinct().collect())  # a handful of stream names
-
-
 @query(_nearest_sql({"view": "view"}) + " SELECT g.event_id, round(value, 6) AS nearest FROM g LEFT JOIN n_view USING (event_id)")
 def asof_nearest(t):
     e = _events(t)
     targets = e.where("event_type = 'click'").select("event_id", "user_id", "t")
-    out = timeseries.asof_nearest(targets, e.where("event_type = 'view'"), "user_id", "t", "value", "nearest")
+    out = timeseries.asof_nearest(targets, e.where("event_type = 'view'"), "user_id", "t", "value", "nearest", span=7 * 86400.0)
     return out.select("event_id", r(F.col("nearest")).alias("nearest"))
 
 

@@ -156,10 +156,14 @@ def quat_continuity(t):
     return ep.sign_continuity(t.steps, dot).select("episode_id", "step_idx", "sign")
 
 
-@query()
+@query("""WITH RECURSIVE {STEPS}, s AS (SELECT episode_id, step_idx, a0 / 10 AS x, a2 * 10 AS y, a3 * 10 AS z, sqrt(a0 * a0 / 100 + 100 * a2 * a2 + 100 * a3 * a3) AS n FROM steps),
+  u AS (SELECT episode_id, step_idx, 1.0::DOUBLE AS f, x, y, z FROM s WHERE step_idx = 0 UNION ALL SELECT episode_id, step_idx, f, x0 * f, y0 * f, z0 * f FROM (SELECT s.episode_id, s.step_idx, s.x AS x0, s.y AS y0, s.z AS z0,
+  CASE WHEN s.n < 1e-8 THEN 1.0 ELSE 1 + 2 * pi() / s.n * list_min(list_transform(range(-2, 3), lambda k: {'d': pow(s.x * (1 + 2 * pi() * k / s.n) - u.x, 2) + pow(s.y * (1 + 2 * pi() * k / s.n) - u.y, 2) + pow(s.z * (1 + 2 * pi() * k / s.n) - u.z, 2), 'k': k})).k END AS f
+  FROM u JOIN s ON s.episode_id = u.episode_id AND s.step_idx = u.step_idx + 1))
+  SELECT episode_id, step_idx, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y, round(z, 6) + 0.0 AS z FROM u""")
 def rotvec_unwrap(t):
     s = t.steps.select("episode_id", "step_idx", (F.col("a0") / 10).alias("x"), (F.col("a2") * 10).alias("y"), (F.col("a3") * 10).alias("z"))
-    return ep.unwrap_rotations(s, ["x", "y", "z"])
+    return ep.unwrap_rotations(s, ["x", "y", "z"]).withColumns({c: r(F.col(c)) for c in "xyz"})
 
 
 @query("""WITH {STEPS}, p AS (SELECT episode_id, step_idx, a0 AS x, a1 / 1000 AS y, a2 AS z, a3 AS yaw, lag(a0) OVER w AS px, lag(a1 / 1000) OVER w AS py, lag(a2) OVER w AS pz, lag(a3) OVER w AS pyaw
@@ -172,16 +176,22 @@ def relative_pose(t):
     return out.select("episode_id", "step_idx", *[r(F.col(c), 7).alias(c) for c in ("dx", "dy", "dz")])
 
 
-@query()
+@query("""WITH {STEPS} SELECT s.episode_id, s.step_idx, round(cos(b.a3) * (s.a0 - b.a0) + sin(b.a3) * (s.a1 - b.a1) / 1000, 7) + 0.0 AS dx, round(-sin(b.a3) * (s.a0 - b.a0) + cos(b.a3) * (s.a1 - b.a1) / 1000, 7) + 0.0 AS dy, round(s.a2 - b.a2, 7) + 0.0 AS dz
+  FROM steps s JOIN steps b ON b.episode_id = s.episode_id AND b.step_idx = (s.step_idx - 1) // 4 * 4 WHERE s.step_idx > 0""")
 def anchored_pose(t):
     s = t.steps.select("episode_id", "step_idx", F.col("a0").alias("x"), (F.col("a1") / 1000).alias("y"), F.col("a2").alias("z"), F.lit(0.0).alias("roll"), F.lit(0.0).alias("pitch"), F.col("a3").alias("yaw"))
-    return ep.relative_poses(s, ["x", "y", "z"], ["roll", "pitch", "yaw"], anchor_every=4)
+    out = ep.relative_poses(s, ["x", "y", "z"], ["roll", "pitch", "yaw"], anchor_every=4)
+    return out.select("episode_id", "step_idx", *[r(F.col(c), 7).alias(c) for c in ("dx", "dy", "dz")])
 
 
-@query()
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), a AS (SELECT vec_id, arm, v[arm * 8 + 1:arm * 8 + 3] AS p, v[arm * 8 + 4:arm * 8 + 7] AS q FROM e CROSS JOIN (SELECT unnest([0, 1]) AS arm)),
+  n AS (SELECT vec_id, arm, p, q[1] / l AS x, q[2] / l AS y, q[3] / l AS z, q[4] / l AS w FROM (SELECT *, sqrt(q[1] * q[1] + q[2] * q[2] + q[3] * q[3] + q[4] * q[4]) AS l FROM a)),
+  k AS (SELECT *, 2 * atan2(sqrt(x * x + y * y + z * z), abs(w)) / sqrt(x * x + y * y + z * z) * CASE WHEN w < 0 THEN -1 ELSE 1 END AS k FROM n)
+  SELECT vec_id, CAST(arm * 6 + i - 1 AS INTEGER) AS pos, round(list_concat(p, [x * k, y * k, z * k])[i], 5) + 0.0 AS value FROM k CROSS JOIN (SELECT unnest(range(1, 7)) AS i)""")
 def pose_vectors(t):
     v = F.slice("embedding", 1, 16).cast("array<double>")
-    return ep.pose_vectors(t.embeddings.select("vec_id", v.alias("pose")), "pose", "pose12").select("vec_id", "pose12")
+    out = ep.pose_vectors(t.embeddings.select("vec_id", v.alias("pose")), "pose", "pose12")
+    return out.select("vec_id", F.posexplode("pose12").alias("pos", "value")).withColumn("value", r(F.col("value"), 5))
 
 
 @query("""WITH {EPISODES} SELECT episode_id, num_steps, sum(num_steps) OVER (ORDER BY episode_id) - num_steps AS start FROM episodes""")

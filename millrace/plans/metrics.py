@@ -44,8 +44,6 @@ def _with_stats(t):
     return rows.join(F.broadcast(s), "dim")
 
 
-
-
 def _cols():
     return {k: F.col(k) for k in ("min", "max", "mean", "std", "q01", "q99")}
 
@@ -86,13 +84,14 @@ def unnormalize(t):
 
 @query(f"WITH {DIMS_SQL} SELECT dim, round(quantile_cont(abs(x), 0.99), 9) AS p99 FROM d GROUP BY dim")
 def abs_p99(t):
-    return stats.by_dimension(_vectors(t), "v").groupBy("dim").agg(r(F.percentile(F.abs("x"), F.lit(0.99)), 9).alias("p99"))
+    rows = stats.by_dimension(_vectors(t), "v").select("dim", F.abs("x").alias("x"))
+    return _round(stats.exact_quantiles(rows, ["dim"], "x", {"p99": 0.99}), "p99", digits=9)
 
 
 @query("SELECT label, round(median(x), 6) AS median, round(quantile_cont(x, 0.95), 6) AS p95, median(x) <= 0.1 AND quantile_cont(x, 0.95) <= 0.2 AS ok FROM (SELECT label, abs(embedding[1]::DOUBLE) AS x FROM embeddings) GROUP BY label")
 def residual_gate(t):
     x = F.abs(F.get("embedding", F.lit(0)).cast("double"))
-    g = t.embeddings.select("label", x.alias("x")).groupBy("label").agg(F.median("x").alias("median"), F.percentile("x", F.lit(0.95)).alias("p95"))
+    g = stats.exact_quantiles(t.embeddings.select("label", x.alias("x")), ["label"], "x", {"median": 0.5, "p95": 0.95})
     return g.select("label", r(F.col("median")).alias("median"), r(F.col("p95")).alias("p95"), ((F.col("median") <= 0.1) & (F.col("p95") <= 0.2)).alias("ok"))
 
 
@@ -242,8 +241,9 @@ def threshold_topk(t):
 @query("SELECT episode_id, position >= n - CAST(ceil(n / 20.0) AS BIGINT) AS test FROM (SELECT o_orderkey AS episode_id, row_number() OVER (ORDER BY o_orderkey) - 1 AS position, count(*) OVER () AS n FROM orders)")
 def tail_holdout(t):
     rows = t.orders.select(F.col("o_orderkey").alias("episode_id"))
-    n = rows.count()
-    return ordering.number_rows(rows, ["episode_id"]).select("episode_id", (F.col("position") >= n - -(-n // 20)).alias("test"))
+    n = rows.agg(F.count("*").alias("n"))  # one row
+    numbered = ordering.number_rows(rows, ["episode_id"]).join(F.broadcast(n))
+    return numbered.select("episode_id", (F.col("position") >= F.col("n") - F.ceil(F.col("n") / 20)).alias("test"))
 
 
 @query("SELECT r AS rank, r * (n // 7) + least(r, n % 7) AS first, (r + 1) * (n // 7) + least(r + 1, n % 7) AS last, false AS overflow FROM (SELECT count(*) AS n FROM customer) CROSS JOIN (SELECT unnest(range(0, 7)) AS r)")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import frames
+from millrace.functions.draws import draw_sql
 from millrace.operators import mixture, ordering
 from millrace.plans.registry import query, r
 
@@ -42,13 +43,15 @@ def strided_concat(t):
     return rows.groupBy((F.col("n") % 5).alias("batch")).agg(F.count("*").alias("rows"), F.min("n").alias("first"))
 
 
-@query("""WITH n AS (SELECT n_nationkey AS grp, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS d, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000) AS s,
+EPOCH_SQL = """n AS (SELECT n_nationkey AS grp, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS d, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000) AS s,
   (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal <= 5000) AS f FROM nation),
   r AS (SELECT *, CASE WHEN s = 0 THEN 0 WHEN f = 0 THEN s WHEN s < floor(f * 0.25 / 0.75) THEN floor(f * 0.25 / 0.75) ELSE s END AS s2,
-  CASE WHEN s = 0 THEN f WHEN f = 0 THEN 0 WHEN s < floor(f * 0.25 / 0.75) THEN f ELSE floor(s * 0.75 / 0.25) END AS f2, CASE WHEN s = 0 THEN 0 WHEN f = 0 THEN 1 ELSE 0.25 END AS q FROM n)
-  SELECT grp, CAST(CASE WHEN s + f = 0 THEN d WHEN d = 0 THEN 0 WHEN d < s2 + f2 THEN s2 + f2 ELSE d END AS BIGINT) AS demo, CAST(CASE WHEN s + f = 0 THEN 0 WHEN d = 0 OR d < s2 + f2 THEN s2 ELSE floor(d * q) END AS BIGINT) AS success,
-  CAST(CASE WHEN s + f = 0 THEN 0 WHEN d = 0 OR d < s2 + f2 THEN f2 ELSE floor(d * (1 - q)) END AS BIGINT) AS failure FROM r""")
-def epoch_structure(t):
+  CASE WHEN s = 0 THEN f WHEN f = 0 THEN 0 WHEN s < floor(f * 0.25 / 0.75) THEN f ELSE floor(s * 0.75 / 0.25) END AS f2, CASE WHEN s = 0 THEN 0 WHEN f = 0 THEN 1 ELSE 0.25 END AS q FROM n),
+  e AS (SELECT grp, CAST(CASE WHEN s + f = 0 THEN d WHEN d = 0 THEN 0 WHEN d < s2 + f2 THEN s2 + f2 ELSE d END AS BIGINT) AS demo, CAST(CASE WHEN s + f = 0 THEN 0 WHEN d = 0 OR d < s2 + f2 THEN s2 ELSE floor(d * q) END AS BIGINT) AS success,
+  CAST(CASE WHEN s + f = 0 THEN 0 WHEN d = 0 OR d < s2 + f2 THEN f2 ELSE floor(d * (1 - q)) END AS BIGINT) AS failure FROM r)"""
+
+
+def _epochs(t):
     d = t.customer.groupBy(F.col("c_nationkey").alias("grp")).agg(F.count("*").alias("d"))
     good = F.col("s_acctbal") > 5000
     s = t.supplier.groupBy(F.col("s_nationkey").alias("grp")).agg(F.sum(good.cast("long")).alias("s"), F.sum((~good).cast("long")).alias("f"))
@@ -56,10 +59,17 @@ def epoch_structure(t):
     return rows.select("grp", mixture.epoch_structures(F.col("d"), F.col("s"), F.col("f"), 0.5, 0.25).alias("e")).select("grp", "e.*")
 
 
-@query("SELECT i AS idx, CASE WHEN i < 100 THEN 'demo' WHEN i < 150 THEN 'success' ELSE 'failure' END AS kind FROM (SELECT unnest(range(0, 200)) AS i)")
+@query(f"WITH {EPOCH_SQL} SELECT * FROM e")
+def epoch_structure(t):
+    return _epochs(t)
+
+
+@query(f"""WITH {EPOCH_SQL} SELECT grp, idx, CASE WHEN idx < demo THEN 'demo' WHEN idx < demo + success THEN 'success' ELSE 'failure' END AS kind
+  FROM (SELECT *, unnest(range(0, demo + success + failure)) AS idx FROM e)""")
 def sample_type(t):
-    d, s, f = mixture.epoch_structure(100, 30, 10, 0.5, 0.5)
-    return t.spark.range(d + s + f).select(F.col("id").alias("idx"), mixture.sample_type(F.col("id"), d, s).alias("kind"))
+    all_ = F.col("demo") + F.col("success") + F.col("failure")
+    rows = _epochs(t).where(all_ > 0).select("*", F.explode(F.sequence(F.lit(0).cast("long"), all_ - 1)).alias("idx"))
+    return rows.select("grp", "idx", mixture.sample_type(F.col("idx"), F.col("demo"), F.col("success")).alias("kind"))
 
 
 @query("SELECT i AS idx, n_name FROM (SELECT unnest(range(0, 70)) AS i) JOIN (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS n FROM nation) ON n = i % 25")
@@ -68,19 +78,19 @@ def epoch_expand(t):
     return t.spark.range(70).select(F.col("id").alias("idx"), (F.col("id") % 25).alias("n")).join(rows, "n").select("idx", "n_name")
 
 
-@query()
+@query(f"SELECT o_orderkey AS episode_id, CASE WHEN {draw_sql(3, 'o_orderkey')} < 0.5 THEN 'world_model' ELSE 'value' END AS kind FROM orders WHERE o_orderstatus <> 'O'")
 def world_value_flip(t):
     kind = F.when(mixture.draw(F.col("o_orderkey"), seed=3) < 0.5, "world_model").otherwise("value")
     return t.orders.where("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("episode_id"), kind.alias("kind"))
 
 
-@query("SELECT CAST(floor(count(*) * 0.1) AS BIGINT) AS validation, CAST(count(*) - floor(count(*) * 0.1) AS BIGINT) AS train FROM orders")
-def holdout_counts(t):
-    n = t.orders.count()
+@query(f"""WITH u AS (SELECT o_orderkey, row_number() OVER (ORDER BY {draw_sql(1, 'o_orderkey')}, o_orderkey) - 1 AS position, count(*) OVER () AS n FROM orders)
+  SELECT o_orderkey, position >= n - CAST(floor(n * 0.1) AS BIGINT) AS held FROM u""")
+def shuffled_holdout(t):
     order = t.orders.select(mixture.draw(F.col("o_orderkey"), seed=1).alias("u"), "o_orderkey")
-    ranked = ordering.number_rows(order, ["u", "o_orderkey"])
-    held = (F.col("position") >= n - int(n * 0.1)).cast("long")
-    return ranked.agg(F.sum(held).alias("validation"), F.sum(1 - held).alias("train"))
+    n = t.orders.agg(F.count("*").alias("n"))  # one row
+    ranked = ordering.number_rows(order, ["u", "o_orderkey"]).join(F.broadcast(n))
+    return ranked.select("o_orderkey", (F.col("position") >= F.col("n") - F.floor(F.col("n") * 0.1)).alias("held"))
 
 
 @query("SELECT p_partkey, s AS stride FROM part CROSS JOIN (SELECT unnest(range(1, 17)) AS s) WHERE 8 * s < p_size * 4 AND 30.0 / s >= 4 AND 30.0 / s <= 12")
@@ -89,7 +99,9 @@ def valid_strides(t):
     return t.part.select("p_partkey", F.explode(s).alias("stride"))
 
 
-@query()
+@query(f"""WITH s AS (SELECT p_partkey, p_size, list_filter(range(1, 17), lambda s: 8 * s < p_size * 4 AND 30.0 / s >= 4 AND 30.0 / s <= 12) AS v FROM part),
+  c AS (SELECT p_partkey, p_size, CASE WHEN {draw_sql(5, 'p_partkey')} < 0.99 OR len(v) = 1 THEN v[-1] ELSE v[-2] END AS stride FROM s WHERE len(v) > 0)
+  SELECT p_partkey, CAST(stride AS INTEGER) AS stride, CAST(floor({draw_sql(6, 'p_partkey')} * (p_size * 4 - 8 * stride)) AS BIGINT) AS start FROM c""")
 def stride_choice(t):
     s = F.array_sort(frames.strides(F.col("p_size") * 4, F.lit(30.0), 9, 4, 12))
     top = F.when(mixture.draw(F.col("p_partkey"), seed=5) < 0.99, F.element_at(s, -1)).otherwise(F.coalesce(F.get(s, F.size(s) - 2), F.element_at(s, -1)))
@@ -123,21 +135,23 @@ def window_eligibility(t):
     return t.orders.select("o_orderkey", F.inline(ok))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 2 WHEN o_orderstatus = 'O' THEN 1 ELSE 3 END AS styles FROM orders")
+@query(f"""WITH u AS (SELECT o_orderkey, o_orderstatus AS s, {draw_sql(0, 'o_orderkey')} AS u FROM orders)
+  SELECT o_orderkey, CASE s WHEN 'F' THEN CASE WHEN u * 0.8 < 0.5 THEN 'long' ELSE 'short' END WHEN 'O' THEN 'long' ELSE CASE WHEN u < 0.5 THEN 'long' WHEN u < 0.8 THEN 'short' ELSE 'user' END END AS style FROM u""")
 def available_styles(t):
     have = F.when(F.col("o_orderstatus") == "F", F.array(F.lit("long"), F.lit("short"))).when(F.col("o_orderstatus") == "O", F.array(F.lit("long"))).otherwise(F.array(F.lit("long"), F.lit("short"), F.lit("user")))
     pick = mixture.weighted_choice(mixture.draw(F.col("o_orderkey")), {"long": 0.5, "short": 0.3, "user": 0.2}, lambda k: F.array_contains("have", k))
-    rows = t.orders.withColumn("have", have).withColumn("pick", pick)
-    return rows.where(F.array_contains("have", F.col("pick"))).select("o_orderkey", F.size("have").alias("styles"))
+    return t.orders.withColumn("have", have).select("o_orderkey", pick.alias("style"))
 
 
-@query()
+@query(f"SELECT i AS position, CASE WHEN {draw_sql(9, 'i')} < 0.7 THEN 'customer' ELSE 'supplier' END AS source FROM (SELECT unnest(range(0, 1000)) AS i)")
 def source_mixture(t):
     pick = mixture.weighted_choice(mixture.draw(F.col("id"), seed=9), {"customer": 0.7, "supplier": 0.3}, lambda k: F.lit(True))
     return t.spark.range(1000).select(F.col("id").alias("position"), pick.alias("source"))
 
 
-@query()
+@query(f"""WITH w AS (SELECT p_partkey, {draw_sql(11, 'p_partkey')} AS u, CASE WHEN p_size > 8 THEN 1.0 / 900 ELSE 0 END AS a, CASE WHEN p_size > 16 THEN 1.0 / 225 ELSE 0 END AS b,
+  CASE WHEN p_size > 24 THEN 1.0 / 100 ELSE 0 END AS c, CASE WHEN p_size > 40 THEN 1.0 / 36 ELSE 0 END AS d FROM part)
+  SELECT p_partkey, CAST(CASE WHEN a + b + c + d = 0 THEN NULL WHEN u * (a + b + c + d) < a THEN 1 WHEN u * (a + b + c + d) < a + b THEN 2 WHEN u * (a + b + c + d) < a + b + c THEN 3 ELSE 5 END AS INTEGER) AS stride FROM w""")
 def fps_stride_weights(t):
     pick = mixture.weighted_choice(mixture.draw(F.col("p_partkey"), seed=11), {str(s): 1.0 / (30.0 / s) ** 2 for s in (1, 2, 3, 5)}, lambda k: F.col("p_size") > 8 * int(k))
     return t.part.select("p_partkey", pick.cast("int").alias("stride"))
@@ -151,17 +165,30 @@ def shard_assign(t):
     return rows.select("s_suppkey", rank.alias("rank"), worker.alias("worker"))
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT c_mktsegment AS grp, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT row_number() OVER (ORDER BY grp) AS i, grp, n * 16.0 / (SELECT sum(n) FROM c) AS share FROM c),
+  w AS (SELECT list(1 ORDER BY i) AS have, list(share ORDER BY i) AS share, 16 - count(*) AS rest FROM s UNION ALL
+  SELECT list_transform(have, lambda x, i: x + CASE WHEN i = list_position(list_transform(have, lambda y, j: y - share[j]), list_min(list_transform(have, lambda y, j: y - share[j]))) THEN 1 ELSE 0 END), share, rest - 1 FROM w WHERE rest > 0)
+  SELECT grp, CAST(have[i] AS INTEGER) AS workers FROM s CROSS JOIN (SELECT have FROM w WHERE rest = 0)""")
 def worker_allocation(t):
-    counts = {r[0]: r[1] for r in t.customer.groupBy("c_mktsegment").count().orderBy("c_mktsegment").collect()}  # a row per group
-    return t.spark.createDataFrame(sorted(mixture.allocate_workers(counts, 16).items()), "grp string, workers int")
+    counts = t.customer.groupBy(F.col("c_mktsegment").alias("grp")).agg(F.count("*").alias("n"))  # a row per group
+    return mixture.allocate_workers(counts, "grp", "n", 16)
+
+
+SHARES_SQL = """c AS (SELECT c_mktsegment AS grp, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT grp, n, CAST(ceil(n * 100.0 / (SELECT sum(n) FROM c)) AS BIGINT) AS share FROM c),
+  e AS (SELECT grp, n, share + CASE WHEN row_number() OVER (ORDER BY n DESC, grp DESC) = 1 THEN 100 - (SELECT CAST(sum(share) AS BIGINT) FROM s) ELSE 0 END AS share FROM s)"""
 
 
-@query("""WITH c AS (SELECT c_mktsegment AS grp, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT grp, n, CAST(ceil(n * 100.0 / (SELECT sum(n) FROM c)) AS BIGINT) AS share FROM c)
-  SELECT grp, share + CASE WHEN row_number() OVER (ORDER BY n DESC, grp DESC) = 1 THEN 100 - (SELECT CAST(sum(share) AS BIGINT) FROM s) ELSE 0 END AS share FROM s""")
+@query(f"WITH {SHARES_SQL} SELECT grp, share FROM e")
 def equalize_counts(t):
-    counts = {r[0]: r[1] for r in t.customer.groupBy("c_mktsegment").count().collect()}  # a row per group
-    return t.spark.createDataFrame(sorted(mixture.equalize(counts, 100).items()), "grp string, share long")
+    counts = t.customer.groupBy(F.col("c_mktsegment").alias("grp")).agg(F.count("*").alias("n"))
+    return mixture.equal_shares(counts, "grp", "n", 100)
+
+
+@query(f"""WITH {SHARES_SQL}, r AS (SELECT c_custkey, c_mktsegment AS grp, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS i FROM customer)
+  SELECT c_custkey, grp, CAST(k AS INTEGER) AS copy FROM r JOIN e USING (grp), unnest(range(0, CAST(ceil(share * 1.0 / n) AS BIGINT))) AS u(k) WHERE i + k * n < share""")
+def equalize_shards(t):
+    rows = t.customer.select("c_custkey", F.col("c_mktsegment").alias("grp"))
+    return mixture.equalize(rows, "grp", "c_custkey", 100)
 
 
 @query("SELECT p_partkey, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS number FROM part")
@@ -169,11 +196,12 @@ def regex_extract(t):
     return t.part.select("p_partkey", F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int").alias("number"))
 
 
-@query()
+@query(f"""WITH p AS (SELECT p_partkey, p_retailprice AS x, min(p_retailprice) OVER () AS lo, max(p_retailprice) OVER () AS hi FROM part)
+  SELECT p_partkey, round(CASE WHEN {draw_sql(2, 'p_partkey')} < 0.05 THEN 0.0 ELSE least(hi, greatest(lo, x + 10.0 * sqrt(-2 * ln(1 - {draw_sql(0, 'p_partkey')})) * cos(6.283185307179586 * {draw_sql(1, 'p_partkey')}))) END, 6) AS x FROM p""")
 def state_noise(t):
     rows = t.part.select("p_partkey", F.col("p_retailprice").alias("x"))
     bounds = rows.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    return mixture.add_noise(rows.join(F.broadcast(bounds)), "x", ["p_partkey"], 10.0, F.col("lo"), F.col("hi"), 0.05).select("p_partkey", "x")
+    return mixture.add_noise(rows.join(F.broadcast(bounds)), "x", ["p_partkey"], 10.0, F.col("lo"), F.col("hi"), 0.05).select("p_partkey", r(F.col("x")).alias("x"))
 
 
 @query("SELECT i AS position, CASE WHEN i % 6 < 3 THEN 0 WHEN i % 6 < 5 THEN 1 ELSE 2 END AS source FROM (SELECT unnest(range(0, 100)) AS i)")
@@ -181,11 +209,16 @@ def ratio_interleave(t):
     return t.spark.range(100).select(F.col("id").alias("position"), mixture.interleave_by_ratio(F.col("id"), [3, 2, 1]).alias("source"))
 
 
-@query()
+@query("""WITH RECURSIVE b AS (SELECT p_brand, p_retailprice AS score, CAST(p_size AS DOUBLE) AS x0, CAST(p_partkey % 40 AS DOUBLE) AS y0 FROM part WHERE p_retailprice > 100),
+  t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY score DESC, x0, y0) AS k FROM b) WHERE k <= 50),
+  f AS (SELECT p_brand, 1 AS k, [k] AS kept, [x0] AS xs, [y0] AS ys FROM t WHERE k = 1 UNION ALL
+  SELECT f.p_brand, t.k, CASE WHEN ok THEN list_append(kept, t.k) ELSE kept END, CASE WHEN ok THEN list_append(xs, x0) ELSE xs END, CASE WHEN ok THEN list_append(ys, y0) ELSE ys END FROM f JOIN t ON t.p_brand = f.p_brand AND t.k = f.k + 1,
+  LATERAL (SELECT len(kept) < 10 AND len(list_filter(range(1, len(xs) + 1), lambda i: greatest(10 - abs(xs[i] - x0), 0) * greatest(10 - abs(ys[i] - y0), 0) / (200 - greatest(10 - abs(xs[i] - x0), 0) * greatest(10 - abs(ys[i] - y0), 0)) > 0.4)) = 0 AS ok))
+  SELECT p_brand, score, x0, y0 FROM t JOIN (SELECT p_brand, arg_max(kept, k) AS kept FROM f GROUP BY p_brand) USING (p_brand) WHERE list_contains(kept, k)""")
 def box_suppression(t):
-    x = F.col("p_size").cast("double")
-    boxes = t.part.select("p_brand", F.col("p_retailprice").alias("score"), x.alias("x0"), x.alias("y0"), (x + 10).alias("x1"), (x + 10).alias("y1"))
-    return mixture.suppress_overlaps(boxes.where("score > 100"), "p_brand", 0.4, 10)
+    x, y = F.col("p_size").cast("double"), (F.col("p_partkey") % 40).cast("double")
+    boxes = t.part.select("p_brand", F.col("p_retailprice").alias("score"), x.alias("x0"), y.alias("y0"), (x + 10).alias("x1"), (y + 10).alias("y1"))
+    return mixture.suppress_overlaps(boxes.where("score > 100"), "p_brand", 0.4, 50, 10).select("p_brand", "score", "x0", "y0")
 
 
 @query("SELECT CASE WHEN success THEN 'train' ELSE 'val' END AS split, count(*) AS episodes, CAST(sum(num_steps) AS BIGINT) AS num_steps FROM (WITH {EPISODES} SELECT * FROM episodes) GROUP BY 1")

@@ -56,10 +56,20 @@ def blocklist_exact(t):
     return t.documents.where(text.has_word(F.lower("text"), BLOCKED)).select("doc_id")
 
 
-@query()
+FUZZY = ["pathetic", "worthless", "disgusting", "you are a clown"]
+
+
+@query(f"""WITH w AS (SELECT doc_id, string_split({CLEAN_SQL}, ' ') AS a FROM documents) SELECT doc_id FROM w WHERE list_has_any(a, ['pathetic', 'worthless', 'disgusting'])
+  OR list_contains(list_transform(range(1, greatest(len(a) - 2, 1)), lambda i: array_to_string(a[i:i + 3], ' ')), 'you are a clown')""")
 def blocklist_fuzzy(t):
     rows = t.documents.select("doc_id", text.normalize(F.col("text")).alias("clean"))
-    return text.fuzzy_hits(rows, "doc_id", "clean", ["pathetic", "worthless", "disgusting"], slack=1.0)
+    return text.fuzzy_hits(rows, "doc_id", "clean", FUZZY)
+
+
+@query()
+def blocklist_fuzzy_loose(t):
+    rows = t.documents.select("doc_id", text.normalize(F.col("text")).alias("clean"))
+    return text.fuzzy_hits(rows, "doc_id", "clean", FUZZY, slack=1.0)
 
 
 @query(r"""SELECT doc_id, array_to_string(list_transform(string_split(regexp_replace(text, '\s+', ' ', 'g'), ' '),

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import difflib
 import io
 import json
 import math
+import pickle
 import random
 import tarfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import frames, geometry, text, vectors
 from millrace.operators import chain, episodic, mixture, ordering, shards, stats, timeseries, validate
-from millrace.sources import readers, writers
+from millrace.sources import readers, store, writers
 from millrace.streaming import metrics as streaming
 
 
@@ -76,10 +79,18 @@ def test_ensembles(spark, values, scheme, want):
 
 def test_rank_ranges_and_shares():
     assert [r[:2] for r in ordering.rank_ranges(10, 3)] == [(0, 4), (4, 7), (7, 10)]
-    assert mixture.allocate_workers({"a": 90, "b": 10}, 4) == {"a": 3, "b": 1}
-    assert sum(mixture.equalize({"a": 1, "b": 1, "c": 1}, 100).values()) == 100
-    assert mixture.epoch_structure(100, 30, 10, 0.5, 0.5) == (100, 50, 50)
-    assert mixture.epoch_structure(7, 0, 0, 0.5, 0.5) == (7, 0, 0)
+
+
+def test_shares(spark):
+    groups = spark.createDataFrame([("a", 90), ("b", 10)], "g string, n long")
+    assert sorted(map(tuple, mixture.allocate_workers(groups, "g", "n", 4).collect())) == [("a", 3), ("b", 1)]
+    equal = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "g string, n long")
+    assert sum(r.share for r in mixture.equal_shares(equal, "g", "n", 100).collect()) == 100
+    rows = spark.createDataFrame([("a", i) for i in range(9)] + [("b", 9)], "g string, i int")
+    out = mixture.equalize(rows, "g", "i", 30).collect()
+    assert sum(r.g == "a" for r in out) == 27 and sorted(r.copy for r in out if r.g == "b") == [0, 1, 2]
+    epoch = lambda *n: tuple(one(spark, mixture.epoch_structures(*map(F.lit, n), 0.5, 0.5).alias("e")).e)
+    assert epoch(100, 30, 10) == (100, 50, 50) and epoch(7, 0, 0) == (7, 0, 0)
 
 
 def test_chunks_and_strides(spark):
@@ -89,7 +100,7 @@ def test_chunks_and_strides(spark):
 
 
 def test_global_numbers(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(ordering, "RANGES", 8)
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     out = ordering.number_rows(rows, ["k"]).collect()
     assert all(r.k == r.position for r in out) and len(out) == 1000
@@ -128,16 +139,27 @@ def test_rotations_go_back(spark):
 
 
 def test_fuzzy_thresholds(spark):
-    rows = spark.createDataFrame([("a badw0rd here",), ("fine",), (None,)], "x string")
-    hits = lambda slack: [r[0] for r in rows.select(text.fuzzy_matcher(["badword"], slack)("x")).collect()]
-    assert hits(1.0) == [True, False, False] and hits(0.5) == [False, False, False]
-
-
-def test_fuzzy_hits_are_the_matcher(spark):
-    rows = spark.createDataFrame([(1, "so badw0rd"), (2, "two wrrd phrase"), (3, "badly"), (4, None), (5, "")], "k int, x string")
-    words = ["badword", "word phrase"]
-    want = {r.k for r in rows.where(text.fuzzy_matcher(words, 1.0)("x")).collect()}
-    assert {r.k for r in text.fuzzy_hits(rows, "k", "x", words, 1.0).collect()} == want == {1, 2}
+    rows = spark.createDataFrame([(1, "a badw0rd here"), (2, "fine"), (3, None), (4, "some badword")], "k int, x string")
+    hits = lambda slack: sorted(r.k for r in text.fuzzy_hits(rows, "k", "x", ["badword"], slack).collect())
+    assert hits(1.0) == [1, 4] and hits(0.5) == hits(0.4) == [4]
+
+
+@pytest.mark.parametrize("slack", [0.4, 0.9, 1.0, 2.5])
+def test_fuzzy_hits_are_every_window(spark, slack):
+    """All runs of as many words as a phrase, compared with difflib one by one."""
+    rng = random.Random(3)
+    words = ["badword", "word phrase", "a far longer phrase", "short"]
+    twist = lambda w: "".join(rng.choice("abdorw ") if rng.random() < 0.12 else c for c in w)
+    texts = [" ".join(twist(rng.choice(words)) if rng.random() < 0.5 else rng.choice(["fine", "badly", "phrase"]) for _ in range(4)) for _ in range(120)]
+    rows = spark.createDataFrame([*enumerate(texts), (500, None), (501, "")], "k int, x string")
+    want = set()
+    for k, t in enumerate(texts):
+        parts = t.split(" ")
+        for w in (w for w in words if len(w) >= 6):
+            n = len(w.split())
+            if any(difflib.SequenceMatcher(None, " ".join(parts[i : i + n]), w).ratio() >= (len(w) - slack) / len(w) for i in range(len(parts) - n + 1)):
+                want.add(k)
+    assert {r.k for r in text.fuzzy_hits(rows, "k", "x", words, slack).collect()} == want and want
 
 
 def test_captions(spark):
@@ -169,7 +191,7 @@ def test_chain_round_trip(spark):
 
 def test_suppression(spark):
     boxes = spark.createDataFrame([("g", 0.9, 0.0, 0.0, 10.0, 10.0), ("g", 0.8, 1.0, 1.0, 10.0, 10.0), ("g", 0.7, 50.0, 50.0, 60.0, 60.0)], "g string, score double, x0 double, y0 double, x1 double, y1 double")
-    assert sorted(r.score for r in mixture.suppress_overlaps(boxes, "g", 0.5, 10).collect()) == [0.7, 0.9]
+    assert sorted(r.score for r in mixture.suppress_overlaps(boxes, "g", 0.5, 50, 10).collect()) == [0.7, 0.9]
 
 
 def test_tar_and_json(spark, tmp_path):
@@ -181,6 +203,8 @@ def test_tar_and_json(spark, tmp_path):
             tar.addfile(info, io.BytesIO(b"{}"))
     out = readers.tar_shards(spark, str(tmp_path / "video")).orderBy("pos").collect()
     assert [(r.data_key, r.key, r.suffix) for r in out] == [("video", "k1", "json"), ("video", "k1", "jpg"), ("video", "k2", "json")]
+    for batch_bytes in (1, 1 << 20):
+        assert readers.tar_shards(spark, str(tmp_path / "video"), stream=True, batch_bytes=batch_bytes).orderBy("pos").collect() == out
     (tmp_path / "m.json").write_text(json.dumps({"root": "s3://b/x/y", "data_list": ["1.tar", "2.tar"], "total_key_count": 3, "chunk_size": 2}))
     assert [(r.root, r.shard) for r in readers.shard_list(spark, str(tmp_path / "m.json")).collect()] == [("x/y", "1.tar"), ("x/y", "2.tar")]
     (tmp_path / "r.json").write_text(json.dumps({"3": {"verdict": "keep", "trim_start": 0.0, "trim_end": 1.5, "notes": ""}}))
@@ -205,8 +229,135 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, spark.sql("SELECT event_type, sum(n) FROM rollup GROUP BY event_type").collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_epoch_structures_are_the_loop(spark):
+def test_epoch_shares_hold(spark):
+    """Nothing is cut, and of each pair of kinds that are there the shares hold up to rounding."""
     cases = [(d, s, f) for d in (0, 3, 10, 100) for s in (0, 1, 7, 30) for f in (0, 2, 10, 60)]
     rows = spark.createDataFrame(cases, "d long, s long, f long")
-    out = rows.select("*", mixture.epoch_structures(F.col("d"), F.col("s"), F.col("f"), 0.5, 0.25).alias("e")).collect()
-    assert all(tuple(r.e) == mixture.epoch_structure(r.d, r.s, r.f, 0.5, 0.25) for r in out)
+    for x in rows.select("*", mixture.epoch_structures(F.col("d"), F.col("s"), F.col("f"), 0.5, 0.25).alias("e")).select("*", "e.*").collect():
+        if not x.d or not x.s + x.f:
+            assert x.demo == (x.d if not x.s + x.f else 0)
+            continue
+        assert x.demo >= x.d and x.success + x.failure >= x.s + x.f - 1 and abs(x.demo - x.success - x.failure) <= 2
+        assert not (x.s and x.f) or abs(x.success - 0.25 * (x.success + x.failure)) <= 2
+
+
+def test_nearest_of_long_streams(spark):
+    """Every span gives what one sort gives, and one key of many stamps does not take the square of them."""
+    rng = random.Random(7)
+    sources = [(k, round(rng.uniform(0, 50), 3), i) for i, k in enumerate("aab" * 40)] + [("c", 25.0, -1)]
+    sources = list({(k, t): (k, t, v) for k, t, v in sources}.values())
+    targets = [(k, round(rng.uniform(-5, 55), 3)) for k in "abcd" * 50] + [(k, t) for k, t, _ in sources[:20]]
+    s = spark.createDataFrame(sources, "k string, t double, v int")
+    g = spark.createDataFrame(targets, "k string, t double")
+
+    def best(k, t):
+        near = [(abs(x - t), x, v) for j, x, v in sources if j == k]
+        return min(near)[2] if near else None
+
+    want = sorted(((k, t, best(k, t)) for k, t in targets), key=str)
+    for span in (None, 7.0, 1000.0):
+        assert sorted(map(tuple, timeseries.asof_nearest(g, s, "k", "t", "v", "v", span).collect()), key=str) == want
+    many = spark.range(200_000).select(F.lit("x").alias("k"), F.col("id").cast("double").alias("t"), F.col("id").alias("v"))
+    shifted = many.select("k", (F.col("t") + 0.25).alias("t"))
+    assert timeseries.asof_nearest(shifted, many, "k", "t", "v", "v").where("v <> floor(t)").count() == 0
+
+
+def test_exact_quantiles(spark, monkeypatch):
+    monkeypatch.setattr(stats, "ACCURACY", 20)
+    rng = random.Random(1)
+    values = {"a": [rng.choice([1.0, 2.0, rng.random()]) for _ in range(999)], "b": [5.0] * 300, "c": [1.0, 2.0], "d": [float(i * i) for i in range(400)]}
+    rows = spark.createDataFrame([(k, v) for k, x in values.items() for v in x] + [("a", None)], "k string, v double")
+    out = {r.k: r for r in stats.exact_quantiles(rows, ["k"], "v", {"lo": 0.01, "mid": 0.5, "hi": 0.99, "max": 1.0}).collect()}
+    for k, x in values.items():
+        assert [out[k].lo, out[k].mid, out[k].hi, out[k].max] == pytest.approx(np.quantile(x, [0.01, 0.5, 0.99, 1.0]).tolist())
+
+
+def test_equal_leading_keys_and_any_names(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGES", 16)
+    rows = spark.range(500).select((F.col("id") % 2).alias("_range"), F.col("id").alias("_value"), F.lit("x").alias("_sum"))
+    out = ordering.number_rows(rows, ["_range", "_value"]).collect()
+    assert sorted(r.position for r in out) == list(range(500)) and all(r.position == r._range * 250 + r._value // 2 and r._sum == "x" for r in out)
+
+
+def test_store_retries(tmp_path):
+    pauses, tries = [], []
+
+    def flaky():
+        tries.append(1)
+        if len(tries) < 4:
+            raise OSError("again")
+        return 7
+
+    assert store.retried(flaky, sleep=pauses.append) == 7 and len(pauses) == 3 and pauses[1] >= 0.2
+    with pytest.raises(OSError):
+        store.retried(lambda: (_ for _ in ()).throw(OSError("no")), attempts=2, sleep=pauses.append)
+
+    class Breaking(io.BytesIO):
+        left = 2
+
+        def read(self, n=-1):
+            Breaking.left -= 1
+            if Breaking.left == 0:
+                raise OSError("cut off")
+            return super().read(n)
+
+    data = bytes(range(256)) * 40
+    assert store.RetryingStream(lambda: Breaking(data), pause=0.0).readall() == data
+    (tmp_path / "f.bin").write_bytes(data)
+    for url in (str(tmp_path / "f.bin"), f"file://{tmp_path}/f.bin"):
+        assert store.open_url(url).read() == data
+
+
+def test_captions_items_and_decoders(spark, tmp_path):
+    (tmp_path / "captions").mkdir()
+    (tmp_path / "captions" / "v1.json").write_text('"model": {"long": "a b", "short": "a"}')
+    (tmp_path / "captions" / "v2.json").write_text('{"model": {"long": "c"}}')
+    got = lambda **k: {r.name: r.caption for r in readers.captions(spark, str(tmp_path), **k).collect()}
+    assert got() == {"v1": "a b", "v2": "c"} and got(prompt="short") == {"v1": "a", "v2": "c"}
+    with pytest.raises(ValueError):
+        readers.captions(spark, str(tmp_path / "none"))
+    (tmp_path / "items").mkdir()
+    for i in range(4):
+        (tmp_path / "items" / f"{i:06d}.pkl").write_bytes(pickle.dumps([i, 2.5]))
+    rows = readers.items(spark, str(tmp_path / "items"), 1, 3).select("item", readers.numbers(F.col("content"), "pickle").alias("x"))
+    assert sorted(map(tuple, rows.collect())) == [(1, [1.0, 2.5]), (2, [2.0, 2.5])]
+    with pytest.raises(pickle.UnpicklingError):
+        readers.DECODERS["pickle"](pickle.dumps(random.Random()))
+    npy = io.BytesIO()
+    np.save(npy, np.arange(3.0))
+    assert readers.DECODERS["npy"](npy.getvalue()).tolist() == [0, 1, 2] and readers.DECODERS["json"](b"[1]") == [1]
+
+
+def test_rollouts_and_backups(spark, tmp_path):
+    steps_ = spark.createDataFrame([(0, 0, [1.0, 2.0]), (0, 1, [4.0, 2.0]), (1, 0, [5.0, 5.0])], "episode_id long, step_idx int, action array<double>")
+    writers.write_rollouts(steps_, spark.createDataFrame([(0, True), (1, False)], "episode_id long, success boolean"), str(tmp_path / "r"))
+    out = spark.read.parquet(str(tmp_path / "r" / "steps")).orderBy("episode_id", "step_idx").collect()
+    assert [(r.relative_action, r.success) for r in out] == [([3.0, 0.0], True), ([3.0, 0.0], True), ([0.0, 0.0], False)]
+    for n in (1, 2, 3):
+        writers.save_with_backup(spark.range(n), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3 and spark.read.parquet(str(tmp_path / "t.bak")).count() == 2
+
+
+def test_config_rules():
+    rules = {"n": validate.checked_number(int, 1, 8, multiple_of=2), "x": validate.checked_number(float, 0.0), "s": validate.checked_string(1, 3), "b": validate.checked_bool, "o": validate.one_of(1, 2, cast=int), "j": validate.checked_json}
+    good = {"n": "4", "x": 1, "s": "ab", "b": "True", "o": "2", "j": '{"a": 1}'}
+    assert validate.check_config(good, rules) == {"n": 4, "x": 1.0, "s": "ab", "b": True, "o": 2, "j": {"a": 1}}
+    for bad in ({"n": 3}, {"n": 2.5}, {"x": -1}, {"s": "abcd"}, {"b": "maybe"}, {"o": 3}, {"j": "[1]"}):
+        with pytest.raises(ValueError):
+            validate.check_config(good | bad, rules)
+
+
+def test_registries(spark):
+    found = chain.Registry()
+    found.register("twice")(lambda s, path: s.range(2))
+    assert found.find("twice")(spark, "").count() == 2
+    for bad in (lambda: found.find("other"), lambda: found.register("twice")(1)):
+        with pytest.raises(ValueError):
+            bad()
+    readers.HANDLERS.register("seq")(lambda s, path, schema=None: s.range(5))
+    assert readers.load(spark, "x.seq").count() == 5
+    readers.DATASETS.register("five")(lambda s, path: s.range(5))
+    assert readers.dataset(spark, "five", "").count() == 5
+    chain.register("half")(lambda d: d.where("id % 2 = 0"))
+    chain.PRESETS["twice_half"] = ["half", "half"]
+    assert chain.preset(spark.range(4), "twice_half").count() == 2
