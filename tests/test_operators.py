@@ -332,7 +332,7 @@ def test_rollouts_and_backups(spark, tmp_path):
     steps_ = spark.createDataFrame([(0, 0, [1.0, 2.0]), (0, 1, [4.0, 2.0]), (1, 0, [5.0, 5.0])], "episode_id long, step_idx int, action array<double>")
     writers.write_rollouts(steps_, spark.createDataFrame([(0, True), (1, False)], "episode_id long, success boolean"), str(tmp_path / "r"))
     out = spark.read.parquet(str(tmp_path / "r" / "steps")).orderBy("episode_id", "step_idx").collect()
-    assert [(r.relative_action, r.success) for r in out] == [([3.0, 0.0], True), ([3.0, 0.0], True), ([0.0, 0.0], False)]
+    assert [(r.relative_action, r.success) for r in out] == [([3.0, 0.0], "true"), ([3.0, 0.0], "true"), ([0.0, 0.0], "false")]
     for n in (1, 2, 3):
         writers.save_with_backup(spark.range(n), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3 and spark.read.parquet(str(tmp_path / "t.bak")).count() == 2
