@@ -50,7 +50,9 @@ def test_suffix_array_dedup(docs, pairs, monkeypatch, hot):
     assert found(out, "n_bytes", "r", "s", "h") == by_id(pairs, brute.repeated_bytes(pairs))
 
 
-def test_substring_dedup(docs, pairs):
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_substring_dedup(docs, pairs, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_UNITS", hot)
     out = substring_dedup(docs, part_bytes=4096)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     out = out.select("doc_id", "n_words", removed.alias("r"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("h"))
@@ -62,8 +64,8 @@ def test_decontamination(spark, docs, pairs, rows):
     items = [(1, " ".join(words[0][:20])), (20, " ".join(words[1][2:6]).upper()), (3, None), (None, " ".join(words[2][:15])), (3, ""), (3, words[3][0]), (1, " ".join(words[0][1:16]))]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("row", F.lit(1))
     want = by_id(pairs, brute.contamination(pairs, items))
-    for block in (1 << 20, 40):
-        out = decontaminate(docs, bench, block_bytes=block)
+    for block, each in ((1 << 20, 16), (40, 64), (40, 3)):
+        out = decontaminate(docs, bench, block_bytes=block, blocks_each=each)
         out = out.select("doc_id", "n_words", "n_hit", F.size("items").alias("n"), F.sha2(F.array_join("items", ","), 256).alias("h"), "contaminated")
         assert found(out, "n_words", "n_hit", "n", "h", "contaminated") == want
 
