@@ -36,7 +36,8 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, count: str, total: int)
 
 
 def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
-    """Packed bits, 2 ** bits of them, in which the leading bits of each hash (a column of longs) are set; most significant first.
+    """Packed bits, 2 ** bits of them, in which the leading bits of each hash are set; most significant first. hashes: a column of
+    longs, or of packed arrays of them.
 
     Tasks send the segments in which they have a bit, executors put those together, and the driver gets each segment once.
     """
@@ -50,7 +51,12 @@ def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     def marks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, np.ndarray] = {}
         for batch in it:
-            at = np.unique((T.longs(batch.column(0)).view(np.uint64) >> np.uint64(shift)).astype(np.int64))
+            if pa.types.is_binary(batch.schema.types[0]):
+                own = [T.unpack(x)[0] for x in batch.column(0).to_pylist()]
+                value = np.concatenate(own) if own else np.zeros(0, np.uint64)
+            else:
+                value = T.longs(batch.column(0)).view(np.uint64)
+            at = np.unique((value >> np.uint64(shift)).astype(np.int64))
             cuts = np.searchsorted(at, np.arange(segments + 1) * size)
             for k in np.flatnonzero(np.diff(cuts)).tolist():
                 own = found.setdefault(k, np.zeros(size // 8, np.uint8))

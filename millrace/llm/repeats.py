@@ -4,16 +4,17 @@ A *window* is `window` consecutive elements (bytes or word hashes) of one docume
 the position of its least-hashed gram, which depends on the window's content alone, so equal windows have equal
 anchors at equal places. The consecutive windows of one anchor form a *unit*. Then
 
-1. scan: each task emits its units as (anchor hash, unit hash, place), without units it has itself seen before;
-2. settle: by anchor, later copies of a whole unit are repeats; anchors with two or more different units are
-   *ambiguous*, since their units may share some windows and not others. They go into a bitmap of fixed size;
-3. rescan: the units of ambiguous anchors (and a few chance hits of the bitmap) are sent with their content;
-4. resolve: a part's distinct units are compared by the operator's own method;
+1. anchors: each task emits the anchors of its units; those that occur twice or more go into a bitmap;
+2. windows: an anchor of very many different units is *hot*: its windows are dealt out by their own hashes, those that occur
+   twice or more, which go into a second bitmap. This stage runs only if there are hot anchors;
+3. contents: units of repeated anchors (and chance hits of the bitmap) are sent with their content, and so are repeated
+   windows of hot anchors, as units of one window. Equal units of a task are sent once;
+4. resolve: a part's units are compared, by their content, by the operator's own method;
 5. cover: the repeated ranges of each document are merged and joined with its text.
 
-Every copy but one is dropped before each shuffle, so a hot passage sends at most one row per task.
+Hashes only say which contents meet; what is equal is decided by content, in step 3 within a task and in step 4 otherwise.
 Documents are keyed by (doc_id, xxhash64 of text): rows that repeat a doc_id and its text are one document with
-several rows, rows that repeat only the doc_id are documents of equal rank. A null doc_id counts as the largest.
+several rows, rows that repeat only the doc_id are documents of equal rank, neither earlier. A null doc_id counts as the largest.
 """
 
 from __future__ import annotations
@@ -27,16 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops as T
+from millrace.llm.joins import bitmap, in_bitmap
 from millrace.llm.scratch import Scratch
 
 U = np.uint64
 NULL_ID = np.iinfo(np.int64).max
-#: log2 of the number of bits that mark ambiguous anchors; more anchors only mean more chance hits.
-FILTER_BITS = 27
-#: Units that a scan task holds before it sends them on.
-FLUSH_UNITS = 300_000
-#: Anchors with more different units are hot: their windows are compared one by one, dealt out by window hash.
-HOT_UNITS = 20_000
+#: log2 of the bits of the bitmaps, as a bound; for small corpora they are smaller. With more repeats than a tenth of the bits the
+#: bitmap lets others pass too, which are sent in vain and resolved to nothing.
+MOST_BITS = 28
+#: Anchors that a task holds before it sends them on, and bytes of contents.
+FLUSH_UNITS, FLUSH_BYTES = 300_000, 16 << 20
+#: Anchors of more units, a task's equal ones counted once, are hot; so are at most HOT_ANCHORS of them.
+HOT_UNITS, HOT_ANCHORS = 20_000, 1_000_000
 COLUMNS = ("anchor", "unit", "doc", "tag", "lo", "span", "aoff")
 
 
@@ -107,37 +110,46 @@ def find_units(values: np.ndarray, offs: np.ndarray, rules: Rules) -> dict[str,
     return {"anchor": T.mix(h[a]), "unit": unit, "row": row, "at": lo, "lo": lo - offs[row], "span": span, "aoff": aoff}
 
 
-def settle(c: dict[str, np.ndarray], within_document: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Of equal units, `keep` has the first place (within_document) or all places in the first document; `dup` the others."""
+def settle(c: dict[str, np.ndarray], content: np.ndarray, at: np.ndarray, lens: np.ndarray, within_document: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of units of equal content, `dup` are those that start again: in a document after the first, or again in their own.
+
+    `keep` are the other places, each once. Without within_document only other documents count, and all places in the first are kept.
+    Units of equal hashes whose contents differ from that of the first of them are all kept.
+    """
     n = len(c["unit"])
     keep, dup = np.ones(n, bool), np.zeros(n, bool)
     if not n:
         return keep, dup
     key = T.mix(c["anchor"] + c["unit"] * U(3))
-    o = np.argsort(key, kind="stable")
-    new = np.ones(n, bool)
-    new[1:] = key[o[1:]] != key[o[:-1]]
+    o = np.lexsort((c["lo"], c["tag"], c["doc"], key))
+    new = np.append(True, key[o[1:]] != key[o[:-1]])
     group = np.cumsum(new) - 1
-    sub = o[np.bincount(group)[group] > 1]
-    if not len(sub):
+    o = o[np.bincount(group)[group] > 1]
+    if not len(o):
         return keep, dup
-    sub = sub[np.lexsort((c["lo"][sub], c["tag"][sub], c["doc"][sub], key[sub]))]
-    new = np.ones(len(sub), bool)
-    new[1:] = key[sub[1:]] != key[sub[:-1]]
-    first = sub[np.maximum.accumulate(np.where(new, np.arange(len(sub)), 0))]
-    same_doc = c["doc"][sub] == c["doc"][first]
-    again = np.zeros(len(sub), bool)  # the same place of a repeated row
-    again[1:] = ~new[1:] & (c["doc"][sub[1:]] == c["doc"][sub[:-1]]) & (c["tag"][sub[1:]] == c["tag"][sub[:-1]]) & (c["lo"][sub[1:]] == c["lo"][sub[:-1]])
+    new = np.append(True, key[o[1:]] != key[o[:-1]])
+    first = o[np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))]
+    same = (lens[o] == lens[first]) & (c["aoff"][o] == c["aoff"][first])
+    size = np.minimum(lens[o], lens[first])
+    equal = content[T.ragged(at[o], size)] == content[T.ragged(at[first], size)]
+    same &= np.logical_and.reduceat(equal, np.cumsum(size) - size)
+    o, first = o[same], first[same]
+    doc, tag, lo = (c[k][o] for k in ("doc", "tag", "lo"))
+    before = np.append(False, (first[1:] == first[:-1]) & (doc[1:] == doc[:-1]) & (tag[1:] == tag[:-1]))  # in the same document
+    place = before & np.append(False, lo[1:] == lo[:-1])  # the same place of a repeated row
+    later = doc != c["doc"][first]
     if within_document:
-        same_place = same_doc & (c["tag"][sub] == c["tag"][first]) & (c["lo"][sub] == c["lo"][first])
-        dup[sub] = ~same_place
-        keep[sub] = new
-    else:
-        dup[sub] = ~same_doc
-        keep[sub] = same_doc & ~again
+        later |= before & ~place & (lo != c["lo"][_heads(o, before)])
+    dup[o] = later
+    keep[o] = ~later & ~place
     return keep, dup
 
 
+def _heads(o: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The first of each run of units in one document."""
+    return o[np.maximum.accumulate(np.where(before, 0, np.arange(len(o))))]
+
+
 def part_of(x: np.ndarray, parts: int) -> np.ndarray:
     """Range partition of 64-bit hashes."""
     return ((x >> U(32)) * U(parts) >> U(32)).astype(np.int64)
@@ -166,132 +178,118 @@ def batches(rows: list[tuple[int, str, bytes]]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in part], ROWS.types[j]) for j in range(3)], schema=ROWS)
 
 
-def hot_windows(u: dict[str, np.ndarray], values: np.ndarray, row: np.ndarray, window: int) -> dict[str, np.ndarray]:
-    """Each window of some units as a unit of its own."""
+def window_units(u: dict[str, np.ndarray], values: np.ndarray, window: int) -> dict[str, np.ndarray]:
+    """Each window of some units as a unit of its own, whose anchor is its start and its hash."""
     count = u["span"] + 1
     at = T.ragged(u["at"], count)
     hashes = T.span_hash(T.prefix(values), at, at + window)
-    lo = np.repeat(u["lo"] - u["at"], count) + at
     none = np.zeros(len(at), np.int64)
-    return {"anchor": hashes, "unit": hashes, "row": np.repeat(row, count), "lo": lo, "span": none, "aoff": none}
-
-
-def scan(rules: Rules, parts: int, bitmap=None, hot=None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Documents to packed units by anchor and, without a bitmap, covers of what repeats within the task."""
+    return {"anchor": hashes, "unit": hashes, "row": np.repeat(u["row"], count), "at": at, "lo": np.repeat(u["lo"] - u["at"], count) + at, "span": none, "aoff": none}
 
-    def flush(found: list[dict[str, np.ndarray]], kind: str, contents: list[np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
-        c = {k: np.concatenate([f[k] for f in found]) for k in COLUMNS}
-        keep, dup = settle(c, rules.within_document)
-        rows = []
-        part = part_of(c["anchor"], parts)
-        if contents is None:
-            if dup.any():
-                rows += cover_rows(c["doc"][dup], c["tag"][dup], c["lo"][dup], c["lo"][dup] + c["span"][dup] + rules.window, parts)
-            rows += [(p, kind, T.pack(*x)) for p, x in by_part(part[keep], [c[k][keep] for k in COLUMNS], parts)]
-        else:  # what settle() drops here has been covered before
-            content = np.concatenate(contents)
-            lens = c["span"].astype(np.int64) + rules.window
-            at = np.cumsum(lens) - lens
-            for p, (i,) in by_part(part[keep], [np.flatnonzero(keep)], parts):
-                rows.append((p, kind, T.pack(*[c[k][i] for k in COLUMNS], content[T.ragged(at[i], lens[i])])))
-        yield from batches(rows)
 
-    def placed(u: dict[str, np.ndarray], doc: np.ndarray, tag: np.ndarray, base: int) -> dict[str, np.ndarray]:
-        row = u["row"] + base
-        out = {"anchor": u["anchor"], "unit": u["unit"], "doc": doc[row], "tag": tag[row], "lo": u["lo"].astype(np.int64)}
-        return out | {"span": u["span"].astype(np.uint16), "aoff": u["aoff"].astype(np.uint16)}
+def slices_of(it: Iterator[pa.RecordBatch], rules: Rules):
+    """(documents, tags, first row, bytes, element values, units) of each slice of the batches."""
+    for batch in it:
+        doc, tag = T.longs(batch.column(0)), T.longs(batch.column(1))
+        for lo, _hi, buf, offs in T.text_slices(batch.column(2)):
+            values, first = elements(buf, offs, rules.words)
+            yield doc, tag, lo, buf, values, find_units(values, first, rules)
+
+
+def hash_counts(rules: Rules, parts: int, hot=None):
+    """Documents to packed rows by part: anchors with their numbers of units and of different ones; with `hot`, the same of hot anchors' windows."""
+
+    def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        a, u = (np.concatenate(x) for x in zip(*held, strict=True))
+        o = np.lexsort((u, a))
+        a, u = a[o], u[o]
+        new = np.append(True, a[1:] != a[:-1])
+        head = np.flatnonzero(new)
+        distinct = np.add.reduceat((new | np.append(True, u[1:] != u[:-1])).astype(np.int64), head)
+        many = np.diff(np.append(head, len(a)))
+        columns = [a[head], np.minimum(many, 255).astype(np.uint8), distinct.astype(np.uint32)]
+        yield from batches([(p, "hash", T.pack(*x)) for p, x in by_part(part_of(a[head], parts), columns, parts)])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, contents, windows, held, n_windows = [], [], [], 0, 0
-        marks = bitmap.value if bitmap is not None else None
-        for batch in it:
-            doc, tag = T.longs(batch.column(0)), T.longs(batch.column(1))
-            for lo, _hi, buf, offs in T.text_slices(batch.column(2)):
-                values, first = elements(buf, offs, rules.words)
-                u = find_units(values, first, rules)
-                if marks is not None:
-                    bit = u["anchor"] >> U(64 - FILTER_BITS)
-                    hit = (marks[(bit >> U(3)).astype(np.int64)] >> (bit & U(7)).astype(np.uint8)) & 1 > 0
-                    if hot is not None:
-                        is_hot = hit & np.isin(u["anchor"], hot.value)
-                        if is_hot.any():
-                            some = {k: v[is_hot] for k, v in u.items()}
-                            windows.append(placed(hot_windows(some, values, some["row"], rules.window), doc, tag, lo))
-                            n_windows += len(windows[-1]["lo"])
-                        hit &= ~is_hot
-                    u = {k: v[hit] for k, v in u.items()}
-                    raw = values if rules.words else buf
-                    contents.append(raw[T.ragged(u["at"], u["span"] + rules.window)])
-                found.append(placed(u, doc, tag, lo))
-                held += len(u["lo"])
-                if marks is None and held >= FLUSH_UNITS:
-                    yield from flush(found, "unit")
-                    found, held = [], 0
-                elif marks is not None and held >= FLUSH_UNITS // 8:
-                    yield from flush(found, "text", contents)
-                    found, contents, held = [], [], 0
-                if n_windows >= FLUSH_UNITS:
-                    yield from flush(windows, "window")
-                    windows, n_windows = [], 0
-        if held:
-            yield from flush(found, "unit") if marks is None else flush(found, "text", contents)
-        if n_windows:
-            yield from flush(windows, "window")
+        held, n = [], 0
+        for _, _, _, _, values, u in slices_of(it, rules):
+            if hot is not None:
+                some = np.isin(u["anchor"], hot.value)
+                u = window_units({k: v[some] for k, v in u.items()}, values, rules.window)
+            held.append((u["anchor"], u["unit"]))
+            n += len(u["unit"])
+            if n >= FLUSH_UNITS:
+                yield from flush(held)
+                held, n = [], 0
+        if n:
+            yield from flush(held)
 
     return run
 
 
-def gathered(it: Iterator[pa.RecordBatch]) -> dict[int, dict[str, list[bytes]]]:
-    """The packed rows of a Spark partition: by part, then by kind."""
-    out: dict[int, dict[str, list[bytes]]] = {}
-    for batch in it:
-        for part, kind, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            out.setdefault(part, {}).setdefault(kind, []).append(data)
-    return out
-
-
-def settle_parts(rules: Rules, parts: int):
-    """Units by anchor to covers of the later copies and to the bits of ambiguous anchors."""
+def repeated_hashes(most: int):
+    """Packed counts by part to the hashes that occur twice or more and, of those, the ones with over `most` different units."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, kinds in gathered(it).items():
-            yield from batches([(part, "cover", x) for x in kinds.pop("cover", [])])
-            if "unit" not in kinds:
-                continue
-            c = dict(zip(COLUMNS, T.unpack_all(kinds.pop("unit")), strict=True))
-            keep, dup = settle(c, rules.within_document)
-            rows = []
-            if dup.any():
-                rows += cover_rows(c["doc"][dup], c["tag"][dup], c["lo"][dup], c["lo"][dup] + c["span"][dup] + rules.window, parts)
-            a, u = c["anchor"][keep], c["unit"][keep]
+            a, many, distinct = T.unpack_all(kinds.pop("hash"))
             o = np.argsort(a, kind="stable")
-            a, u = a[o], u[o]
-            mixed = np.flatnonzero((a[1:] == a[:-1]) & (u[1:] != u[:-1]))
-            if len(mixed):
-                rows.append((part, "bits", T.pack(np.unique(a[mixed] >> U(64 - FILTER_BITS)).astype(np.uint32))))
-                many, count = np.unique(a[mixed], return_counts=True)
-                if (count > HOT_UNITS).any():
-                    rows.append((part, "hot", T.pack(many[count > HOT_UNITS])))
+            head = np.flatnonzero(np.append(True, a[o[1:]] != a[o[:-1]]))
+            many, distinct = np.add.reduceat(many[o].astype(np.int64), head), np.add.reduceat(distinct[o].astype(np.int64), head)
+            a = a[o[head]]
+            rows = [(part, "repeated", T.pack(a[many > 1]))] if (many > 1).any() else []
+            if (distinct > most).any():
+                rows.append((part, "hot", T.pack(a[distinct > most])))
             yield from batches(rows)
 
     return run
 
 
-def ambiguous_bitmap(settled: DataFrame) -> np.ndarray:
-    """At most 2**FILTER_BITS bits, whatever the corpus."""
+def contents(rules: Rules, parts: int, bits: int, marks, hot=None, window_marks=None):
+    """Documents to packed units of repeated anchors with their content, by anchor, and covers of what repeats within the task."""
+
+    def flush(found: list[dict[str, np.ndarray]], raw: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        c = {k: np.concatenate([f[k] for f in found]) for k in COLUMNS}
+        content = np.concatenate(raw)
+        lens = c["span"].astype(np.int64) + rules.window
+        at = np.cumsum(lens) - lens
+        keep, dup = settle(c, content, at, lens, rules.within_document)
+        rows = cover_rows(c["doc"][dup], c["tag"][dup], c["lo"][dup], c["lo"][dup] + lens[dup], parts) if dup.any() else []
+        for p, (i,) in by_part(part_of(c["anchor"][keep], parts), [np.flatnonzero(keep)], parts):
+            rows.append((p, "text", T.pack(*[c[k][i] for k in COLUMNS], content[T.ragged(at[i], lens[i])])))
+        yield from batches(rows)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, raw, held = [], [], 0
+        for doc, tag, base, buf, values, u in slices_of(it, rules):
+            hit = in_bitmap(marks.value, bits, u["anchor"])
+            some = [hit]
+            if hot is not None:
+                is_hot = hit & np.isin(u["anchor"], hot.value)
+                windows = window_units({k: v[is_hot] for k, v in u.items()}, values, rules.window)
+                again = in_bitmap(window_marks.value, bits, windows["unit"])
+                some = [hit & ~is_hot, again]
+            for units, pick in zip((u, windows) if hot is not None else (u,), some, strict=True):
+                own = {k: v[pick] for k, v in units.items()}
+                row = own["row"] + base
+                found.append({"anchor": own["anchor"], "unit": own["unit"], "doc": doc[row], "tag": tag[row], "lo": own["lo"].astype(np.int64), "span": own["span"].astype(np.uint16), "aoff": own["aoff"].astype(np.uint16)})
+                raw.append((values if rules.words else buf)[T.ragged(own["at"], own["span"] + rules.window)])
+                held += raw[-1].nbytes + 40 * len(row)
+                if held >= FLUSH_BYTES:
+                    yield from flush(found, raw)
+                    found, raw, held = [], [], 0
+        if held:
+            yield from flush(found, raw)
 
-    def marks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            bits = np.unique(np.concatenate([T.unpack(x)[0] for x in batch.column(0).to_pylist()])) if batch.num_rows else np.zeros(0, np.uint32)
-            for first in np.unique(bits >> 16):  # 8 KiB of the bitmap at a time
-                own = np.zeros(8192, np.uint8)
-                b = bits[bits >> 16 == first] & 0xFFFF
-                np.bitwise_or.at(own, b >> 3, (1 << (b & 7)).astype(np.uint8))
-                yield pa.RecordBatch.from_arrays([pa.array([int(first)], pa.int64()), pa.array([T.pack(own)], pa.binary())], names=["first", "data"])
+    return run
 
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for first, data in settled.where("kind = 'bits'").select("data").mapInArrow(T.lean(marks), "first long, data binary").toLocalIterator():
-        out[first * 8192 : (first + 1) * 8192] |= T.unpack(data)[0]
+
+def gathered(it: Iterator[pa.RecordBatch]) -> dict[int, dict[str, list[bytes]]]:
+    """The packed rows of a Spark partition: by part, then by kind."""
+    out: dict[int, dict[str, list[bytes]]] = {}
+    for batch in it:
+        for part, kind, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            out.setdefault(part, {}).setdefault(kind, []).append(data)
     return out
 
 
@@ -301,27 +299,30 @@ def resolve_parts(rules: Rules, parts: int, resolve: Callable):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, kinds in gathered(it).items():
             yield from batches([(part, "cover", x) for x in kinds.pop("cover", [])])
-            if "window" in kinds:
-                c = dict(zip(COLUMNS, T.unpack_all(kinds.pop("window")), strict=True))
-                _, dup = settle(c, rules.within_document)
-                if dup.any():
-                    yield from batches(cover_rows(c["doc"][dup], c["tag"][dup], c["lo"][dup], c["lo"][dup] + rules.window, parts))
             if "text" not in kinds:
                 continue
             *cols, content = T.unpack_all(kinds.pop("text"))
             c = dict(zip(COLUMNS, cols, strict=True))
-            keep, _ = settle(c, rules.within_document)  # the other places have been covered in settle_parts
             lens = c["span"].astype(np.int64) + rules.window
-            at = (np.cumsum(lens) - lens)[keep]
-            c = {k: v[keep] for k, v in c.items()}
-            order = np.argsort(c["anchor"], kind="stable")
+            at = np.cumsum(lens) - lens
+            order = np.lexsort((c["span"], c["lo"], c["tag"], c["doc"], c["anchor"]))
+            same = np.ones(len(order), bool)  # the same place, of a row that is there again
+            for k in ("anchor", "doc", "tag", "lo"):
+                same[1:] &= c[k][order[1:]] == c[k][order[:-1]]
+            same[:1] = False
+            order = order[~same]
             heads = np.flatnonzero(np.append(True, np.diff(c["anchor"][order]) != 0))
-            cuts = [0]
-            for h in heads.tolist():  # whole anchors, some thousand units at a time
-                if h - cuts[-1] >= 8192:
-                    cuts.append(h)
-            for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
-                i = order[lo:hi]
+            sizes = np.diff(np.append(heads, len(order)))
+            heads, sizes = heads[sizes > 1], sizes[sizes > 1]  # an anchor with one place has come by a chance hit
+            cuts, done = [0], 0
+            for i, total in enumerate(np.cumsum(sizes).tolist()):  # whole anchors, some thousand units at a time
+                if total - done >= 8192:
+                    cuts.append(i + 1)
+                    done = total
+            for lo, hi in zip(cuts, [*cuts[1:], len(heads)], strict=True):
+                if lo == hi:
+                    continue
+                i = order[T.ragged(heads[lo:hi], sizes[lo:hi])]
                 doc, tag, start, end = resolve({k: v[i] for k, v in c.items()}, content, at[i])
                 if len(doc):
                     yield from batches(cover_rows(doc, tag, start, end, parts))
@@ -350,17 +351,32 @@ def repeated_spans(docs: DataFrame, rules: Rules, resolve: Callable, part_bytes:
     docs = keyed(docs, carry)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // part_bytes))
+    bits = min(MOST_BITS, max(20, int(total // 8).bit_length()))
     source = docs.select("doc", "tag", "text")
-    units = source.mapInArrow(T.lean(scan(rules, parts)), ROWS_DDL).repartitionById(parts, F.col("part"))
-    settled = scratch.save(units.mapInArrow(T.lean(settle_parts(rules, parts)), ROWS_DDL))
-    marks = ambiguous_bitmap(settled)
-    covers = settled.where("kind = 'cover'")
-    if marks.any():
-        shared = spark.sparkContext.broadcast(marks)
-        hot = [T.unpack(r[0])[0] for r in settled.where("kind = 'hot'").select("data").toLocalIterator()]
-        hot = spark.sparkContext.broadcast(np.concatenate(hot)) if hot else None
-        texts = source.mapInArrow(T.lean(scan(rules, parts, shared, hot)), ROWS_DDL).repartitionById(parts, F.col("part"))
-        covers = covers.unionByName(scratch.save(texts.mapInArrow(T.lean(resolve_parts(rules, parts, resolve)), ROWS_DDL)))
+
+    def stage(run, then) -> DataFrame:
+        """Documents through `run`, dealt by part, through `then`."""
+        return scratch.save(source.mapInArrow(T.lean(run), ROWS_DDL).repartitionById(parts, F.col("part")).mapInArrow(T.lean(then), ROWS_DDL))
+
+    def marked(rows: DataFrame):
+        """A broadcast bitmap of the repeated hashes."""
+        return spark.sparkContext.broadcast(bitmap(rows.where("kind = 'repeated'").select("data"), bits))
+
+    most = max(HOT_UNITS, total // HOT_ANCHORS)  # there are fewer units than bytes, so fewer than HOT_ANCHORS of such anchors
+    counted = stage(hash_counts(rules, parts), repeated_hashes(most))
+    marks, hot, window_marks = marked(counted), None, None
+    held = [marks]
+    found = [T.unpack(r[0])[0] for r in counted.where("kind = 'hot'").select("data").toLocalIterator()]
+    if found:
+        hot = spark.sparkContext.broadcast(np.concatenate(found))
+        windows = stage(hash_counts(rules, parts, hot), repeated_hashes(total + 1))
+        window_marks = marked(windows)
+        held += [hot, window_marks]
+        scratch.drop(windows)
+    covers = stage(contents(rules, parts, bits, marks, hot, window_marks), resolve_parts(rules, parts, resolve))
     spans = scratch.save(covers.repartitionById(parts, F.col("part")).mapInArrow(T.lean(join_covers), "doc long, tag long, spans binary"))
-    scratch.drop(settled)
+    for x in held:
+        x.destroy()
+    scratch.drop(counted)
+    scratch.drop(covers)
     return docs.join(spans.hint("shuffle_hash"), ["doc", "tag"], "left").select("doc_id", "text", "spans", "row")

@@ -91,11 +91,16 @@ def resolver(window: int):
         rank[np.lexsort((c["lo"], c["tag"], c["doc"]))] = np.arange(len(at))
         lows, highs = first.tolist(), last.tolist()
         marks = [0] * len(at)  # bit x: the window that starts x bytes before the anchor has occurred earlier
+        docs, tags = c["doc"].tolist(), c["tag"].tolist()
         for before, after, members in maximal_repeats(c["anchor"], rank, left, right, window):
             near = max(window - after, 0)
             bits = (1 << (before + 1)) - (1 << near)
-            for m in members[1:]:
-                marks[m] |= bits
+            earliest, own = docs[members[0]], set()
+            for m in members:
+                if docs[m] == earliest and tags[m] not in own:  # the first in its document, and no document is earlier
+                    own.add(tags[m])
+                else:
+                    marks[m] |= bits
         who, start, end = [], [], []
         place = (c["lo"] + a).tolist()
         for m in np.flatnonzero([x > 0 for x in marks]).tolist():
@@ -139,8 +144,8 @@ def suffix_array_dedup(docs: DataFrame, min_bytes: int = 100, gram: int = 24, pa
     spans (maximal removed runs, as byte offsets).
 
     Null and empty texts have no bytes and keep none. Texts shorter than min_bytes stay whole. A null doc_id comes last.
-    Rows that repeat doc_id and text are one document and get equal results; rows with one doc_id and different texts rank
-    by their hash. Other columns are ignored, whatever their names. An empty table gives no rows.
+    Rows that repeat doc_id and text are one document and get equal results; rows with one doc_id and different texts are of
+    equal rank, so neither removes bytes of the other. Other columns are ignored, whatever their names. An empty table gives no rows.
     part_bytes: text whose candidates one task resolves; raise it with executor memory.
     """
     rules = repeats.Rules(words=False, window=min_bytes, gram=min(gram, min_bytes), within_document=True)
