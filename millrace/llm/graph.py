@@ -41,6 +41,6 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _drawn(turn: int):
     def column(name: str) -> Column:
-        return F.struct(F.xxhash64(F.lit(turn), F.col(name)).alias("p"), F.col(name).alias("v"))
+        return F.struct(F.xxhash64(F.lit(str(turn)), F.col(name)).alias("p"), F.col(name).alias("v"))  # text, so that all rounds share their compiled code
 
     return column

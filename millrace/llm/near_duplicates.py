@@ -97,7 +97,7 @@ def shingle_sets(size: int, marks):
         seen: set[int] = set()
         for batch in it:
             key = T.longs(batch.column(0))
-            pick = np.flatnonzero(in_bitmap(marks.value, MARK_BITS, T.mix(key.view(np.uint64))))
+            pick = np.flatnonzero(in_bitmap(marks.value, MARK_BITS, key))
             pick = pick[fresh(key[pick], seen)]
             texts = batch.column(1).take(pa.array(pick))
             for lo, hi, buf, offs in T.text_slices(texts):
@@ -108,11 +108,6 @@ def shingle_sets(size: int, marks):
     return run
 
 
-def mixed_keys(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
-        yield pa.RecordBatch.from_arrays([pa.array(T.mix(T.longs(batch.column(0)).view(np.uint64)).view(np.int64))], names=["k"])
-
-
 def alike(similarity: float):
     """Pairs (u, v, sets of both) to those of a similarity."""
 
@@ -304,8 +299,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     def judged(pairs: DataFrame) -> DataFrame:
         """The pairs that are similar, by their shingle sets."""
         pairs = scratch.save(pairs.select("u", "v").distinct())
-        hashed = pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct().mapInArrow(T.lean(mixed_keys), "k long")
-        marks = bitmap(hashed, MARK_BITS)
+        marks = bitmap(pairs.select(F.explode(F.array("u", "v")).alias("k")).distinct(), MARK_BITS)
         if not marks.any():
             return pairs
         shared = spark.sparkContext.broadcast(marks)
