@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -89,6 +90,54 @@ def base_scores(rows, held):
     }
 
 
+def franchise(counts, root, d, theta, sweeps, burn_in, seed):
+    """Mean P(word | near, far) of each counted (near, far, word): every customer of two levels leaves and sits down again, one by one."""
+    rng = random.Random(seed)
+    rest = collections.defaultdict(lambda: collections.defaultdict(list))  # restaurant -> dish -> table sizes
+
+    def p(key, w):
+        if not key:
+            return root[w]
+        tables = rest[key]
+        c, t = sum(map(sum, tables.values())), sum(map(len, tables.values()))
+        own = tables.get(w, [])
+        return (sum(own) - d * len(own) + (theta + d * t) * p(key[:-1], w)) / (theta + c)
+
+    def sit(key, w):
+        tables = rest[key]
+        own = tables[w]
+        weights = [n - d for n in own] + [(theta + d * sum(map(len, tables.values()))) * p(key[:-1], w)]
+        i = rng.choices(range(len(weights)), weights)[0]
+        if i < len(own):
+            own[i] += 1
+        else:
+            own.append(1)
+            if key[:-1]:
+                sit(key[:-1], w)
+
+    def leave(key, w):
+        own = rest[key][w]
+        i = rng.choices(range(len(own)), own)[0]
+        own[i] -= 1
+        if not own[i]:
+            del own[i]
+            if key[:-1]:
+                leave(key[:-1], w)
+
+    people = [((n, f), w) for (n, f, w), m in counts.items() for _ in range(m)]
+    for who in people:
+        sit(*who)
+    total = collections.Counter()
+    for sweep in range(sweeps):
+        for who in people:
+            leave(*who)
+            sit(*who)
+        if sweep >= burn_in:
+            for n, f, w in counts:
+                total[n, f, w] += p((n, f), w) / (sweeps - burn_in)
+    return total
+
+
 def counts(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]

@@ -18,7 +18,7 @@ from millrace.llm.graph import components
 from millrace.llm.language_id import identify_languages
 from millrace.llm.near_duplicates import dedup_near, near_duplicate_groups
 from millrace.llm.packing import best_fit_packing
-from millrace.llm.pitman_yor import DISCOUNT, STRENGTH, Level, score_texts
+from millrace.llm.pitman_yor import DISCOUNT, STRENGTH, Level, backoff, sample, score_texts
 from millrace.llm.quality_rules import NAMES, quality_rules
 from millrace.llm.scratch import Scratch
 from millrace.llm.sharding import balanced_shards
@@ -164,10 +164,11 @@ def test_language_of_long_texts(spark):
     assert all(r.lang_pred == "ab"[r.doc_id % 2] for r in out) and len(out) == 24
 
 
-def test_language_model(docs, pairs):
+@pytest.mark.parametrize("part_bytes", [4096, 1 << 20])
+def test_language_model(docs, pairs, part_bytes):
     is_held = lambda d: d is not None and brute.crc(d) % 4 == 2
     want = brute.base_scores(pairs, is_held)
-    out = score_texts(docs, held(), part_bytes=4096, frequent_words=64).collect()
+    out = score_texts(docs, held(), part_bytes=part_bytes).collect()
     assert collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in out) == collections.Counter((d, *want[d, t][:4]) for d, t in pairs)
     base = collections.defaultdict(list)
     for d, t in pairs:
@@ -189,13 +190,78 @@ def test_tables_of_many_customers(customers, p):
     weight = log_s[1:] + np.cumsum(np.log((theta + d * np.arange(most)) * p))
     weight = np.exp(weight - weight.max())
     want = (weight * np.arange(1, most + 1)).sum() / weight.sum()
-    level = Level(2, np.arange(4000), np.zeros(4000, np.int64), np.full(4000, customers))
+    level = Level(d, theta, np.arange(4000), np.zeros(4000, np.int64), np.full(4000, customers))
     rng = np.random.default_rng(1)
     for _ in range(8):
         level.move(np.full(4000, p), rng)
     assert abs(level.t.mean() - want) < 0.05 * want
 
 
+def levels_of(counts, d, theta):
+    """Levels of (near, far, word): count."""
+    rows = sorted(counts)
+    far = np.unique([n * 100 + f for n, f, _ in rows], return_inverse=True)[1]
+    leaf = Level(d, theta, far, np.array([w for _, _, w in rows]), np.array([counts[r] for r in rows]))
+    pairs, leaf.up = np.unique([n * 100 + w for n, _, w in rows], return_inverse=True)
+    mid = Level(d, theta, pairs // 100, pairs % 100, np.bincount(leaf.up, weights=leaf.t))
+    return mid, leaf
+
+
+def test_sampler_keeps_its_seating():
+    """After every sweep a level's customers are the tables below, and P sums to 1 with what goes to the root."""
+    rng = np.random.default_rng(8)
+    counts = collections.Counter(tuple(rng.integers(0, (3, 4, 12)).tolist()) for _ in range(900))
+    mid, leaf = levels_of(counts, 0.4, 1.0)
+    root = rng.dirichlet(np.ones(12))
+    for _, (p, q) in sample([mid, leaf], root, 24, 0, 1):
+        assert (np.bincount(leaf.up, weights=leaf.t, minlength=len(mid.c)) == mid.c).all()
+        for level in (mid, leaf):
+            assert (level.t >= 1).all() and (level.t <= level.c).all()
+        whole = np.bincount(mid.rest, weights=p) + backoff(mid) * (1 - np.bincount(mid.rest, weights=root[mid.symbol]))
+        assert whole == pytest.approx(np.ones(mid.n_rest))
+        table = np.outer(backoff(mid), root)
+        table[mid.rest, mid.symbol] = p
+        near = np.zeros(leaf.n_rest, np.int64)
+        near[leaf.rest] = mid.rest[leaf.up]
+        whole = np.bincount(leaf.rest, weights=q) + backoff(leaf) * (1 - np.bincount(leaf.rest, weights=table[near[leaf.rest], leaf.symbol]))
+        assert whole == pytest.approx(np.ones(leaf.n_rest))
+
+
+def test_sampler_against_customers_one_by_one():
+    """Mean predictive probabilities of a tiny corpus equal those of a plain Chinese restaurant franchise."""
+    rng = np.random.default_rng(9)
+    counts = collections.Counter(tuple(rng.integers(0, (2, 2, 5)).tolist()) for _ in range(60))
+    root = np.array([0.4, 0.3, 0.1, 0.1, 0.1])
+    d, theta = 0.4, 1.0
+    want = brute.franchise(counts, root, d, theta, sweeps=1500, burn_in=100, seed=3)
+    got, n = collections.Counter(), 0
+    mid, leaf = levels_of(counts, d, theta)
+    for level in (mid, leaf):
+        level.draw_strength = lambda rng: None
+    for _, (_, q) in sample([mid, leaf], root, 1500, 100, 2):
+        n += 1
+        for key, x in zip(sorted(counts), q.tolist(), strict=True):
+            got[key] += x
+    for key in counts:
+        assert got[key] / n == pytest.approx(want[key], abs=0.012)
+
+
+def test_language_model_learns(spark):
+    """Words after words are learned beyond their frequency, also with words that are divided over parts."""
+    rng = np.random.default_rng(4)
+    follow = rng.integers(0, 40, (40, 3))
+    texts = []
+    for i in range(300):
+        w = [int(rng.integers(0, 40))]
+        for _ in range(60):
+            w.append(int(follow[w[-1], rng.integers(0, 3)]))
+        texts.append((i, " ".join(f"w{x}" for x in w)))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for part_bytes in (1 << 20, 2000):
+        out = [r for r in score_texts(df, held(), part_bytes=part_bytes).collect() if r.held_out]
+        assert len(out) > 50 and sum(r.score for r in out) > 0.6 * sum(r.base_score for r in out)
+
+
 def test_toxicity(spark):
     rows, labels = [], []
     for i in range(120):
