@@ -15,7 +15,7 @@ from millrace.llm import near_duplicates as near_module
 from millrace.llm import repeats
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.graph import components
-from millrace.llm.language_id import identify_languages
+from millrace.llm.language_id import identify_languages, parse_table, phrase_counts
 from millrace.llm.near_duplicates import dedup_near, near_duplicate_groups
 from millrace.llm.packing import best_fit_packing
 from millrace.llm.pitman_yor import DISCOUNT, STRENGTH, Level, backoff, sample, score_texts
@@ -156,6 +156,39 @@ def test_language(spark):
     assert all(got[i].held_out == (brute.crc(i) % 4 == 2) for i in got)
 
 
+def test_phrases_are_one_parse():
+    """Texts of many pieces have the phrases of a plain greedy parse from the first symbol to the last."""
+    rng = np.random.default_rng(2)
+    for letters in (2, 5):
+        samples = [rng.integers(0, letters, 400).astype(np.uint8) for _ in range(2)]
+        samples[1] = np.tile(samples[1][:60], 6)
+        texts = [rng.integers(0, letters + 1, n) for n in (0, 1, 511, 512, 513, 3000)] + [np.tile(samples[1], 9), np.zeros(4000, int)]
+        tables = [parse_table([x], 28) for x in samples]
+        roots = np.cumsum([0, *(len(t) for t in tables)])[:-1]
+        stacked = np.concatenate([t + 2 * r for t, r in zip(tables, roots)]).astype(np.int32)
+        got = phrase_counts(np.concatenate(texts).astype(np.uint8), np.cumsum([0, *map(len, texts)]), stacked, roots)
+        for k, sample_ in enumerate(samples):
+            held = bytes(sample_)
+            for j, text in enumerate(texts):
+                raw, at, n = bytes(text.astype(np.uint8)), 0, 0
+                while at < len(raw):
+                    long = 1
+                    while at + long < len(raw) and raw[at : at + long + 1] in held:
+                        long += 1
+                    at, n = at + long, n + 1
+                assert got[k, j] == n
+
+
+def test_language_of_other_scripts(spark):
+    """Scripts whose bytes differ in few places, ties, repeated rows and a long text."""
+    words = {"ru": ["мир", "река", "дом", "лес"], "uk": ["ліс", "ріка", "їжа", "єнот"], "ja": ["かな", "やま", "かわ"]}
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(words[k], 30)), k) for i, k in enumerate(["ru", "uk", "ja"] * 30)]
+    rows += [(900, " ".join(["їжа"] * 150_000), "uk"), rows[0], (901, "xyz", None)]
+    out = identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), held()).collect()
+    assert len(out) == len(rows) and all(r.lang_pred == {d: k for d, _, k in rows}[r.doc_id] for r in out if r.doc_id != 901)
+
+
 def test_language_of_long_texts(spark):
     """A language whose labelled texts are all longer than the sample is learned."""
     words = {"a": "uvu vuvv uu ", "b": "xyx yyx xx "}
