@@ -85,17 +85,14 @@ def time_grid_arange(t):
     return _grid(t, frames.time_range)
 
 
-@query("""WITH a AS (SELECT conv_id, turn, min(text) AS text FROM conversations WHERE role = 'user' GROUP BY ALL), b AS (SELECT conv_id, turn - 1 AS turn, min(text) AS text FROM conversations WHERE role = 'assistant' GROUP BY ALL)
-  SELECT DISTINCT c.conv_id, c.turn, length(a.text) AS n_user, length(b.text) AS n_assistant FROM conversations c JOIN a ON a.conv_id = c.conv_id AND a.turn = c.turn JOIN b ON b.conv_id = c.conv_id AND b.turn = c.turn""")
+@query("""WITH u AS (SELECT * FROM conversations WHERE length(text) % 3 <> 0), f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS k FROM u)
+  SELECT a.conv_id, a.turn AS user_turn, a.text AS user, b.turn AS assistant_turn, b.text AS assistant FROM f a JOIN f b USING (conv_id) WHERE a.role = 'user' AND b.role = 'assistant' AND a.k = 1 AND b.k = 1 AND a.conv_id % 5 <> 0""")
 def shard_align_join(t):
-    c = t.conversations.withColumn("payload", F.col("text"))
-    streams = {
-        "user": c.where("role = 'user'").select("conv_id", "turn", "payload"),
-        "assistant": c.where("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), "payload"),
-    }
-    streams = {k: v.withColumn("place", F.col("payload")) for k, v in streams.items()}
-    out = shards.align(c, streams, ["conv_id", "turn"], "place")
-    return out.select("conv_id", "turn", F.length("user").alias("n_user"), F.length("assistant").alias("n_assistant"))
+    """Streams of turns by conversation: the index lacks some keys, a stream repeats keys, and its first row may be unusable."""
+    c = t.conversations.select("conv_id", "role", F.struct("turn", "text").alias("place"), F.struct("turn", "text").alias("payload"))
+    index = c.where("conv_id % 5 <> 0")
+    out = shards.align(index, {r: c.where(F.col("role") == r) for r in ("user", "assistant")}, ["conv_id"], "place", usable="length(payload.text) % 3 <> 0")
+    return out.select("conv_id", F.col("user.turn").alias("user_turn"), F.col("user.text").alias("user"), F.col("assistant.turn").alias("assistant_turn"), F.col("assistant.text").alias("assistant"))
 
 
 @query("""WITH a AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM conversations WHERE role = 'user'),

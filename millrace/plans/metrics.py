@@ -71,10 +71,12 @@ def normalize_modes(t):
     return _with_stats(t).select("vec_id", "dim", *[r(vectors.normalize(F.col("x"), m, _cols()), 9).alias(m) for m in modes])
 
 
-@query(f"WITH {DIMS_SQL}, {STATS_SQL} SELECT vec_id, dim, round(x, 9) AS mean_std, round(x, 9) AS min_max, round(greatest(q01, least(q99, x)), 9) AS q99 FROM d JOIN s USING (dim)")
+@query(f"""WITH {DIMS_SQL}, {STATS_SQL} SELECT vec_id, dim, round(x * std + mean, 9) AS mean_std, round((x + 1) / 2 * (mx - mn) + mn, 9) AS min_max, round((x + 1) / 2 * (q99 - q01) + q01, 9) AS q99,
+  CASE WHEN x > 0.5 THEN 1.0 ELSE 0.0 END AS binary, abs(round(x, 6)) AS back FROM d JOIN s USING (dim)""")
 def denormalize_modes(t):
-    back = lambda m: r(vectors.denormalize(vectors.normalize(F.col("x"), m, _cols()), m, _cols()), 9)
-    return _with_stats(t).select("vec_id", "dim", *[back(m).alias(m) for m in ("mean_std", "min_max", "q99")])
+    out = {m: r(vectors.denormalize(F.col("x"), m, _cols()), 9) for m in ("mean_std", "min_max", "q99", "binary")}
+    back = vectors.denormalize(vectors.normalize(F.col("x"), "mean_std", _cols()), "mean_std", _cols())
+    return _with_stats(t).select("vec_id", "dim", *[c.alias(m) for m, c in out.items()], F.abs(r(back)).alias("back"))
 
 
 @query(f"WITH {DIMS_SQL}, {STATS_SQL} SELECT vec_id, dim, round(0.5 * (x + 1) * (mx - mn) + mn, 9) AS y FROM d JOIN s USING (dim)")
