@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import base64
 import collections
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 from millrace.llm import near_duplicates as near_module
@@ -17,7 +20,7 @@ from millrace.llm.decontamination import decontaminate
 from millrace.llm.graph import components
 from millrace.llm.language_id import identify_languages, parse_table, phrase_counts
 from millrace.llm.near_duplicates import dedup_near, near_duplicate_groups
-from millrace.llm.packing import best_fit_packing
+from millrace.llm.packing import best_fit_packing, pack
 from millrace.llm.pitman_yor import DISCOUNT, STRENGTH, Level, backoff, sample, score_texts
 from millrace.llm.quality_rules import NAMES, quality_rules
 from millrace.llm.scratch import Scratch
@@ -25,15 +28,15 @@ from millrace.llm.sharding import balanced_shards
 from millrace.llm.simhash import Links, block_plan, forest, reorder, simhash_classes, trie_pairs
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.suffix_array_dedup import lcp_intervals, maximal_repeats, suffix_array_dedup
-from millrace.llm.toxicity import score_toxicity
+from millrace.llm.toxicity import score_toxicity, scorer, sentences
 from millrace.llm.xxh64 import xxh64
 from tests.llm import brute
 
+
 def held():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-
 def by_id(pairs, result):
     """Expected results as a multiset of (doc_id, *result)."""
     return collections.Counter((d, *result[d, t]) for d, t in pairs)
@@ -333,6 +336,27 @@ def test_packing(docs, pairs):
         assert len(whole) == len(set(whole))
 
 
+def test_packing_takes_the_tightest_bin():
+    """Each piece is in the fullest bin that it fits, that has room for its source and none of its cluster; a new one only if there is none."""
+    rng = np.random.default_rng(6)
+    n, capacity, limit = 400, 60, 3
+    size, source = rng.integers(1, 30, n), [f"s{x}" for x in rng.integers(0, 5, n)]
+    cluster = rng.integers(0, 150, n)
+    order = np.lexsort((np.arange(n), -size))
+    bins, offset, fill = pack(size, source, cluster, order, capacity, limit)
+    held = collections.defaultdict(list)
+    for i in order.tolist():
+        used = {b: sum(size[j] for j in x) for b, x in held.items()}
+        good = [b for b, x in held.items() if used[b] + size[i] <= capacity and cluster[i] not in {cluster[j] for j in x} and sum(source[j] == source[i] for j in x) < limit]
+        if good:
+            assert used[bins[i]] == max(used[b] for b in good) and bins[i] in good
+        else:
+            assert bins[i] not in held
+        assert offset[i] == used.get(bins[i], 0)
+        held[bins[i]].append(i)
+    assert all(fill[i] == sum(size[j] for j in held[bins[i]]) for i in range(n))
+
+
 def test_packing_copies_over_capacity(spark):
     """Equal pieces of equal long texts never share a bin."""
     texts = [(i, " ".join(f"w{k % 977}" for k in range(3000)), f"s{i}") for i in range(3)]
@@ -355,26 +379,49 @@ def test_sharding(docs, pairs):
     assert all(len(v) == 1 for v in home.values())
 
 
+def shingle_set(text):
+    w = brute.data(text).translate(brute.LOWER).split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+
+
+def near_components(texts):
+    """Component of each text, by every pair's Jaccard similarity."""
+    sets = [shingle_set(t) for t in texts]
+    label = brute.components(range(len(texts)), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9)
+    return [label[i] for i in range(len(texts))]
+
+
 @pytest.mark.parametrize("many", [1_000_000, 5])
 def test_near_duplicates(spark, docs, pairs, monkeypatch, many):
     monkeypatch.setattr(near_module, "MANY", many)
-    words = lambda t: brute.data(t).translate(brute.LOWER).split()
-    shingles = lambda t: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w := words(t)) >= 5 else {tuple(w)}
     group = {r.key: r.group_id for r in near_duplicate_groups(docs).collect()}
     keys = {r.text: r.k for r in docs.select("text", F.xxhash64("text").alias("k")).collect()}
     texts = list(keys)
-    for i, a in enumerate(texts):
-        for b in texts[:i]:
-            x, y = shingles(a), shingles(b)
-            j = len(x & y) / len(x | y)
-            if j >= 0.9:
-                assert group[keys[a]] == group[keys[b]]
-            elif j < 0.5:
-                assert group[keys[a]] != group[keys[b]]
-    kept = dedup_near(docs)
-    assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) == len({g for g in group.values()})
+    want = near_components(texts)
+    assert len({(w, group[keys[t]]) for w, t in zip(want, texts, strict=True)}) == len(set(want)) == len(set(group.values()))
+    clashing = docs.withColumnsRenamed({"row": "_doc", "tag": "_key", "kind": "one"})
+    kept = dedup_near(clashing)
+    assert kept.columns == clashing.columns
+    got = kept.collect()
+    assert len(got) == len({r.doc_id for r in got}) == len(set(want)) and {(r._doc, r._key, r.one) for r in got} == {("clash",) * 3}
+
+
+def test_near_duplicates_of_all_similarities(spark, monkeypatch):
+    """Families of revisions from 0.6 up to 1: the groups are those of every pair, also where long lists are met in blocks."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for size in (30, 80, 160):
+        original = [f"w{i}" for i in rng.integers(0, 10**6, size)]
+        for _ in range(25):
+            words = list(original)
+            for at in rng.integers(0, size, rng.integers(0, 6)):
+                words[at] = f"v{rng.integers(0, 10**6)}"
+            texts.append(" ".join(words[: size - rng.integers(0, 5)]))
+    want = near_components(texts)
+    monkeypatch.setattr(near_module, "BLOCK", 7)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    group = {r.doc_id: r.group_id for r in near_duplicate_groups(df).collect()}
+    assert 3 < len(set(want)) < 70 and [group[i] for i in range(len(texts))] == [min(j for j, w in enumerate(want) if w == x) for x in want]
 
 
 def near_groups(spark, texts):
@@ -420,6 +467,128 @@ def test_near_duplicates_of_few_shingles(spark):
     assert near_groups(spark, texts) == 100
 
 
+class Value:
+    def __init__(self, value):
+        self.value = value
+
+
+def test_noisy_or(rows):
+    """Scores are 1 - prod(1 - s) over the sentences, s a logistic function of the features, also in a text of many slices."""
+    texts = [r[1] for r in rows] + ["Some bad words. Fine ones!\nBad again " * 30_000]
+    features, sent, _, _, _, _ = sentences(*flat_text(texts[0]))
+    chosen = np.unique(features)[::3]
+    weights = np.linspace(-2, 2, len(chosen))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array([False] * len(texts)), pa.array(range(len(texts)))], names=["d", "t", "h", "r"])
+    (out,) = scorer(Value((chosen, weights, -3.0)), 0.7)(iter([batch]))
+    for text, score in zip(texts, out.column(2).to_pylist(), strict=True):
+        want = 1.0
+        for part in re.split(r"[.!?\n]", text or ""):
+            found = np.unique(sentences(*flat_text(part))[0])
+            if re.search(r"[A-Za-z0-9\x80-\U0010ffff]", part):
+                want *= 1 - 1 / (1 + np.exp(3.0 - sum(weights[np.searchsorted(chosen, f)] for f in found if f in set(chosen.tolist()))))
+            if want < 1e-12:
+                break
+        assert score == pytest.approx(1 - want, abs=1e-6)
+
+
+def flat_text(text):
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    return raw, np.array([0, len(raw)])
+
+
+def test_quality_verdict(docs, rows):
+    """Bands of whole texts and of chunks, by a plain version."""
+    got = {r.doc_id: r for r in quality_rules(docs).collect()}
+    packer = zstandard.ZstdCompressor(level=3)
+    ratio = lambda b: len(packer.compress(b)) / len(b)
+    for d, text, *_ in rows:
+        b = brute.data(text)
+        ok = len(b) > 0
+        if b:
+            low, high = {0: (0, 9), 1: (0.15, 0.95), 2: (0.15, 0.74), 3: (0.15, 0.72), 4: (0.12, 0.70)}[sum(len(b) >= x for x in (256, 1024, 4096, 32768))]
+            parts = [b[i : i + 4096] for i in [*range(0, len(b) - 4096, 4096), len(b) - 4096]] if len(b) > 4096 else []
+            ok = low <= ratio(b) <= high and all(0.10 <= ratio(x) <= 0.72 for x in parts)
+        assert got[d].kept == (ok and not got[d].base_failed)
+
+
+@pytest.fixture(scope="module")
+def long_docs(spark):
+    """A text of over 1 MB, a copy of it with a few words changed, and pieces of it."""
+    rng = np.random.default_rng(12)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(5000)]
+    long = [words[i] for i in rng.integers(0, 5000, 190_000)]
+    other = list(long)
+    for at in rng.integers(0, len(other), 40):
+        other[at] = "Changed"
+    rows = [(5, " ".join(long), "en"), (9, "  ".join(other), "en"), (2, " ".join(long[70_000:70_200]), "en"), (11, " ".join(long[100_000:100_040]), None), (12, None, "en")]
+    assert len(rows[0][1]) > 1 << 20
+    return rows, spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.mark.parametrize("name", ["op1", "op2", "op4", "op6", "op8", "op9", "op10", "near"])
+def test_very_long_texts(spark, long_docs, name):
+    rows, df = long_docs
+    pairs = [(d, t) for d, t, _ in rows]
+    if name == "op1":
+        out = suffix_array_dedup(df).select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("r"), F.size("spans").alias("s"), F.sha2("kept", 256).alias("h"))
+        assert found(out, "n_bytes", "r", "s", "h") == by_id(pairs, brute.repeated_bytes(pairs))
+    elif name == "op2":
+        items = [(1, " ".join(rows[0][1].split()[1000:1040])), (2, "zzz yyy")]
+        out = decontaminate(df, spark.createDataFrame(items, "item_id long, text string"))
+        assert found(out, "n_words", "n_hit") == collections.Counter((d, *x[:2]) for (d, _), x in brute.contamination(pairs, items).items())
+    elif name == "op4":
+        want = brute.base_scores(pairs, lambda d: brute.crc(d) % 4 == 2)
+        for r in score_texts(df, held()).collect():
+            (w,) = [x for (d, _), x in want.items() if d == r.doc_id]
+            assert (r.n_tokens, r.n_known, r.train_tokens) == w[1:4] and r.base_score == pytest.approx(w[4]) and r.score < 0
+    elif name == "op6":
+        size = collections.Counter()
+        for r in best_fit_packing(df).collect():
+            size[r.doc_id] += r.n_tokens
+        assert size == {d: len((t or "").split()) + 1 for d, t in pairs}
+    elif name == "op8":
+        removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+        out = substring_dedup(df).select("doc_id", "n_words", removed.alias("r"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("h"))
+        assert found(out, "n_words", "r", "h") == by_id(pairs, brute.repeated_words(pairs))
+    elif name == "op9":
+        assert found(quality_rules(df), *NAMES, "base_failed") == by_id(pairs, {(d, t): brute.counts(t) for d, t in pairs})
+    elif name == "op10":
+        out = simhash_classes(df).withColumn("f", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+        assert found(out, "f") == collections.Counter((d, f"{brute.fingerprint(t):016x}") for d, t in pairs)
+    else:
+        assert sorted(r.doc_id for r in dedup_near(df).collect()) == [2, 5, 11, 12]
+
+
+def test_words_that_break_polynomial_hashes(spark):
+    """The Thue-Morse word of 1,024 letters and its complement have equal sums modulo 2**64 for every base."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    twin = word.translate(str.maketrans("ab", "ba"))
+    texts = [(1, f"{word} x {word}\n{twin}\n{word}"), (2, f"{twin} y {twin}"), (3, " ".join([word, twin] * 30)), (4, " ".join([twin, word] * 30))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    items = [(1, f"{word} q")]
+    out = decontaminate(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert found(out, "n_words", "n_hit") == collections.Counter((d, *x[:2]) for (d, _), x in brute.contamination(texts, items).items())
+    assert found(quality_rules(df), *NAMES, "base_failed") == by_id(texts, {(d, t): brute.counts(t) for d, t in texts})
+    want = brute.base_scores(texts, lambda d: brute.crc(d) % 4 == 2)
+    assert found(score_texts(df, held()), "n_known") == collections.Counter((d, x[2]) for (d, _), x in want.items())
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    out = substring_dedup(df).select("doc_id", "n_words", removed.alias("r"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("h"))
+    assert found(out, "n_words", "r", "h") == by_id(texts, brute.repeated_words(texts))
+    out = suffix_array_dedup(df).select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("r"), F.size("spans").alias("s"), F.sha2("kept", 256).alias("h"))
+    assert found(out, "n_bytes", "r", "s", "h") == by_id(texts, brute.repeated_bytes(texts))
+
+
+def test_components_of_a_chain(spark, monkeypatch):
+    """A chain in the order of its numbers takes a logarithmic number of rounds."""
+    scratch = Scratch(spark, "t")
+    saves, save = [], scratch.save
+    monkeypatch.setattr(scratch, "save", lambda df: saves.append(1) or save(df))
+    edges = spark.range(2000).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    assert len({r.root for r in components(edges, scratch).collect()}) == 1 and len(saves) < 3 * 24
+
+
 OPERATORS = {
     "suffix_array_dedup": suffix_array_dedup,
     "substring_dedup": substring_dedup,

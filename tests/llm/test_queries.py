@@ -51,3 +51,21 @@ def test_pipeline(spark, tmp_path):
         size[r.doc_id] += r.n_tokens
     assert size == {i: len(t.encode().split()) + 1 for i, t in clean.items()}
     assert corpus_pipeline.run(spark, SF).count() == docs.count()
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_pipeline_of_odd_rows(spark, tmp_path, rows):
+    """Nulls in any column, empty texts, ties, repeated rows and no rows at all."""
+    some = rows == "odd"
+    prose = " ".join(f"word{i * i % 97} is {i}" for i in range(60))
+    docs = [(1, prose, "en", "s", 5), (1, prose, "en", "s", 5), (2, None, None, None, None), (3, "", "en", None, 0), (None, "of no number " + prose[:200], "en", "s", 1), (4, prose + " more", "en", "s", 6), (5, " \n", None, "s", 2)]
+    tables = {
+        "documents": (docs, "doc_id long, text string, lang string, source string, n_chars long"),
+        "labels": ([(1, 1, 0), (2, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int"),
+        "benchmark": ([(1, "some words that nobody has"), (None, None)], "item_id long, text string"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data if some else [], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = {r.doc_id for r in out}
+    assert ids <= {1, 2, 3, 4, 5, None} and (1 in ids and None in ids if some else not ids)
