@@ -287,15 +287,6 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     dealt = texts.mapInArrow(T.lean(deal(size, similarity, shared, parts)), "part int, data binary").repartitionById(parts, F.col("part"))
     met = scratch.save(dealt.mapInArrow(T.lean(candidates(similarity, STAR)), "u long, v long, data binary"))
 
-    def with_ends(rows: DataFrame, table: DataFrame) -> DataFrame:
-        """Pairs with the columns that table has for the keys of either end."""
-        total = rows.count()
-        for end in ("u", "v"):
-            degree = rows.groupBy(end).agg(F.count("*").alias("times"))
-            side = table.select(F.col("key").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in table.columns if c != "key")).join(degree, end)
-            rows = lookup(rows, side, end, "times", total)
-        return rows
-
     def judged(pairs: DataFrame) -> DataFrame:
         """The pairs that are similar, by their shingle sets."""
         pairs = scratch.save(pairs.select("u", "v").distinct())
@@ -303,10 +294,13 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
         if not marks.any():
             return pairs
         shared = spark.sparkContext.broadcast(marks)
-        sets = texts.mapInArrow(T.lean(shingle_sets(size, shared)), "key long, shingles binary").dropDuplicates(["key"])
-        ends = with_ends(pairs, scratch.save(sets)).select("u", "v", "u_shingles", "v_shingles")
+        sets = scratch.save(texts.mapInArrow(T.lean(shingle_sets(size, shared)), "key long, shingles binary").dropDuplicates(["key"]))
+        ends = pairs.join(sets.select(F.col("key").alias("u"), F.col("shingles").alias("x")), "u")  # a hub's pairs are split as a skewed join
+        ends = ends.join(sets.select(F.col("key").alias("v"), F.col("shingles").alias("y")), "v").select("u", "v", "x", "y")
         out = scratch.save(ends.mapInArrow(T.lean(alike(similarity)), "u long, v long"))
         shared.destroy()
+        scratch.drop(sets)
+        scratch.drop(pairs)
         return out
 
     prints = scratch.save(classes.where("n > 0").groupBy("fingerprint").agg(F.min("key").alias("hub"), F.count("*").alias("times")))
@@ -316,7 +310,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
         tied = tied.join(prints.select(F.col("fingerprint").alias(end), F.col("hub").alias(f"{end}_hub")), end)
     near = same.where("key <> hub").select(F.col("hub").alias("u"), F.col("key").alias("v"))
     near = near.unionByName(tied.select(F.col("u_hub").alias("u"), F.col("v_hub").alias("v")))
-    links = judged(near).unionByName(judged(met.where("data is null")))
+    links = judged(near.unionByName(met.where("data is null").select("u", "v")))
     shared.destroy()
     blank = classes.where("n = 0").select("key")
     hub = blank.agg(F.min("key").alias("u"))

@@ -18,6 +18,11 @@ from millrace.llm.suffix_array_dedup import op1
 from millrace.llm.toxicity import op5
 
 
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9 that SQL can say too."""
+    return op9(spark, sf_dir).drop("kept", "ratio", "reason")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": op1,
@@ -30,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8,
         "op9_quality_rules": op9,
         "op10_simhash": op10,
+        "quality_counts": quality_counts,
     }
 
 
@@ -54,6 +60,22 @@ SUBSTRING_DEDUP = r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_arra
   SELECT w.doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(len(a) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
+#: All windows of 100 bytes by hash, but the first of each; runs of their bytes, and what is between the runs.
+SUFFIX_ARRAY_DEDUP = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), n AS (SELECT *, length(h) // 2 AS n FROM d),
+  w AS (SELECT doc_id, unnest(range(0, n - 99)) AS i, unnest(list_transform(range(0, n - 99), lambda i: md5(substr(h, 2 * i + 1, 200)))) AS k FROM n WHERE n >= 100),
+  f AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM w) WHERE nth > 1),
+  g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM f)),
+  r AS (SELECT doc_id, min(i) AS s, max(i) + 100 AS e FROM g GROUP BY doc_id, run),
+  l AS (SELECT doc_id, list(s ORDER BY s) AS ss, list(e ORDER BY s) AS es, sum(e - s) AS removed, count(*) AS spans FROM r GROUP BY doc_id)
+  SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(CASE WHEN ss IS NULL THEN h
+  ELSE array_to_string(list_transform(range(1, len(ss) + 2), lambda j: substr(h, 2 * coalesce(es[j - 1], 0) + 1, 2 * (coalesce(ss[j], n) - coalesce(es[j - 1], 0)))), '') END)) AS kept_sha256 FROM n LEFT JOIN l USING (doc_id)"""
+QUALITY_COUNTS = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS x, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS a, list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM documents),
+  g AS (SELECT doc_id, unnest(range(1, len(a) - 1)) AS i, unnest(list_transform(range(1, len(a) - 1), lambda i: a[i] || ' ' || a[i + 1] || ' ' || a[i + 2])) AS k FROM d WHERE len(a) > 2),
+  t AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS m FROM g) WHERE m > 1), p AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM t CROSS JOIN (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id)
+  SELECT doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(a, lambda w: length(w))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(a) < 50 OR 100 * coalesce(n, 0) > 50 * len(a) AS base_failed FROM d LEFT JOIN p USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """SQL has no suffix arrays, XXH64, zstandard, or training: those operators are tested against plain versions."""
-    return {"op2_decontamination": DECONTAMINATION, "op8_substring_dedup": SUBSTRING_DEDUP}
+    """SQL has no XXH64, zstandard, CRC or training: those operators are tested against plain versions."""
+    return {"op1_suffix_array_dedup": SUFFIX_ARRAY_DEDUP, "op2_decontamination": DECONTAMINATION, "op8_substring_dedup": SUBSTRING_DEDUP, "quality_counts": QUALITY_COUNTS}
