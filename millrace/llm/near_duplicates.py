@@ -34,7 +34,7 @@ STAR = 16
 #: Rows of a list that one task holds; longer lists are cut into blocks that meet two by two.
 BLOCK = 50_000
 #: Counters of shingles. They only order the shingles: with fewer, more pairs are compared, and the same are found.
-MANY = 1 << 23
+MANY, SEGMENTS = 1 << 23, 16
 #: Against rounding: 0.8 * 15 may be a little over 12.
 TINY = 1e-9
 
@@ -68,13 +68,28 @@ def counted(size: int, many: int):
                 times[at] = np.minimum(times[at] + more, 65535)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(prints.view(np.int64)), pa.nulls(len(n), pa.binary())], names=["doc", "key", "n", "fingerprint", "data"])
         some = np.flatnonzero(times)
-        for i in range(0, len(some), 1 << 20):
-            at = some[i : i + (1 << 20)]
-            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([0]), pa.array([0]), pa.array([T.pack(at.astype(np.uint32), times[at])], pa.binary())], names=["doc", "key", "n", "fingerprint", "data"])
+        cuts = np.searchsorted(some, np.arange(SEGMENTS + 1) * -(-many // SEGMENTS))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            at = some[cuts[k] : cuts[k + 1]]
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([k]), pa.array([0]), pa.array([T.pack(at.astype(np.uint32), times[at])], pa.binary())], names=["doc", "key", "n", "fingerprint", "data"])
 
     return run
 
 
+def summed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tasks' counters by segment to one packed row for each segment."""
+    held: dict[int, dict[str, np.ndarray]] = {}
+    for batch in it:
+        for k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            at, more = T.unpack(data)
+            if k in held:
+                at, place = np.unique(np.concatenate((held[k]["at"], at)), return_inverse=True)
+                more = np.bincount(place, weights=np.concatenate((held[k]["n"], more.astype(np.int64)))).astype(np.int64)
+            held[k] = {"at": at, "n": np.minimum(more.astype(np.int64), 65535)}
+    for x in held.values():
+        yield pa.RecordBatch.from_arrays([pa.array([T.pack(x["at"], x["n"].astype(np.uint16))], pa.binary())], names=["data"])
+
+
 def shingle_hashes(buf: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each document of a slice, and each document's first."""
     starts, ends, first = T.word_bounds(buf, offs, T.IS_WORD)
@@ -278,9 +293,10 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     rows = both.where("data is null").select("doc", "key", "n", "fingerprint")
     classes = scratch.save(rows.groupBy("key").agg(F.min("doc").alias("doc"), F.count("*").alias("times"), F.min("n").alias("n"), F.min("fingerprint").alias("fingerprint")))
     times = np.zeros(MANY, np.uint16)
-    for r in both.where("data is not null").select("data").toLocalIterator():
+    counts = both.where("data is not null").select(F.col("n").cast("int").alias("segment"), "data").repartitionById(SEGMENTS, F.col("segment"))
+    for r in counts.mapInArrow(T.lean(summed), "data binary").collect():  # a row per segment, 16 MB in all
         at, more = T.unpack(r.data)
-        times[at] = np.minimum(times[at].astype(np.int64) + more, 65535)
+        times[at] = more
     total = classes.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-int(total * (1 - similarity)) // per_part))
     shared = spark.sparkContext.broadcast(times)
