@@ -100,10 +100,8 @@ def factors(start: int, end: int, match: np.ndarray) -> list[tuple[int, int]]:
 
 
 def resolver(window: int, gram: int):
-    def resolve(c: dict[str, np.ndarray], content: np.ndarray, at: np.ndarray):
-        lens = c["span"].astype(np.int64) + window
-        o = np.lexsort((c["lo"], c["tag"], c["doc"]))
-        doc, tag, lo, lens, at = c["doc"][o], c["tag"][o], c["lo"][o], lens[o], at[o]
+    def parsed(doc: np.ndarray, lens: np.ndarray, content: np.ndarray, at: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """Duplicate spans of passages of different contents, sorted by document, against those of smaller documents."""
         ends = np.cumsum(lens + 1) - 1  # where each passage's own separator stands
         starts = ends - lens
         block = np.empty(int(ends[-1]) + 1, np.int64)
@@ -117,7 +115,7 @@ def resolver(window: int, gram: int):
         order = np.argsort(levels[-1], kind="stable")
         match = longest_earlier(order, neighbour_prefixes(levels, order), doc[of], gram)
         long = match >= window
-        who, first, last = [], [], []
+        out = {}
         for r in np.unique(of[long]).tolist():
             parse = factors(int(starts[r]), int(ends[r]), match)
             spans = [(p, p + n) for p, n in parse if n >= window]
@@ -126,12 +124,31 @@ def resolver(window: int, gram: int):
                 covered[p - starts[r] : e - window + 1 - starts[r]] = True
             straddling = np.flatnonzero(long[starts[r] : ends[r]] & ~covered) + starts[r]
             spans += [(int(p), int(p + match[p])) for p in straddling]
-            for p, e in spans:
-                who.append(r)
-                first.append(p - int(starts[r]))
-                last.append(e - int(starts[r]))
-        who = np.array(who, np.int64)
-        return doc[who], tag[who], lo[who] + np.array(first, np.int64), lo[who] + np.array(last, np.int64)
+            out[r] = [(p - int(starts[r]), e - int(starts[r])) for p, e in spans]
+        return out
+
+    def resolve(c: dict[str, np.ndarray], content: np.ndarray, at: np.ndarray):
+        o = np.lexsort((c["lo"], c["tag"], c["doc"]))
+        anchor, doc, tag, lo, at = c["anchor"][o], c["doc"][o], c["tag"][o], c["lo"][o], at[o]
+        lens = c["span"][o].astype(np.int64) + window
+        # a passage equal to an earlier one is a single factor of the block; only passages of new content have to be parsed
+        seen: dict[tuple[int, bytes], int] = {}
+        first = np.array([seen.setdefault((x, content[s : s + n].tobytes()), i) for i, (x, s, n) in enumerate(zip(anchor.tolist(), at.tolist(), lens.tolist(), strict=True))])
+        whole = np.flatnonzero(doc > doc[first])
+        who, start, end = [whole], [np.zeros(len(whole), np.int64)], [lens[whole]]
+        new = np.flatnonzero(first == np.arange(len(first)))
+        _, place, many = np.unique(anchor[new], return_inverse=True, return_counts=True)
+        new = new[many[place] > 1]  # an anchor of one content has nothing else to be parsed against
+        if len(new):
+            spans = parsed(doc[new], lens[new], content, at[new])
+            same = {int(new[r]): x for r, x in spans.items()}
+            for i in np.flatnonzero((doc == doc[first]) & np.isin(first, list(same))).tolist():  # also copies within the document
+                own = same[int(first[i])]
+                who.append(np.full(len(own), i))
+                start.append(np.array([p for p, _ in own], np.int64))
+                end.append(np.array([e for _, e in own], np.int64))
+        who = np.concatenate(who)
+        return doc[who], tag[who], lo[who] + np.concatenate(start), lo[who] + np.concatenate(end)
 
     return resolve
 
