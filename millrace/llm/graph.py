@@ -31,11 +31,16 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         a = images.select(F.col("node").alias("u"), F.col("root").alias("a"))
         b = images.select(F.col("node").alias("v"), F.col("root").alias("b"))
         moved = edges.join(a, "u").join(b, "v").where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-        edges = scratch.save(moved.distinct())
+        before, edges = edges, scratch.save(moved.distinct())
+        scratch.drop(before)
+    scratch.drop(edges)
     out = maps.pop()
     while maps:
         after = out.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        out = scratch.save(maps.pop().join(after, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+        images, before = maps.pop(), out
+        out = scratch.save(images.join(after, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+        scratch.drop(images)
+        scratch.drop(before)
     return out
 
 

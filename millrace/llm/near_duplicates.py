@@ -341,9 +341,11 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
         tied = roots.select(F.col("key").alias("u"), F.col("root").alias("v"))
         roots = scratch.save(components(tied.unionByName(more), scratch).withColumnRenamed("node", "key"))
     named = classes.join(roots, "key", "left").select("key", "doc", "times", F.coalesce("root", "key").alias("root"))
-    named = scratch.save(named)
-    best = named.groupBy("root").agg(F.min(F.struct("doc", "key")).alias("best"))
-    named = scratch.save(named.join(best, "root").select("key", "times", F.col("best.doc").alias("group"), F.col("best.key").alias("best_key")))
+    held = scratch.save(named)
+    best = held.groupBy("root").agg(F.min(F.struct("doc", "key")).alias("best"))
+    named = scratch.save(held.join(best, "root").select("key", "times", F.col("best.doc").alias("group"), F.col("best.key").alias("best_key")))
+    for done in (met, prints, lists, mixed, held):  # what the result does not read
+        scratch.drop(done)
     out = lookup(rows.select("doc", "key"), named, "key", "times", rows.count())
     some = lambda c: F.when(F.col(c) != np.iinfo(np.int64).max, F.col(c))
     return out.select(some("doc").alias("doc_id"), "key", some("group").alias("group_id"), ((F.col("doc") == F.col("group")) & (F.col("key") == F.col("best_key"))).alias("first"))
