@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.concurrency import op11
 from millrace.llm.decontamination import op2
 from millrace.llm.language_id import op3
 from millrace.llm.packing import op6
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8,
         "op9_quality_rules": op9,
         "op10_simhash": op10,
+        "op11_peak_concurrency": op11,
         "quality_counts": quality_counts,
     }
 
@@ -75,7 +77,19 @@ QUALITY_COUNTS = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS x, list_fil
   SELECT doc_id, CAST(len(a) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(a, lambda w: length(w))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(a) < 50 OR 100 * coalesce(n, 0) > 50 * len(a) AS base_failed FROM d LEFT JOIN p USING (doc_id)"""
 
+#: Starts and ends as changes, summed up by nation and moment, and running sums of those.
+PEAK_CONCURRENCY = """WITH e AS (SELECT sale_id, 60 * CAST(floor(epoch_us(min(shipped_at)) / 60000000) AS BIGINT) + 604800 AS e FROM sale_lines GROUP BY sale_id),
+  c AS (SELECT client_id, min(nation_id) AS nation_id FROM clients GROUP BY client_id),
+  s AS (SELECT coalesce(nation_id, -1) AS nation_id, 60 * CAST(floor(epoch_us(sold_at) / 60000000) AS BIGINT) AS s, e, CAST(floor(100 * coalesce(total, 0) + 0.5) AS BIGINT) AS cents
+    FROM sales LEFT JOIN e USING (sale_id) LEFT JOIN c USING (client_id) WHERE sold_at IS NOT NULL),
+  o AS (SELECT * FROM s WHERE e IS NULL OR e > s), b AS (SELECT * FROM o UNION ALL SELECT -2, s, e, cents FROM o),
+  d AS (SELECT nation_id, s AS t, 1 AS n, cents AS c FROM b UNION ALL SELECT nation_id, e, -1, -cents FROM b WHERE e IS NOT NULL),
+  m AS (SELECT nation_id, t, sum(n) AS n, sum(c) AS c FROM d GROUP BY nation_id, t HAVING sum(n) <> 0 OR sum(c) <> 0),
+  r AS (SELECT nation_id, t, sum(n) OVER w AS n, sum(c) OVER w AS c, lead(t) OVER w AS u FROM m WINDOW w AS (PARTITION BY nation_id ORDER BY t))
+  SELECT CAST(nation_id AS INTEGER) AS nation_id, t AS from_s, u AS to_s, CAST(n AS BIGINT) AS n_open, CAST(c AS BIGINT) AS open_cents, CAST(max(n) OVER (PARTITION BY nation_id ORDER BY t) AS BIGINT) AS high_open,
+  c = max(c) OVER (PARTITION BY nation_id) AS is_peak FROM r"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL has no XXH64, zstandard, CRC or training: those operators are tested against plain versions."""
-    return {"op1_suffix_array_dedup": SUFFIX_ARRAY_DEDUP, "op2_decontamination": DECONTAMINATION, "op8_substring_dedup": SUBSTRING_DEDUP, "quality_counts": QUALITY_COUNTS}
+    return {"op1_suffix_array_dedup": SUFFIX_ARRAY_DEDUP, "op2_decontamination": DECONTAMINATION, "op8_substring_dedup": SUBSTRING_DEDUP, "op11_peak_concurrency": PEAK_CONCURRENCY, "quality_counts": QUALITY_COUNTS}

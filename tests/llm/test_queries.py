@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "sales", "sale_lines", "clients"):
         db.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = db.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, SF).select(*want.columns)
