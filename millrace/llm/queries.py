@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.bpe import op13
 from millrace.llm.concurrency import op11
 from millrace.llm.decontamination import op2
+from millrace.llm.importance import op12
 from millrace.llm.language_id import op3
 from millrace.llm.packing import op6
 from millrace.llm.pitman_yor import op4
@@ -38,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": op9,
         "op10_simhash": op10,
         "op11_peak_concurrency": op11,
+        "op12_importance_resampling": op12,
         "op13_bpe": op13,
         "quality_counts": quality_counts,
     }
