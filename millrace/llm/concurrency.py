@@ -39,16 +39,20 @@ def chunk_of(s: Column, width: int) -> Column:
     return ((s - F.pmod(s, F.lit(width))) / width).cast("long")
 
 
-def open_sales(sales: DataFrame, sale_lines: DataFrame, clients: DataFrame, days: int = 7) -> DataFrame:
-    """nation_id, start, end (null: never) and cents of every sale that is open at some time."""
+def open_sales(sales: DataFrame, sale_lines: DataFrame, clients: DataFrame, scratch: Scratch, days: int = 7) -> DataFrame:
+    """nation_id, start, end (null: never) and cents of every sale that is open at some time.
+
+    The looked-up tables (a row per sale, a row per client) are written first: a join whose sides are both freshly dealt out is one of
+    which Spark splits the partition of a hot sale or client.
+    """
     shipped = sale_lines.where("sale_id is not null and shipped_at is not null").select("sale_id", minute_s(sale_lines, "shipped_at").alias("at"))
     ends = shipped.groupBy("sale_id").agg((F.min("at") + days * 86400).alias("end"))
     nations = clients.where("client_id is not null").groupBy("client_id").agg(F.min("nation_id").cast("int").alias("nation_id"))
     amount = F.floor(100 * F.col("total") + 0.5).cast("long")
     usable = F.col("total").isNotNull() & ~F.isnan("total") & (F.abs("total") < 9e16)
     rows = sales.where("sold_at is not null").select("sale_id", "client_id", minute_s(sales, "sold_at").alias("start"), F.when(usable, amount).otherwise(F.lit(0)).alias("cents"))
-    rows = rows.join(ends, "sale_id", "left").where("end is null or end > start").select("client_id", "start", "end", "cents")
-    return rows.join(nations, "client_id", "left").select(F.coalesce("nation_id", F.lit(UNKNOWN)).alias("nation_id"), "start", "end", "cents")
+    rows = rows.join(scratch.save(ends), "sale_id", "left").where("end is null or end > start").select("client_id", "start", "end", "cents")
+    return rows.join(scratch.save(nations), "client_id", "left").select(F.coalesce("nation_id", F.lit(UNKNOWN)).alias("nation_id"), "start", "end", "cents")
 
 
 def chunk_records(intervals: DataFrame, width: int) -> DataFrame:
@@ -184,4 +188,4 @@ def peak_concurrency(intervals: DataFrame, width: int = 6 * 3600) -> DataFrame:
 def op11(spark, sf_dir: str) -> DataFrame:
     """Open sales by nation; a client's nation is the smallest that its rows name, a total that is not a number counts as 0."""
     sales, lines, clients = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("sales", "sale_lines", "clients"))
-    return peak_concurrency(open_sales(sales, lines, clients))
+    return peak_concurrency(open_sales(sales, lines, clients, Scratch(spark, "open-sales")))

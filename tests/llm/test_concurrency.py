@@ -8,6 +8,7 @@ import random
 import pytest
 
 from millrace.llm.concurrency import ALL, UNKNOWN, open_sales, peak_concurrency, sweep
+from millrace.llm.scratch import Scratch
 
 COLUMNS = ("nation_id", "from_s", "to_s", "n_open", "open_cents", "high_open", "is_peak")
 SCHEMA = "nation_id int, start long, end long, cents long, n string, chunk string, key string, high string"
@@ -78,7 +79,7 @@ def test_sales_lines_and_clients(spark, zone):
         s = spark.createDataFrame(sales, "sale_id long, client_id long, total double, sold_at timestamp_ntz")
         l = spark.createDataFrame(lines, "sale_id long, shipped_at timestamp_ntz")
         c = spark.createDataFrame(clients, "client_id long, nation_id int")
-        got = sorted(tuple(r) for r in open_sales(s, l, c).select("nation_id", "start", "end", "cents").collect())
+        got = sorted(tuple(r) for r in open_sales(s, l, c, Scratch(spark, "test")).select("nation_id", "start", "end", "cents").collect())
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     day = lambda d, h=0, m=0: int(at(d, h, m).replace(tzinfo=datetime.UTC).timestamp())
