@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import textops as T
-from millrace.llm.scratch import shared_dir
+from millrace.llm.scratch import Scratch, shared_dir
 
 U = np.uint64
 LETTER, NUMBER, OTHER, SPACE, SPECIAL = range(5)
@@ -400,10 +400,23 @@ def share_file(spark: SparkSession, data: bytes) -> str:
 
 
 def build_lexicon(docs: DataFrame, tokenizer: str, words: int = 65_536) -> str:
-    """Compile the `words` most frequent pieces of docs (ties: the smaller first); the name of the shared file."""
+    """Compile the most frequent pieces of docs, `words` at most; the name of the shared file.
+
+    Those are all pieces whose count reaches a threshold: counts are put into 16 classes for each doubling, and the classes are taken
+    from the top as long as their pieces are at most `words`. So the driver gets a row per class, and `words` rows.
+    """
     spark, vocabulary = docs.sparkSession, Vocabulary(tokenizer)
-    counted = word_counts(docs, share_file(spark, compile_lexicon(vocabulary, [])))
-    top = counted.orderBy(F.col("n").desc(), "word").limit(words).collect() if words else []  # at most `words` rows
+    scratch = Scratch(spark, "lexicon")
+    grade = F.floor(16 * F.log2("n")).cast("int")
+    counted = scratch.save(word_counts(docs, share_file(spark, compile_lexicon(vocabulary, []))).select("word", grade.alias("grade")))
+    least, room = None, words
+    for r in counted.groupBy("grade").count().orderBy(F.col("grade").desc()).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.grade
+    top = counted.where(F.col("grade") >= least).select("word").collect() if least is not None else []
+    scratch.drop(counted)
     return share_file(spark, compile_lexicon(vocabulary, [bytes(r.word) for r in top]))
 
 
