@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import text
-from millrace.operators import stats
+from millrace.operators import blocklist, stats
 from millrace.plans.registry import query, r
 
 KEYWORDS = ["pathetic", "keit"]
@@ -63,13 +63,46 @@ FUZZY = ["pathetic", "worthless", "disgusting", "you are a clown"]
   OR list_contains(list_transform(range(1, greatest(len(a) - 2, 1)), lambda i: array_to_string(a[i:i + 3], ' ')), 'you are a clown')""")
 def blocklist_fuzzy(t):
     rows = t.documents.select("doc_id", text.normalize(F.col("text")).alias("clean"))
-    return text.fuzzy_hits(rows, "doc_id", "clean", FUZZY)
+    return blocklist.near_hits(rows, "doc_id", "clean", FUZZY)
+
+
+def _phrases(t) -> list[str]:
+    """1,000 runs of one to three words of the benchmark, in the order of their MD5: a blocklist."""
+    words = F.filter(F.split(text.normalize(F.col("text")), " "), lambda w: w != "")
+    runs = t.benchmark.select(F.explode(F.concat(*[blocklist.runs_of(words, n) for n in (1, 2, 3)])).alias("x")).where("length(x) >= 6").distinct()
+    return [r.x for r in runs.orderBy(F.md5("x"), "x").limit(1000).collect()]  # the blocklist's size
 
 
 @query()
 def blocklist_fuzzy_loose(t):
     rows = t.documents.select("doc_id", text.normalize(F.col("text")).alias("clean"))
-    return text.fuzzy_hits(rows, "doc_id", "clean", FUZZY, slack=1.0)
+    return blocklist.near_hits(rows, "doc_id", "clean", [*FUZZY, *_phrases(t)], slack=1.0)
+
+
+def _keywords(t, most: int, least: int = 1) -> list[str]:
+    """Words of the conversations, in the order of their MD5: a blocklist of `most` words."""
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9_]+)"), 1)).alias("k")
+    return [r.k for r in t.conversations.select(words).where(F.length("k") >= least).distinct().orderBy(F.md5("k"), "k").limit(most).collect()]
+
+
+KEYWORDS_SQL = "k AS (SELECT k FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS k FROM conversations) WHERE length(k) >= {least} ORDER BY md5(k), k LIMIT {most})"
+
+
+@query(f"""WITH {KEYWORDS_SQL.format(least=1, most=10_000)}, w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS k FROM documents),
+  h AS (SELECT doc_id, count(*) AS n, md5(string_agg(k, ',' ORDER BY k)) AS digest FROM w JOIN k USING (k) GROUP BY doc_id)
+  SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n, coalesce(digest, md5('')) AS digest FROM documents LEFT JOIN h USING (doc_id)""")
+def blocklist_words(t):
+    find = blocklist.keyword_finder(t.spark, _keywords(t, 10_000), whole_words=True)
+    rows = t.documents.select("doc_id", find(F.lower("text")).alias("found"))
+    return rows.select("doc_id", F.size("found").alias("n"), F.md5(F.concat_ws(",", "found")).alias("digest"))
+
+
+@query(f"""WITH {KEYWORDS_SQL.format(least=5, most=500)}, h AS (SELECT doc_id, count(*) AS n, md5(string_agg(k, ',' ORDER BY k)) AS digest FROM documents JOIN k ON contains(lower(text), k) GROUP BY doc_id)
+  SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n, coalesce(digest, md5('')) AS digest FROM documents LEFT JOIN h USING (doc_id)""")
+def blocklist_substrings(t):
+    find = blocklist.keyword_finder(t.spark, _keywords(t, 500, 5), whole_words=False)
+    rows = t.documents.select("doc_id", find(F.lower("text")).alias("found"))
+    return rows.select("doc_id", F.size("found").alias("n"), F.md5(F.concat_ws(",", "found")).alias("digest"))
 
 
 @query(r"""SELECT doc_id, array_to_string(list_transform(string_split(regexp_replace(text, '\s+', ' ', 'g'), ' '),

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import frames, geometry, text, vectors
-from millrace.operators import chain, episodic, mixture, ordering, shards, stats, timeseries, validate
+from millrace.operators import blocklist, chain, episodic, mixture, ordering, shards, stats, timeseries, validate
 from millrace.sources import readers, store, writers
 from millrace.streaming import metrics as streaming
 
@@ -140,7 +140,7 @@ def test_rotations_go_back(spark):
 
 def test_fuzzy_thresholds(spark):
     rows = spark.createDataFrame([(1, "a badw0rd here"), (2, "fine"), (3, None), (4, "some badword")], "k int, x string")
-    hits = lambda slack: sorted(r.k for r in text.fuzzy_hits(rows, "k", "x", ["badword"], slack).collect())
+    hits = lambda slack: sorted(r.k for r in blocklist.near_hits(rows, "k", "x", ["badword"], slack).collect())
     assert hits(1.0) == [1, 4] and hits(0.5) == hits(0.4) == [4]
 
 
@@ -159,7 +159,7 @@ def test_fuzzy_hits_are_every_window(spark, slack):
             n = len(w.split())
             if any(difflib.SequenceMatcher(None, " ".join(parts[i : i + n]), w).ratio() >= (len(w) - slack) / len(w) for i in range(len(parts) - n + 1)):
                 want.add(k)
-    assert {r.k for r in text.fuzzy_hits(rows, "k", "x", words, slack).collect()} == want and want
+    assert {r.k for r in blocklist.near_hits(rows, "k", "x", words, slack).collect()} == want and want
 
 
 def test_captions(spark):
