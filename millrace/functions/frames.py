@@ -11,9 +11,28 @@ def history(t: Column, n: int, spacing: int) -> Column:
     return F.transform(F.sequence(F.lit(n), F.lit(1), F.lit(-1)), lambda k: F.greatest(t - k * spacing, F.lit(0)))
 
 
-def strides(n: Column, fps: Column, length: int, low: float, high: float, most: int = 16) -> Column:
+def strides(n: Column, fps: Column, length: int, low: float, high: float) -> Column:
     """Strides of which `length` frames fit into n, with fps / stride in [low, high]."""
-    return F.filter(F.sequence(F.lit(1), F.lit(most)), lambda s: ((length - 1) * s < n) & (fps / s >= low) & (fps / s <= high))
+    if length < 2 or low <= 0:
+        raise ValueError("two frames and a positive fps at least")
+    most = F.least(F.floor((n - 1) / (length - 1)), F.floor(fps / low)).cast("int")
+    every = F.when(most > 0, F.sequence(F.lit(1), most)).otherwise(F.array().cast("array<int>"))
+    return F.filter(every, lambda s: ((length - 1) * s < n) & (fps / s >= low) & (fps / s <= high))
+
+
+def controlled_fps(fps: Column, n: Column, length: int, low: int, high: int, power: float, u: Column) -> Column:
+    """The whole fps at which `length` frames are taken of n at `fps`, drawn by a uniform number u; fps f has the weight 1 / f ** power.
+
+    It is between low and high, no more than fps, and enough for the frames to fit; where nothing is left to draw, the highest.
+    """
+    least = F.greatest(F.lit(low), F.ceil(fps * float(length) / n.cast("double")).cast("int"))
+    most = F.least(F.lit(high), fps)
+    choices = F.sequence(least, F.greatest(most, least))
+    weight = lambda f: 1.0 / F.pow(f.cast("double"), F.lit(float(power)))
+    total = F.aggregate(choices, F.lit(0.0), lambda a, f: a + weight(f))
+    none = F.struct(F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("f"))
+    step = lambda a, f: F.struct((a["sum"] + weight(f)).alias("sum"), F.coalesce(a["f"], F.when(a["sum"] + weight(f) > u * total, f)).alias("f"))
+    return F.when(most > least, F.coalesce(F.aggregate(choices, none, step)["f"], most)).otherwise(most)
 
 
 def chunk_count(n: Column, chunk: int, length: int) -> Column:

@@ -75,6 +75,20 @@ def finite(x: Column) -> Column:
     return ~F.isnan(x) & (F.abs(x) < math.inf)
 
 
+def gradient_norm_means(steps: DataFrame, iteration: str, kind: str, kinds: list[str], gradient: str, every: int) -> DataFrame:
+    """(iteration, kind, mean) at each iteration that is a multiple of `every`: the mean norm of the gradients of a kind since the one before.
+
+    Components that are not finite, or null, count as 0. A kind without a step since then has 0, and so has one that is not in any. Steps
+    after the last such iteration are not in the result.
+    """
+    norm = F.sqrt(F.aggregate(gradient, F.lit(0.0), lambda a, x: a + F.when(finite(x), x * x).otherwise(0.0)))
+    rows = steps.select((F.ceil(F.col(iteration) / every) * every).cast("long").alias("iteration"), F.col(kind).alias("kind"), norm.alias("_norm"), (F.col(iteration) % every == 0).alias("_log"))
+    means = [F.coalesce(F.avg(F.when(F.col("kind") == k, F.col("_norm"))), F.lit(0.0)) for k in kinds]
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), m.alias("mean")) for k, m in zip(kinds, means, strict=True)])
+    windows = rows.groupBy("iteration").agg(pairs.alias("_m"), F.max("_log").alias("_log")).where("_log")
+    return windows.select("iteration", F.inline("_m"))
+
+
 def ensemble(v: Column, scheme: str, threshold: float = 0.05) -> Column:
     """average, lcb, success_vote or majority_mean of the rows of a group, in [0, 1]; lcb of one row is NaN."""
     good = v > threshold

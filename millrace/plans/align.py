@@ -156,9 +156,9 @@ def ordered_limit(t):
     return t.orders.select("o_orderkey").orderBy("o_orderkey").limit(10)
 
 
-@query("SELECT i AS id, i * i % 97 AS value FROM (SELECT unnest(range(0, 1000)) AS i)")
+@query("SELECT o_orderkey AS id, o_orderkey * o_orderkey % 97 AS value FROM orders")
 def generated_source(t):
-    return t.spark.range(1000).select("id", (F.col("id") * F.col("id") % 97).alias("value"))
+    return t.orders.select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") * F.col("o_orderkey") % 97).alias("value"))
 
 
 @query("SELECT DISTINCT regexp_replace(regexp_replace(url, '\\.[^.]*$', ''), '\\.', '-', 'g') AS key FROM pages")

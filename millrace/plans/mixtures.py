@@ -64,6 +64,23 @@ def epoch_structure(t):
     return _epochs(t)
 
 
+@query("""WITH n AS (SELECT n_nationkey AS grp, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_acctbal > 9000) AS d, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal > 5000) AS s,
+  (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey AND s_acctbal <= 5000) AS f, p, q FROM nation, (VALUES (0.0, 0.0), (0.0, 1.0), (1.0, 0.5), (0.5, 0.0), (0.5, 1.0), (0.0, 0.5)) AS v(p, q)),
+  a AS (SELECT *, CASE WHEN s + f = 0 THEN 'none' WHEN q = 0 OR s = 0 THEN 'f' WHEN q = 1 OR f = 0 THEN 's' ELSE 'both' END AS kind FROM n),
+  r AS (SELECT *, CASE kind WHEN 'f' THEN 0 WHEN 'both' THEN greatest(s, f) ELSE s END AS s2, CASE kind WHEN 's' THEN 0 WHEN 'both' THEN greatest(s, f) ELSE f END AS f2, CASE kind WHEN 'f' THEN 0.0 WHEN 's' THEN 1.0 ELSE q END AS q2 FROM a)
+  SELECT grp, CAST(p AS DOUBLE) AS p, CAST(q AS DOUBLE) AS q, CAST(CASE WHEN kind = 'none' THEN d WHEN p = 0 OR d = 0 THEN 0 WHEN p = 1 THEN d ELSE greatest(d, s2 + f2) END AS BIGINT) AS demo,
+  CAST(CASE WHEN kind = 'none' THEN 0 WHEN p = 0 OR d = 0 THEN s2 WHEN p = 1 THEN 0 WHEN d < s2 + f2 THEN s2 ELSE floor(d * q2) END AS BIGINT) AS success,
+  CAST(CASE WHEN kind = 'none' THEN 0 WHEN p = 0 OR d = 0 THEN f2 WHEN p = 1 THEN 0 WHEN d < s2 + f2 THEN f2 ELSE floor(d * (1 - q2)) END AS BIGINT) AS failure FROM r""")
+def epoch_structure_limits(t):
+    good = F.col("s_acctbal") > 5000
+    d = t.customer.where("c_acctbal > 9000").groupBy(F.col("c_nationkey").alias("grp")).agg(F.count("*").alias("d"))
+    s = t.supplier.groupBy(F.col("s_nationkey").alias("grp")).agg(F.sum(good.cast("long")).alias("s"), F.sum((~good).cast("long")).alias("f"))
+    rows = t.nation.select(F.col("n_nationkey").alias("grp")).join(d, "grp", "left").join(s, "grp", "left").na.fill(0)
+    shares = [(0.0, 0.0), (0.0, 1.0), (1.0, 0.5), (0.5, 0.0), (0.5, 1.0), (0.0, 0.5)]
+    each = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), mixture.epoch_structures(F.col("d"), F.col("s"), F.col("f"), p, q).alias("e")) for p, q in shares])
+    return rows.select("grp", F.inline(each)).select("grp", "p", "q", "e.*")
+
+
 @query(f"""WITH {EPOCH_SQL} SELECT grp, idx, CASE WHEN idx < demo THEN 'demo' WHEN idx < demo + success THEN 'success' ELSE 'failure' END AS kind
   FROM (SELECT *, unnest(range(0, demo + success + failure)) AS idx FROM e)""")
 def sample_type(t):
@@ -93,9 +110,9 @@ def shuffled_holdout(t):
     return ranked.select("o_orderkey", (F.col("position") >= F.col("n") - F.floor(F.col("n") * 0.1)).alias("held"))
 
 
-@query("SELECT p_partkey, s AS stride FROM part CROSS JOIN (SELECT unnest(range(1, 17)) AS s) WHERE 8 * s < p_size * 4 AND 30.0 / s >= 4 AND 30.0 / s <= 12")
+@query("SELECT p_partkey, s AS stride FROM part CROSS JOIN (SELECT unnest(range(1, 200)) AS s) WHERE 2 * s < p_size * 4 AND 120.0 / s >= 2 AND 120.0 / s <= 40")
 def valid_strides(t):
-    s = frames.strides(F.col("p_size") * 4, F.lit(30.0), 9, 4, 12)
+    s = frames.strides(F.col("p_size") * 4, F.lit(120.0), 3, 2, 40)
     return t.part.select("p_partkey", F.explode(s).alias("stride"))
 
 
@@ -143,18 +160,22 @@ def available_styles(t):
     return t.orders.withColumn("have", have).select("o_orderkey", pick.alias("style"))
 
 
-@query(f"SELECT i AS position, CASE WHEN {draw_sql(9, 'i')} < 0.7 THEN 'customer' ELSE 'supplier' END AS source FROM (SELECT unnest(range(0, 1000)) AS i)")
+@query(f"SELECT o_orderkey, CASE WHEN {draw_sql(9, 'o_orderkey')} < 0.7 THEN 'customer' ELSE 'supplier' END AS source FROM orders")
 def source_mixture(t):
-    pick = mixture.weighted_choice(mixture.draw(F.col("id"), seed=9), {"customer": 0.7, "supplier": 0.3}, lambda k: F.lit(True))
-    return t.spark.range(1000).select(F.col("id").alias("position"), pick.alias("source"))
+    pick = mixture.weighted_choice(mixture.draw(F.col("o_orderkey"), seed=9), {"customer": 0.7, "supplier": 0.3}, lambda k: F.lit(True))
+    return t.orders.select("o_orderkey", pick.alias("source"))
 
 
-@query(f"""WITH w AS (SELECT p_partkey, {draw_sql(11, 'p_partkey')} AS u, CASE WHEN p_size > 8 THEN 1.0 / 900 ELSE 0 END AS a, CASE WHEN p_size > 16 THEN 1.0 / 225 ELSE 0 END AS b,
-  CASE WHEN p_size > 24 THEN 1.0 / 100 ELSE 0 END AS c, CASE WHEN p_size > 40 THEN 1.0 / 36 ELSE 0 END AS d FROM part)
-  SELECT p_partkey, CAST(CASE WHEN a + b + c + d = 0 THEN NULL WHEN u * (a + b + c + d) < a THEN 1 WHEN u * (a + b + c + d) < a + b THEN 2 WHEN u * (a + b + c + d) < a + b + c THEN 3 ELSE 5 END AS INTEGER) AS stride FROM w""")
+@query(f"""WITH b AS (SELECT p_partkey, p_size + 10 AS fps, p_size * 7 + 30 AS n, {draw_sql(11, 'p_partkey')} AS u FROM part),
+  l AS (SELECT *, greatest(4, CAST(ceil(fps * 25.0 / n) AS INTEGER)) AS least, least(50, fps) AS most FROM b),
+  w AS (SELECT l.*, f, sum(1.0 / pow(f, 2.0)) OVER (PARTITION BY p_partkey ORDER BY f) AS up, sum(1.0 / pow(f, 2.0)) OVER (PARTITION BY p_partkey) AS total FROM l, (SELECT unnest(range(1, 100)) AS f) WHERE f BETWEEN least AND most),
+  d AS (SELECT p_partkey, min(f) AS f FROM w WHERE up > u * total GROUP BY p_partkey), c AS (SELECT p_partkey, fps, n, CASE WHEN most > least THEN f ELSE most END AS f FROM l LEFT JOIN d USING (p_partkey))
+  SELECT p_partkey, CAST(f AS INTEGER) AS target, CAST(fps // f AS INTEGER) AS stride, n > 25 * (fps // f) AS fits FROM c""")
 def fps_stride_weights(t):
-    pick = mixture.weighted_choice(mixture.draw(F.col("p_partkey"), seed=11), {str(s): 1.0 / (30.0 / s) ** 2 for s in (1, 2, 3, 5)}, lambda k: F.col("p_size") > 8 * int(k))
-    return t.part.select("p_partkey", pick.cast("int").alias("stride"))
+    fps, n = F.col("p_size") + 10, F.col("p_size") * 7 + 30
+    rows = t.part.select("p_partkey", fps.alias("fps"), n.alias("n"), frames.controlled_fps(fps, n, 25, 4, 50, 2, mixture.draw(F.col("p_partkey"), seed=11)).alias("target"))
+    stride = F.floor(F.col("fps") / F.col("target")).cast("int")
+    return rows.select("p_partkey", "target", stride.alias("stride"), (F.col("n") > 25 * stride).alias("fits"))
 
 
 @query("SELECT s_suppkey, CAST(p % 2 AS INTEGER) AS rank, CAST((p // 2) % 3 AS INTEGER) AS worker FROM (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS p FROM supplier)")
@@ -165,30 +186,31 @@ def shard_assign(t):
     return rows.select("s_suppkey", rank.alias("rank"), worker.alias("worker"))
 
 
-@query("""WITH RECURSIVE c AS (SELECT c_mktsegment AS grp, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT row_number() OVER (ORDER BY grp) AS i, grp, n * 16.0 / (SELECT sum(n) FROM c) AS share FROM c),
-  w AS (SELECT list(1 ORDER BY i) AS have, list(share ORDER BY i) AS share, 16 - count(*) AS rest FROM s UNION ALL
-  SELECT list_transform(have, lambda x, i: x + CASE WHEN i = list_position(list_transform(have, lambda y, j: y - share[j]), list_min(list_transform(have, lambda y, j: y - share[j]))) THEN 1 ELSE 0 END), share, rest - 1 FROM w WHERE rest > 0)
+@query("""WITH RECURSIVE c AS (SELECT p_brand AS grp, count(*) AS n FROM part GROUP BY 1), s AS (SELECT row_number() OVER (ORDER BY grp) AS i, grp, CAST(n AS DOUBLE) / (SELECT sum(n) FROM c) AS share FROM c),
+  w AS (SELECT list(1 ORDER BY i) AS have, list(share ORDER BY i) AS share, 61 - count(*) AS rest FROM s UNION ALL
+  SELECT list_transform(have, lambda x, i: x + CASE WHEN i = list_position(lack, list_min(lack)) THEN 1 ELSE 0 END), share, rest - 1 FROM w, LATERAL (SELECT list_transform(have, lambda y, j: CAST(y AS DOUBLE) / list_sum(have) - share[j]) AS lack) WHERE rest > 0)
   SELECT grp, CAST(have[i] AS INTEGER) AS workers FROM s CROSS JOIN (SELECT have FROM w WHERE rest = 0)""")
 def worker_allocation(t):
-    counts = t.customer.groupBy(F.col("c_mktsegment").alias("grp")).agg(F.count("*").alias("n"))  # a row per group
-    return mixture.allocate_workers(counts, "grp", "n", 16)
+    counts = t.part.groupBy(F.col("p_brand").alias("grp")).agg(F.count("*").alias("n"))  # a row per group
+    return mixture.allocate_workers(counts, "grp", "n", 61)
 
 
-SHARES_SQL = """c AS (SELECT c_mktsegment AS grp, count(*) AS n FROM customer GROUP BY 1), s AS (SELECT grp, n, CAST(ceil(n * 100.0 / (SELECT sum(n) FROM c)) AS BIGINT) AS share FROM c),
-  e AS (SELECT grp, n, share + CASE WHEN row_number() OVER (ORDER BY n DESC, grp DESC) = 1 THEN 100 - (SELECT CAST(sum(share) AS BIGINT) FROM s) ELSE 0 END AS share FROM s)"""
+SHARES_SQL = """c AS (SELECT c_mktsegment AS grp, count(*) AS n FROM customer GROUP BY 1), a AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM c),
+  s AS (SELECT grp, n, CAST(ceil(CAST(n AS DOUBLE) / total * 16) AS BIGINT) AS w, CAST(ceil(total / 16.0) AS BIGINT) AS each FROM c, a),
+  e AS (SELECT grp, n, each, w + CASE WHEN row_number() OVER (ORDER BY n DESC, grp) = 1 THEN 16 - (SELECT CAST(sum(w) AS BIGINT) FROM s) ELSE 0 END AS workers FROM s)"""
 
 
-@query(f"WITH {SHARES_SQL} SELECT grp, share FROM e")
+@query(f"WITH {SHARES_SQL} SELECT grp, workers, workers * each AS share FROM e")
 def equalize_counts(t):
     counts = t.customer.groupBy(F.col("c_mktsegment").alias("grp")).agg(F.count("*").alias("n"))
-    return mixture.equal_shares(counts, "grp", "n", 100)
+    return mixture.equal_shares(counts, "grp", "n", 16)
 
 
 @query(f"""WITH {SHARES_SQL}, r AS (SELECT c_custkey, c_mktsegment AS grp, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS i FROM customer)
-  SELECT c_custkey, grp, CAST(k AS INTEGER) AS copy FROM r JOIN e USING (grp), unnest(range(0, CAST(ceil(share * 1.0 / n) AS BIGINT))) AS u(k) WHERE i + k * n < share""")
+  SELECT c_custkey, grp, CAST(k AS INTEGER) AS copy FROM r JOIN e USING (grp), unnest(range(0, CAST(ceil(workers * each * 1.0 / n) AS BIGINT))) AS u(k) WHERE i + k * n < workers * each""")
 def equalize_shards(t):
     rows = t.customer.select("c_custkey", F.col("c_mktsegment").alias("grp"))
-    return mixture.equalize(rows, "grp", "c_custkey", 100)
+    return mixture.equalize(rows, "grp", "c_custkey", 16)
 
 
 @query("SELECT p_partkey, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER) AS number FROM part")
@@ -204,9 +226,13 @@ def state_noise(t):
     return mixture.add_noise(rows.join(F.broadcast(bounds)), "x", ["p_partkey"], 10.0, F.col("lo"), F.col("hi"), 0.05).select("p_partkey", r(F.col("x")).alias("x"))
 
 
-@query("SELECT i AS position, CASE WHEN i % 6 < 3 THEN 0 WHEN i % 6 < 5 THEN 1 ELSE 2 END AS source FROM (SELECT unnest(range(0, 100)) AS i)")
+@query("""SELECT 'customer' AS source, n, n // 3 * 6 + n % 3 AS position FROM (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS n FROM customer)
+  UNION ALL SELECT 'part', n, n // 2 * 6 + 3 + n % 2 FROM (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS n FROM part)
+  UNION ALL SELECT 'supplier', n, n * 6 + 5 FROM (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS n FROM supplier)""")
 def ratio_interleave(t):
-    return t.spark.range(100).select(F.col("id").alias("position"), mixture.interleave_by_ratio(F.col("id"), [3, 2, 1]).alias("source"))
+    keys = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    rows = {k: ordering.number_rows(getattr(t, k).select(c), [c], "n") for k, c in keys.items()}
+    return mixture.interleave_rows(rows, {"customer": 3, "part": 2, "supplier": 1}, "n")
 
 
 @query("""WITH RECURSIVE b AS (SELECT p_brand, p_retailprice AS score, CAST(p_size AS DOUBLE) AS x0, CAST(p_partkey % 40 AS DOUBLE) AS y0 FROM part WHERE p_retailprice > 100),
@@ -227,11 +253,11 @@ def conversion_manifest(t):
     return t.episodes.groupBy(split.alias("split")).agg(F.count("*").alias("episodes"), F.sum("num_steps").alias("num_steps"))
 
 
-@query("""SELECT n, round(CASE WHEN n <= 50 THEN CASE WHEN n < 10 THEN 0.1 + 0.9 * n / 10 ELSE 0.05 + 0.95 * 0.5 * (1 + cos(least((n - 10) / 40.0, 1.0) * pi())) END
-  ELSE CASE WHEN n - 50 < 5 THEN 0.1 + 0.9 * (n - 50) / 5 ELSE 0.05 + 0.95 * 0.5 * (1 + cos(least((n - 55) / 45.0, 1.0) * pi())) END END, 9) AS factor FROM (SELECT unnest(range(0, 101)) AS n)""")
+@query("""SELECT o_orderkey, round(CASE WHEN n <= 50 THEN CASE WHEN n < 10 THEN 0.1 + 0.9 * n / 10 ELSE 0.05 + 0.95 * 0.5 * (1 + cos(least((n - 10) / 40.0, 1.0) * pi())) END
+  ELSE CASE WHEN n - 50 < 5 THEN 0.1 + 0.9 * (n - 50) / 5 ELSE 0.05 + 0.95 * 0.5 * (1 + cos(least((n - 55) / 45.0, 1.0) * pi())) END END, 9) AS factor FROM (SELECT o_orderkey, o_orderkey % 101 AS n FROM orders)""")
 def lr_schedule(t):
-    f = frames.learning_rate(F.col("id"), [10, 5], [50, 50], 0.1, 1.0, 0.05, "cosine")
-    return t.spark.range(101).select(F.col("id").alias("n"), r(f, 9).alias("factor"))
+    f = frames.learning_rate(F.col("o_orderkey") % 101, [10, 5], [50, 50], 0.1, 1.0, 0.05, "cosine")
+    return t.orders.select("o_orderkey", r(f, 9).alias("factor"))
 
 
 @query("SELECT p_partkey, CAST(floor(k * (p_size + 20) + 0.5) AS INTEGER) AS w, CAST(floor(k * (p_size + 10) + 0.5) AS INTEGER) AS h FROM (SELECT *, greatest(256.0 / (p_size + 20), 144.0 / (p_size + 10)) AS k FROM part)")

@@ -87,12 +87,14 @@ def dataset_zip(t):
     return sampling.zip_tables({"a": a, "b": b}, "position").select("position", "a.c_custkey", "b.s_suppkey")
 
 
-@query(f"WITH {RANKS_SQL} SELECT CASE WHEN metric = 'view' THEN 'image' ELSE 'video' END AS kind, round(coalesce(avg(CASE WHEN x < 95 THEN least(x, 50) END), 0), 9) AS mean FROM m GROUP BY 1")
+@query("""WITH g AS (SELECT CAST(ceil(o_orderkey / 100.0) AS BIGINT) * 100 AS iteration, o_orderkey % 100 = 0 AS log, CASE WHEN o_orderstatus = 'F' THEN 'image' ELSE 'video' END AS kind,
+  sqrt(o_custkey * o_custkey + CASE WHEN o_orderpriority LIKE '1%' THEN 0 ELSE o_totalprice * o_totalprice END) AS norm FROM orders), w AS (SELECT iteration FROM g GROUP BY 1 HAVING bool_or(log))
+  SELECT iteration, kind, round(coalesce(avg(norm), 0), 6) AS mean FROM w CROSS JOIN (SELECT unnest(['image', 'video']) AS kind) LEFT JOIN g USING (iteration, kind) GROUP BY 1, 2""")
 def gradient_norm_mean(t):
-    norm = F.when(F.col("x") < 95, F.col("x")).otherwise(F.lit(float("inf")))
-    rows = _ranks(t).select(F.when(F.col("metric") == "view", "image").otherwise("video").alias("kind"), norm.alias("x"))
-    clipped = F.least(F.col("x"), F.lit(50.0))
-    return rows.groupBy("kind").agg(r(stats.mean_where(clipped, stats.finite(F.col("x"))), 9).alias("mean"))
+    gradient = F.array(F.col("o_custkey").cast("double"), F.when(F.col("o_orderpriority").startswith("1"), F.lit(float("inf"))).otherwise(F.col("o_totalprice").cast("double")))
+    kind = F.when(F.col("o_orderstatus") == "F", "image").otherwise("video")
+    steps = t.orders.select("o_orderkey", kind.alias("kind"), gradient.alias("gradient"))
+    return stats.gradient_norm_means(steps, "o_orderkey", "kind", ["image", "video"], "gradient", 100).withColumn("mean", r(F.col("mean")))
 
 
 @query("SELECT position AS s, CAST(position % 4 AS INTEGER) AS rank, s_suppkey FROM (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS position FROM supplier)")

@@ -85,18 +85,94 @@ def test_shares(spark):
     groups = spark.createDataFrame([("a", 90), ("b", 10)], "g string, n long")
     assert sorted(map(tuple, mixture.allocate_workers(groups, "g", "n", 4).collect())) == [("a", 3), ("b", 1)]
     equal = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "g string, n long")
-    assert sum(r.share for r in mixture.equal_shares(equal, "g", "n", 100).collect()) == 100
-    rows = spark.createDataFrame([("a", i) for i in range(9)] + [("b", 9)], "g string, i int")
-    out = mixture.equalize(rows, "g", "i", 30).collect()
-    assert sum(r.g == "a" for r in out) == 27 and sorted(r.copy for r in out if r.g == "b") == [0, 1, 2]
+    assert sum(r.workers for r in mixture.equal_shares(equal, "g", "n", 100).collect()) == 100
     epoch = lambda *n: tuple(one(spark, mixture.epoch_structures(*map(F.lit, n), 0.5, 0.5).alias("e")).e)
     assert epoch(100, 30, 10) == (100, 50, 50) and epoch(7, 0, 0) == (7, 0, 0)
 
 
+def test_workers_are_those_of_the_loop(spark):
+    """Each worker to the group whose share of the workers given so far lacks most."""
+    rng = random.Random(7)
+    cases = [([29, 6, 125, 9], 28), ([10, 20, 30, 40, 50], 16), ([1, 1, 1, 1, 1000], 7), ([5], 3), ([3, 3, 3], 3)]
+    cases += [([rng.randint(1, 200) for _ in range(rng.randint(1, 7))], rng.randint(7, 40)) for _ in range(40)]
+    for counts, workers in cases:
+        have = np.ones(len(counts), int)
+        target = np.array(counts) / sum(counts)
+        while have.sum() < workers:
+            have[np.argmin(have / have.sum() - target)] += 1
+        groups = spark.createDataFrame([(f"g{i}", n) for i, n in enumerate(counts)], "g string, n long")
+        assert [r.workers for r in mixture.allocate_workers(groups, "g", "n", workers).orderBy("g").collect()] == have.tolist()
+    with pytest.raises(Exception, match="fewer workers"):
+        mixture.allocate_workers(groups, "g", "n", 0).collect()
+
+
+@pytest.mark.parametrize("workers", [4, 7, 16])
+def test_equalized_lists_are_those_of_the_loop(spark, workers):
+    sizes = {"a": 9, "b": 40, "c": 1, "d": 40}
+    shares = {g: math.ceil(n / 90 * workers) for g, n in sizes.items()}
+    shares["b"] += workers - sum(shares.values())
+    each = math.ceil(90 / workers)
+    want = sorted((g, i % sizes[g], i // sizes[g]) for g in sizes for i in range(shares[g] * each))
+    rows = spark.createDataFrame([(g, i) for g, n in sizes.items() for i in range(n)], "g string, i int").repartition(3)
+    out = mixture.equalize(rows, "g", "i", workers).collect()
+    assert sorted((r.g, r.i, r.copy) for r in out) == want
+
+
+def test_controlled_fps_is_drawn_by_weight(spark):
+    rows = spark.range(20_000).select(((F.col("id") + 0.5) / 20_000).alias("u"))
+    drawn = dict(rows.groupBy(frames.controlled_fps(F.lit(30), F.lit(60), 20, 4, 40, 2, F.col("u")).alias("f")).count().collect())
+    weights = {f: 1 / f**2 for f in range(10, 31)}
+    assert drawn.keys() == weights.keys() and all(abs(drawn[f] / 20_000 - w / sum(weights.values())) < 1e-3 for f, w in weights.items())
+    assert one(spark, frames.controlled_fps(F.lit(8), F.lit(10), 9, 4, 40, 2, F.lit(0.5)).alias("f")).f == 8
+
+
+@pytest.mark.parametrize(("p", "q"), [(0.0, 0.0), (0.0, 1.0), (0.0, 0.3), (1.0, 0.3), (1.0, 0.0), (0.3, 0.0), (0.3, 1.0), (0.3, 0.7)])
+def test_epoch_structure_with_shares_of_none_and_all(spark, p, q):
+    """The rules in their order, for every combination of missing kinds."""
+
+    def plain(d, s, f):
+        if s + f == 0:
+            return d, 0, 0
+        if q == 0 or s == 0:
+            share, s2, f2 = 0.0, 0, f
+        elif q == 1 or f == 0:
+            share, s2, f2 = 1.0, s, 0
+        else:
+            share, more = q, int(f * q / (1 - q))
+            s2, f2 = (more, f) if s < more else (s, int(s * (1 - q) / q))
+        if p == 0 or d == 0:
+            return 0, s2, f2
+        if p == 1:
+            return d, 0, 0
+        more_d, more_r = int((s2 + f2) * p / (1 - p)), int(d * (1 - p) / p)
+        return (more_d, s2, f2) if d < more_d else (d, int(more_r * share), int(more_r * (1 - share)))
+
+    cases = [(d, s, f) for d in (0, 5, 100) for s in (0, 7, 60) for f in (0, 11)]
+    rows = spark.createDataFrame(cases, "d long, s long, f long")
+    got = rows.select("*", mixture.epoch_structures(F.col("d"), F.col("s"), F.col("f"), p, q).alias("e")).collect()
+    assert {(r.d, r.s, r.f): tuple(r.e) for r in got} == {c: plain(*c) for c in cases}
+
+
+def test_gradient_norms_start_anew(spark):
+    """Windows of three steps, of which the last is not complete; infinite and missing components count as 0."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, "image", [3.0, 4.0]), (2, "video", [1.0, nan]), (3, "image", [inf, 1.0]), (4, "video", [2.0, None]), (6, "video", [4.0, 0.0]), (7, "image", [9.0, 9.0])]
+    df = spark.createDataFrame(rows, "i int, k string, g array<double>")
+    got = {tuple(r) for r in stats.gradient_norm_means(df, "i", "k", ["image", "video"], "g", 3).collect()}
+    assert got == {(3, "image", 3.0), (3, "video", 1.0), (6, "image", 0.0), (6, "video", 3.0)}
+
+
+def test_rows_in_rounds(spark):
+    tables = {k: spark.range(n).select(F.col("id").alias("n")) for k, n in (("a", 5), ("b", 2))}
+    out = mixture.interleave_rows(tables, {"a": 2, "b": 1}, "n").orderBy("position").collect()
+    assert [(r.source, r.n, r.position) for r in out] == [("a", 0, 0), ("a", 1, 1), ("b", 0, 2), ("a", 2, 3), ("a", 3, 4), ("b", 1, 5), ("a", 4, 6)]
+
+
 def test_chunks_and_strides(spark):
     n = lambda k: one(spark, frames.chunk_count(F.lit(k), 256, 4).alias("n")).n
     assert (n(641), n(383), n(100)) == (3, 1, 1)
     assert one(spark, frames.strides(F.lit(10), F.lit(30.0), 9, 25, 29).alias("s")).s == []
+    assert one(spark, frames.strides(F.lit(100), F.lit(30.0), 2, 1, 1.4).alias("s")).s == [*range(22, 31)]
 
 
 def test_global_numbers(spark, monkeypatch):
