@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import align, episodic, metrics, mixtures, samples, text, validation  # noqa: F401  they register their queries
+from millrace.plans import align, episodic, files, metrics, mixtures, samples, text, validation  # noqa: F401  they register their queries
 from millrace.plans.registry import QUERIES, SQL, bind
 
 

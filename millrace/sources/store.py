@@ -38,6 +38,21 @@ class RetryingStream(io.RawIOBase):
     def readable(self) -> bool:
         return True
 
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        """Only the place of the next range; nothing is read or asked for. The end is found by the file itself."""
+        if whence == io.SEEK_END:
+            self.file.seek(offset, io.SEEK_END)
+            self.at = self.file.tell()
+        else:
+            self.at = offset + (self.at if whence == io.SEEK_CUR else 0)
+        return self.at
+
     def _again(self) -> None:
         self.file.close()
         self.file = self.opened()
