@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.plans.registry import query
-from millrace.sources import mcap, tar_source, workspace
+from millrace.sources import hdf5, mcap, tar_source, workspace
 
 
 def _micros(rows, name):
@@ -55,3 +55,28 @@ def tar_sizes(t):
     """Places and sizes of the text members, by the shards' headers alone."""
     rows = t.spark.read.format("tar_shards").option("payload", "false").load(_shards(t)).where("suffix = 'txt'")
     return rows.select(F.col("key").cast("long").alias("doc_id"), "shard", "size", "pos")
+
+
+def _episode_files(t) -> str:
+    """Steps as HDF5, a group per episode and 200 numbers of episodes a file."""
+    path = workspace.new_folder(t.spark, "hdf5")
+    steps = t.steps.join(t.episodes.select("episode_id", "command", "success"), "episode_id")
+    file, group = F.format_string("part/episodes-%08d", F.floor(F.col("episode_id") / 200)), F.format_string("data/demo_%d", "episode_id")
+    rows = steps.select(file.alias("file"), group.alias("group"), F.col("step_idx").alias("step"), F.col("action").alias("actions"), F.array(F.col("a0")).alias("qpos"), F.create_map(F.lit("task"), "command", F.lit("success"), F.col("success").cast("string")).alias("attributes"))
+    hdf5.write_episodes(rows.withColumnRenamed("qpos", "obs/qpos"), path, chunk_rows=4)
+    return path
+
+
+@query("WITH {STEPS} SELECT episode_id, CAST(step_idx AS BIGINT) AS step, a0, a1, a2, a3, a0 AS qpos FROM steps JOIN orders ON o_orderkey = episode_id WHERE step_idx BETWEEN 1 AND 3")
+def hdf5_steps(t):
+    """A part of every episode's arrays: the chunks with steps 1 to 3."""
+    rows = t.spark.read.format("hdf5").option("datasets", "actions, qpos=obs/qpos").load(_episode_files(t)).where("step between 1 and 3")
+    return rows.select(F.regexp_extract("group", "([0-9]+)$", 1).cast("long").alias("episode_id"), "step", *[F.get("actions", F.lit(i)).alias(f"a{i}") for i in range(4)], F.get("qpos", F.lit(0)).alias("qpos"))
+
+
+@query("""WITH {STEPS}, n AS (SELECT episode_id, count(*) AS n FROM steps GROUP BY 1) SELECT episode_id, n AS num_steps, o_orderpriority AS task, o_orderstatus = 'F' AS success FROM n JOIN orders ON o_orderkey = episode_id""")
+def hdf5_metadata(t):
+    """Lengths and attributes of all episodes, without their arrays."""
+    rows = t.spark.read.format("hdf5").load(_episode_files(t)).where("dataset = 'actions'")
+    a = F.from_json("group_attributes", "task string, success string, num_samples long")
+    return rows.select(F.regexp_extract("group", "([0-9]+)$", 1).cast("long").alias("episode_id"), F.get("shape", F.lit(0)).alias("num_steps"), a["task"].alias("task"), (a["success"] == "true").alias("success"))
