@@ -160,8 +160,8 @@ def keyword_finder(spark: SparkSession, keywords: list[str], whole_words: bool)
 
 # ---- near matches
 
-#: Classes that characters are counted in, bits of the filter before the index, and characters of a slice.
-KINDS, BITS, SLICE = 32, 20, 1 << 18
+#: Classes that characters are counted in, bits of the filter before the index, characters of a slice, and verdicts that are kept.
+KINDS, BITS, SLICE, KEPT = 32, 20, 1 << 18, 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -204,12 +204,13 @@ class PhraseIndex:
     """An inverted index of phrases by the grams that a near run has.
 
     A run of some length that is near a phrase has m of its characters, in order: `lost` others of the phrase are not in the run, and
-    `added` of the run not in the phrase. Of lost + added + 1 pieces of the phrase one is therefore whole in the run, moved by `lost` to
-    the left or `added` to the right at most. Each piece is indexed at each place where it may be; where a phrase is too short for
-    pieces, the gram is empty, and every run of that number of words and length meets it.
+    `added` of the run not in the phrase. Cut the phrase into lost + added + 1 pieces: for the first number i (from 0) such that pieces 0
+    to i have at most i of these faults in or before them, piece i is whole, and i faults are before it, which move it by those added less
+    those lost. Each piece is indexed at each place where it may be then; where a phrase is too short for pieces, the gram is empty,
+    and every run of that number of words and length meets it.
 
-    keys: hashes of (words, length, place, gram), sorted; ids: their phrases; bits: a filter of the keys; probes: by number of words,
-    (place, size, lengths) to look up; least: m by phrase and length, or -1; counts: characters of each phrase by class.
+    keys: hashes of (words, length, place, gram), sorted; ids: their phrases; bits: a filter of the keys; probes: by number of words, of
+    (size, length) the places to look up; least: m by phrase and length, or -1; counts: characters of each phrase by class.
     """
 
     phrases: list[str]
@@ -217,7 +218,7 @@ class PhraseIndex:
     keys: np.ndarray
     ids: np.ndarray
     bits: np.ndarray
-    probes: dict[int, list[tuple[int, int, np.ndarray]]]
+    probes: dict[int, dict[tuple[int, int], list[int]]]
     least: np.ndarray
     counts: np.ndarray
 
@@ -238,21 +239,17 @@ def index_phrases(phrases: list[str], slack: float) -> PhraseIndex:
             lost, added = len(w) - m, length - m
             pieces = lost + added + 1
             cuts = [len(w) * i // pieces for i in range(pieces + 1)] if pieces <= len(w) else [0, 0]
-            for a, b in zip(cuts, cuts[1:]):  # noqa: B905
-                for j in range(max(a - lost, 0), min(a + added, length - (b - a)) + 1) if b > a else [0]:
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):  # noqa: B905
+                moved = {i - 2 * k for k in range(i + 1) if k <= lost and i - k <= added}  # added less lost before it, i in all
+                for j in sorted(a + x for x in moved if 0 <= a + x <= length - (b - a)):
                     keys.append(_key(hashes[b - a][a : a + 1], n, np.array([length]), j, b - a)[0])
                     ids.append(k)
-                    probes.setdefault(n, {}).setdefault((b - a, j), set()).add(length)
+                    probes.setdefault(n, {}).setdefault((b - a, length), set()).add(j)
     key, order = np.array(keys, np.uint64), np.argsort(np.array(keys, np.uint64), kind="stable")
     bits = np.zeros(1 << BITS, bool)
     bits[key >> np.uint64(64 - BITS)] = True
 
-    def table(lengths: set[int]) -> np.ndarray:
-        out = np.zeros(longest + 2, bool)
-        out[sorted(lengths)] = True
-        return out
-
-    by_size = {n: [(j, z, table(x)) for (z, j), x in sorted(own.items())] for n, own in probes.items()}
+    by_size = {n: {x: sorted(places) for x, places in own.items()} for n, own in probes.items()}
     counts = np.stack([np.bincount(_codes(w) % KINDS, minlength=KINDS) for w in phrases])
     return PhraseIndex(phrases, np.array([(len(w) - slack) / len(w) for w in phrases]), key[order], np.array(ids, np.int64)[order], bits, by_size, least, counts)
 
@@ -266,31 +263,34 @@ def candidates(index: PhraseIndex, codes: np.ndarray, offs: np.ndarray) -> list[
     starts, ends = np.sort(np.concatenate((offs[:-1], blank + 1))), np.sort(np.concatenate((blank, offs[1:])))
     rows = np.repeat(np.arange(len(offs) - 1), np.searchsorted(blank, offs[1:]) - np.searchsorted(blank, offs[:-1]) + 1)
     longest = index.least.shape[1] - 1
-    spans = {}
+    spans, groups = {}, {}
     for n in index.probes:
         at = np.flatnonzero(rows[n - 1 :] == rows[: len(rows) - n + 1])
         length = ends[at + n - 1] - starts[at]
-        ok = length < longest
-        spans[n] = (rows[at][ok], starts[at][ok], length[ok])
+        at, length = at[length < longest], length[length < longest]
+        order = np.argsort(length, kind="stable")
+        spans[n] = (rows[at][order], starts[at][order], length[order])
+        groups[n] = np.searchsorted(length[order], np.arange(longest + 1)).tolist()
     found = {n: [] for n in index.probes}
-    most = max(z for own in index.probes.values() for _, z, _ in own)
-    for size, gram in _grams(codes, most):
+    for size, gram in _grams(codes, max(z for own in index.probes.values() for z, _ in own)):
         for n, own in index.probes.items():
-            row, start, length = spans[n]
-            for place, z, lengths in own:
-                if z != size:
+            for (z, length), places in own.items():
+                lo, hi = groups[n][length : length + 2] if length < longest else (0, 0)
+                if z != size or lo == hi:
                     continue
-                i = np.flatnonzero(lengths[length])
-                key = _key(gram[start[i] + place], n, length[i], place, z)
-                ok = np.flatnonzero(index.bits[key >> np.uint64(64 - BITS)])
-                i, key = i[ok], key[ok]
-                lo, hi = np.searchsorted(index.keys, key, "left"), np.searchsorted(index.keys, key, "right")
-                times = hi - lo
-                ids = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo, times)
-                found[n].append(np.repeat(i, times) * len(index.phrases) + index.ids[ids])
+                start, of = spans[n][1][lo:hi], np.array([length])
+                for place in places:
+                    key = _key(gram[start + place], n, of, place, z)
+                    i = np.flatnonzero(index.bits[key >> np.uint64(64 - BITS)])
+                    key = key[i]
+                    first, last = np.searchsorted(index.keys, key, "left"), np.searchsorted(index.keys, key, "right")
+                    times = last - first
+                    ids = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - first, times)
+                    found[n].append(np.repeat(i + lo, times) * len(index.phrases) + index.ids[ids])
     out = []
     for n, parts in found.items():
-        pair = np.unique(np.concatenate(parts))
+        pair = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+        pair = pair[np.append(True, pair[1:] != pair[:-1])] if len(pair) else pair
         row, start, length = (x[pair // len(index.phrases)] for x in spans[n])
         phrase = pair % len(index.phrases)
         for lo in range(0, len(pair), 1 << 16):
@@ -302,11 +302,11 @@ def candidates(index: PhraseIndex, codes: np.ndarray, offs: np.ndarray) -> list[
     return out
 
 
-def near_phrases(index: PhraseIndex, texts: list[str]) -> tuple[list[set[int]], int]:
-    """The phrases that a run of each text is near, and how many pairs were judged."""
+def near_phrases(index: PhraseIndex, texts: list[str], known: dict[tuple[str, int], bool]) -> list[set[int]]:
+    """The phrases that a run of each text is near. known: verdicts of pairs, which it adds to."""
     out: list[set[int]] = [set() for _ in texts]
     codes, offs = _codes("".join(texts)), np.append(0, np.cumsum([len(t) for t in texts], dtype=np.int64))
-    raw, known = "".join(texts), {}
+    raw = "".join(texts)
     matcher = difflib.SequenceMatcher(None)
     for rows, starts, lengths, phrases in candidates(index, codes, offs):
         for k in np.argsort(phrases, kind="stable").tolist():  # difflib prepares a phrase once
@@ -321,7 +321,7 @@ def near_phrases(index: PhraseIndex, texts: list[str]) -> tuple[list[set[int]],
                 known[pair] = matcher.ratio() >= index.need[w]
             if known[pair]:
                 out[row].add(w)
-    return out, len(known)
+    return out
 
 
 def near_finder(spark: SparkSession, phrases: list[str], slack: float, least: int = 6) -> Callable[[Column], Column]:
@@ -336,12 +336,14 @@ def near_finder(spark: SparkSession, phrases: list[str], slack: float, least: in
 
     @F.arrow_udf("array<string>")
     def find(texts: pa.Array) -> pa.Array:
-        rows, index, out, lo = [t or "" for t in texts.to_pylist()], shared.value, [], 0
+        rows, index, out, lo, known = [t or "" for t in texts.to_pylist()], shared.value, [], 0, {}
         while lo < len(rows):
             hi, size = lo + 1, len(rows[lo])
             while hi < len(rows) and size + len(rows[hi]) <= SLICE:
                 size, hi = size + len(rows[hi]), hi + 1
-            out += near_phrases(index, rows[lo:hi])[0] if index else [set()] * (hi - lo)
+            out += near_phrases(index, rows[lo:hi], known) if index else [set()] * (hi - lo)
+            if len(known) > KEPT:
+                known.clear()
             lo = hi
         return pa.array([sorted(index.phrases[w] for w in own) if own else [] for own in out], pa.list_(pa.string()))
 
