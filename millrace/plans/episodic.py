@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import frames, geometry, vectors
 from millrace.operators import episodic as ep
-from millrace.operators import ordering
+from millrace.operators import ordering, scan
 from millrace.operators.timeseries import runs
 from millrace.plans.registry import query, r
 
@@ -373,6 +373,19 @@ def ema_fold(t):
     return v.select("episode_id", r(vectors.fold_ema(F.col("v"), 0.9), 9).alias("ema"))
 
 
+@query("""WITH e AS (SELECT event_id, value, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events), k AS (SELECT unnest(range(0, 400)) AS k)
+  SELECT e.event_id, round(sum(x.value * pow(0.9, k) * CASE WHEN x.i = 0 THEN 1 ELSE 0.1 END), 5) AS ema FROM e CROSS JOIN k JOIN e x ON x.i = e.i - k GROUP BY e.event_id""")
+def ema_stream(t):
+    """A moving average along the whole table, one sequence: weights of more than 400 steps are below 1e-18."""
+    rows = ordering.number_rows(t.events.select("event_id", "value"), ["event_id"], "i")
+    return scan.moving_average(rows, [], "i", "value", 0.9).select("event_id", r(F.col("ema"), 5).alias("ema"))
+
+
+@query("""WITH {STEPS} SELECT s.episode_id, s.step_idx, round(sum(x.a0 * pow(0.951229424500714, x.step_idx - s.step_idx)), 6) AS value FROM steps s JOIN steps x ON x.episode_id = s.episode_id AND x.step_idx >= s.step_idx GROUP BY 1, 2""")
+def discounted_sums(t):
+    return scan.discounted_sums(t.steps.select("episode_id", "step_idx", "a0"), ["episode_id"], "step_idx", "a0", 0.951229424500714).select("episode_id", "step_idx", r(F.col("value")).alias("value"))
+
+
 @query("""WITH d AS (SELECT conv_id, turn, role, CASE WHEN lag(role) OVER w IS NULL OR role = lag(role) OVER w THEN 0 ELSE 1 END AS changed FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
   SELECT conv_id, turn, sum(changed) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM d""")
 def consecutive_runs(t):
