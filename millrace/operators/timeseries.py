@@ -34,15 +34,45 @@ def asof_nearest(targets: DataFrame, sources: DataFrame, by: str, ts: str, value
     return both.select("row.*", picked.alias(name))
 
 
-def sync_streams(grid: DataFrame, streams: dict[str, list[DataFrame]], by: str, ts: str, value: str) -> DataFrame:
-    """A column per stream at each grid point; a stream's later DataFrames stand in where `by` has none of the earlier."""
-    out = grid
-    for name, options in streams.items():
-        rows = options[0]
-        for other in options[1:]:
-            rows = rows.unionByName(other.join(rows.select(by).distinct(), by, "left_anti"))
-        out = asof_nearest(out, rows, by, ts, value, name)
-    return out
+def sync_streams(grid: DataFrame, streams: dict[str, list[DataFrame]], by: str, ts: str, value: str, span: float | None = None) -> DataFrame:
+    """A column per stream at each grid point, the value of the nearest row as asof_nearest() picks it; a stream's later DataFrames stand
+    in where `by` has none of the earlier.
+
+    All streams and the grid are dealt out together and sorted once in either direction, with the last row seen of every stream
+    carried along: one exchange of the rows for any number of streams. With `span`, a sequence is cut into ranges of that length,
+    and a table of a row per range hands on what is nearest outside. Stamps must be distinct within `by` and a stream.
+    """
+    options = [(name, rows) for name, all_ in streams.items() for rows in all_]
+    part = (lambda c: F.floor(c / F.lit(span))) if span else (lambda c: F.lit(0))
+    both = grid.select(F.col(by).alias("by"), F.col(ts).alias("t"), F.lit(-1).alias("s"), F.struct(*grid.columns).alias("row"))
+    for i, (_, rows) in enumerate(options):
+        own = rows.select(F.col(by).alias("by"), F.col(ts).alias("t"), F.lit(i).alias("s"), F.struct(F.col(ts).alias("t"), F.col(value).alias("v")).alias(f"x{i}"))
+        both = both.unionByName(own, allowMissingColumns=True)
+    both = both.withColumn("part", part(F.col("t")))
+    w, source = Window.partitionBy("by", "part"), (F.col("s") >= 0).cast("int")
+    ahead = w.orderBy("t", source).rowsBetween(Window.unboundedPreceding, -1)
+    back = w.orderBy(F.col("t").desc(), source.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    n = range(len(options))
+    out = both.select("*", *[F.last(f"x{i}", True).over(ahead).alias(f"p{i}") for i in n])
+    out = out.select("by", "t", "s", "row", "part", *[f"p{i}" for i in n], *[F.last(f"x{i}", True).over(back).alias(f"q{i}") for i in n]).where("s = -1")
+    if span:
+        ends = [f(f"x{i}").alias(f"{c}{i}") for i in n for f, c in ((F.min, "first"), (F.max, "last"))]
+        own = both.groupBy("by", "part").agg(*ends)  # a row per range
+        r = Window.partitionBy("by")
+        before, after = r.orderBy("part").rowsBetween(Window.unboundedPreceding, -1), r.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carried = own.select(F.col("by").alias("by_"), F.col("part").alias("part_"), *[x for i in n for x in (F.last(f"last{i}", True).over(before).alias(f"p{i}_"), F.last(f"first{i}", True).over(after).alias(f"q{i}_"))])
+        out = out.join(carried, F.col("by").eqNullSafe(F.col("by_")) & F.col("part").eqNullSafe(F.col("part_")), "left")
+        out = out.withColumns({f"{c}{i}": F.coalesce(f"{c}{i}", f"{c}{i}_") for i in n for c in "pq"})
+    columns, at = [], 0
+    for name, all_ in streams.items():
+        picked = F.lit(None)
+        for i in reversed(range(at, at + len(all_))):
+            p, q = F.col(f"p{i}"), F.col(f"q{i}")
+            near = F.when(p.isNotNull() & (q.isNull() | (F.abs(p["t"] - F.col("t")) <= F.abs(q["t"] - F.col("t")))), p["v"]).otherwise(q["v"])
+            picked = F.when(p.isNotNull() | q.isNotNull(), near).otherwise(picked)
+        columns.append(picked.alias(name))
+        at += len(all_)
+    return out.select("row.*", *columns)
 
 
 def stream_quality(rows: DataFrame, by: list[str], ts: str, valid: Column, start: Column, end: Column) -> DataFrame:

@@ -36,7 +36,7 @@ def multistream_sync(t):
     e = _events(t)
     grid = e.where("event_type = 'click'").select("event_id", "user_id", "t")
     streams = {k: [e.where(F.col("event_type") == k)] for k in ("view", "purchase")}
-    out = timeseries.sync_streams(grid, streams, "user_id", "t", "value")
+    out = timeseries.sync_streams(grid, streams, "user_id", "t", "value", span=7 * 86400.0)
     return out.select("event_id", r(F.col("view")).alias("view"), r(F.col("purchase")).alias("purchase"))
 
 
