@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import geometry, text, vectors
 from millrace.functions.draws import draw_sql
-from millrace.operators import chain, episodic, mixture, ordering, sampling, stats, timeseries, validate
+from millrace.operators import chain, episodic, mixture, ordering, sampling, stats, table_functions, timeseries, validate
 from millrace.plans.align import EVENTS_SQL, _events, _nearest_sql
 from millrace.plans.metrics import DIMS_SQL, RANKS_SQL, STATS_SQL, _ranks, _round, _vectors
 from millrace.plans.registry import query, r
@@ -294,3 +295,43 @@ def repaired_caption(t):
 @query(f"WITH {EVENTS_SQL} SELECT event_id, i AS item FROM ev JOIN (SELECT unnest(range(3, 9)) AS i) ON event_id = i")
 def item_range(t):
     return t.events.where(F.col("event_id").between(3, 8)).select("event_id", F.col("event_id").alias("item"))
+
+
+SESSIONS_SQL = """WITH e AS (SELECT user_id, epoch_us(ts) // 1000000 AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER w > 21600 THEN 1 ELSE 0 END AS fresh FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t)),
+  s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS session FROM g)
+  SELECT user_id, CAST(session AS INTEGER) AS session, min(t) AS first, max(t) AS last, count(*) AS n FROM s GROUP BY user_id, session"""
+
+
+def _seconds(t):
+    micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts AS timestamp_ntz))")
+    return t.events.select("user_id", F.floor(micros / 1_000_000).cast("long").alias("t"))
+
+
+@query(SESSIONS_SQL)
+def session_table(t):
+    """A table function over a partitioned table, in SQL."""
+    table_functions.register(t.spark)
+    name = f"seconds_{uuid.uuid4().hex}"
+    _seconds(t).createOrReplaceTempView(name)
+    out = t.spark.sql(f"SELECT * FROM sessions(TABLE({name}) PARTITION BY user_id ORDER BY t, gap => 21600D)")
+    t.spark.catalog.dropTempView(name)
+    return out
+
+
+@query(SESSIONS_SQL)
+def session_frames(t):
+    """The same in DataFrames."""
+    return table_functions.session_rows(_seconds(t), "user_id", "t", 21_600)
+
+
+@query(r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS a FROM documents),
+  p AS (SELECT doc_id, a, unnest(range(0, len(a), 40)) AS place FROM w)
+  SELECT doc_id, CAST(place AS INTEGER) AS place, CAST(len(a[place + 1:place + 60]) AS INTEGER) AS n, md5(array_to_string(a[place + 1:place + 60], ' ')) AS digest FROM p WHERE place = 0 OR place + 20 < len(a)""")
+def window_table(t):
+    """Windows of 60 words, 20 of which overlap, by a table function joined with each row."""
+    table_functions.register(t.spark)
+    name = f"texts_{uuid.uuid4().hex}"
+    t.documents.createOrReplaceTempView(name)
+    out = t.spark.sql(f"SELECT doc_id, w.place, w.n, md5(w.words) AS digest FROM {name}, LATERAL word_windows(text, 60, 40) AS w")
+    t.spark.catalog.dropTempView(name)
+    return out
