@@ -3,26 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millrace.plans.registry import query
+from millrace.functions.times import utc_micros
+from millrace.plans.registry import query, r
 from millrace.sources import hdf5, mcap, tar_source, workspace
-
-
-def _micros(rows, name):
-    """Microseconds since 1970; times without a zone are UTC in any session."""
-    t = F.col(name)
-    if not isinstance(rows.schema[name].dataType, T.TimestampNTZType):
-        return F.unix_micros(t)
-    second = (F.expr(f"extract(SECOND FROM {name})") * 1_000_000).cast("long")
-    return F.unix_date(t.cast("date")).cast("long") * 86_400_000_000 + F.hour(t).cast("long") * 3_600_000_000 + F.minute(t).cast("long") * 60_000_000 + second
+from millrace.streaming import state
 
 
 @query("""SELECT event_id, user_id, round(value, 6) AS value, event_type AS topic, epoch_us(ts) * 1000 AS log_time FROM events
   WHERE event_type IN ('error', 'purchase') AND epoch_us(ts) BETWEEN 1704412800000000 AND 1705276800000000""")
 def mcap_topics(t):
     """Events as recordings of a day and a quarter of its events each, of which two topics and ten days are read."""
-    micros, path = _micros(t.events, "ts"), workspace.new_folder(t.spark, "mcap")
+    micros, path = utc_micros(t.events, "ts"), workspace.new_folder(t.spark, "mcap")
     name = F.concat_ws("-", F.floor(micros / 86_400_000_000), F.pmod(F.xxhash64("event_id"), F.lit(4)))
     data = F.to_json(F.struct("event_id", "user_id", "value")).cast("binary")
     mcap.write_recordings(t.events.where("ts is not null and event_type is not null").select(name.alias("file"), F.col("event_type").alias("topic"), (micros * 1000).alias("log_time"), data.alias("data")), path)
@@ -80,3 +72,21 @@ def hdf5_metadata(t):
     rows = t.spark.read.format("hdf5").load(_episode_files(t)).where("dataset = 'actions'")
     a = F.from_json("group_attributes", "task string, success string, num_samples long")
     return rows.select(F.regexp_extract("group", "([0-9]+)$", 1).cast("long").alias("episode_id"), F.get("shape", F.lit(0)).alias("num_steps"), a["task"].alias("task"), (a["success"] == "true").alias("success"))
+
+
+@query("""WITH e AS (SELECT event_type AS kind, epoch_us(ts) // 86400000000 * 86400 AS start, value FROM events), m AS (SELECT max(epoch_us(ts)) AS last FROM events)
+  SELECT kind, start, count(*) AS n, round(avg(value), 6) AS mean FROM e, m WHERE (start + 86400) * 1000000 <= last - 3600000000 GROUP BY kind, start""")
+def window_means_stream(t):
+    """Means of each day as a stream that is stopped and started again on its checkpoint, once for each third of the events' time."""
+    path = workspace.new_folder(t.spark, "stream")
+    ends = t.events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    low, high = ends.select(utc_micros(ends, "a"), utc_micros(ends, "b")).first()
+    at = utc_micros(t.events, "ts")
+    for i in range(3 if high is not None else 0):
+        lo, hi = (low + (high + 1 - low) * k // 3 for k in (i, i + 1))
+        t.events.where((at >= lo) & (at < hi)).select(F.timestamp_micros(at).alias("ts"), "event_type", "value").write.mode("append").parquet(f"{path}/in")
+        rows = t.spark.readStream.schema("ts timestamp, event_type string, value double").parquet(f"{path}/in")
+        means = state.window_means(rows, "ts", "event_type", "value", 86_400_000, "1 hour")
+        means.writeStream.outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
+    out = t.spark.read.schema("kind string, start long, n long, mean double").parquet(f"{path}/out") if high is not None else t.spark.createDataFrame([], "kind string, start long, n long, mean double")
+    return out.select("kind", "start", "n", r(F.col("mean")).alias("mean"))
