@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops as T
+from millrace.llm.bpe import distinct
 from millrace.llm.scratch import Scratch
 
 U = np.uint64
@@ -276,18 +277,31 @@ def word_counts(parts: int):
     return run
 
 
+def distinct_words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of training texts, each once for every two million of them."""
+    seen: set[bytes] = set()
+    for batch in it:
+        fresh: list[bytes] = []
+        for _, _, buf, offs in T.text_slices(batch.column(0), 1 << 20):
+            starts, ends, _ = T.word_bounds(buf, offs, T.IS_WORD)
+            low = T.LOWER[buf]
+            one, _ = distinct(low, starts, ends - starts)
+            raw = low.tobytes()
+            fresh += [w for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True) if (w := raw[a:b]) not in seen and not seen.add(w)]
+            if len(seen) > 2_000_000:
+                seen.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(fresh, pa.binary())], names=["word"])
+
+
 def spelling_counts(shared):
-    """Training texts to a task's counts of spelling (context, symbol) by nearest symbol, each word of a slice of texts once, and the end of a text as a word of no bytes."""
+    """Distinct words to a task's counts of spelling (context, symbol) by nearest symbol."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, base = shared.value
         grams = np.zeros(base**4, np.int64)
         for batch in it:
             for _, _, buf, offs in T.text_slices(batch.column(0), 1 << 20):
-                starts, ends, _ = T.word_bounds(buf, offs, T.IS_WORD)
-                low = T.LOWER[buf]
-                _, at = np.unique(T.word_hashes(low, starts, ends), return_index=True)
-                ctx, sym, _ = spell(low, np.append(starts[at], 0), np.append(ends[at], 0), code, base)
+                ctx, sym, _ = spell(buf, offs[:-1], offs[1:], code, base)
                 grams += np.bincount(ctx.astype(np.int64) * base + sym, minlength=base**4)
         some = np.flatnonzero(grams)
         rows = []
@@ -692,7 +706,10 @@ def score_texts(docs: DataFrame, held_out, part_bytes: int = 12 << 20, alphabet:
     divider = Divider(*(np.concatenate(x) for x in zip(*hot, strict=True)), part_tokens)
 
     shared = spark.sparkContext.broadcast((code, base))
-    sums = scratch.save(training.mapInArrow(T.lean(spelling_counts(shared)), ROWS_DDL).repartitionById(base, F.col("part")).mapInArrow(T.lean(sum_counts), ROWS_DDL))
+    # each word of the corpus is spelled once, and the end of a text as a word of no bytes, however the texts are cut into tasks
+    types_of = training.mapInArrow(T.lean(distinct_words), "word binary").distinct()
+    types_of = types_of.unionByName(training.limit(1).select(F.lit(b"").alias("word")))
+    sums = scratch.save(types_of.mapInArrow(T.lean(spelling_counts(shared)), ROWS_DDL).repartitionById(base, F.col("part")).mapInArrow(T.lean(sum_counts), ROWS_DDL))
     grams = sums.select("part", "data").repartitionById(base, F.col("part"))
     root, got = np.full(base, 1 / base), []
     for _ in range(2):  # the root's customers are the subtrees' tables

@@ -214,6 +214,16 @@ def test_language_model(docs, pairs, part_bytes):
     assert sum(r.score for r in own) > sum(r.base_score for r in own)
 
 
+@pytest.mark.parametrize("part_bytes", [4096, 12 << 20])
+def test_scores_do_not_depend_on_how_texts_lie(docs, part_bytes):
+    """The same rows in 1, 4 and 7 tasks, in another order."""
+    of = lambda df: sorted((r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score) for r in score_texts(df, held(), part_bytes=part_bytes).collect())
+    first = of(docs.coalesce(1))
+    for n in (4, 7):
+        other = of(docs.repartition(n, F.xxhash64("doc_id", F.lit(n))))
+        assert [x[:3] for x in other] == [x[:3] for x in first] and np.allclose([x[3:] for x in other], [x[3:] for x in first], rtol=0, atol=1e-9)
+
+
 @pytest.mark.parametrize("customers", [100, 1000, 3000])
 @pytest.mark.parametrize("p", [0.02, 0.5])
 def test_tables_of_many_customers(customers, p):
