@@ -666,7 +666,7 @@ def sum_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
-def score_texts(docs: DataFrame, held_out, part_bytes: int = 12 << 20, alphabet: int = 44, sweeps: int = 4, burn_in: int = 2) -> DataFrame:
+def score_texts(docs: DataFrame, held_out, part_bytes: int = 12 << 20, alphabet: int = 44, sweeps: int = 8, burn_in: int = 4) -> DataFrame:
     """Score each row of docs (doc_id, text) under a model that is learned from the rows for which held_out is not true.
 
     held_out is a Column over docs. A-Z are lower-cased; tokens are words (runs of anything but space and \\t to \\r), then one
