@@ -161,7 +161,7 @@ def keyword_finder(spark: SparkSession, keywords: list[str], whole_words: bool)
 # ---- near matches
 
 #: Classes that characters are counted in, bits of the filter before the index, characters of a slice, and verdicts that are kept.
-KINDS, BITS, SLICE, KEPT = 32, 20, 1 << 18, 1 << 17
+KINDS, BITS, SLICE, KEPT = 32, 20, 1 << 20, 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
