@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.times import utc_micros
 from millrace.plans.registry import query, r
-from millrace.sources import hdf5, mcap, tar_source, workspace
+from millrace.sources import hdf5, mcap, readers, tar_source, workspace, writers
 from millrace.streaming import state
 
 
@@ -90,3 +92,105 @@ def window_means_stream(t):
         means.writeStream.outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
     out = t.spark.read.schema("kind string, start long, n long, mean double").parquet(f"{path}/out") if high is not None else t.spark.createDataFrame([], "kind string, start long, n long, mean double")
     return out.select("kind", "start", "n", r(F.col("mean")).alias("mean"))
+
+
+# ---- the readers and writers of folders
+
+
+@query("""WITH {STEPS} SELECT episode_id, CAST(step_idx AS INTEGER) AS step, CAST(CAST(a0 AS FLOAT) AS DOUBLE) AS state, CAST(CAST(a1 AS FLOAT) AS DOUBLE) AS action FROM steps""")
+def trajectory_scan(t):
+    path = workspace.new_folder(t.spark, "trajectories")
+    state, action = F.array(F.col("a0").cast("float")), F.array(F.col("a1").cast("float"))
+    t.steps.select(state.alias("observation.state"), action.alias("action"), (F.col("step_idx") / 25.0).alias("timestamp"), F.col("episode_id").cast("int").alias("episode_index")).write.parquet(path)
+    rows = readers.trajectories(t.spark, path)
+    return rows.select(F.col("episode_index").cast("long").alias("episode_id"), F.round(F.col("timestamp") * 25).cast("int").alias("step"), F.get("`observation.state`", F.lit(0)).cast("double").alias("state"), F.get("action", F.lit(0)).cast("double").alias("action"))
+
+
+@query("WITH {EPISODES} SELECT episode_id, num_steps, command AS task FROM episodes")
+def jsonl_scan(t):
+    """Episodes with the numbers of their tasks, and the tasks, as lines of JSON."""
+    path = workspace.new_folder(t.spark, "jsonl")
+    tasks = t.orders.groupBy(F.col("o_orderpriority").alias("task")).agg(F.min("o_orderkey").alias("k"))  # a row per task
+    tasks = tasks.select("task", F.row_number().over(Window.orderBy("task")).alias("task_index"))
+    writers.dump(tasks, f"{path}/tasks.jsonl")
+    numbered = t.episodes.join(tasks, F.col("command") == F.col("task"))
+    writers.dump(numbered.select(F.col("episode_id").alias("episode_index"), F.col("num_steps").alias("length"), F.array(F.col("task_index").cast("string")).alias("tasks")), f"{path}/episodes.jsonl")
+    rows = readers.episode_lengths(t.spark, f"{path}/episodes.jsonl").select("episode_index", "length", F.explode(F.transform("tasks", lambda x: x.cast("int"))).alias("task_index"))
+    return rows.join(readers.task_names(t.spark, f"{path}/tasks.jsonl"), "task_index").select(F.col("episode_index").cast("long").alias("episode_id"), F.col("length").alias("num_steps"), "task")
+
+
+def _one_file_each(rows, by: str, path: str) -> None:
+    """Texts as a file each, in folders by a column."""
+    rows.repartition(by).write.partitionBy(by).text(path)
+
+
+@query("SELECT c_custkey, c_mktsegment AS segment FROM customer WHERE c_acctbal > 0")
+def annotation_scan(t):
+    """Annotations of a hundred customers a file, of which those are read that are for evaluation."""
+    path = workspace.new_folder(t.spark, "annotations")
+    meta = F.struct((F.col("c_acctbal") > 0).alias("is_eval"), F.col("c_custkey").cast("string").alias("episode_id"), F.col("c_mktsegment").alias("segment_id"))
+    one = F.struct(F.col("c_custkey").alias("label"), meta.alias("episode_metadata"))
+    texts = t.customer.groupBy(F.floor(F.col("c_custkey") / 100).alias("part")).agg(F.to_json(F.collect_list(one)).alias("value"))
+    _one_file_each(texts, "part", path)
+    rows = readers.annotations(t.spark, path, T.StructType().add("label", "long"), is_eval=True)
+    return rows.select(F.col("label").alias("c_custkey"), F.col("episode_metadata.segment_id").alias("segment"))
+
+
+@query("SELECT 'parts/' || p_brand AS root, CAST(p_partkey AS VARCHAR) || '.tar' AS shard, count(*) OVER (PARTITION BY p_brand) AS total_key_count FROM part")
+def manifest_scan(t):
+    path = workspace.new_folder(t.spark, "manifests")
+    shard = F.concat(F.col("p_partkey").cast("string"), F.lit(".tar"))
+    lists = t.part.groupBy(F.col("p_brand").alias("brand")).agg(F.collect_list(shard).alias("data_list"), F.count("*").alias("total_key_count"))
+    value = F.to_json(F.struct(F.concat(F.lit("s3://bucket/parts/"), "brand").alias("root"), "data_list", "total_key_count", F.lit(1).alias("chunk_size")))
+    _one_file_each(lists.select("brand", value.alias("value")), "brand", path)
+    return readers.shard_list(t.spark, path).select("root", "shard", "total_key_count")
+
+
+@query("SELECT page_id, string_split(url, '.')[1] AS key FROM pages")
+def key_scan(t):
+    path = workspace.new_folder(t.spark, "keys")
+    t.pages.select("url", "page_id").write.parquet(path)
+    keys = readers.key_index(t.spark, path, "url").distinct()
+    return t.spark.read.parquet(path).withColumn("key", F.split("url", r"\.")[0]).join(keys, "key").select("page_id", "key")
+
+
+@query("""WITH {STEPS}, d AS (SELECT *, lead(a0) OVER w - a0 AS ahead, a0 - lag(a0) OVER w AS back FROM steps WINDOW w AS (PARTITION BY episode_id ORDER BY step_idx))
+  SELECT episode_id, step_idx, o_orderstatus = 'F' AS success, round(coalesce(ahead, back, 0), 4) + 0.0 AS relative FROM d JOIN orders ON o_orderkey = episode_id""")
+def rollout_files(t):
+    """Steps in folders by success, with each action's difference to the next."""
+    path = workspace.new_folder(t.spark, "rollouts")
+    writers.write_rollouts(t.steps.select("episode_id", "step_idx", "action"), t.episodes.select("episode_id", "success", "command"), path)
+    rows = t.spark.read.parquet(f"{path}/steps")
+    return rows.select("episode_id", "step_idx", F.col("success").cast("boolean").alias("success"), r(F.get("relative_action", F.lit(0)), 4).alias("relative"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'new' END AS new, 'old' AS old FROM orders")
+def replaced_table(t):
+    """A table that is replaced, and the one before."""
+    path = workspace.new_folder(t.spark, "replaced")
+    writers.save_with_backup(t.orders.select("o_orderkey", F.lit("old").alias("old")), path)
+    writers.save_with_backup(t.orders.where("o_orderstatus = 'F'").select("o_orderkey", F.lit("new").alias("new")), path)
+    return t.spark.read.parquet(f"{path}.bak").join(t.spark.read.parquet(path), "o_orderkey", "left").select("o_orderkey", "new", "old")
+
+
+@query("SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1")
+def computed_once(t):
+    """Statistics that are there are not computed again."""
+    path = f"{workspace.new_folder(t.spark, 'once')}/stats.parquet"
+    writers.load_or_compute(t.spark, path, lambda: t.orders.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n")))
+    return writers.load_or_compute(t.spark, path, lambda: t.orders.select(F.lit("again").alias("status"), F.lit(0).cast("long").alias("n")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity AS quantity, round(l_extendedprice, 2) AS price FROM lineitem")
+def decoded_numbers(t):
+    """Binary JSON lists as arrays of numbers, by the decoder's name."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.to_json(F.array("l_quantity", "l_extendedprice")).cast("binary").alias("data")).withColumn("x", readers.numbers(F.col("data"), "json"))
+    return rows.select("l_orderkey", "l_linenumber", F.get("x", F.lit(0)).alias("quantity"), F.round(F.get("x", F.lit(1)), 2).alias("price"))
+
+
+@query("SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n, round(avg(l_discount), 6) AS mean FROM lineitem GROUP BY 1, 2")
+def csv_metrics(t):
+    """Metrics written and read by the extension of their path."""
+    path = f"{workspace.new_folder(t.spark, 'metrics')}/metrics.csv"
+    writers.dump(t.lineitem.groupBy(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(F.count("*").alias("n"), F.round(F.avg("l_discount"), 6).alias("mean")), path)
+    return readers.load(t.spark, path, T.StructType().add("flag", "string").add("status", "string").add("n", "long").add("mean", "double"))

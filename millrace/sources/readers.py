@@ -164,10 +164,17 @@ def find_or_none(spark: SparkSession, root: str, pattern: str) -> DataFrame:
 
 
 def items(spark: SparkSession, path: str, start: int, end: int) -> DataFrame:
-    """(item, content) of the files of a folder that are numbered from start to below end."""
-    files = spark.read.format("binaryFile").load(path)
-    rows = files.select(F.expr("try_cast(regexp_extract(path, '([0-9]+)[.][A-Za-z0-9]+$', 1) AS int)").alias("item"), "content")
-    return rows.where(F.col("item").between(start, end - 1))
+    """(item, content) of the files of a folder that are numbered from start to below end; only those are opened, by tasks."""
+    found = spark.read.format("binaryFile").load(path).select("path")  # lists the folder, and reads nothing
+    number = F.expr("try_cast(regexp_extract(path, '([0-9]+)[.][A-Za-z0-9]+$', 1) AS int)").alias("item")
+
+    def contents(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for name, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with open_url(name) as file:
+                    yield pa.RecordBatch.from_arrays([pa.array([item], pa.int32()), pa.array([file.read()], pa.binary())], names=["item", "content"])
+
+    return found.select("path", number).where(F.col("item").between(start, end - 1)).mapInArrow(contents, "item int, content binary")
 
 
 class _Plain(pickle.Unpickler):

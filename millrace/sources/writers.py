@@ -55,7 +55,9 @@ def load_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFr
     """A table that is computed and written the first time."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         compute().write.mode("ignore").parquet(path)
         return spark.read.parquet(path)
 
