@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.times import utc_micros
+from millrace.model import STEP_ORDER, index_steps
 from millrace.plans.registry import query, r
 from millrace.sources import hdf5, mcap, readers, tar_source, workspace, writers
 from millrace.streaming import state
@@ -52,46 +53,32 @@ def tar_sizes(t):
 
 
 def _episode_files(t) -> str:
-    """Steps as HDF5, a group per episode and 200 numbers of episodes a file."""
+    """Lines as HDF5: a group per supplier, whose lines are the steps, and 20 numbers of suppliers a file."""
     path = workspace.new_folder(t.spark, "hdf5")
-    steps = t.steps.join(t.episodes.select("episode_id", "command", "success"), "episode_id")
-    file, group = F.format_string("part/episodes-%08d", F.floor(F.col("episode_id") / 200)), F.format_string("data/demo_%d", "episode_id")
-    rows = steps.select(file.alias("file"), group.alias("group"), F.col("step_idx").alias("step"), F.col("action").alias("actions"), F.array(F.col("a0")).alias("qpos"), F.create_map(F.lit("task"), "command", F.lit("success"), F.col("success").cast("string")).alias("attributes"))
-    hdf5.write_episodes(rows.withColumnRenamed("qpos", "obs/qpos"), path, chunk_rows=4)
+    lines = index_steps(t.lineitem, "l_suppkey", ["l_orderkey", *STEP_ORDER], "step")
+    file, group = F.format_string("part/episodes-%08d", F.floor(F.col("l_suppkey") / 20)), F.format_string("data/demo_%d", "l_suppkey")
+    actions = F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    rows = lines.select(file.alias("file"), group.alias("group"), "step", actions.alias("actions"), F.array("l_quantity").alias("obs/qpos"), F.create_map(F.lit("task"), F.concat(F.lit("task "), F.col("l_suppkey") % 7)).alias("attributes"))
+    hdf5.write_episodes(rows, path, chunk_rows=16)
     return path
 
 
-@query("WITH {STEPS} SELECT episode_id, CAST(step_idx AS BIGINT) AS step, a0, a1, a2, a3, a0 AS qpos FROM steps JOIN orders ON o_orderkey = episode_id WHERE step_idx BETWEEN 1 AND 3")
+LINES_SQL = f"s AS (SELECT l_suppkey AS episode_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, {', '.join(STEP_ORDER)}) - 1 AS step, l_quantity AS a0, l_extendedprice AS a1, l_discount AS a2, l_tax AS a3 FROM lineitem)"
+
+
+@query(f"WITH {LINES_SQL} SELECT episode_id, step, a0, a1, a2, a3, a0 AS qpos FROM s WHERE step BETWEEN 20 AND 40")
 def hdf5_steps(t):
-    """A part of every episode's arrays: the chunks with steps 1 to 3."""
-    rows = t.spark.read.format("hdf5").option("datasets", "actions, qpos=obs/qpos").load(_episode_files(t)).where("step between 1 and 3")
+    """A part of every episode's arrays: the chunks with steps 20 to 40."""
+    rows = t.spark.read.format("hdf5").option("datasets", "actions, qpos=obs/qpos").load(_episode_files(t)).where("step between 20 and 40")
     return rows.select(F.regexp_extract("group", "([0-9]+)$", 1).cast("long").alias("episode_id"), "step", *[F.get("actions", F.lit(i)).alias(f"a{i}") for i in range(4)], F.get("qpos", F.lit(0)).alias("qpos"))
 
 
-@query("""WITH {STEPS}, n AS (SELECT episode_id, count(*) AS n FROM steps GROUP BY 1) SELECT episode_id, n AS num_steps, o_orderpriority AS task, o_orderstatus = 'F' AS success FROM n JOIN orders ON o_orderkey = episode_id""")
+@query("SELECT l_suppkey AS episode_id, count(*) AS num_steps, count(*) AS num_samples, 'task ' || CAST(l_suppkey % 7 AS VARCHAR) AS task FROM lineitem GROUP BY l_suppkey")
 def hdf5_metadata(t):
     """Lengths and attributes of all episodes, without their arrays."""
     rows = t.spark.read.format("hdf5").load(_episode_files(t)).where("dataset = 'actions'")
-    a = F.from_json("group_attributes", "task string, success string, num_samples long")
-    return rows.select(F.regexp_extract("group", "([0-9]+)$", 1).cast("long").alias("episode_id"), F.get("shape", F.lit(0)).alias("num_steps"), a["task"].alias("task"), (a["success"] == "true").alias("success"))
-
-
-@query("""WITH e AS (SELECT event_type AS kind, epoch_us(ts) // 86400000000 * 86400 AS start, value FROM events), m AS (SELECT max(epoch_us(ts)) AS last FROM events)
-  SELECT kind, start, count(*) AS n, round(avg(value), 6) AS mean FROM e, m WHERE (start + 86400) * 1000000 <= last - 3600000000 GROUP BY kind, start""")
-def window_means_stream(t):
-    """Means of each day as a stream that is stopped and started again on its checkpoint, once for each third of the events' time."""
-    path = workspace.new_folder(t.spark, "stream")
-    ends = t.events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    low, high = ends.select(utc_micros(ends, "a"), utc_micros(ends, "b")).first()
-    at = utc_micros(t.events, "ts")
-    for i in range(3 if high is not None else 0):
-        lo, hi = (low + (high + 1 - low) * k // 3 for k in (i, i + 1))
-        t.events.where((at >= lo) & (at < hi)).select(F.timestamp_micros(at).alias("ts"), "event_type", "value").write.mode("append").parquet(f"{path}/in")
-        rows = t.spark.readStream.schema("ts timestamp, event_type string, value double").parquet(f"{path}/in")
-        means = state.window_means(rows, "ts", "event_type", "value", 86_400_000, "1 hour")
-        means.writeStream.outputMode("append").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start(f"{path}/out").awaitTermination()
-    out = t.spark.read.schema("kind string, start long, n long, mean double").parquet(f"{path}/out") if high is not None else t.spark.createDataFrame([], "kind string, start long, n long, mean double")
-    return out.select("kind", "start", "n", r(F.col("mean")).alias("mean"))
+    a = F.from_json("group_attributes", "task string, num_samples long")
+    return rows.select(F.regexp_extract("group", "([0-9]+)$", 1).cast("long").alias("episode_id"), F.get("shape", F.lit(0)).alias("num_steps"), a["num_samples"].alias("num_samples"), a["task"].alias("task"))
 
 
 # ---- the readers and writers of folders

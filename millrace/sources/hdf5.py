@@ -293,7 +293,7 @@ def plain(x):
 class FileWriter:
     """Groups and arrays with put(), then close(). The file begins with where its root is, so its compressed bytes are held until then."""
 
-    LEAF, INNER, CHUNK_TREE = 512, 512, 32  # half of the entries that a node has room for
+    LEAF, INNER, CHUNK_TREE = 4, 16, 32  # half of the entries that a node has room for, as the format has it by default
 
     def __init__(self, write: Callable[[bytes], object], chunk_rows: int = 256):
         self.write, self.chunk_rows = write, chunk_rows
@@ -344,7 +344,7 @@ class FileWriter:
     def array(self, x: np.ndarray) -> int:
         x = x.astype(np.int8) if x.dtype == bool else x.astype(x.dtype.newbyteorder("<"))
         messages = [(DATASPACE, self.space(x.shape)), (DATATYPE, self.kind(x.dtype))]
-        if x.ndim and len(x) and x[:1].nbytes:
+        if x.ndim and len(x) > self.chunk_rows and x[:1].nbytes:  # shorter ones lie in one piece
             rows = min(self.chunk_rows, len(x))
             entries = []
             for i in range(0, len(x), rows):
