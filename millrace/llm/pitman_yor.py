@@ -278,19 +278,16 @@ def word_counts(parts: int):
 
 
 def distinct_words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of training texts, each once for every two million of them."""
-    seen: set[bytes] = set()
+    """The words of training texts, each once a slice."""
     for batch in it:
-        fresh: list[bytes] = []
         for _, _, buf, offs in T.text_slices(batch.column(0), 1 << 20):
             starts, ends, _ = T.word_bounds(buf, offs, T.IS_WORD)
             low = T.LOWER[buf]
             one, _ = distinct(low, starts, ends - starts)
-            raw = low.tobytes()
-            fresh += [w for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True) if (w := raw[a:b]) not in seen and not seen.add(w)]
-            if len(seen) > 2_000_000:
-                seen.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(fresh, pa.binary())], names=["word"])
+            lens = (ends - starts)[one]
+            offsets = np.append(0, np.cumsum(lens)).astype(np.int32)
+            words = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(low[T.ragged(starts[one], lens)].tobytes())])
+            yield pa.RecordBatch.from_arrays([words], names=["word"])
 
 
 def spelling_counts(shared):
