@@ -214,7 +214,7 @@ def test_language_model(docs, pairs, part_bytes):
     assert sum(r.score for r in own) > sum(r.base_score for r in own)
 
 
-@pytest.mark.parametrize("part_bytes", [4096, 12 << 20])
+@pytest.mark.parametrize("part_bytes", [1 << 14, 12 << 20])
 def test_scores_do_not_depend_on_how_texts_lie(docs, part_bytes):
     """The same rows in 1, 4 and 7 tasks, in another order."""
     of = lambda df: sorted((r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score) for r in score_texts(df, held(), part_bytes=part_bytes).collect())
