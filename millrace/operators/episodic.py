@@ -95,16 +95,26 @@ def long_enough(steps: DataFrame, least: int) -> DataFrame:
     return steps.withColumn("_n", F.count("*").over(episode(False))).where(F.col("_n") >= least).drop("_n")
 
 
+def gather_ends(steps: DataFrame, value: str, deltas: list[int]) -> DataFrame:
+    """A row per step and delta with the value at step + delta: outside the episode the end value (absolute) or 0 (relative).
+
+    Steps are numbered from 0 without gaps, as index_steps() does; one window over the episode holds all deltas.
+    """
+    w, whole = episode(), episode().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ahead = {f"_g{i}": F.lead(value, d).over(w) if d > 0 else F.lag(value, -d).over(w) for i, d in enumerate(deltas) if d}
+    rows = steps.select(*KEYS, F.col(value).alias("_own"), F.first(value).over(whole).alias("_a"), F.last(value).over(whole).alias("_b"), F.count("*").over(whole).alias("_n"), *[x.alias(c) for c, x in ahead.items()])
+    each = []
+    for i, d in enumerate(deltas):
+        at, inside = F.col(KEYS[1]) + d, F.col(f"_g{i}" if d else "_own")
+        absolute = F.when(at < 0, F.col("_a")).when(at >= F.col("_n"), F.col("_b")).otherwise(inside)
+        relative = F.when((at >= 0) & (at < F.col("_n")), inside).otherwise(0.0)
+        each.append(F.struct(F.lit(d).alias("delta"), absolute.alias("absolute"), relative.alias("relative")))
+    return rows.select(*KEYS, F.inline(F.array(*each)))
+
+
 def gather(steps: DataFrame, value: str, deltas: list[int], absolute: bool = True) -> DataFrame:
     """A row per step and delta: the value at step + delta; outside the episode the end value (absolute) or 0."""
-    spec = F.explode(F.array(*[F.lit(d) for d in deltas])).alias("delta")
-    want = steps.select(*KEYS, last_index().cast("int").alias("_last")).select("*", spec).withColumn("_at", F.col(KEYS[1]) + F.col("delta"))
-    source = steps.select(F.col(KEYS[0]), F.col(KEYS[1]).alias("_at2"), F.col(value).alias("gathered"))
-    inside = F.greatest(F.lit(0), F.least(F.col("_at"), F.col("_last")))
-    out = want.withColumn("_at2", inside).join(source, [KEYS[0], "_at2"])
-    if not absolute:
-        out = out.withColumn("gathered", F.when(F.col("_at") == F.col("_at2"), F.col("gathered")).otherwise(0.0))
-    return out.select(*KEYS, "delta", "gathered")
+    return gather_ends(steps, value, deltas).select(*KEYS, "delta", F.col("absolute" if absolute else "relative").alias("gathered"))
 
 
 def sign_continuity(steps: DataFrame, dot: Column) -> DataFrame:

@@ -130,9 +130,7 @@ def length_mismatch_filter(t):
   SELECT s.episode_id, s.step_idx, d AS delta, round(x.a1, 6) AS absolute, round(CASE WHEN s.step_idx + d BETWEEN 0 AND last THEN x.a1 ELSE 0 END, 6) AS relative
   FROM steps s JOIN n USING (episode_id) CROSS JOIN (SELECT unnest([-1, 0, 2]) AS d) JOIN steps x ON x.episode_id = s.episode_id AND x.step_idx = greatest(0, least(s.step_idx + d, last))""")
 def delta_gather(t):
-    a = ep.gather(t.steps, "a1", [-1, 0, 2]).withColumnRenamed("gathered", "absolute")
-    b = ep.gather(t.steps, "a1", [-1, 0, 2], absolute=False).withColumnRenamed("gathered", "relative")
-    return a.join(b, ["episode_id", "step_idx", "delta"]).withColumns({c: r(F.col(c)) for c in ("absolute", "relative")})
+    return ep.gather_ends(t.steps, "a1", [-1, 0, 2]).withColumns({c: r(F.col(c)) for c in ("absolute", "relative")})
 
 
 @query("""WITH {STEPS} SELECT episode_id, step_idx, CASE WHEN step_idx = max(step_idx) OVER (PARTITION BY episode_id) THEN 1 ELSE 0 END AS done FROM steps""")

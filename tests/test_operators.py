@@ -437,3 +437,19 @@ def test_registries(spark):
     chain.register("half")(lambda d: d.where("id % 2 = 0"))
     chain.PRESETS["twice_half"] = ["half", "half"]
     assert chain.preset(spark.range(4), "twice_half").count() == 2
+
+
+def test_gather_takes_one_exchange(spark):
+    rows = spark.createDataFrame([(e, i, float(10 * e + i)) for e in (1, 2, 3) for i in range(e)], "episode_id long, step_idx int, x double")
+    out = episodic.gather_ends(rows, "x", [-2, 0, 1])
+    got = {tuple(r) for r in out.collect()}
+    want = set()
+    for e in (1, 2, 3):
+        for i in range(e):
+            for d in (-2, 0, 1):
+                inside = 0 <= i + d < e
+                want.add((e, i, d, 10.0 * e + max(0, min(i + d, e - 1)), 10.0 * e + i + d if inside else 0.0))
+    assert got == want
+    assert {tuple(r) for r in episodic.gather(rows, "x", [-2, 0, 1], absolute=False).collect()} == {(e, i, d, b) for e, i, d, _, b in want}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
