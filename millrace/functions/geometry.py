@@ -5,6 +5,9 @@ Quaternions are (x, y, z, w); matrices are nine numbers, row by row; a pose is a
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -110,16 +113,37 @@ def matrix_from_6d(v: Vec) -> Vec:
 
 def axis_turn(axis: str, angle: Column) -> Vec:
     """Matrix of a turn about X, Y or Z."""
-    c, s, one, zero = F.cos(angle), F.sin(angle), F.lit(1.0), F.lit(0.0)
-    return {"X": [one, zero, zero, zero, c, -s, zero, s, c], "Y": [c, zero, s, zero, one, zero, -s, zero, c], "Z": [c, -s, zero, s, c, zero, zero, zero, one]}[axis]
+    return [x if isinstance(x, Column) else F.lit(x) for x in _turn(axis, angle)]
+
+
+def _turn(axis: str, angle: Column) -> list[Column | float]:
+    """The same with its zeros and ones as numbers."""
+    c, s = F.cos(angle), F.sin(angle)
+    return {"X": [1.0, 0.0, 0.0, 0.0, c, -s, 0.0, s, c], "Y": [c, 0.0, s, 0.0, 1.0, 0.0, -s, 0.0, c], "Z": [c, -s, 0.0, s, c, 0.0, 0.0, 0.0, 1.0]}[axis]
+
+
+def _products(a: list[Column | float], b: list[Column | float]) -> list[Column | float]:
+    """matmul() without the products by the numbers 0 and 1, which would be computed for every row."""
+
+    def times(x, y):
+        if isinstance(x, float) or isinstance(y, float):
+            number, other = (x, y) if isinstance(x, float) else (y, x)
+            return other if number == 1 else 0.0
+        return x * y
+
+    def total(parts):
+        some = [x for x in parts if not (isinstance(x, float) and x == 0)]
+        return functools.reduce(operator.add, some) if some else 0.0
+
+    return [total(times(a[3 * i + k], b[3 * k + j]) for k in range(3)) for i in range(3) for j in range(3)]
 
 
 def angles_to_matrix(angles: Vec, order: str) -> Vec:
     """Product of the turns about three different axes, named in order (XYZ, XZY, YXZ, YZX, ZXY or ZYX)."""
     if sorted(order) != ["X", "Y", "Z"]:
         raise ValueError(f"no order {order!r}")
-    a, b, c = (axis_turn(x, angle) for x, angle in zip(order, angles, strict=True))
-    return matmul(matmul(a, b), c)
+    a, b, c = (_turn(x, angle) for x, angle in zip(order, angles, strict=True))
+    return [x if isinstance(x, Column) else F.lit(x) for x in _products(_products(a, b), c)]
 
 
 def matrix_to_angles(m: Vec, order: str) -> Vec:

@@ -237,11 +237,15 @@ def _angles():
 
 @query("""SELECT p_partkey, o AS "order", round((p_size - 25) / 30.0, 6) AS a, round((p_size - 25) / 40.0, 6) AS b, round(2 * atan2(sin((p_size - 25) / 20.0), cos((p_size - 25) / 20.0)), 6) + 0.0 AS c FROM part CROSS JOIN (SELECT unnest(['XYZ', 'XZY', 'YXZ', 'YZX', 'ZXY', 'ZYX']) AS o)""")
 def euler_orders(t):
+    """Matrices first, as columns of one projection, in which Spark computes each sine and product once; then the angles of each order."""
+    orders = ("XYZ", "XZY", "YXZ", "YZX", "ZXY", "ZYX")
+    matrices = [x.alias(f"{order}{i}") for order in orders for i, x in enumerate(geometry.angles_to_matrix(_angles(), order))]
     each = []
-    for order in ("XYZ", "XZY", "YXZ", "YZX", "ZXY", "ZYX"):
-        back = geometry.matrix_to_angles(geometry.angles_to_matrix(_angles(), order), order)
-        each.append(F.struct(F.lit(order).alias("order"), *[r(x).alias(n) for x, n in zip(back, "abc", strict=True)]))
-    return t.part.select("p_partkey", F.inline(F.array(*each)))
+    for order in orders:
+        back = geometry.matrix_to_angles([F.col(f"{order}{i}") for i in range(9)], order)
+        each.append(F.struct(F.lit(order).alias("order"), *[x.alias(n) for x, n in zip(back, "abc", strict=True)]))
+    rows = t.part.select("p_partkey", *matrices).select("p_partkey", F.inline(F.array(*each)))
+    return rows.withColumns({n: r(F.col(n)) for n in "abc"})
 
 
 @query("""WITH a AS (SELECT p_partkey, (p_size - 25) / 30.0 AS x, (p_size - 25) / 40.0 AS p, (p_size - 25) / 10.0 AS y FROM part)

@@ -8,6 +8,7 @@ import json
 import math
 import pickle
 import random
+import re
 import tarfile
 
 import numpy as np
@@ -453,3 +454,17 @@ def test_gather_takes_one_exchange(spark):
     assert {tuple(r) for r in episodic.gather(rows, "x", [-2, 0, 1], absolute=False).collect()} == {(e, i, d, b) for e, i, d, _, b in want}
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_turns_are_multiplied_without_zeros(spark):
+    angles = (0.3, -0.4, 1.2)
+    for order in ("XYZ", "XZY", "YXZ", "YZX", "ZXY", "ZYX"):
+        m = geometry.angles_to_matrix([F.lit(x) for x in angles], order)
+        turns = []
+        for axis, x in zip(order, angles, strict=True):
+            row = spark.range(1).select(*[c.alias(str(i)) for i, c in enumerate(geometry.axis_turn(axis, F.lit(x)))]).first()
+            turns.append(np.array(row, float).reshape(3, 3))
+        got = spark.range(1).select(*[c.alias(str(i)) for i, c in enumerate(m)], *[c.alias(n) for n, c in zip("abc", geometry.matrix_to_angles(m, order), strict=True)]).first()
+        assert np.allclose(np.array(got[:9], float).reshape(3, 3), turns[0] @ turns[1] @ turns[2])
+        assert np.allclose(got[9:], angles)
+        assert all(len(re.findall(r"(?i)\b(sin|cos)\(", str(c))) <= 5 for c in m)
