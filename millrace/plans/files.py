@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.times import utc_micros
-from millrace.model import STEP_ORDER, index_steps
+from millrace.model import STEP_ORDER
 from millrace.plans.registry import query, r
 from millrace.sources import hdf5, mcap, readers, tar_source, workspace, writers
 from millrace.streaming import state
@@ -55,11 +55,12 @@ def tar_sizes(t):
 def _episode_files(t) -> str:
     """Lines as HDF5: a group per supplier, whose lines are the steps, and 20 numbers of suppliers a file."""
     path = workspace.new_folder(t.spark, "hdf5")
-    lines = index_steps(t.lineitem, "l_suppkey", ["l_orderkey", *STEP_ORDER], "step")
-    file, group = F.format_string("part/episodes-%08d", F.floor(F.col("l_suppkey") / 20)), F.format_string("data/demo_%d", "l_suppkey")
+    name = lambda head, x: F.concat(F.lit(head), F.coalesce(x.cast("string"), F.lit("null")))
+    file, group = name("part/episodes-", F.floor(F.col("l_suppkey") / 20)), name("data/demo_", F.col("l_suppkey"))
     actions = F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    rows = lines.select(file.alias("file"), group.alias("group"), "step", actions.alias("actions"), F.array("l_quantity").alias("obs/qpos"), F.create_map(F.lit("task"), F.concat(F.lit("task "), F.col("l_suppkey") % 7)).alias("attributes"))
-    hdf5.write_episodes(rows, path, chunk_rows=16)
+    order = ["l_orderkey", *STEP_ORDER]
+    rows = t.lineitem.select(file.alias("file"), group.alias("group"), *order, actions.alias("actions"), F.array("l_quantity").alias("obs/qpos"), F.create_map(F.lit("task"), F.concat(F.lit("task "), F.col("l_suppkey") % 7)).alias("attributes"))
+    hdf5.write_episodes(rows, path, chunk_rows=16, order=order)
     return path
 
 

@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,29 @@ def test_spark_source(spark, tmp_path):
     assert spark.read.format("hdf5").option("datasets", "nothing").load(path).count() == 0
     with pytest.raises(Exception, match="needs file, group"):
         hdf5.write_episodes(df.withColumn("step", F.lit(None).cast("int")), str(tmp_path / "bad"))
+
+
+def test_numbers_without_a_python_object_each():
+    nested = pa.array([[[1, 2], [3, 4]], [[5, 6], [7, 8]]], pa.list_(pa.list_(pa.int32())))
+    assert np.array_equal(hdf5.numbers(nested.slice(1)), [[[5, 6], [7, 8]]])
+    assert np.array_equal(hdf5.numbers(pa.array([[1.5, None], [2.5, 3.5]])), [[1.5, np.nan], [2.5, 3.5]], equal_nan=True)
+    assert hdf5.numbers(pa.array([[], []], pa.list_(pa.float64()))).shape == (2, 0)
+    assert np.array_equal(hdf5.numbers(pa.array([True, False])), [1, 0])
+    with pytest.raises(ValueError):
+        hdf5.numbers(pa.array([[1.0], [1.0, 2.0]]))
+
+
+def test_small_files_share_a_task_and_steps_are_numbered(spark, tmp_path):
+    rows = spark.range(600).selectExpr("concat('f', id % 40) AS file", "concat('demo_', id % 80) AS `group`", "-id AS k", "array(double(id)) AS x")
+    path = str(tmp_path / "ordered")
+    hdf5.write_episodes(rows, path, chunk_rows=3, order=["k"])
+    reader = hdf5.Reader({"path": path, "datasets": "x"})
+    parts = reader.partitions()
+    assert sum(len(p.splits) for p in parts) == 40 and len(parts) == 1
+    assert sum(1 for p in parts for _ in reader.read(p)) == 1  # a batch of many groups
+    got = {(r.group, r.step): r.x[0] for r in spark.read.format("hdf5").option("datasets", "x").load(path).collect()}
+    want = {}
+    for g in range(80):
+        for i, x in enumerate(sorted((x for x in range(600) if x % 80 == g), reverse=True)):
+            want[(f"demo_{g}", i)] = float(x)
+    assert got == want
