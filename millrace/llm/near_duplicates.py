@@ -5,8 +5,9 @@ by their shingle sets and linked if those are similar. A fingerprint of 64 bits
 of 0.8 two texts differ in ten bits on average. So the rest is found by a prefix filter. Every text's distinct shingles are put in one
 order, rare ones first. Two texts of a similarity of `similarity` or more share one of the first n - ceil(similarity * n) + 1 of
 either, so texts meet by those, in a list for each such shingle; sizes and places rule out most chance meetings, and every other
-pair is decided by its two shingle sets. In a list of many texts all are first compared with one; then every pair of texts that
-are not in one group yet is compared too.
+pair is decided by its two shingle sets. In a list of many texts all are first compared with one, then with those that
+parities of shingle sets make likely, as few as join them; then every pair of texts that are not in one group yet, and that parities do
+not rule out, is compared too.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ STAR = 16
 BLOCK = 50_000
 #: Counters of shingles. They only order the shingles: with fewer, more pairs are compared, and the same are found.
 MANY, SEGMENTS = 1 << 23, 16
+#: Bits of a text's parities, and rounds in which long lists are joined by likely pairs before all pairs that can be similar are made.
+PARITIES, ROUNDS = 1024, 2
 #: Against rounding: 0.8 * 15 may be a little over 12.
 TINY = 1e-9
 
@@ -226,19 +229,98 @@ def long_lists(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key), pa.array(n), pa.array(place)], names=["h", "key", "n", "place"])
 
 
+def parities(size: int, marks):
+    """Rows (key, text) of marked keys to the parities of their shingles: bit b is that of the number of shingles whose hash ends in b."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in it:
+            key = T.longs(batch.column(0))
+            pick = np.flatnonzero(in_bitmap(marks.value, MARK_BITS, key))
+            pick = pick[fresh(key[pick], seen)]
+            for lo, hi, buf, offs in T.text_slices(batch.column(1).take(pa.array(pick))):
+                h, first = shingle_hashes(buf, offs, size)
+                at = np.repeat(np.arange(hi - lo), np.diff(first)) * PARITIES + (T.mix(h) % U(PARITIES)).astype(np.int64)
+                bits = np.bincount(at, minlength=(hi - lo) * PARITIES) & 1
+                own = np.packbits(bits.astype(bool).reshape(hi - lo, PARITIES), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(key[pick[lo:hi]]), pa.array([x.tobytes() for x in own], pa.binary())], names=["key", "bits"])
+
+    return run
+
+
+def differing(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits in which the parities of i and j differ: no more than the shingles that one of the two sets has alone."""
+    out = np.zeros(len(i), np.int64)
+    for lo in range(0, len(i), 1 << 16):
+        out[lo : lo + (1 << 16)] = np.bitwise_count(bits[i[lo : lo + (1 << 16)]] ^ bits[j[lo : lo + (1 << 16)]]).sum(1)
+    return out
+
+
+def forest(t: dict[str, np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of one list that are likely to be similar, and that would make its roots as few as such pairs can: at most as many as rows.
+
+    Texts of the most lists come first, and each is met with one text of every other root, so that lists of the same texts make the
+    same pairs: of near copies, the original has the least of its own.
+    """
+    rows, us, vs = np.lexsort((t["key"], -t["degree"])), [], []
+    _, label = np.unique(t["root"], return_inverse=True)
+    for i in rows.tolist():
+        j = rows[label[rows] != label[i]]
+        if not len(j):
+            break
+        at = np.full(len(j), i)
+        j = j[may_be_alike(at, j, t["n"], t["place"], similarity) & ((t["side"][i] == 0) | (t["side"][i] != t["side"][j]))]
+        apart = differing(t["bits"], np.full(len(j), i), j)
+        likely = -PARITIES / 2 * np.log1p(-2 * np.minimum(apart, PARITIES // 2 - 1) / PARITIES)  # shingles apart, of which even numbers of one bit cancel
+        j = j[likely <= (t["n"][i] + t["n"][j].astype(np.int64)) * (1 - similarity) / (1 + similarity) + TINY]
+        labels, first = np.unique(label[j], return_index=True)
+        if len(labels):
+            us.append(np.full(len(first), i))
+            vs.append(j[first])
+            label[np.isin(label, labels)] = label[i]
+    return (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def forests(similarity: float):
+    """Rows (h, key, n, place, root, side, degree, bits), whole lists, to the pairs of forest()."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in it if b.num_rows]
+        if not held:
+            return
+        t = meeting_rows(held)
+        o = np.argsort(t["h"], kind="stable")
+        t = {c: x[o] for c, x in t.items()}
+        cuts = np.append(np.flatnonzero(np.append(True, t["h"][1:] != t["h"][:-1])), len(o))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            i, j = forest({c: x[lo:hi] for c, x in t.items()}, similarity)
+            yield pair_batch([t["key"][lo:hi][i]], [t["key"][lo:hi][j]])
+
+    return run
+
+
+def meeting_rows(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+    t = pa.Table.from_batches(batches)
+    out = {c: t[c].to_numpy() for c in ("h", "key", "n", "place", "root", "side", "degree")}
+    raw = b"".join(x for c in t["bits"].chunks for x in c.to_pylist())
+    return out | {"bits": np.frombuffer(raw, U).reshape(-1, PARITIES // 64)}
+
+
 def pairs_between(similarity: float, step: int = 1 << 20):
-    """Rows (h, key, n, place, root, side), whole lists, to every pair of a list whose roots differ.
+    """Rows (h, key, n, place, root, side, degree, bits), whole lists, to every pair of a list whose roots differ and that can be similar.
 
-    A list in which both sides occur is a meeting of two blocks of a longer one, and only pairs of either are made.
+    A list in which both sides occur is a meeting of two blocks of a longer one, and only pairs of either are made. Parities rule a pair out
+    if they differ in more bits than similar sets have shingles apart, and no other.
     """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in it if b.num_rows]
         if not held:
             return
-        t = pa.Table.from_batches(held)
-        h, key, n, place, root, side = (t[c].to_numpy() for c in ("h", "key", "n", "place", "root", "side"))
+        t = meeting_rows(held)
+        h, key, n, place, root, side, bits = (t[c] for c in ("h", "key", "n", "place", "root", "side", "bits"))
         o = np.lexsort((key, root, h))
+        bits = bits[o]
         h, key, n, place, root, side = h[o], key[o], n[o], place[o], root[o], side[o]
         new = np.append(True, h[1:] != h[:-1])
         end = np.append(np.flatnonzero(new)[1:], len(h))[np.cumsum(new) - 1]  # of each row's list
@@ -252,6 +334,8 @@ def pairs_between(similarity: float, step: int = 1 << 20):
             i = np.repeat(np.arange(lo, hi), many[lo:hi])
             j = T.ragged(after[lo:hi], many[lo:hi])
             ok = may_be_alike(i, j, n, place, similarity) & ((side[i] == 0) | (side[i] != side[j]))
+            i, j = i[ok], j[ok]
+            ok = differing(bits, i, j) <= (n[i].astype(np.int64) + n[j]) * (1 - similarity) / (1 + similarity) + TINY
             yield pair_batch([key[i[ok]]], [key[j[ok]]])
             lo = hi
 
@@ -259,17 +343,17 @@ def pairs_between(similarity: float, step: int = 1 << 20):
 
 
 def in_blocks(lists: DataFrame) -> DataFrame:
-    """Lists (h, key, n, place, root, m rows) as they are, or those of over BLOCK rows as meetings of each two of their blocks.
+    """Lists (h, key, n, place, root, degree, bits, m rows) as they are, or those of over BLOCK rows as meetings of each two of their blocks.
 
     A meeting has a name of its own in h, and its blocks are told apart by side: 1 and 2, or 0 for a block that meets itself.
     """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     rows = lists.withColumn("block", F.pmod(F.xxhash64("key", "h"), F.greatest(blocks, F.lit(1))).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1)).alias("other")
-    rows = rows.select("h", "key", "n", "place", "root", "m", "block", other)
+    rows = rows.select("h", "key", "n", "place", "root", "degree", "bits", "m", "block", other)
     name = F.when(F.col("m") > BLOCK, F.xxhash64("h", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.col("h"))
     side = F.when(F.col("block") < F.col("other"), 1).when(F.col("block") > F.col("other"), 2).otherwise(0)
-    return rows.select(name.alias("h"), "key", "n", "place", "root", side.alias("side"))
+    return rows.select(name.alias("h"), "key", "n", "place", "root", side.alias("side"), "degree", "bits")
 
 
 def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, per_part: int = 400_000) -> DataFrame:
@@ -333,13 +417,34 @@ def near_duplicate_groups(docs: DataFrame, size: int = 5, similarity: float = 0.
     links = links.unionByName(blank.join(F.broadcast(hub)).select("u", F.col("key").alias("v")))
     roots = scratch.save(components(links, scratch).withColumnRenamed("node", "key"))
     lists = met.where("data is not null").select("data").mapInArrow(T.lean(long_lists), "h long, key long, n int, place int")
-    lists = scratch.save(lists.join(roots, "key", "left").select("h", "key", "n", "place", F.coalesce("root", "key").alias("root")))
-    mixed = lists.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m")).where("a <> b").select("h", "m")
-    mixed = scratch.save(in_blocks(lists.join(mixed, "h")))
+    lists = scratch.save(lists)
+
+    def rooted() -> DataFrame:
+        """Rows of the lists whose texts are of different roots, with these."""
+        rows = scratch.save(lists.join(roots, "key", "left").select("h", "key", "n", "place", F.coalesce("root", "key").alias("root")))
+        mixed = rows.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m")).where("a <> b").select("h", "m")
+        out = scratch.save(rows.join(mixed, "h"))
+        scratch.drop(rows)
+        return out
+
+    mixed = rooted()
     if not mixed.isEmpty():
-        more = judged(mixed.repartition(F.col("h")).mapInArrow(T.lean(pairs_between(similarity)), "u long, v long, data binary"))
-        tied = roots.select(F.col("key").alias("u"), F.col("root").alias("v"))
-        roots = scratch.save(components(tied.unionByName(more), scratch).withColumnRenamed("node", "key"))
+        marks = spark.sparkContext.broadcast(bitmap(mixed.select("key").distinct(), MARK_BITS))
+        bits = texts.mapInArrow(T.lean(parities(size, marks)), "key long, bits binary").dropDuplicates(["key"])
+        known = scratch.save(bits.join(lists.groupBy("key").agg(F.count("*").alias("degree")), "key"))
+        for turn in range(ROUNDS + 1):
+            meetings = scratch.save(in_blocks(mixed.join(known, "key")))
+            step = forests if turn < ROUNDS else pairs_between
+            more = judged(meetings.repartition(F.col("h")).mapInArrow(T.lean(step(similarity)), "u long, v long, data binary"))
+            tied = roots.select(F.col("key").alias("u"), F.col("root").alias("v"))
+            roots = scratch.save(components(tied.unionByName(more), scratch).withColumnRenamed("node", "key"))
+            scratch.drop(meetings)
+            scratch.drop(mixed)
+            mixed = rooted()
+            if mixed.isEmpty():
+                break
+        marks.destroy()
+        scratch.drop(known)
     named = classes.join(roots, "key", "left").select("key", "doc", "times", F.coalesce("root", "key").alias("root"))
     held = scratch.save(named)
     best = held.groupBy("root").agg(F.min(F.struct("doc", "key")).alias("best"))

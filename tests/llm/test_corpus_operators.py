@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from millrace.llm import near_duplicates as near_module
-from millrace.llm import repeats
+from millrace.llm import repeats, textops
 from millrace.llm.decontamination import decontaminate
 from millrace.llm.graph import components
 from millrace.llm.language_id import identify_languages, parse_table, phrase_counts
@@ -434,6 +434,27 @@ def test_near_duplicates_of_all_similarities(spark, monkeypatch):
     assert 3 < len(set(want)) < 70 and [group[i] for i in range(len(texts))] == [min(j for j, w in enumerate(want) if w == x) for x in want]
 
 
+def test_long_lists_of_near_copies_make_few_pairs():
+    """300 copies near an original and not each other in one list: likely pairs join it with one each, and the parities keep every similar pair."""
+    rng = np.random.default_rng(5)
+    original = set(rng.integers(0, 1 << 62, 500).tolist())
+    sets = [original, *({*sorted(original)[:-40], *rng.integers(0, 1 << 62, 40).tolist()} if k < 30 else original - set(rng.choice(sorted(original), 40, False).tolist()) | set(rng.integers(0, 1 << 62, 40).tolist()) for k in range(300))]
+    h = [np.array(sorted(x), np.uint64) for x in sets]
+    bits = np.zeros((len(sets), near_module.PARITIES), np.int64)
+    for row, x in zip(bits, h, strict=True):
+        np.add.at(row, (textops.mix(x) % np.uint64(near_module.PARITIES)).astype(np.int64), 1)
+    packed = np.packbits((bits & 1).astype(bool), axis=1)
+    m = len(sets)
+    columns = {"h": np.ones(m, np.int64), "key": np.arange(m)[::-1], "n": np.array([len(x) for x in sets], np.int32), "place": np.zeros(m, np.int32), "root": np.arange(m), "side": np.zeros(m, np.int32), "degree": np.array([9] + [3] * (m - 1))}
+    batch = pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns.values()), pa.array([x.tobytes() for x in packed])], names=[*columns, "bits"])
+    pairs = {tuple(sorted((m - 1 - u, m - 1 - v))) for b in near_module.forests(0.8)(iter([batch])) for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    assert pairs <= {(0, k) for k in range(1, m)} and len(pairs) > 280
+    similar = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    every = {tuple(sorted((m - 1 - u, m - 1 - v))) for b in near_module.pairs_between(0.8)(iter([batch])) for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    want = {(i, j) for i in range(m) for j in range(i + 1, m) if similar(sets[i], sets[j])}
+    assert want <= every and len(every) < m * (m - 1) // 4
+
+
 def near_groups(spark, texts):
     """Number of groups that near_duplicate_groups() makes of texts."""
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
