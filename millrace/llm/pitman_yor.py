@@ -19,17 +19,18 @@ word too, by a hash of the text, so that no pair of words is one task's.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textops as T
 from millrace.llm.bpe import distinct
-from millrace.llm.scratch import Scratch
+from millrace.llm.scratch import Scratch, release
 
 U = np.uint64
 #: Symbols: 0 is the end of a text, 1 the end of a word, 2 an escape for rare bytes, the others the most frequent bytes.
@@ -82,20 +83,22 @@ class Level:
         self.context, self.symbol = context, symbol
         self.c = customers.astype(np.int64)
         head = np.append(True, context[1:] != context[:-1]) if len(context) else np.zeros(0, bool)
-        self.rest = np.cumsum(head) - 1  # restaurant of each dish
-        self.n_rest = int(head.sum())
+        self.first = np.flatnonzero(head)  # of each restaurant
+        self.rest = (np.cumsum(head) - 1).astype(np.int32)  # restaurant of each dish
+        self.n_rest = len(self.first)
         self.t = np.minimum(self.c, np.ceil(self.c**self.d).astype(np.int64))  # as a seating grows
         self.sent = self.t.copy()  # tables that the parent has as customers
         self.up: np.ndarray | None = None
 
     def totals(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.bincount(self.rest, weights=x, minlength=self.n_rest) for x in (self.c, self.t))
+        return tuple(np.add.reduceat(x, self.first) if self.n_rest else np.zeros(0, np.int64) for x in (self.c, self.t))
 
     def predictive(self, parent: np.ndarray) -> np.ndarray:
         """Probability of each dish in its restaurant, given that of its symbol in the parent's."""
-        c, t = self.totals()
-        r = self.rest
-        return (self.c - self.d * self.t) / (self.theta + c[r]) + (self.theta + self.d * t[r]) / (self.theta + c[r]) * parent
+        c, _ = self.totals()
+        out = backoff(self)[self.rest] * parent
+        out += (self.c - self.d * self.t) / (self.theta + c)[self.rest]
+        return out
 
     def move(self, parent: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """Seat all customers of each dish again: draw its tables given its customers. Returns the change in tables of each dish.
@@ -104,23 +107,31 @@ class Level:
         customers it is near a Poisson law of t - 1, from which a proposal is drawn.
         """
         c, d = self.c, self.d
-        self.t = np.clip(self.t, np.minimum(c, 1), c)  # the customers may have changed
-        _, total = self.totals()
-        g = rng.gamma(self.theta / d + total)
-        gp = np.maximum(g[self.rest] * np.clip(parent, 1e-300, 1.0), 1e-300)
         out = np.minimum(c, 1)
-        wide, log_s = 2, stirling_table(d)
-        while wide <= EXACT:
-            few = np.flatnonzero((c > wide // 2) & (c <= wide))
+        many = np.flatnonzero(c > 1)  # one customer has one table
+        size, rest = c[many], self.rest[many]
+        self.t = np.clip(self.t, out, c)  # the customers may have changed
+        _, total = self.totals()
+        head = np.append(True, rest[1:] != rest[:-1])[: len(rest)]
+        g = rng.gamma(self.theta / d + total[rest[head]])  # of the restaurants that have choices
+        gp = np.maximum(g[np.cumsum(head) - 1] * np.clip(parent[many], 1e-300, 1.0), 1e-300)
+        two = np.flatnonzero(size == 2)
+        out[many[two]] += rng.random(len(two)) * (1 - d + d * gp[two]) < d * gp[two]
+        wide, log_s, most = 4, stirling_table(d), size.max(initial=0)
+        while wide <= EXACT and wide // 2 < most:
+            few = np.flatnonzero((size > wide // 2) & (size <= wide))
             for at in range(0, len(few), 1 << 14):
                 i = few[at : at + (1 << 14)]
-                weight = log_s[c[i], 1 : wide + 1] + np.log(d * gp[i])[:, None] * np.arange(1, wide + 1)
-                out[i] = 1 + np.argmax(weight + rng.gumbel(size=weight.shape), axis=1)
+                weight = log_s[size[i], 1 : wide + 1] + np.log(d * gp[i])[:, None] * np.arange(1, wide + 1)
+                weight = np.cumsum(np.exp(weight - weight.max(axis=1)[:, None]), axis=1)
+                t = (weight <= (rng.random(len(i)) * weight[:, -1])[:, None]).sum(axis=1)
+                out[many[i]] = np.minimum(1 + t, size[i])
             wide *= 2
-        i = np.flatnonzero(c > EXACT)
-        if len(i):
+        large = np.flatnonzero(size > EXACT)
+        if len(large):
+            i = many[large]
             lone = lambda t: np.interp(np.log(c[i] / t), *leave_rates(d))
-            t, few = np.maximum(self.t[i], 1), gp[i]
+            t, few = np.maximum(self.t[i], 1), gp[large]
             mean = few / lone(t)
             new = np.minimum(1 + rng.poisson(np.minimum(mean, 1e15)), c[i])
             back = few / lone(new)
@@ -163,16 +174,14 @@ def sample(levels: list[Level], root: np.ndarray, sweeps: int, burn_in: int, see
     """
     rng = np.random.default_rng(seed)
 
-    def predictives() -> list[np.ndarray]:
-        parent, out = root[levels[0].symbol], []
-        for i, level in enumerate(levels):
-            out.append(level.predictive(parent))
-            if i + 1 < len(levels):
-                parent = out[-1][levels[i + 1].up]
+    def predictives(some: list[Level]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for level in some:
+            out.append(level.predictive(out[-1][level.up] if out else root[level.symbol]))
         return out
 
     for sweep in range(sweeps):
-        above = predictives()
+        above = predictives(levels[:-1])
         for i in range(len(levels) - 1, -1, -1):
             level = levels[i]
             change = level.move(above[i - 1][level.up] if i else root[level.symbol], rng)
@@ -181,7 +190,7 @@ def sample(levels: list[Level], root: np.ndarray, sweeps: int, burn_in: int, see
                 up.c = up.c + np.bincount(level.up, weights=change, minlength=len(up.c)).astype(np.int64)
             level.draw_strength(rng)
         if sweep >= burn_in:
-            yield sweep, predictives()
+            yield sweep, predictives(levels)
 
 
 def backoff(level: Level) -> np.ndarray:
@@ -370,7 +379,9 @@ def root_predictive(customers: np.ndarray, sweeps: int, burn_in: int) -> np.ndar
 
 
 #: Bytes of text whose requests are sent together.
-CHUNK = 8 << 20
+CHUNK = 12 << 20
+#: Sums of log10 P are sent in units of 1 / FINE, so that they do not depend on the order in which they are added up.
+FINE = 2.0**40
 
 
 class Divider:
@@ -389,18 +400,47 @@ class Divider:
 
     def contexts(self, far: np.ndarray, near: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(near context, far one within it) as hashes; salt is a hash of the text."""
-        pieces = self.of(near).astype(np.uint64)
-        both = np.minimum(pieces, self.of(far).astype(np.uint64))
-        far = T.mix(far + T.mix(salt % both))  # salt % 1 is 0: only pairs of two hot words have copies
-        return T.mix(near + T.mix(T.mix(far) % pieces) * U(3)), far
+        pieces, far, near = self.of(near), far.copy(), near.copy()
+        hot = np.flatnonzero(pieces > 1)
+        own = pieces[hot].astype(np.uint64)
+        both = np.minimum(own, self.of(far[hot]).astype(np.uint64))
+        far[hot] += T.mix(salt[hot] % both)  # only pairs of two hot words have copies
+        far = T.mix(far)
+        near[hot] += T.mix(T.mix(far[hot]) % own) * U(3)
+        return T.mix(near), far
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """As textops.pack(), with the first bytes of an array's numbers by themselves, then the second bytes: those that are alike pack well."""
+    press, heads, frames = zstandard.ZstdCompressor(level=1), [], []
+    for a in arrays:
+        own = [press.compress(x) for x in np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.dtype.itemsize).T)]
+        heads.append(" ".join([a.dtype.str, *(str(len(x)) for x in own)]))
+        frames += own
+    return b"".join([";".join(heads).encode(), b"\n", *frames])
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    press, at, out = zstandard.ZstdDecompressor(), data.index(b"\n") + 1, []
+    for head in data[: at - 1].decode().split(";"):
+        kind, *sizes = head.split()
+        own = []
+        for n in map(int, sizes):
+            own.append(np.frombuffer(press.decompress(data[at : at + n]), np.uint8))
+            at += n
+        out.append(np.stack(own, axis=1).view(kind).ravel())
+    return out
+
+
+def steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending.dtype.type(0))
 
 
-def requests(shared, documents: bool):
+def requests(shared):
     """Documents to packed rows: what the tokens of a chunk ask of each part, and the facts of its documents.
 
     A request holds words with log10 of their spelling; near contexts, the far ones of each, and the word and document of each token
-    in those, all in order; and which documents are held out. Without `documents`, it says of each token whether its document is,
-    and there are no facts. Contexts have names of 32 bits, near ones
+    in those, all in order; and which documents are held out. Contexts have names of 32 bits, near ones
     within a part and far ones within a near one: two that share a name are one restaurant, which is rare and harmless.
     """
 
@@ -411,11 +451,10 @@ def requests(shared, documents: bool):
                 name = (TaskContext.get().partitionId() << 32) + nth
                 nth += 1
                 ids, held = batch.column(0).slice(lo, hi - lo), np.asarray(batch.column(1).slice(lo, hi - lo)).astype(bool)
-                n_tokens, sent = m.ask(name, buf, offs, held, documents)
+                n_tokens, sent = m.ask(name, buf, offs, held)
                 rows = [(p, "ask", x) for p, x in sent]
-                if documents:
-                    facts = T.pack(np.array([name]), T.longs(ids, 0), np.asarray(ids.is_null()), held, n_tokens)
-                    rows.append((int(T.mix(np.array([name], np.uint64))[0] % U(m.parts)), "facts", facts))
+                facts = T.pack(np.array([name]), T.longs(ids, 0), np.asarray(ids.is_null()), held, n_tokens)
+                rows.append((int(T.mix(np.array([name], np.uint64))[0] % U(m.parts)), "facts", facts))
                 yield from _batches(rows)
 
     return run
@@ -431,7 +470,7 @@ class Asker:
         ctx, sym, first = spell(low, starts, ends, self.code, self.base)
         return np.add.reduceat(self.log_spell[ctx.astype(np.int64) * self.base + sym] + self.log_escape * (sym == ESCAPE), first[:-1], dtype=np.float64) if len(starts) else np.zeros(0)
 
-    def ask(self, name: int, buf: np.ndarray, offs: np.ndarray, held: np.ndarray, documents: bool = True) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    def ask(self, name: int, buf: np.ndarray, offs: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
         rows = len(offs) - 1
         starts, ends, first = T.word_bounds(buf, offs, T.IS_WORD)
         low = T.LOWER[buf]
@@ -440,7 +479,7 @@ class Asker:
         first_token = first + np.arange(rows + 1)
         token = np.full(len(words) + rows, END_WORD)
         token[np.arange(len(words)) + np.repeat(np.arange(rows), size)] = words
-        doc = np.repeat(np.arange(rows), size + 1)
+        doc = np.repeat(np.arange(rows, dtype=np.int32), size + 1)
         near, far = (np.full(len(token), START_WORD) for _ in range(2))
         near[1:], far[2:] = token[:-1], token[:-2]
         near[first_token[:-1]] = START_WORD
@@ -449,84 +488,105 @@ class Asker:
         far[second] = START_WORD
         salt = T.mix(np.add.reduceat(T.mix(token + U(1)), first_token[:-1]))
         near, far = self.divider.contexts(far, near, salt[doc])
-        key, word = np.unique(token, return_inverse=True)
-        logs = np.full(len(key), self.log_end)  # the end of a text is spelled by no byte
-        spelled, at = np.unique(words, return_index=True)
-        logs[np.searchsorted(key, spelled)] = self.spelling(low, starts[at], ends[at])
-        # tokens by part, which the leading bits of the near context name, and by context
-        part = ((near >> U(32)) * U(self.parts) >> U(32)).astype(np.int64)
+        part = ((near >> U(32)) * U(self.parts) >> U(32)).astype(np.int32)  # the leading bits of the near context name it
         pair = (near << U(32)) | (far & U(0xFFFFFFFF))
+        del near, far, salt
+        key, word = grouped(token)
+        logs = np.full(len(key), self.log_end, np.float32)  # the end of a text is spelled by no byte
+        at = np.empty(len(key), np.int64)
+        at[word] = np.arange(len(token)) - doc  # a place of each word, if it is one
+        spelled = np.ones(len(key), bool)
+        spelled[word[first_token[1:] - 1]] = False
+        logs[spelled] = self.spelling(low, starts[at[spelled]], ends[at[spelled]])
+        # tokens by part and by context
         o = np.argsort(pair)
         o = o[np.argsort(part[o].astype(np.uint16 if self.parts < 65536 else np.uint32), kind="stable")]
         pair, word, doc, part = pair[o], word[o], doc[o], part[o]
-        who = np.packbits(held) if documents else None
+        del o, token, words
+        here, w_at = grouped(part.astype(np.int64) * len(key) + word)  # the words of each part
+        who = np.packbits(held)
         sent = []
         cuts = np.searchsorted(part, np.arange(self.parts + 1))
+        word_cuts = np.searchsorted(here, np.arange(self.parts + 1) * len(key))
         for p in np.flatnonzero(np.diff(cuts)).tolist():
             i = slice(cuts[p], cuts[p + 1])
-            w, w_at = np.unique(word[i], return_inverse=True)
+            w = here[word_cuts[p] : word_cuts[p + 1]] % len(key)
             own = pair[i]
             heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            n, per_near = np.unique(own[heads] >> U(32), return_counts=True)
-            per_pair = np.diff(np.append(heads, len(own)))
-            small = [x.astype(np.uint16 if x.max(initial=0) < 65536 else np.uint32) for x in (per_near, per_pair, w_at, *([doc[i]] if documents else []))]
-            data = T.pack(np.array([name]), key[w], logs[w].astype(np.float32), n.astype(np.uint32), own[heads].astype(np.uint32), *small, who if documents else np.packbits(held[doc[i]]))
-            sent.append((p, data))
+            far = own[heads]
+            near = (far >> U(32)).astype(np.uint32)
+            new = np.flatnonzero(np.append(True, near[1:] != near[:-1]))
+            small = (np.diff(x, append=n) for x, n in ((new, len(near)), (heads, len(own))))
+            small = [x.astype(np.uint32) for x in (*small, w_at[i] - word_cuts[p], doc[i])]
+            sent.append((p, pack(np.array([name]), steps(key[w]), logs[w], steps(near[new]), far.astype(np.uint32), *small, who)))
         return size + 1, sent
 
 
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the place of each key among them, as np.unique has them, in half the memory."""
+    o = np.argsort(key)
+    own = key[o]
+    head = np.append(True, own[1:] != own[:-1])[: len(own)]
+    own, at = own[head], np.empty(len(key), np.int32)
+    at[o] = np.cumsum(head, dtype=np.int32) - np.int32(1)
+    return own, at
+
+
 class Subtrees:
     """The restaurants of a part, from its requests: of near contexts, and of far ones within them."""
 
-    def __init__(self, blobs: list[bytes]):
-        self.asked = []
-        words, logs, nears, fars, places = [], [], [], [], []
+    def __init__(self, blobs: Iterable[bytes]):
+        self.asked, trained = [], []
+        words, logs, pairs, many, places = [], [], [], [], []
         for data in blobs:
-            (name,), w, log, n, f, per_near, per_pair, w_at, *doc, held = T.unpack(data)
-            held = np.unpackbits(held)[: None if doc else len(w_at)]
-            self.asked.append((int(name), doc[0] if doc else None, (held[doc[0]] if doc else held) == 0))
-            words.append(w)
+            (name,), w, log, n, far, per_near, per_pair, w_at, doc, who = unpack(data)
+            self.asked.append((int(name), doc))
+            trained.append(np.unpackbits(who)[doc] == 0)
+            words.append(np.cumsum(w))
             logs.append(log)
-            nears.append(np.repeat(np.repeat(n, per_near), per_pair))
-            fars.append(np.repeat(f, per_pair))
+            pairs.append(np.repeat(np.cumsum(n, dtype=np.uint64) << U(32), per_near) | far)
+            many.append(per_pair)
             places.append(w_at)
+        self.ends = np.cumsum([0, *(len(x) for x in places)])
         self.words, at = np.unique(np.concatenate(words), return_index=True)
         self.logs = np.concatenate(logs)[at].astype(np.float64)
-        word = np.concatenate([np.searchsorted(self.words, w)[i] for w, i in zip(words, places, strict=True)])
-        count = np.concatenate([x[2] for x in self.asked])
-        self.ends = np.cumsum([0, *(len(x[2]) for x in self.asked)])
-        pair = (np.concatenate(nears).astype(np.uint64) << U(32)) | np.concatenate(fars)
-        near = np.unique(np.concatenate(nears), return_inverse=True)[1]
-        pair = np.unique(pair, return_inverse=True)[1]  # sorted by near first
         wide = len(self.words)
-        leaf, self.leaf_of = np.unique(pair * wide + word, return_inverse=True)  # every triple asked for, trained on or not
-        total = np.bincount(self.leaf_of, weights=count, minlength=len(leaf)).astype(np.int64)
-        near_of = np.zeros(len(leaf), np.int64)
-        near_of[self.leaf_of] = near
-        mid, mid_of = np.unique(near_of * wide + leaf % wide, return_inverse=True)
+        pair, key = grouped(np.concatenate(pairs))  # sorted by near first
+        near = np.append(0, np.cumsum(np.diff(pair >> U(32)) > 0)).astype(np.int32)  # of each pair
+        del pairs, pair, at
+        key = np.repeat(key.astype(np.int64), np.concatenate(many)) * wide
+        for i, (w, x) in enumerate(zip(words, places, strict=True)):
+            key[self.ends[i] : self.ends[i + 1]] += np.searchsorted(self.words, w)[x]
+        del words, logs, many, places
+        leaf, self.leaf_of = grouped(key)  # every triple asked for, trained on or not
+        del key
+        total = np.bincount(self.leaf_of[np.concatenate(trained)], minlength=len(leaf))
+        # of each triple asked for
+        self.word, far_of = (leaf % wide).astype(np.int32), (leaf // wide).astype(np.int32)
+        del leaf, trained
+        near_of = near[far_of]
+        mid, mid_of = grouped(near_of.astype(np.int64) * wide + self.word)
         some = np.flatnonzero(total)
-        self.leaf = Level(discount_of(total[some]), 1.0, leaf[some] // wide, leaf[some] % wide, total[some])
+        self.leaf = Level(discount_of(total[some]), 1.0, far_of[some], self.word[some], total[some])
         tables = np.bincount(mid_of[some], weights=self.leaf.t, minlength=len(mid)).astype(np.int64)
         kept = np.flatnonzero(tables)
-        dish = np.full(len(mid), -1)
+        dish = np.full(len(mid), -1, np.int32)
         dish[kept] = np.arange(len(kept))
-        self.mid = Level(discount_of(tables[kept]), 1.0, mid[kept] // wide, mid[kept] % wide, tables[kept])
-        self.leaf.up = dish[mid_of[some]]
-        # of each triple asked for: its dish and restaurant in either level, or -1, and its word
-        self.word = leaf % wide
-        self.mid_dish = dish[mid_of]
-        self.leaf_dish = np.full(len(leaf), -1)
-        self.leaf_dish[some] = np.arange(len(some))
-        self.leaf_rest = self._restaurants(self.leaf, leaf // wide)
-        self.mid_rest = self._restaurants(self.mid, near_of)
+        self.mid = Level(discount_of(tables[kept]), 1.0, (mid[kept] // wide).astype(np.int32), (mid[kept] % wide).astype(np.int32), tables[kept])
+        up = dish[mid_of]
+        self.leaf.up, self.some = up[some], some
+        # of the triples that were not trained on: their dish in the middle and their restaurants, or -1
+        self.others = np.flatnonzero(total == 0)
+        self.mid_dish = up[self.others]
+        self.leaf_rest = self._restaurants(self.leaf, far_of[self.others])
+        self.mid_rest = self._restaurants(self.mid, near_of[self.others])
 
     @staticmethod
     def _restaurants(level: Level, context: np.ndarray) -> np.ndarray:
-        have = level.context[np.append(True, level.context[1:] != level.context[:-1])] if len(level.context) else level.context
-        if not len(have):
-            return np.full(len(context), -1)
-        at = np.minimum(np.searchsorted(have, context), len(have) - 1)
-        return np.where(have[at] == context, at, -1)
+        own = level.context[level.first]
+        have = np.full(int(max(own.max(initial=-1), context.max(initial=-1))) + 1, -1, np.int32)
+        have[own] = np.arange(level.n_rest)
+        return have[context]
 
     def tables(self, root: np.ndarray, sweeps: int, seed: int) -> np.ndarray:
         """Tables of each word in the near contexts' restaurants, customers of the root, after some sweeps."""
@@ -537,16 +597,18 @@ class Subtrees:
     def log_probabilities(self, log_root: np.ndarray, sweeps: int, burn_in: int, seed: int) -> np.ndarray:
         """log10 of the averaged predictive probability of each triple asked for. log_root: log10 P of each word in the root."""
         root = np.power(10.0, np.maximum(log_root, -300.0))
-        share, seen = np.zeros(len(self.word)), np.zeros(len(self.word))
+        trained, seen, share = np.zeros(len(self.some)), np.zeros(len(self.others)), np.zeros(len(self.others))
+        pad = lambda x: np.append(x, 1.0)
         for _, (mid, leaf) in sample([self.mid, self.leaf], root, sweeps, burn_in, seed):
-            pad = lambda x: np.append(x, 1.0)
+            trained += leaf
             low, high = pad(backoff(self.leaf))[self.leaf_rest], pad(backoff(self.mid))[self.mid_rest]
-            below = np.where(self.mid_dish >= 0, pad(mid)[self.mid_dish], 0.0)
-            seen += np.where(self.leaf_dish >= 0, pad(leaf)[self.leaf_dish], low * below)
-            share += np.where((self.leaf_dish < 0) & (self.mid_dish < 0), low * high, 0.0)  # of the root's probability
-        n = max(sweeps - burn_in, 1)
+            seen += low * np.where(self.mid_dish >= 0, pad(mid)[self.mid_dish], 0.0)
+            share += np.where(self.mid_dish < 0, low * high, 0.0)  # of the root's probability
+        n, out = max(sweeps - burn_in, 1), np.empty(len(self.word))
         with np.errstate(divide="ignore"):
-            return np.where(seen > 0, np.log10(seen / n), np.log10(share / n) + log_root[self.word])
+            out[self.some] = np.log10(trained / n)
+            out[self.others] = np.where(seen > 0, np.log10(seen / n), np.log10(share / n) + log_root[self.word[self.others]])
+        return out
 
 
 def part_rows(it: Iterator[pa.RecordBatch]) -> dict[int, dict[str, list[bytes]]]:
@@ -558,86 +620,112 @@ def part_rows(it: Iterator[pa.RecordBatch]) -> dict[int, dict[str, list[bytes]]]
     return out
 
 
+def _table(rows: list[tuple[int, str, bytes]]) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows)])
+
+
+def _of_kind(rows: pa.Table, kind: str) -> Iterator[bytes]:
+    """The packed rows of a kind, one at a time."""
+    for k, x in zip(rows.column("kind"), rows.column("data"), strict=True):
+        if k.as_py() == kind:
+            yield x.as_py()
+
+
 def first_tables(parts: int, sweeps: int):
-    """Requests of parts to packed (words, spelling, tables) by the words' part, from sweeps under a root of spelling and counts."""
+    """Requests of a part to packed (words, spelling, tables) by the words' part, from sweeps under a root of spelling and counts."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        (part, *_), kinds = rows.column("part").slice(0, 1).to_pylist(), rows.column("kind").unique().to_pylist()
+        if "ask" not in kinds:
+            return _table([])
+        own = Subtrees(_of_kind(rows, "ask"))
+        near = np.bincount(own.mid.symbol, minlength=len(own.words)) + np.power(10.0, np.maximum(own.logs, -300.0))
+        tables = own.tables(near / near.sum(), sweeps, part)
+        words, logs = own.words, own.logs.astype(np.float32)
+        cuts = np.searchsorted((words >> U(32)) * U(parts) >> U(32), np.arange(parts + 1))
+        out = []
+        for p in np.flatnonzero(np.diff(cuts)).tolist():
+            i = slice(cuts[p], cuts[p + 1])
+            out.append((p, "root", pack(np.array([part]), steps(words[i]), logs[i], tables[i].astype(np.uint32))))
+        del own
+        T.hand_back()
+        return _table(out)
+
+    return run
+
+
+def root_words(parts: int):
+    """Counts and tables of a part of the words to what each part needs: its share of them in order, as customers, tables, and
+    occurrences; and of the whole share, to all, the discount, customers and tables."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, kinds in part_rows(it).items():
-            if "ask" not in kinds:
+            if "root" not in kinds:
                 continue
-            own = Subtrees(sorted(kinds.pop("ask")))
-            near = np.bincount(own.mid.symbol, minlength=len(own.words)) + np.power(10.0, np.maximum(own.logs, -300.0))
-            tables = own.tables(near / near.sum(), sweeps, part)
-            where = ((own.words >> U(32)) * U(parts) >> U(32)).astype(np.int64)
-            cuts = np.searchsorted(where, np.arange(parts + 1))
-            rows = []
-            for p in np.flatnonzero(np.diff(cuts)).tolist():
-                i = slice(cuts[p], cuts[p + 1])
-                rows.append((p, "root", T.pack(np.array([part]), own.words[i], own.logs[i].astype(np.float32), tables[i])))
-            yield from _batches(rows)
+            blobs = [unpack(x) for x in sorted(kinds.pop("root"))]
+            own = [np.cumsum(x[1]) for x in blobs]
+            words, at = np.unique(np.concatenate(own), return_inverse=True)
+            c = np.bincount(at, weights=np.concatenate([x[3] for x in blobs]), minlength=len(words)).astype(np.int64)
+            logs = np.zeros(len(words))
+            logs[at] = np.concatenate([x[2] for x in blobs])
+            level = Level(discount_of(c), 1.0, np.zeros(len(words), np.int64), np.arange(len(words)), c)
+            rng = np.random.default_rng(part)
+            for _ in range(3):
+                level.move(np.power(10.0, np.maximum(logs, -300.0)), rng)
+            n = np.zeros(len(words), np.int64)
+            if "word" in kinds:
+                key, count = T.unpack_all(kinds.pop("word"))
+                o = np.argsort(key)
+                key, count = key[o], count[o]
+                i = np.minimum(np.searchsorted(key, words), len(key) - 1)
+                n = np.where(key[i] == words, count[i], 0)
+            whole, none, place, answers = np.array([level.d, c.sum(), level.t.sum()], float), np.zeros(0, np.int64), 0, {}
+            for x, w in zip(blobs, own, strict=True):
+                answers[int(x[0][0])] = at[place : place + len(w)]
+                place += len(w)
+            for p in range(parts):
+                i = answers.get(p, none)
+                yield _batch([(p, "known", pack(np.array([part]), whole, c[i], level.t[i], n[i]))])
 
     return run
 
 
-def root_words(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts and tables of a part of the words to what each asking part needs: words, c - d t, occurrences; and (c, d t) in all."""
-    for part, kinds in part_rows(it).items():
-        if "root" not in kinds:
-            continue
-        blobs = [T.unpack(x) for x in sorted(kinds.pop("root"))]
-        words, at = np.unique(np.concatenate([x[1] for x in blobs]), return_inverse=True)
-        c = np.bincount(at, weights=np.concatenate([x[3] for x in blobs]), minlength=len(words)).astype(np.int64)
-        logs = np.zeros(len(words))
-        logs[at] = np.concatenate([x[2] for x in blobs])
-        level = Level(discount_of(c), 1.0, np.zeros(len(words), np.int64), np.arange(len(words)), c)
-        rng = np.random.default_rng(part)
-        for _ in range(3):
-            level.move(np.power(10.0, np.maximum(logs, -300.0)), rng)
-        n = np.zeros(len(words), np.int64)
-        if "word" in kinds:
-            key, count = T.unpack_all(kinds.pop("word"))
-            o = np.argsort(key)
-            key, count = key[o], count[o]
-            i = np.minimum(np.searchsorted(key, words), len(key) - 1)
-            n = np.where(key[i] == words, count[i], 0)
-        rest = c - level.d * level.t
-        rows, place = [(part, "total", T.pack(np.array([c.sum(), level.d * level.t.sum()], float)))], 0
-        for x in blobs:
-            i = at[place : place + len(x[1])]
-            place += len(x[1])
-            rows.append((int(x[0][0]), "known", T.pack(words[i], rest[i], n[i])))
-        yield from _batches(rows)
-
-
 def answers(shared):
-    """Requests of parts and what the root says of their words to sums (known tokens, base score, score), a packed row for each chunk; facts as they are."""
+    """Requests of a part and what the root says of its words to sums (known tokens, base score, score), a packed row for each chunk; facts as they are."""
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
         m = shared.value
-        for part, kinds in part_rows(it).items():
-            for x in kinds.pop("facts", []):
-                yield pa.RecordBatch.from_arrays([pa.array([int(T.unpack(x)[0][0])]), pa.array([x], pa.binary()), pa.array([True])], names=["batch", "data", "facts"])
-            if "ask" not in kinds:
-                continue
-            own = Subtrees(sorted(kinds.pop("ask")))
-            words, rest, n = T.unpack_all(kinds.pop("known"))
-            o = np.argsort(words)
-            rest, n = rest[o], n[o]  # the words are those that were asked for
-            if END_WORD in own.words:
-                n[np.searchsorted(own.words, END_WORD)] = m["ends"]
-            mass = m["theta"] + m["tables"]
-            spelled = np.log10(mass) + own.logs
+        names, out = [], []
+        for x in _of_kind(rows, "facts"):
+            names.append(int(T.unpack(x)[0][0]))
+            out.append(x)
+        facts = len(out)
+        if rows.num_rows > facts:
+            (part,) = rows.column("part").slice(0, 1).to_pylist()
+            own = Subtrees(_of_kind(rows, "ask"))
+            # the parts of the words in order, and so the words themselves
+            said = sorted((unpack(x) for x in _of_kind(known, "known")), key=lambda x: int(x[0][0]))
+            rest, n = np.concatenate([c - whole[0] * t for _, whole, c, t, _ in said]), np.concatenate([x[4] for x in said])
+            customers, tables = sum(x[1][1] for x in said), sum(x[1][0] * x[1][2] for x in said)
+            at = np.searchsorted(own.words, END_WORD)
+            if at < len(own.words) and own.words[at] == END_WORD:
+                n[at] = m["ends"]
+            spelled = np.log10(m["theta"] + tables) + own.logs
             with np.errstate(divide="ignore"):
-                log_root = np.where(rest > 0, np.log10(rest + np.power(10.0, np.maximum(spelled, -300.0))), spelled) - np.log10(m["theta"] + m["customers"])
-            p = own.log_probabilities(log_root, m["sweeps"], m["burn_in"], part)[own.leaf_of]
-            word = own.word[own.leaf_of]
-            known, base = (n > 0).astype(float)[word], (np.log10(n + 0.1) - m["denominator"])[word]
-            for k, (name, doc, _) in enumerate(own.asked):
-                i = slice(own.ends[k], own.ends[k + 1])
+                log_root = np.where(rest > 0, np.log10(rest + np.power(10.0, np.maximum(spelled, -300.0))), spelled) - np.log10(m["theta"] + customers)
+            p = own.log_probabilities(log_root, m["sweeps"], m["burn_in"], part)
+            base = np.log10(n + 0.1) - m["denominator"]
+            for k, (name, doc) in enumerate(own.asked):
+                leaf = own.leaf_of[own.ends[k] : own.ends[k + 1]]
+                word = own.word[leaf]
                 many = np.bincount(doc)
-                rows = np.flatnonzero(many)
-                sums = [np.bincount(doc, weights=x[i])[rows] for x in (known, base, p)]
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([T.pack(rows, sums[0].astype(np.int64), sums[1], sums[2])], pa.binary()), pa.array([False])], names=["batch", "data", "facts"])
+                some = np.flatnonzero(many)
+                sums = [np.bincount(doc, weights=x)[some] for x in (n[word] > 0, base[word], p[leaf])]
+                names.append(name)
+                out.append(pack(steps(some.astype(np.uint32)), sums[0].astype(np.uint32), *(np.rint(x * FINE).astype(np.int64) for x in sums[1:])))
+            del own
+            T.hand_back()
+        return pa.table({"batch": pa.array(names, pa.int64()), "data": pa.array(out, pa.binary()), "facts": pa.array(np.arange(len(out)) < facts)})
 
     return run
 
@@ -657,9 +745,12 @@ def sum_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held.setdefault(name, []).append(data)
     for name, data in facts.items():
         _, ids, null, held_out, n_tokens = T.unpack(data)
-        doc, *values = T.unpack_all(sorted(held.pop(name)))  # every document has a token
-        known, base, score = (np.bincount(doc, weights=v, minlength=len(ids)) for v in values)
-        columns = [pa.array(ids, pa.int64(), mask=null), pa.array(held_out), pa.array(n_tokens), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)]
+        known, base, score = (np.zeros(len(ids), np.int64) for _ in range(3))
+        for doc, *values in map(unpack, held.pop(name)):  # every document has a token
+            doc = np.cumsum(doc)
+            for total, x in zip((known, base, score), values, strict=True):
+                total[doc] += x
+        columns = [pa.array(ids, pa.int64(), mask=null), pa.array(held_out), pa.array(n_tokens), pa.array(known), pa.array(base / FINE), pa.array(score / FINE)]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
 
@@ -721,19 +812,16 @@ def score_texts(docs: DataFrame, held_out, part_bytes: int = 12 << 20, alphabet:
     shared.destroy()
 
     shared = spark.sparkContext.broadcast(asker)
-    texts = source.select("doc_id", "held_out", "text")
-    counts = texts.mapInArrow(T.lean(requests(shared, documents=False)), ROWS_DDL)
-    tables = scratch.save(counts.repartitionById(parts, F.col("part")).mapInArrow(T.lean(first_tables(parts, sweeps)), ROWS_DDL))
+    release(spark)  # the shuffles of the counts and words
+    # every token is sent once: the two rounds of sweeps read the same exchange
+    asks = source.select("doc_id", "held_out", "text").mapInArrow(T.lean(requests(shared)), ROWS_DDL).repartition(2 * parts, "part")
+    tables = asks.groupBy("part").applyInArrow(first_tables(parts, sweeps), ROWS_DDL)
     words = counted.where("kind = 'word'").unionByName(tables).repartitionById(parts, F.col("part"))
-    roots = scratch.save(words.mapInArrow(T.lean(root_words), ROWS_DDL))
-    totals = np.zeros(2)
-    for r in roots.where("kind = 'total'").select("data").toLocalIterator():  # a row per part
-        totals += T.unpack(r.data)[0]
+    known = words.mapInArrow(T.lean(root_words(parts)), ROWS_DDL).repartition(2 * parts, "part")
     denominator = float(np.log10(train_tokens + 0.1 * (types + (ends > 0) + 1)))
-    model = {"ends": ends, "theta": 1.0, "customers": totals[0], "tables": totals[1], "sweeps": sweeps, "burn_in": burn_in, "denominator": denominator}
-    asks = texts.mapInArrow(T.lean(requests(shared, documents=True)), ROWS_DDL)
-    both = asks.unionByName(roots.where("kind = 'known'")).repartitionById(parts, F.col("part"))
-    sums_of = both.mapInArrow(T.lean(answers(spark.sparkContext.broadcast(model))), "batch long, data binary, facts boolean").repartition(F.col("batch"))
+    model = {"ends": ends, "theta": 1.0, "sweeps": sweeps, "burn_in": burn_in, "denominator": denominator}
+    both = asks.groupBy("part").cogroup(known.groupBy("part"))
+    sums_of = both.applyInArrow(answers(spark.sparkContext.broadcast(model)), "batch long, data binary, facts boolean").repartition(F.col("batch"))
     out = sums_of.mapInArrow(T.lean(sum_batches), SCORED)
     return out.withColumns({"train_tokens": F.lit(train_tokens).cast("long"), "perplexity": F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))})
 

@@ -21,7 +21,7 @@ from millrace.llm.graph import components
 from millrace.llm.language_id import identify_languages, parse_table, phrase_counts
 from millrace.llm.near_duplicates import dedup_near, near_duplicate_groups
 from millrace.llm.packing import best_fit_packing, pack
-from millrace.llm.pitman_yor import DISCOUNT, STRENGTH, Level, backoff, sample, score_texts
+from millrace.llm.pitman_yor import DISCOUNT, STRENGTH, Level, backoff, pack, sample, score_texts, unpack
 from millrace.llm.quality_rules import NAMES, quality_rules
 from millrace.llm.scratch import Scratch
 from millrace.llm.sharding import balanced_shards
@@ -224,6 +224,21 @@ def test_scores_do_not_depend_on_how_texts_lie(docs, part_bytes):
         assert [x[:3] for x in other] == [x[:3] for x in first] and np.allclose([x[3:] for x in other], [x[3:] for x in first], rtol=0, atol=1e-9)
 
 
+def test_tokens_are_sent_once(docs):
+    """Both rounds of sweeps read the same exchange of requests."""
+    out = score_texts(docs, held(), part_bytes=1 << 14)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange [part" in plan
+
+
+def test_packed_numbers():
+    """Of any width, and none."""
+    arrays = [np.array([3, 1 << 60, 5], np.uint64), np.zeros(0, np.int64), np.array([-2, 7]), np.arange(300, dtype=np.uint32), np.array([0.5, -1.25], np.float32), np.array([9], np.uint8)]
+    back = unpack(pack(*arrays))
+    assert [x.dtype for x in back] == [x.dtype for x in arrays] and all((x == y).all() for x, y in zip(arrays, back, strict=True))
+
+
 @pytest.mark.parametrize("customers", [100, 1000, 3000])
 @pytest.mark.parametrize("p", [0.02, 0.5])
 def test_tables_of_many_customers(customers, p):
