@@ -162,6 +162,7 @@ def keyword_finder(spark: SparkSession, keywords: list[str], whole_words: bool)
 
 #: Classes that characters are counted in, bits of the filter before the index, characters of a slice, and verdicts that are kept.
 KINDS, BITS, SLICE, KEPT = 32, 20, 1 << 20, 1 << 17
+NONE = np.uint32(0xFFFFFFFF)  # no character
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -210,7 +211,8 @@ class PhraseIndex:
     and every run of that number of words and length meets it.
 
     keys: hashes of (words, length, place, gram), sorted; ids: their phrases; bits: a filter of the keys; probes: by number of words, of
-    (size, length) the places to look up; least: m by phrase and length, or -1; counts: characters of each phrase by class.
+    (size, length) the places to look up; least: m by phrase and length, or -1; counts: characters of each phrase by class; letters:
+    characters of each phrase, and then none.
     """
 
     phrases: list[str]
@@ -221,6 +223,7 @@ class PhraseIndex:
     probes: dict[int, dict[tuple[int, int], list[int]]]
     least: np.ndarray
     counts: np.ndarray
+    letters: np.ndarray
 
 
 def index_phrases(phrases: list[str], slack: float) -> PhraseIndex:
@@ -251,13 +254,39 @@ def index_phrases(phrases: list[str], slack: float) -> PhraseIndex:
 
     by_size = {n: {x: sorted(places) for x, places in own.items()} for n, own in probes.items()}
     counts = np.stack([np.bincount(_codes(w) % KINDS, minlength=KINDS) for w in phrases])
-    return PhraseIndex(phrases, np.array([(len(w) - slack) / len(w) for w in phrases]), key[order], np.array(ids, np.int64)[order], bits, by_size, least, counts)
+    letters = np.full((len(phrases), max(map(len, phrases))), NONE, np.uint32)
+    for k, w in enumerate(phrases):
+        letters[k, : len(w)] = _codes(w)
+    return PhraseIndex(phrases, np.array([(len(w) - slack) / len(w) for w in phrases]), key[order], np.array(ids, np.int64)[order], bits, by_size, least, counts, letters)
+
+
+def in_order(index: PhraseIndex, codes: np.ndarray, start: np.ndarray, length: np.ndarray, phrase: np.ndarray) -> np.ndarray:
+    """Whether each run has as many characters in common with its phrase, in order, as it needs: difflib never finds more.
+
+    A table of longest common subsequences, row by row for all pairs at once, in the band that the characters left over allow.
+    """
+    need, out = index.least[phrase, length], np.zeros(len(start), bool)
+    sizes = (index.letters != NONE).sum(1)[phrase]
+    for lo in range(0, len(start), 1 << 12):
+        i = slice(lo, lo + (1 << 12))
+        wide, high = int((np.maximum(length[i], sizes[i]) - need[i]).max()), int(length[i].max())
+        row = np.zeros((2 * wide + 2, len(start[i])), np.int32)  # by place in the phrase less place in the run, and one more
+        for a in range(high):
+            own = np.where(a < length[i], codes[np.minimum(start[i] + a, len(codes) - 1)], NONE - 1)
+            for d in range(2 * wide + 1):
+                if 0 <= (b := a + d - wide) < index.letters.shape[1]:
+                    row[d] += own == index.letters[phrase[i], b]
+                np.maximum(row[d], row[d + 1], out=row[d])
+                if d:
+                    np.maximum(row[d], row[d - 1], out=row[d])
+        out[i] = row.max(axis=0) >= need[i]
+    return out
 
 
 def candidates(index: PhraseIndex, codes: np.ndarray, offs: np.ndarray) -> list[tuple[np.ndarray, ...]]:
     """(text, start, length, phrase) of all runs of words that may be near a phrase of as many words, of texts codes[offs[i] : offs[i + 1]].
 
-    None that is near is left out: a candidate has a gram of the phrase at its place, and as many characters in common as it needs.
+    None that is near is left out: a candidate has a gram of the phrase at its place, and as many characters in common as it needs, in order too.
     """
     blank = np.flatnonzero(codes == 0x20)
     starts, ends = np.sort(np.concatenate((offs[:-1], blank + 1))), np.sort(np.concatenate((blank, offs[1:])))
@@ -298,6 +327,7 @@ def candidates(index: PhraseIndex, codes: np.ndarray, offs: np.ndarray) -> list[
             at = np.repeat(s - (np.cumsum(m) - m), m) + np.arange(m.sum())
             own = np.bincount(np.repeat(np.arange(len(s)), m) * KINDS + codes[at] % KINDS, minlength=len(s) * KINDS).reshape(-1, KINDS)
             ok = np.flatnonzero((np.minimum(own, index.counts[w]).sum(1) >= index.least[w, m]) & (index.least[w, m] >= 0))
+            ok = ok[in_order(index, codes, s[ok], m[ok], w[ok])]
             out.append((row[lo : lo + (1 << 16)][ok], s[ok], m[ok], w[ok]))
     return out
 

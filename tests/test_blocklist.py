@@ -100,3 +100,28 @@ def test_long_texts_and_slices(spark, monkeypatch):
     got = [r.k for r in spark.createDataFrame([(x,) for x in rows], "x string").coalesce(1).select(find(F.col("x")).alias("k")).collect()]
     assert got == [["badword"], ["badword"], [], [], [], ["badword"], ["a badword", "badword"]] * 3
     assert spark.createDataFrame([("x",)], "x string").select(blocklist.near_finder(spark, [], 1.0)(F.col("x")).alias("k")).first().k == []
+
+
+def test_pairs_are_ruled_out_by_characters_in_order():
+    """As a plain table of longest common subsequences does; what is ruled out is not near."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcd"), rng.integers(6, 14)))
+    phrases = sorted({word() for _ in range(60)})
+    index = blocklist.index_phrases(phrases, 1.0)
+    runs = [word() for _ in range(200)]
+    text, starts = "".join(runs), np.cumsum([0, *map(len, runs)])[:-1]
+    pairs = [(i, k) for i, r in enumerate(runs) for k in range(len(phrases)) if len(r) < index.least.shape[1] and index.least[k, len(r)] >= 0]
+    run, phrase = np.array(pairs).T
+    got = blocklist.in_order(index, blocklist._codes(text), starts[run], np.array([len(runs[i]) for i in run]), phrase)
+    seen = set()
+    for (i, k), ok in zip(pairs, got.tolist(), strict=True):
+        a, b = runs[i], phrases[k]
+        row = [0] * (len(b) + 1)
+        for x in a:
+            old, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(old[j] + 1 if x == y else max(old[j + 1], row[-1]))
+        assert ok == (row[-1] >= index.least[k, len(a)])
+        assert ok or difflib.SequenceMatcher(None, a, b).ratio() < index.need[k]
+        seen.add(ok)
+    assert seen == {True, False}
