@@ -42,6 +42,8 @@ STRENGTH = (1.0, 1.0, 1.0, 1.0)
 START_WORD, END_WORD = U(0x5354415254), U(0x454E44)
 #: Largest count for which table counts are drawn by exact Stirling numbers; beyond, by their limit.
 EXACT = 128
+#: Restaurants of up to so many customers, or tables, draw the auxiliary variables of their strength together.
+ALIKE = 128
 
 
 @functools.cache
@@ -76,62 +78,113 @@ def discount_of(customers: np.ndarray) -> float:
 
 
 class Level:
-    """Restaurants of one context length. Dishes are sorted by restaurant; `up` is each dish's place in the parent level."""
+    """Restaurants of one context length. Dishes are sorted by restaurant; `up` is each dish's place in the parent level.
+
+    `many` are the dishes of several customers in the first seating. Only they ever choose: where a dish of the level below may come to have
+    two tables it has two in that seating, so any other dish keeps its one customer, and its one table, in every sweep. What
+    changes is kept for `many` and their restaurants, the `busy` ones.
+    """
 
     def __init__(self, discount: float, theta: float, context: np.ndarray, symbol: np.ndarray, customers: np.ndarray):
         self.d, self.theta = discount, theta
         self.context, self.symbol = context, symbol
-        self.c = customers.astype(np.int64)
-        head = np.append(True, context[1:] != context[:-1]) if len(context) else np.zeros(0, bool)
+        customers = customers.astype(np.int64)
+        head = _heads(context)
         self.first = np.flatnonzero(head)  # of each restaurant
         self.rest = (np.cumsum(head) - 1).astype(np.int32)  # restaurant of each dish
         self.n_rest = len(self.first)
-        self.t = np.minimum(self.c, np.ceil(self.c**self.d).astype(np.int64))  # as a seating grows
-        self.sent = self.t.copy()  # tables that the parent has as customers
+        self.few = np.minimum(customers, 1).astype(np.int8)
+        self.many = np.flatnonzero(customers > 1)
+        self.guests = customers[self.many]
+        self.seated = np.minimum(self.guests, np.ceil(self.guests**self.d).astype(np.int64))  # as a seating grows
+        self.sent = self.seated.copy()  # tables that the parent has as customers
         self.up: np.ndarray | None = None
+        self.least = np.add.reduceat(self.few, self.first, dtype=np.int64) if self.n_rest else np.zeros(0, np.int64)
+        rest = self.rest[self.many]
+        head = _heads(rest)
+        self.heads, self.group = np.flatnonzero(head), np.cumsum(head) - 1
+        self.busy = rest[self.heads]
+        quiet = np.ones(self.n_rest, bool)
+        quiet[self.busy] = False
+        quiet = self.least[quiet]  # customers and tables of the other restaurants
+        self.quiet, self.quiet_large = _histogram(quiet), quiet[quiet > ALIKE]
+
+    def _full(self, of_many: np.ndarray) -> np.ndarray:
+        out = self.few.astype(np.int64)
+        out[self.many] = of_many
+        return out
+
+    @property
+    def c(self) -> np.ndarray:
+        """Customers of each dish."""
+        return self._full(self.guests)
+
+    @property
+    def t(self) -> np.ndarray:
+        """Tables of each dish."""
+        return self._full(self.seated)
+
+    def busy_totals(self, of_many: np.ndarray) -> np.ndarray:
+        return self.least[self.busy] + (np.add.reduceat(of_many - 1, self.heads) if len(self.heads) else 0)
 
     def totals(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.add.reduceat(x, self.first) if self.n_rest else np.zeros(0, np.int64) for x in (self.c, self.t))
+        c, t = self.least.copy(), self.least.copy()
+        c[self.busy], t[self.busy] = self.busy_totals(self.guests), self.busy_totals(self.seated)
+        return c, t
 
     def predictive(self, parent: np.ndarray) -> np.ndarray:
         """Probability of each dish in its restaurant, given that of its symbol in the parent's."""
-        c, _ = self.totals()
-        out = backoff(self)[self.rest] * parent
-        out += (self.c - self.d * self.t) / (self.theta + c)[self.rest]
+        c, t = self.totals()
+        size, scale = np.diff(self.first, append=len(self.rest)), 1 / (self.theta + c)
+        out = np.repeat((self.theta + self.d * t) * scale, size)
+        out *= parent
+        own = np.repeat((1 - self.d) * scale, size)
+        own *= self.few
+        out += own
+        out[self.many] += (self.guests - 1 - self.d * (self.seated - 1)) * scale[self.rest[self.many]]
+        return out
+
+    def predictive_of_many(self, parent: np.ndarray) -> np.ndarray:
+        """The same for `many` only, given the parent's for these."""
+        c, t = self.busy_totals(self.guests), self.busy_totals(self.seated)
+        scale = 1 / (self.theta + c)
+        out = ((self.theta + self.d * t) * scale)[self.group] * parent
+        out += (self.guests - self.d * self.seated) * scale[self.group]
         return out
 
     def move(self, parent: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """Seat all customers of each dish again: draw its tables given its customers. Returns the change in tables of each dish.
+        """Seat all customers of `many` again: draw a dish's tables given its customers. Returns the change in tables of each.
 
         Given a gamma variable g of the restaurant's tables, the weight of t tables is the Stirling number times (d g p) ** t. Of many
-        customers it is near a Poisson law of t - 1, from which a proposal is drawn.
+        customers it is near a Poisson law of t - 1, from which a proposal is drawn. parent: p of the symbols of `many`.
         """
-        c, d = self.c, self.d
-        out = np.minimum(c, 1)
-        many = np.flatnonzero(c > 1)  # one customer has one table
-        size, rest = c[many], self.rest[many]
-        self.t = np.clip(self.t, out, c)  # the customers may have changed
-        _, total = self.totals()
-        head = np.append(True, rest[1:] != rest[:-1])[: len(rest)]
-        g = rng.gamma(self.theta / d + total[rest[head]])  # of the restaurants that have choices
-        gp = np.maximum(g[np.cumsum(head) - 1] * np.clip(parent[many], 1e-300, 1.0), 1e-300)
-        two = np.flatnonzero(size == 2)
-        out[many[two]] += rng.random(len(two)) * (1 - d + d * gp[two]) < d * gp[two]
-        wide, log_s, most = 4, stirling_table(d), size.max(initial=0)
+        c, d = self.guests, self.d
+        out = np.ones(len(c), np.int64)  # one customer has one table
+        seated = np.clip(self.seated, 1, c)  # the customers may have changed
+        g = rng.standard_gamma(self.theta / d + self.busy_totals(seated))
+        gp = g[self.group]
+        gp *= np.clip(parent, 1e-300, 1.0)
+        np.maximum(gp, 1e-300, out=gp)
+        two = np.flatnonzero(c == 2)
+        weight = d * gp[two]
+        out[two] += rng.random(len(two)) * (1 - d + weight) < weight
+        wide, log_s, more = 4, stirling_table(d), np.flatnonzero(c > 2)
+        size = c[more]
+        most = size.max(initial=0)
         while wide <= EXACT and wide // 2 < most:
-            few = np.flatnonzero((size > wide // 2) & (size <= wide))
+            few = more[(size > wide // 2) & (size <= wide)]
             for at in range(0, len(few), 1 << 14):
                 i = few[at : at + (1 << 14)]
-                weight = log_s[size[i], 1 : wide + 1] + np.log(d * gp[i])[:, None] * np.arange(1, wide + 1)
-                weight = np.cumsum(np.exp(weight - weight.max(axis=1)[:, None]), axis=1)
+                weight = log_s[c[i], 1 : wide + 1] + np.log(d * gp[i])[:, None] * np.arange(1, wide + 1)
+                weight -= weight.max(axis=1)[:, None]
+                weight = np.cumsum(np.exp(weight, out=weight), axis=1, out=weight)
                 t = (weight <= (rng.random(len(i)) * weight[:, -1])[:, None]).sum(axis=1)
-                out[many[i]] = np.minimum(1 + t, size[i])
+                out[i] = np.minimum(1 + t, c[i])
             wide *= 2
-        large = np.flatnonzero(size > EXACT)
-        if len(large):
-            i = many[large]
+        i = more[size > EXACT]
+        if len(i):
             lone = lambda t: np.interp(np.log(c[i] / t), *leave_rates(d))
-            t, few = np.maximum(self.t[i], 1), gp[large]
+            t, few = seated[i], gp[i]
             mean = few / lone(t)
             new = np.minimum(1 + rng.poisson(np.minimum(mean, 1e15)), c[i])
             back = few / lone(new)
@@ -139,19 +192,42 @@ class Level:
             drift = sum(w * np.log(lone(t + 0.5 + (new - t) * x)) for x, w in zip(*_NODES, strict=True)) * (new - t)
             gain = (new - t) * np.log(few) - drift - ((new - 1) * np.log(mean) - mean) + ((t - 1) * np.log(back) - back)
             out[i] = np.where(np.log(rng.random(len(i))) < gain, new, t)
-        change, self.t, self.sent = out - self.sent, out, out.copy()
+        change, self.seated, self.sent = out - self.sent, out, out.copy()
         return change
 
     def draw_strength(self, rng: np.random.Generator) -> None:
-        """Strength given the seating, of a gamma prior of mean 1, by the usual auxiliary beta and Bernoulli variables."""
-        c, t = self.totals()
-        logs = np.log(rng.beta(self.theta + 1, c[c > 1] - 1)).sum()
-        many = np.maximum(t.astype(np.int64) - 1, 0)
-        place = T.ragged(np.ones(len(many), np.int64), many)
-        ones = int((rng.random(len(place)) < self.theta / (self.theta + self.d * place)).sum())
+        """Strength given the seating, of a gamma prior of mean 1, by the usual auxiliary beta and Bernoulli variables.
+
+        Of these only sums are asked for: the log of a beta variable of c customers is minus the sum of exponential ones of rates
+        theta + 1 to theta + c - 1, so restaurants share a gamma variable for each rate, and a binomial one for each number of tables.
+        """
+        c, t = self.busy_totals(self.guests), self.busy_totals(self.seated)
+        k = np.arange(1, ALIKE + 1)
+        have = _at_least((self.quiet + _histogram(c))[: ALIKE + 1])[2:]  # of up to ALIKE customers, those that have k + 1
+        logs = -(rng.standard_gamma(have) / (self.theta + k[:-1])).sum()
+        large = np.append(self.quiet_large, c[c > ALIKE])
+        logs += np.log(rng.beta(self.theta + 1, large - 1)).sum()
+        ones = rng.binomial(_at_least(self.quiet + _histogram(t))[2:], self.theta / (self.theta + self.d * k)).sum()
+        more = np.append(self.quiet_large, t[t > ALIKE]) - 1 - ALIKE
+        place = T.ragged(np.full(len(more), ALIKE + 1), more)
+        ones += (rng.random(len(place)) < self.theta / (self.theta + self.d * place)).sum()
         self.theta = max(1e-3, float(rng.gamma(1.0 + ones, 1.0 / (1.0 - logs))))
 
 
+def _heads(ascending: np.ndarray) -> np.ndarray:
+    """Whether each is the first of its value."""
+    return np.append(True, ascending[1:] != ascending[:-1])[: len(ascending)]
+
+
+def _histogram(totals: np.ndarray) -> np.ndarray:
+    """How many restaurants have 0, 1, ... ALIKE, and more."""
+    return np.bincount(np.minimum(totals, ALIKE + 1), minlength=ALIKE + 2)
+
+
+def _at_least(histogram: np.ndarray) -> np.ndarray:
+    return np.cumsum(histogram[::-1])[::-1]
+
+
 def sub_levels(context: np.ndarray, symbol: np.ndarray, count: np.ndarray, base: int) -> list[Level]:
     """The levels of 1, 2 and 3 symbols for rows of full contexts; a context is a number in `base`, nearest symbol last.
 
@@ -173,24 +249,28 @@ def sample(levels: list[Level], root: np.ndarray, sweeps: int, burn_in: int, see
     After each sweep a level's customers are the tables of the level below, dish by dish.
     """
     rng = np.random.default_rng(seed)
-
-    def predictives(some: list[Level]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for level in some:
-            out.append(level.predictive(out[-1][level.up] if out else root[level.symbol]))
-        return out
+    top = root[levels[0].symbol]
+    top_of_many, up_of_many = top[levels[0].many], [np.zeros(0, np.int64)]
+    for up, level in zip(levels, levels[1:]):  # the parent of one of many is one of many
+        place = np.full(len(up.few), -1, np.int32)
+        place[up.many] = np.arange(len(up.many))
+        up_of_many.append(place[level.up[level.many]])
 
     for sweep in range(sweeps):
-        above = predictives(levels[:-1])
+        above = [top_of_many]
+        for level, up in zip(levels, up_of_many[1:]):
+            above.append(level.predictive_of_many(above[-1])[up])
         for i in range(len(levels) - 1, -1, -1):
-            level = levels[i]
-            change = level.move(above[i - 1][level.up] if i else root[level.symbol], rng)
+            change = levels[i].move(above[i], rng)
             if i:
                 up = levels[i - 1]
-                up.c = up.c + np.bincount(level.up, weights=change, minlength=len(up.c)).astype(np.int64)
-            level.draw_strength(rng)
+                up.guests = up.guests + np.bincount(up_of_many[i], weights=change, minlength=len(up.many)).astype(np.int64)
+            levels[i].draw_strength(rng)
         if sweep >= burn_in:
-            yield sweep, predictives(levels)
+            probs = [levels[0].predictive(top)]
+            for level in levels[1:]:
+                probs.append(level.predictive(probs[-1][level.up]))
+            yield sweep, probs
 
 
 def backoff(level: Level) -> np.ndarray:
@@ -372,7 +452,7 @@ def root_predictive(customers: np.ndarray, sweeps: int, burn_in: int) -> np.ndar
     uniform = np.full(base, 1 / base)
     rng, total = np.random.default_rng(0), np.zeros(base)
     for sweep in range(sweeps):
-        level.move(uniform, rng)
+        level.move(uniform[level.many], rng)
         if sweep >= burn_in:
             total += level.predictive(uniform)
     return total / max(sweeps - burn_in, 1)
@@ -670,8 +750,10 @@ def root_words(parts: int):
             logs[at] = np.concatenate([x[2] for x in blobs])
             level = Level(discount_of(c), 1.0, np.zeros(len(words), np.int64), np.arange(len(words)), c)
             rng = np.random.default_rng(part)
+            spelled = np.power(10.0, np.maximum(logs[level.many], -300.0))
             for _ in range(3):
-                level.move(np.power(10.0, np.maximum(logs, -300.0)), rng)
+                level.move(spelled, rng)
+            t = level.t
             n = np.zeros(len(words), np.int64)
             if "word" in kinds:
                 key, count = T.unpack_all(kinds.pop("word"))
@@ -679,13 +761,13 @@ def root_words(parts: int):
                 key, count = key[o], count[o]
                 i = np.minimum(np.searchsorted(key, words), len(key) - 1)
                 n = np.where(key[i] == words, count[i], 0)
-            whole, none, place, answers = np.array([level.d, c.sum(), level.t.sum()], float), np.zeros(0, np.int64), 0, {}
+            whole, none, place, answers = np.array([level.d, c.sum(), t.sum()], float), np.zeros(0, np.int64), 0, {}
             for x, w in zip(blobs, own, strict=True):
                 answers[int(x[0][0])] = at[place : place + len(w)]
                 place += len(w)
             for p in range(parts):
                 i = answers.get(p, none)
-                yield _batch([(p, "known", pack(np.array([part]), whole, c[i], level.t[i], n[i]))])
+                yield _batch([(p, "known", pack(np.array([part]), whole, c[i], t[i], n[i]))])
 
     return run
 

@@ -307,6 +307,68 @@ def test_sampler_against_customers_one_by_one():
         assert got[key] / n == pytest.approx(want[key], abs=0.012)
 
 
+class CountingRng:
+    """A generator that counts the variables it is asked for."""
+
+    def __init__(self, seed):
+        self.rng, self.drawn = np.random.default_rng(seed), 0
+
+    def __getattr__(self, name):
+        def draw(*args):
+            out = getattr(self.rng, name)(*args)
+            self.drawn += np.size(out)
+            return out
+
+        return draw
+
+
+def test_sweep_draws_for_dishes_that_choose():
+    """Restaurants whose dishes have one customer each, as most have, ask for no variable of their own in a sweep."""
+    n = 100_000
+    customers = np.ones(2 * n, np.int64)
+    customers[:20] = 5
+    level, rng = Level(0.5, 1.0, np.repeat(np.arange(n), 2), np.tile(np.arange(2), n), customers), CountingRng(1)
+    level.move(np.full(20, 0.1), rng)
+    level.draw_strength(rng)
+    assert rng.drawn < 1000
+    assert (level.t[20:] == 1).all() and (level.t[:20] >= 1).all() and (level.c == customers).all()
+
+
+def test_strength_is_drawn_from_its_law():
+    """Mean and spread of a strength equal those by a beta variable for each restaurant and a Bernoulli one for each table."""
+    rng = np.random.default_rng(5)
+    sizes = [1, 1, 1, 2, 3, 5, 40, 128, 129, 130, 300]  # dishes of a restaurant
+    context = np.repeat(np.arange(len(sizes)), sizes)
+    customers = np.where(rng.random(len(context)) < 0.7, 1, rng.integers(2, 60, len(context)))
+    customers[context == 9] = 1  # a large restaurant without a choice
+    level = Level(0.4, 1.0, context, np.arange(len(context)), customers)
+    c, t = (np.bincount(context, weights=x).astype(int) for x in (level.c, level.t))
+    assert [x.tolist() for x in level.totals()] == [c.tolist(), t.tolist()]
+    place = np.concatenate([np.arange(1, x) for x in t])
+    got, want = [], []
+    for _ in range(4000):
+        level.theta = 3.0
+        level.draw_strength(rng)
+        got.append(level.theta)
+        ones = (rng.random(len(place)) < 3.0 / (3.0 + 0.4 * place)).sum()
+        want.append(rng.gamma(1.0 + ones, 1 / (1 - np.log(rng.beta(4.0, c[c > 1] - 1)).sum())))
+    assert np.mean(got) == pytest.approx(np.mean(want), rel=0.02) and np.std(got) == pytest.approx(np.std(want), rel=0.08)
+
+
+def test_probabilities_of_dishes_that_choose():
+    """As by the formula, for every dish and for those that choose alone; a dish without customers has what the parent gives."""
+    rng = np.random.default_rng(6)
+    context = np.sort(rng.integers(0, 60, 500))
+    context = np.unique(context, return_inverse=True)[1]
+    customers = rng.integers(0, 4, 500)
+    level, parent = Level(0.3, 1.7, context, np.arange(500), customers), rng.random(500)
+    level.move(parent[level.many], rng)
+    c, t = (np.bincount(context, weights=x)[context] for x in (level.c, level.t))
+    want = (level.theta + level.d * t) / (level.theta + c) * parent + (level.c - level.d * level.t) / (level.theta + c)
+    assert level.predictive(parent) == pytest.approx(want, rel=1e-12)
+    assert level.predictive_of_many(parent[level.many]) == pytest.approx(want[level.many], rel=1e-12)
+
+
 def test_language_model_learns(spark):
     """Words after words are learned beyond their frequency, also with words that are divided over parts."""
     rng = np.random.default_rng(4)
